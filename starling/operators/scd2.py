@@ -245,7 +245,7 @@ def _apply_type1(ev: DataFrame, kept: DataFrame, spec: DimensionSpec, w: Window,
     t1 = list(spec.type1_columns)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chunk_prior = (
-        ev.where("_hot & _keep").groupBy(key, "_chunk").agg(F.max(ts).alias("_last_kept"))
+        ev.where(F.col("_hot") & F.col("_keep")).groupBy(key, "_chunk").agg(F.max(ts).alias("_last_kept"))
         .select(key, "_chunk",
                 F.max("_last_kept").over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_prior"))
         .where(F.col("_prior").isNotNull())
