@@ -276,3 +276,62 @@ FROM customer""",
     "dim_customer_type1": DIM_CUSTOMER_TYPE1_SQL,
     "late_changes": LATE_CHANGES_SQL,
 }
+
+
+STAGE_CUSTOMER_SQL = silver_sql(BRONZE_CUSTOMER, SILVER_CUSTOMER, "silver_customer", CUSTOMER_COLS)
+STAGE_PRODUCT_SQL = silver_sql(BRONZE_PRODUCT, SILVER_PRODUCT, "silver_product", PRODUCT_COLS)
+FACT_ORDER_COLS = ["order_id", "order_customer_id", "order_date", "payment_method", "order_platform",
+                   "order_year", "order_month", "ingestion_date"]
+FACT_DETAIL_COLS = ["order_details_id", "order_id", "product_id", "product_quantity", "ingestion_date"]
+
+
+def _counts(rows: list[tuple[str, str, str]]) -> str:
+    """UNION ALL of (layer, table_name, count over a CTE)."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS rows FROM {src}"
+        for layer, table, src in rows
+    )
+
+
+ALL_CTES = [BRONZE_CUSTOMER, BRONZE_PRODUCT, BRONZE_ORDERS, BRONZE_ORDER_DETAILS, SILVER_CUSTOMER, SILVER_PRODUCT,
+            SILVER_ORDERS, SILVER_ORDER_DETAILS,
+            scd2_ctes("silver_customer", "customer_id", "c_"), scd2_ctes("silver_product", "product_id", "p_")]
+
+PIPELINE_COUNTS_SQL = with_(*ALL_CTES) + "\n" + _counts([
+    ("bronze", "customer", "bronze_customer"), ("silver", "customer", "silver_customer"),
+    ("bronze", "product", "bronze_product"), ("silver", "product", "silver_product"),
+    ("bronze", "orders", "bronze_orders"), ("silver", "orders", "silver_orders"),
+    ("bronze", "orderdetails", "bronze_orderdetails"), ("silver", "orderdetails", "silver_orderdetails"),
+    ("stage", "stage_dim_customer", "silver_customer"),
+    ("dimension", "dim_customer", "c_vs WHERE cdc_operation <> 'D'"),
+    ("dimension_active", "dim_customer", "c_vs WHERE cdc_operation <> 'D' AND nx IS NULL"),
+    ("stage", "stage_dim_product", "silver_product"),
+    ("dimension", "dim_product", "p_vs WHERE cdc_operation <> 'D'"),
+    ("dimension_active", "dim_product", "p_vs WHERE cdc_operation <> 'D' AND nx IS NULL"),
+    ("fact", "fact_orders", "silver_orders"),
+    ("fact", "fact_order_details", "silver_orderdetails"),
+])
+
+LOAD_REPORT_SQL = with_(BRONZE_CUSTOMER, BRONZE_PRODUCT, BRONZE_ORDERS, BRONZE_ORDER_DETAILS) + """
+SELECT 'stage_dim_customer' AS table_name, count(*) AS rows_read, count(*) AS rows_in_table,
+       'truncate_load' AS load_mode FROM bronze_customer
+UNION ALL SELECT 'stage_dim_product', count(*), count(*), 'truncate_load' FROM bronze_product
+UNION ALL SELECT 'fact_orders', count(*), count(*), 'append' FROM bronze_orders
+UNION ALL SELECT 'fact_order_details', count(*), count(*), 'append' FROM bronze_orderdetails"""
+
+SQL.update({
+    "dim_customer_scd2_incremental": DIM_CUSTOMER_SQL,
+    "bronze_csv_roundtrip": SQL["bronze_customer_changes"],
+    "incremental_customer": SQL["silver_customer"],
+    "silver_orders_partitions": with_(BRONZE_ORDERS, SILVER_ORDERS) + """
+SELECT order_year_pk, count(*) AS rows, strftime(min(order_date), '%Y-%m-%d') AS first_order_date,
+       strftime(max(order_date), '%Y-%m-%d') AS last_order_date
+FROM silver_orders GROUP BY order_year_pk""",
+    "stage_customer": STAGE_CUSTOMER_SQL,
+    "stage_product": STAGE_PRODUCT_SQL,
+    "fact_orders": silver_sql(BRONZE_ORDERS, SILVER_ORDERS, "silver_orders", FACT_ORDER_COLS),
+    "fact_order_details": silver_sql(BRONZE_ORDER_DETAILS, SILVER_ORDER_DETAILS, "silver_orderdetails",
+                                     FACT_DETAIL_COLS),
+    "load_report": LOAD_REPORT_SQL,
+    "pipeline_counts": PIPELINE_COUNTS_SQL,
+})

@@ -25,8 +25,17 @@ from starling.operators.scd2 import (
 )
 from starling.operators.silver import CUSTOMER_HASHED, SILVER_FUNCTIONS
 from starling.operators.sort import sort_for_query
+from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SOURCE_TABLES, Lake, silver_read_schema, start_silver_job
 from starling.plans.oracle_format import time_as_text
+from starling.plans.pipeline import layer_counts, run_pipeline
+from starling.schemas import SILVER_ORDERS
+from starling.session import shared_path
+from starling.sinks.dimension_store import DimensionStore
+from starling.sinks.parquet import write_change_files, write_partitioned
+from starling.sinks.warehouse import Warehouse
+from starling.sources.bronze import read_registered, register_raw_table
 from starling.sources.testtables import CHANGE_LOGS, load_table
+from starling.streaming.incremental import await_all
 
 # Fixed run time of the registered queries, so their audit columns are repeatable.
 RUN_TS = "2024-01-05 00:00:00"
@@ -144,12 +153,136 @@ def delayed_inserts(df: DataFrame) -> "F.Column":
 
 def q_late_changes(spark, sf_dir):
     """Rule 8: the rest of the log first, then the delayed inserts, which are
-    older than their keys' versions and therefore only reported."""
+    older than their keys' versions and therefore only reported. The two
+    batches go through the dimension store, whose written state cuts the
+    lineage between them."""
     s = silver(spark, sf_dir, "customer")
-    first = scd2_merge(empty_dimension(spark, CUSTOMER_DIM), empty_tombstones(spark, CUSTOMER_DIM),
-                       s.where(~delayed_inserts(s)), CUSTOMER_DIM)
-    second = scd2_merge(first.active, first.tombstones, s.where(delayed_inserts(s)), CUSTOMER_DIM)
-    return time_as_text(second.late)
+    store = DimensionStore(spark, shared_path(spark, "late_changes", unique=True), CUSTOMER_DIM)
+    store.apply(s.where(~delayed_inserts(s)), 0)
+    store.apply(s.where(delayed_inserts(s)), 1)
+    return time_as_text(store.late())
+
+
+# The change dates of the customer log, one batch each.
+CHANGE_DAYS = ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04")
+
+
+def q_dim_customer_scd2_incremental(spark, sf_dir):
+    """The customer log merged day by day through the dimension store
+    gives the same dimension as one batch."""
+    s = silver(spark, sf_dir, "customer")
+    store = DimensionStore(spark, shared_path(spark, "dim_customer_incremental", unique=True), CUSTOMER_DIM)
+    for n, day in enumerate(CHANGE_DAYS):
+        store.apply(s.where(F.to_date("dms_timestamp") == F.lit(day).cast("date")), n)
+    return time_as_text(store.dimension())
+
+
+# ------------------------------------------------------------------ sources and sinks
+def q_bronze_csv_roundtrip(spark, sf_dir):
+    """K1 + S5/S6 + S8: the customer log written as gzip CSV change files,
+    registered as raw_data_customer from its header and scanned through the
+    catalog."""
+    path = shared_path(spark, "bronze_csv", unique=True) + "/customer"
+    write_change_files(bronze(spark, sf_dir, "customer"), path, mode="overwrite")
+    return read_registered(spark, register_raw_table(spark, "customer", path))
+
+
+def q_incremental_customer(spark, sf_dir):
+    """Two drops of change files; each job run takes only the new
+    files, a third run without new files takes nothing."""
+    lake = Lake(shared_path(spark, "incremental_customer", unique=True))
+    changes = bronze(spark, sf_dir, "customer")
+    day = F.substring("dms_timestamp", 1, 10)
+    write_change_files(changes.where(day <= F.lit("2024-01-02")), lake.bronze("customer"))
+    await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
+    write_change_files(changes.where(day > F.lit("2024-01-02")), lake.bronze("customer"))
+    await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
+    await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
+    out = spark.read.schema(silver_read_schema("customer")).parquet(lake.silver("customer"))
+    return time_as_text(out.drop("batch_id"))
+
+
+def q_silver_orders_partitions(spark, sf_dir):
+    """K2 + P10: silver orders written partitioned by order_year_pk, read back,
+    rows and date range per partition."""
+    path = shared_path(spark, "silver_orders", unique=True)
+    write_partitioned(silver(spark, sf_dir, "orders"), path, "order_year_pk", "order_date", mode="overwrite")
+    back = spark.read.schema(SILVER_ORDERS).parquet(path)
+    return back.groupBy("order_year_pk").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.date_format(F.min("order_date"), "yyyy-MM-dd").alias("first_order_date"),
+        F.date_format(F.max("order_date"), "yyyy-MM-dd").alias("last_order_date"),
+    )
+
+
+def _warehouse(spark) -> Warehouse:
+    loc = shared_path(spark, "warehouse", unique=True)
+    return Warehouse(spark, "wh_" + loc.rsplit("/", 1)[-1], loc)
+
+
+def _stage(spark, sf_dir, table):
+    """K5, K6, K9: create-if-absent, then truncate-load twice: the table
+    holds one copy."""
+    wh = _warehouse(spark)
+    stage_table, schema, _spec = DIMENSION_JOBS[table]
+    rows = silver(spark, sf_dir, table)
+    for _ in range(2):
+        wh.load(rows, stage_table, schema, mode="truncate_load", analyze="columns")
+    return time_as_text(wh.table(stage_table))
+
+
+def q_stage_customer(spark, sf_dir):
+    return _stage(spark, sf_dir, "customer")
+
+
+def q_stage_product(spark, sf_dir):
+    return _stage(spark, sf_dir, "product")
+
+
+def _fact(spark, sf_dir, table):
+    """Append into the batch's own partition; the same batch
+    applied twice (a replay) still gives one copy."""
+    wh = _warehouse(spark)
+    fact_table, schema = FACT_JOBS[table]
+    rows = silver(spark, sf_dir, table)
+    for _ in range(2):
+        wh.load(rows, fact_table, schema, mode="append", analyze="table", load_id=0)
+    return time_as_text(wh.table(fact_table).drop("load_id"))
+
+
+def q_fact_orders(spark, sf_dir):
+    return _fact(spark, sf_dir, "orders")
+
+
+def q_fact_order_details(spark, sf_dir):
+    return _fact(spark, sf_dir, "orderdetails")
+
+
+def q_load_report(spark, sf_dir):
+    """A2: rows read (observed during the write) and rows in the table after
+    each of the four loads."""
+    wh = _warehouse(spark)
+    reports = []
+    for table, (stage_table, schema, _spec) in DIMENSION_JOBS.items():
+        reports.append(wh.load(silver(spark, sf_dir, table), stage_table, schema, mode="truncate_load"))
+    for table, (fact_table, schema) in FACT_JOBS.items():
+        reports.append(wh.load(silver(spark, sf_dir, table), fact_table, schema, mode="append", load_id=0))
+    return spark.createDataFrame(
+        [(r.table, r.rows_read, r.rows_in_table, r.mode) for r in reports],
+        "table_name string, rows_read long, rows_in_table long, load_mode string",
+    )
+
+
+def q_pipeline_counts(spark, sf_dir):
+    """Change files of all four tables through silver, stage, dimensions
+    and facts; rows per layer and table."""
+    root = shared_path(spark, "pipeline", unique=True)
+    lake = Lake(root)
+    wh = Warehouse(spark, "sales_" + root.rsplit("/", 1)[-1], root + "/warehouse")
+    for t in SOURCE_TABLES:
+        write_change_files(bronze(spark, sf_dir, t), lake.bronze(t), mode="overwrite")
+    run_pipeline(spark, lake, wh, run_ts=RUN_TS)
+    return layer_counts(spark, lake, wh)
 
 
 QUERIES = {
@@ -168,4 +301,14 @@ QUERIES = {
     "dim_customer_active": q_dim_customer_active,
     "dim_customer_type1": q_dim_customer_type1,
     "late_changes": q_late_changes,
+    "dim_customer_scd2_incremental": q_dim_customer_scd2_incremental,
+    "bronze_csv_roundtrip": q_bronze_csv_roundtrip,
+    "incremental_customer": q_incremental_customer,
+    "silver_orders_partitions": q_silver_orders_partitions,
+    "stage_customer": q_stage_customer,
+    "stage_product": q_stage_product,
+    "fact_orders": q_fact_orders,
+    "fact_order_details": q_fact_order_details,
+    "load_report": q_load_report,
+    "pipeline_counts": q_pipeline_counts,
 }
