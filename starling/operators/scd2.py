@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from starling.functions.audit import open_end
+from starling.session import shared_root
 from starling.schemas import DIM_CUSTOMER, DIM_PRODUCT, OP_DELETE, OP_UPDATE
 
 VERSION_COLUMNS = ("record_start_ts", "record_end_ts", "active_flag")
@@ -90,175 +91,290 @@ def late_schema(spec: DimensionSpec) -> StructType:
                                 StructField("late_boundary_ts", TimestampType(), True)])
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """Empty DataFrame planned in the JVM: ``Filter(false)`` is folded into an
+    empty local relation by the optimizer, which then prunes every join and
+    union branch that reads it (a first batch skips all dimension lookups)."""
+    return spark.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).where(F.lit(False))
+
+
 def empty_dimension(spark: SparkSession, spec: DimensionSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
+    return empty_frame(spark, spec.schema)
 
 
 def empty_tombstones(spark: SparkSession, spec: DimensionSpec) -> DataFrame:
-    return spark.createDataFrame([], tombstone_schema(spec))
+    return empty_frame(spark, tombstone_schema(spec))
+
+
+def row_schema(spec: DimensionSpec) -> StructType:
+    """Columns of the tagged merge output: dimension columns plus the change
+    time (late rows), the boundary (late rows), the delete time (tombstones)."""
+    extra = [StructField(spec.ts_col, TimestampType(), True),
+             StructField("late_boundary_ts", TimestampType(), True),
+             StructField("deleted_ts", TimestampType(), True)]
+    return StructType(list(spec.schema.fields) + extra)
 
 
 @dataclass
 class MergeResult:
-    active: DataFrame       # active versions after the batch (dimension columns)
-    closed: DataFrame       # versions closed by the batch (dimension columns)
-    late: DataFrame         # changes not applied (rule 8)
-    tombstones: DataFrame   # keys whose last version was closed by a delete
+    """The merge output as one frame tagged by ``part``:
+
+    * ``active``: open versions after the batch (kept and new);
+    * ``closed``: versions this batch closed;
+    * ``tombstones``: keys whose last version was closed by a delete;
+    * ``late``: changes not applied (rule 8).
+
+    One frame so that a writer stores all parts in one pass; the accessors
+    filter on ``part``, which the optimizer pushes into the union branches.
+    """
+
+    rows: DataFrame
+    spec: DimensionSpec
+
+    def part(self, name: str, cols: list[str]) -> DataFrame:
+        return self.rows.where(F.col("part") == name).select(*cols)
+
+    @property
+    def active(self) -> DataFrame:
+        return self.part("active", self.spec.columns)
+
+    @property
+    def closed(self) -> DataFrame:
+        return self.part("closed", self.spec.columns)
+
+    @property
+    def late(self) -> DataFrame:
+        return self.part("late", late_schema(self.spec).fieldNames())
+
+    @property
+    def tombstones(self) -> DataFrame:
+        return self.part("tombstones", tombstone_schema(self.spec).fieldNames())
 
     def dimension(self) -> DataFrame:
         """All versions produced or kept by this merge (active and closed)."""
-        return self.active.unionByName(self.closed)
+        return self.rows.where(F.col("part").isin("active", "closed")).select(*self.spec.columns)
+
+
+def tag(df: DataFrame, spec: DimensionSpec, part: str | None = None) -> DataFrame:
+    """Project ``df`` onto ``row_schema`` (missing columns NULL) plus ``part``."""
+    have = set(df.columns)
+    cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in row_schema(spec).fields]
+    return df.select(*cols, F.lit(part).alias("part") if part else F.col("part"))
+
+
+# Row kinds of the merge's row set: a change of the batch, an open version of
+# a batch key, a tombstone of a batch key (a delete at its original time), and
+# a boundary marker (rule 8).
+_CHANGE, _EXISTING, _TOMB, _MARKER = 0, 1, 2, 3
 
 
 def _op_rank(op: Column) -> Column:
     return F.when(op == OP_DELETE, 2).when(op == OP_UPDATE, 1).otherwise(0)
 
 
+def batch_stats(changes: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """Per key of a batch: number of changes and their time range (partial
+    aggregation; reads only the key and change-time columns)."""
+    t = F.col(spec.ts_col).cast("timestamp")
+    return changes.groupBy(spec.key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"))
+
+
 def scd2_merge(
     active: DataFrame,
     tombstones: DataFrame,
     changes: DataFrame,
     spec: DimensionSpec,
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    materialize: bool = True,
 ) -> MergeResult:
     """Apply one batch of ``changes`` (silver rows) to a dimension state.
 
     ``active`` holds one open version per key, ``tombstones`` the deleted keys.
     Returns the new state plus the versions this batch closed and the late
-    changes. Pure: the caller decides where the results are stored.
+    changes, as one tagged frame. Pure apart from ``materialize``, which
+    checkpoints two intermediate results into the session's checkpoint dir
+    (the per-key batch statistics; with hot keys, the shuffled row set) so
+    the branches that read them do not recompute the batch.
     """
     key, h, op, ts = spec.key, spec.hash_col, spec.op_col, "_ts"
     payload = spec.payload
     others = [c for c in payload if c != key]
+    types = {f.name: f.dataType for f in spec.schema.fields}
+    spark = changes.sparkSession
 
     chg = changes.select(*payload, F.col(spec.ts_col).cast("timestamp").alias(ts))
 
-    # Keys of the batch matched against the state (semi joins; the batch
-    # side is small next to the dimension, AQE broadcasts it when it is).
-    keys = chg.select(key).distinct()
-    boundary = (
-        active.join(keys, key, "left_semi").select(key, F.col("record_start_ts").alias("_b"))
-        .unionByName(tombstones.join(keys, key, "left_semi").select(key, F.col("deleted_ts").alias("_b")))
-        .groupBy(key).agg(F.max("_b").alias("_boundary"))
+    stats = batch_stats(changes, spec)
+    if materialize:
+        shared_root(spark)
+        stats = stats.checkpoint(eager=True)
+    keys = stats.select(key)
+    # A hot key has more than max_group_rows changes, so there are at most
+    # rows / max_group_rows of them: a proven bound, hence broadcast.
+    hot = F.broadcast(
+        stats.where(F.col("_n") > F.lit(max_group_rows))
+        .select(key, "_lo", "_hi", F.ceil(F.col("_n") / F.lit(max_group_rows)).alias("_m"))
     )
-    chg_b = chg.join(boundary, key, "left")
-    is_late = F.col(ts).isNull() | (F.col("_boundary").isNotNull() & (F.col(ts) <= F.col("_boundary")))
-    late = chg_b.where(is_late).select(
-        *payload, F.col(ts).alias(spec.ts_col), F.col("_boundary").alias("late_boundary_ts")
+    chunked = not hot.isEmpty()
+
+    # One left join of the active set with the batch keys splits it into
+    # touched and untouched rows (the active set is shuffled once, or not at
+    # all when the keys of a small batch are broadcast).
+    matched = active.join(keys.withColumn("_touched", F.lit(True)), key, "left")
+    touched = matched.where(F.col("_touched").isNotNull()).drop("_touched")
+    untouched = matched.where(F.col("_touched").isNull()).drop("_touched")
+    tomb_in = tombstones.join(keys, key, "left_semi")
+    tomb_out = tombstones.join(keys, key, "left_anti")
+
+    def as_rows(df: DataFrame, kind: int, at: Column) -> DataFrame:
+        have = set(df.columns)
+        cols = [F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c) for c in payload]
+        return df.select(*cols, at.alias(ts), F.lit(kind).alias("_kind"))
+
+    # One row set for the batch: its changes, the state of its keys as the
+    # first events of their histories, and the boundary markers of rule 8.
+    rows = (
+        as_rows(chg, _CHANGE, F.col(ts))
+        .unionByName(as_rows(touched, _EXISTING, F.col("record_start_ts")))
+        .unionByName(as_rows(tomb_in, _TOMB, F.col("deleted_ts")))
+        .unionByName(as_rows(touched, _MARKER, F.col("record_start_ts")))
+        .unionByName(as_rows(tomb_in, _MARKER, F.col("deleted_ts")))
     )
-    ok = chg_b.where(~is_late).drop("_boundary")
 
-    # Rule 6: one change per (key, ts): max of a struct ordered by the rule.
+    if chunked:
+        # Hot keys are cut into m equal time ranges (chunk ids grow with time,
+        # so order across chunks is order in time); a marker goes to every
+        # chunk of its key. Every other key is one chunk.
+        span = (F.unix_micros(F.col("_hi")) - F.unix_micros(F.col("_lo")) + F.lit(1)).cast("double")
+        pos = (F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_lo"))).cast("double") / span
+        chunk_of = F.least(F.col("_m") - 1, F.greatest(F.lit(0), F.floor(pos * F.col("_m")))).cast("long")
+        chunk_ids = (
+            F.when(F.col("_m").isNull(), F.array(F.lit(0).cast("long")))
+            .when(F.col("_kind") == _MARKER, F.sequence(F.lit(0).cast("long"), (F.col("_m") - 1).cast("long")))
+            .otherwise(F.array(F.coalesce(chunk_of, F.lit(0).cast("long"))))
+        )
+        rows = rows.join(hot, key, "left").select(*payload, ts, "_kind", F.explode(chunk_ids).alias("_chunk"))
+    else:
+        rows = rows.withColumn("_chunk", F.lit(0).cast("long"))
+
+    # The one shuffle of the batch: by (key, chunk). Boundary, late split,
+    # tie collapse and the windows below all reuse its partitioning and order.
+    w = Window.partitionBy(key, "_chunk").orderBy(ts)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("_boundary", F.max(F.when(F.col("_kind") == _MARKER, F.col(ts))).over(whole))
+    if chunked and materialize:
+        rows = rows.checkpoint(eager=True)
+    is_change = F.col("_kind") == _CHANGE
+    is_late = is_change & (F.col(ts).isNull() | (F.col("_boundary").isNotNull() & (F.col(ts) <= F.col("_boundary"))))
+    late = rows.where(is_late).select(
+        *payload, F.col(ts).alias(spec.ts_col), F.col("_boundary").alias("late_boundary_ts"))
+
+    # Rule 6: one event per (key, ts): max of a struct ordered by the rule.
+    # State events never share their time with an applied change (those are
+    # newer than the boundary), so each stays a group of its own.
     order_fields = [h, *spec.type1_columns, *[c for c in others if c != h and c not in spec.type1_columns]]
-    picked = (
-        ok.groupBy(key, ts)
-        .agg(F.max(F.struct(_op_rank(F.col(op)).alias("_rank"), *order_fields)).alias("_p"))
-        .select(key, ts, *[F.col(f"_p.{c}").alias(c) for c in order_fields])
-    )
-
-    touched = active.join(keys, key, "left_semi")
-    untouched = active.join(keys, key, "left_anti")
-
-    existing_ev = touched.select(
-        *payload, F.col("record_start_ts").alias(ts), F.lit(True).alias("_existing"), F.lit(False).alias("_del")
-    )
-    new_ev = picked.select(*payload, ts, F.lit(False).alias("_existing"), (F.col(op) == OP_DELETE).alias("_del"))
-    events = existing_ev.unionByName(new_ev)
-
-    # Hot keys: more than max_group_rows changes -> m equal time ranges.
-    hot = (
-        picked.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-        .where(F.col("_n") > F.lit(max_group_rows))
-        .withColumn("_m", F.ceil(F.col("_n") / F.lit(max_group_rows)))
-    )
-    span = (F.unix_micros(F.col("_hi")) - F.unix_micros(F.col("_lo")) + F.lit(1)).cast("double")
-    pos = (F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_lo"))).cast("double") / span
-    chunk = F.least(F.col("_m") - 1, F.greatest(F.lit(0), F.floor(pos * F.col("_m")))).cast("long")
+    live = rows.where((is_change & ~is_late) | F.col("_kind").isin(_EXISTING, _TOMB))
+    rank = F.when(is_change, _op_rank(F.col(op))).otherwise(-1)
     events = (
-        events.join(hot.select(key, "_lo", "_hi", "_m"), key, "left")
-        .select(*payload, ts, "_existing", "_del",
-                F.coalesce(chunk, F.lit(0).cast("long")).alias("_chunk"),
-                F.col("_m").isNotNull().alias("_hot"))
+        live.groupBy(key, "_chunk", ts)
+        .agg(F.max(F.struct(rank.alias("_rank"), *order_fields, "_kind")).alias("_p"))
+        .select(key, "_chunk", ts, *[F.col(f"_p.{c}").alias(c) for c in [*order_fields, "_kind"]])
+        .select(*payload, ts, "_chunk", "_kind",
+                ((F.col("_kind") == _TOMB) | ((F.col("_kind") == _CHANGE) & (F.col(op) == OP_DELETE))).alias("_del"))
     )
+    if chunked:
+        events = events.join(hot.select(key, F.lit(True).alias("_hot")), key, "left").withColumn(
+            "_hot", F.coalesce(F.col("_hot"), F.lit(False)))
 
-    w = Window.partitionBy(key, "_chunk").orderBy(ts)
     chunks = Window.partitionBy(key).orderBy("_chunk")
     state = F.struct(F.col("_del").alias("d"), F.col(h).alias("h"))
-
-    # Last change of the preceding chunk, for the first change of each chunk.
-    chunk_prev = (
-        events.where("_hot").groupBy(key, "_chunk").agg(F.max_by(state, F.col(ts)).alias("_last"))
-        .select(key, "_chunk", F.lag("_last").over(chunks).alias("_chunk_prev"))
-        .where(F.col("_chunk_prev").isNotNull())
-    )
-    ev = events.withColumn("_prev", F.lag(state).over(w)).join(chunk_prev, [key, "_chunk"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_chunk_prev"))
-    keep = F.when(F.col("_del"), prev.isNotNull() & ~prev["d"]).otherwise(
-        prev.isNull() | prev["d"] | ~prev["h"].eqNullSafe(F.col(h))
+    ev = events.withColumn("_prev", F.lag(state).over(w))
+    prev = F.col("_prev")
+    if chunked:
+        # Last event of the preceding chunk, for the first event of each chunk.
+        chunk_prev = (
+            events.where("_hot").groupBy(key, "_chunk").agg(F.max_by(state, F.col(ts)).alias("_last"))
+            .select(key, "_chunk", F.lag("_last").over(chunks).alias("_chunk_prev"))
+            .where(F.col("_chunk_prev").isNotNull())
+        )
+        ev = ev.join(F.broadcast(chunk_prev), [key, "_chunk"], "left")
+        prev = F.coalesce(F.col("_prev"), F.col("_chunk_prev"))
+    # A tombstone is always kept: if nothing later is kept it is the key's
+    # tombstone again; for the events after it, it acts as "no version".
+    keep = (
+        F.when(F.col("_kind") == _TOMB, F.lit(True))
+        .when(F.col("_del"), prev.isNotNull() & ~prev["d"])
+        .otherwise(prev.isNull() | prev["d"] | ~prev["h"].eqNullSafe(F.col(h)))
     )
     ev = ev.withColumn("_keep", keep).drop("_prev", "_chunk_prev")
-    kept = ev.where("_keep")
-
-    # Start of the next kept change = end of this version.
-    chunk_next = (
-        kept.where("_hot").groupBy(key, "_chunk").agg(F.min(ts).alias("_first"))
-        .select(key, "_chunk",
-                F.min("_first").over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("_chunk_next"))
-        .where(F.col("_chunk_next").isNotNull())
-    )
-    kept = (
-        kept.withColumn("_next_local", F.lead(ts).over(w))
-        .join(chunk_next, [key, "_chunk"], "left")
-        .withColumn("_next", F.coalesce("_next_local", "_chunk_next"))
-    )
 
-    if spec.type1_columns:
-        kept = _apply_type1(ev, kept, spec, w, chunks)
+    # Start of the next kept event = end of this version.
+    kept = ev.where("_keep").withColumn("_next", F.lead(ts).over(w))
+    if chunked:
+        chunk_next = (
+            kept.where("_hot").groupBy(key, "_chunk").agg(F.min(ts).alias("_first"))
+            .select(key, "_chunk",
+                    F.min("_first").over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("_chunk_next"))
+            .where(F.col("_chunk_next").isNotNull())
+        )
+        kept = (kept.join(F.broadcast(chunk_next), [key, "_chunk"], "left")
+                .withColumn("_next", F.coalesce("_next", "_chunk_next")))
 
-    versions = kept.where(~F.col("_del")).select(
+    if spec.type1_columns:
+        kept = _apply_type1(ev, kept, spec, w, chunks if chunked else None)
+
+    # One pass over the kept events yields versions (open or closed) and
+    # tombstones; untouched active rows and tombstones, and late changes,
+    # are the other branches of the tagged output.
+    open_ = F.col("_next").isNull()
+    part = (F.when(~F.col("_del") & open_, "active").when(~F.col("_del"), "closed")
+            .when(open_, "tombstones"))
+    from_kept = kept.select(
         *[
             F.col(ts).alias(c) if c == "record_start_ts"
             else F.coalesce(F.col("_next"), open_end()).alias(c) if c == "record_end_ts"
-            else F.when(F.col("_next").isNull(), 1).otherwise(0).alias(c) if c == "active_flag"
+            else F.when(open_, 1).otherwise(0).alias(c) if c == "active_flag"
             else F.col(c)
             for c in spec.columns
-        ]
+        ],
+        F.when(F.col("_del"), F.col(ts)).alias("deleted_ts"),
+        part.alias("part"),
+    ).where(F.col("part").isNotNull())
+
+    out = (
+        tag(untouched, spec, "active")
+        .unionByName(tag(from_kept, spec))
+        .unionByName(tag(tomb_out, spec, "tombstones"))
+        .unionByName(tag(late, spec, "late"))
     )
+    return MergeResult(out, spec)
 
-    new_tomb = kept.where(F.col("_del") & F.col("_next").isNull()).select(key, F.col(ts).alias("deleted_ts"))
-    revived = kept.where(~F.col("_existing")).select(key).distinct()
-    tomb_out = tombstones.join(revived, key, "left_anti").unionByName(new_tomb)
-
-    return MergeResult(
-        active=untouched.select(*spec.columns).unionByName(versions.where(F.col("active_flag") == 1)),
-        closed=versions.where(F.col("active_flag") == 0),
-        late=late,
-        tombstones=tomb_out,
-    )
 
-
-def _apply_type1(ev: DataFrame, kept: DataFrame, spec: DimensionSpec, w: Window, chunks: Window) -> DataFrame:
-    """Rule 7: each version takes the type-1 values of the last change of its
-    run (from its start up to the next kept change)."""
+def _apply_type1(ev: DataFrame, kept: DataFrame, spec: DimensionSpec, w: Window, chunks: Window | None) -> DataFrame:
+    """Rule 7: each version takes the type-1 values of the last event of its
+    run (from its start up to the next kept event)."""
     key, ts = spec.key, "_ts"
     t1 = list(spec.type1_columns)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chunk_prior = (
-        ev.where(F.col("_hot") & F.col("_keep")).groupBy(key, "_chunk").agg(F.max(ts).alias("_last_kept"))
-        .select(key, "_chunk",
-                F.max("_last_kept").over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_prior"))
-        .where(F.col("_prior").isNotNull())
-    )
+    runs = ev.withColumn("_vstart", F.max(F.when(F.col("_keep"), F.col(ts))).over(upto))
+    if chunks is not None:
+        chunk_prior = (
+            ev.where(F.col("_hot") & F.col("_keep")).groupBy(key, "_chunk").agg(F.max(ts).alias("_last_kept"))
+            .select(key, "_chunk",
+                    F.max("_last_kept").over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_prior"))
+            .where(F.col("_prior").isNotNull())
+        )
+        runs = (runs.join(F.broadcast(chunk_prior), [key, "_chunk"], "left")
+                .withColumn("_vstart", F.coalesce("_vstart", "_prior")))
     runs = (
-        ev.withColumn("_vs_local", F.max(F.when(F.col("_keep"), F.col(ts))).over(upto))
-        .join(chunk_prior, [key, "_chunk"], "left")
-        .withColumn("_vstart", F.coalesce("_vs_local", "_prior"))
-        .where(F.col("_vstart").isNotNull())
+        runs.where(F.col("_vstart").isNotNull())
         .groupBy(key, "_vstart")
         .agg(F.max_by(F.struct(*t1), F.col(ts)).alias("_t1"))
     )
     out = kept.join(runs, (kept[key] == runs[key]) & (kept[ts] == runs["_vstart"]), "left").drop(runs[key])
-    for c in t1:  # every kept change starts its own run, so the join always matches
+    for c in t1:  # every kept event starts its own run, so the join always matches
         out = out.withColumn(c, F.col(f"_t1.{c}"))
     return out.drop("_t1", "_vstart")

@@ -31,8 +31,10 @@ from starling.operators.scd2 import (
     DimensionSpec,
     MergeResult,
     empty_dimension,
+    empty_frame,
     empty_tombstones,
     late_schema,
+    row_schema,
     scd2_merge,
     tombstone_schema,
 )
@@ -44,10 +46,7 @@ PARTS = ("active", "tombstones", "closed", "late")
 class DimensionStore:
     def __init__(self, spark: SparkSession, root: str, spec: DimensionSpec):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
-        extra = [StructField(spec.ts_col, TimestampType(), True),
-                 StructField("late_boundary_ts", TimestampType(), True),
-                 StructField("deleted_ts", TimestampType(), True)]
-        self.row_schema = StructType(list(spec.schema.fields) + extra)
+        self.row_schema = row_schema(spec)
         self.file_schema = StructType(list(self.row_schema.fields) + [
             StructField("batch_id", LongType(), True), StructField("part", StringType(), True)])
 
@@ -92,7 +91,7 @@ class DimensionStore:
     def late(self, as_of: int | None = None) -> DataFrame:
         n = self.last_committed() if as_of is None else as_of
         if n is None:
-            return self.spark.createDataFrame([], late_schema(self.spec))
+            return empty_frame(self.spark, late_schema(self.spec))
         p = self._parts()
         return p.where((F.col("part") == "late") & (F.col("batch_id") <= n)).select(
             *late_schema(self.spec).fieldNames())
@@ -103,16 +102,8 @@ class DimensionStore:
         base = self.last_committed(below=batch_id)
         active, tombs = self.state(base)
         result = scd2_merge(active, tombs, changes, self.spec, max_group_rows=max_group_rows)
-        out = (self._tag(result.active, "active").unionByName(self._tag(result.tombstones, "tombstones"))
-               .unionByName(self._tag(result.closed, "closed")).unionByName(self._tag(result.late, "late")))
-        (out.write.mode("overwrite").partitionBy("part")
+        (result.rows.write.mode("overwrite").partitionBy("part")
          .parquet(f"{self.root}/batches/batch_id={int(batch_id)}"))
         self.spark.range(1).select(F.lit(1).alias("committed")).write.mode("overwrite").parquet(
             f"{self.root}/commits/batch_id={int(batch_id)}")
         return result
-
-    def _tag(self, df: DataFrame, part: str) -> DataFrame:
-        have = set(df.columns)
-        cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in self.row_schema.fields]
-        return df.select(*cols, F.lit(part).alias("part"))
