@@ -313,7 +313,7 @@ PIPELINE_COUNTS_SQL = with_(*ALL_CTES) + "\n" + _counts([
 ])
 
 LOAD_REPORT_SQL = with_(BRONZE_CUSTOMER, BRONZE_PRODUCT, BRONZE_ORDERS, BRONZE_ORDER_DETAILS) + """
-SELECT 'stage_dim_customer' AS table_name, count(*) AS rows_read, count(*) AS rows_in_table,
+SELECT 'stage_dim_customer' AS table_name, count(*) AS rows_read, count(*) AS rows_written,
        'truncate_load' AS load_mode FROM bronze_customer
 UNION ALL SELECT 'stage_dim_product', count(*), count(*), 'truncate_load' FROM bronze_product
 UNION ALL SELECT 'fact_orders', count(*), count(*), 'append' FROM bronze_orders
@@ -334,4 +334,9 @@ FROM silver_orders GROUP BY order_year_pk""",
                                      FACT_DETAIL_COLS),
     "load_report": LOAD_REPORT_SQL,
     "pipeline_counts": PIPELINE_COUNTS_SQL,
+    "snapshot_export_product": f"""
+SELECT 'I' AS op, CAST(p_partkey AS VARCHAR) AS productid, p_name AS productname, p_brand AS brandname,
+       concat(p_type, ' desc') AS productdescription, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+       p_type AS productcategory, '{RUN_TS}' AS dms_timestamp
+FROM part""",
 })

@@ -8,6 +8,7 @@ fresh directory per call and read their result back.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from starling.session import shared_path
 from starling.sinks.dimension_store import DimensionStore
 from starling.sinks.parquet import write_change_files, write_partitioned
 from starling.sinks.warehouse import Warehouse
-from starling.sources.bronze import read_registered, register_raw_table
+from starling.sources.bronze import read_bronze, read_registered, register_raw_table, snapshot_to_bronze
 from starling.sources.testtables import CHANGE_LOGS, load_table
 from starling.streaming.incremental import await_all
 
@@ -268,11 +269,31 @@ def q_load_report(spark, sf_dir):
     for table, (fact_table, schema) in FACT_JOBS.items():
         reports.append(wh.load(silver(spark, sf_dir, table), fact_table, schema, mode="append", load_id=0))
     return spark.createDataFrame(
-        [(r.table, r.rows_read, r.rows_in_table, r.mode) for r in reports],
-        "table_name string, rows_read long, rows_in_table long, load_mode string",
+        pd.DataFrame([(r.table, r.rows_read, r.rows_written, r.mode) for r in reports],
+                     columns=["table_name", "rows_read", "rows_written", "load_mode"]),
+        "table_name string, rows_read long, rows_written long, load_mode string",
     )
 
 
+def q_snapshot_export_product(spark, sf_dir):
+    """S1 + S4 + K1 + S7: a full-load export of the product source table into
+    change files (op I on every row, load time as dms_timestamp, replacing an
+    earlier snapshot), read back by header."""
+    p = load_table(spark, sf_dir, "part")
+    source = p.select(
+        F.col("p_partkey").cast("string").alias("productId"),
+        F.col("p_name").alias("productName"),
+        F.col("p_brand").alias("brandName"),
+        F.concat(F.col("p_type"), F.lit(" desc")).alias("productDescription"),
+        F.col("p_retailprice").cast("decimal(12,2)").cast("string").alias("price"),
+        F.col("p_type").alias("productCategory"),
+    )
+    path = shared_path(spark, "snapshot", unique=True) + "/product"
+    snapshot_to_bronze(source, path, change_ts=RUN_TS)
+    snapshot_to_bronze(source, path, change_ts=RUN_TS)  # a second full load replaces the first
+    return read_bronze(spark, path)
+
+
 def q_pipeline_counts(spark, sf_dir):
     """Change files of all four tables through silver, stage, dimensions
     and facts; rows per layer and table."""
@@ -310,5 +331,6 @@ QUERIES = {
     "fact_orders": q_fact_orders,
     "fact_order_details": q_fact_order_details,
     "load_report": q_load_report,
+    "snapshot_export_product": q_snapshot_export_product,
     "pipeline_counts": q_pipeline_counts,
 }

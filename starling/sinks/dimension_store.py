@@ -68,7 +68,13 @@ class DimensionStore:
             f"{self.root}/batches")
 
     def _part(self, batch_id: int, part: str, cols: list[str]) -> DataFrame:
-        return (self._parts().where((F.col("batch_id") == batch_id) & (F.col("part") == part)).select(*cols))
+        """One part of one batch, read by its path: no listing of the other
+        batches' directories."""
+        path = f"{self.root}/batches/batch_id={int(batch_id)}/part={part}"
+        if not path_exists(self.spark, path):
+            return empty_frame(self.spark, self.file_schema).select(*cols)
+        return self.spark.read.schema(self.file_schema).option("basePath", f"{self.root}/batches").parquet(
+            path).select(*cols)
 
     def state(self, batch_id: int | None) -> tuple[DataFrame, DataFrame]:
         """(active, tombstones) as of committed batch ``batch_id``."""

@@ -43,10 +43,15 @@ def ddl(schema: StructType) -> str:
 
 @dataclass
 class LoadReport:
+    """A2/A3: rows read from the input (observed during the write), rows in
+    what the load wrote (the table after a truncate-load, the batch's
+    partition after a replay-safe append), and the input schema."""
+
     table: str
     rows_read: int
-    rows_in_table: int
+    rows_written: int
     mode: str
+    schema: str = ""
 
 
 class Warehouse:
@@ -90,16 +95,22 @@ class Warehouse:
                 session.catalog.dropTempView(view)
         else:
             rows.write.insertInto(target, overwrite=(mode == "truncate_load"))
-        self.analyze(table, analyze)
-        return LoadReport(table, int(obs.get.get("rows", 0)), self.count(table), mode)
-
-    def analyze(self, table: str, level: str | None = "table") -> None:
-        """K8: ``table`` = size and row count (footers only); ``columns`` =
-        column statistics too (a full scan: for small dimensions)."""
+        self.analyze(table, analyze, load_id)
+        written = self.table(table)
+        if load_id is not None:
+            written = written.where(F.col("load_id") == int(load_id))
+        return LoadReport(table, int(obs.get.get("rows", 0)), written.count(), mode, df.schema.simpleString())
+
+    def analyze(self, table: str, level: str | None = "table", load_id: int | None = None) -> None:
+        """K8: ``table`` = size and row count (Parquet footers only);
+        ``columns`` = column statistics too (a full scan: for stage tables,
+        whose size is one increment). With ``load_id`` only that partition is
+        analyzed, so an append costs its own rows, not the table's history."""
+        target = self.qualified(table) + (f" PARTITION (load_id = {int(load_id)})" if load_id is not None else "")
         if level == "table":
-            self.spark.sql(f"ANALYZE TABLE {self.qualified(table)} COMPUTE STATISTICS")
+            self.spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
         elif level == "columns":
-            self.spark.sql(f"ANALYZE TABLE {self.qualified(table)} COMPUTE STATISTICS FOR ALL COLUMNS")
+            self.spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS FOR ALL COLUMNS")
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))

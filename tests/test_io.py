@@ -62,12 +62,13 @@ def test_warehouse_truncate_and_replay_safe_append(spark, tmp_root):
     n = s.count()
     r1 = wh.load(s, "fact_orders", FACT_ORDERS, mode="append", load_id=0)
     r2 = wh.load(s, "fact_orders", FACT_ORDERS, mode="append", load_id=0)   # replay
-    assert (r1.rows_read, r2.rows_in_table) == (n, n)
+    assert (r1.rows_read, r2.rows_written) == (n, n)
     wh.load(s, "fact_orders", FACT_ORDERS, mode="append", load_id=1)         # next batch
     assert wh.count("fact_orders") == 2 * n
+    assert wh.load(s, "fact_orders", FACT_ORDERS, mode="append", load_id=1).rows_written == n
     plain = wh.load(s, "fact_plain", FACT_ORDERS, mode="truncate_load", analyze="columns")
     plain = wh.load(s, "fact_plain", FACT_ORDERS, mode="truncate_load")
-    assert plain.rows_in_table == n
+    assert plain.rows_written == n
     stats = spark.sql(f"DESCRIBE TABLE EXTENDED {wh.qualified('fact_plain')}").where("col_name = 'Statistics'")
     assert "rows" in stats.first().data_type
 
