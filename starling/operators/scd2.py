@@ -189,6 +189,7 @@ def scd2_merge(
     spec: DimensionSpec,
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
     materialize: bool = True,
+    out_partitions: int | None = None,
 ) -> MergeResult:
     """Apply one batch of ``changes`` (silver rows) to a dimension state.
 
@@ -198,6 +199,11 @@ def scd2_merge(
     checkpoints two intermediate results into the session's checkpoint dir
     (the per-key batch statistics; with hot keys, the shuffled row set) so
     the branches that read them do not recompute the batch.
+
+    ``out_partitions``: hash-partition the batch-sized outputs (new versions,
+    late changes) by key into that many partitions, the bucket layout of a
+    bucketed store, so each task writes one file per bucket; the untouched
+    active rows keep the partitioning of their (bucketed) scan.
     """
     key, h, op, ts = spec.key, spec.hash_col, spec.op_col, "_ts"
     payload = spec.payload
@@ -344,11 +350,14 @@ def scd2_merge(
         part.alias("part"),
     ).where(F.col("part").isNotNull())
 
+    from_kept, late = tag(from_kept, spec), tag(late, spec, "late")
+    if out_partitions:
+        from_kept, late = from_kept.repartition(out_partitions, key), late.repartition(out_partitions, key)
     out = (
         tag(untouched, spec, "active")
-        .unionByName(tag(from_kept, spec))
+        .unionByName(from_kept)
         .unionByName(tag(tomb_out, spec, "tombstones"))
-        .unionByName(tag(late, spec, "late"))
+        .unionByName(late)
     )
     return MergeResult(out, spec)
 

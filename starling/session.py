@@ -87,3 +87,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return bool(fs.exists(hpath))
     return os.path.exists(local_path(path))
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    """Create a folder (and parents) through the Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)

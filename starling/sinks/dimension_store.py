@@ -8,23 +8,33 @@ Layout below ``root``::
     batches/batch_id=<n>/part=late/         changes of batch n not applied
     commits/batch_id=<n>/                   one-row marker, written last
 
+Every ``batches/batch_id=<n>`` folder is a catalog table partitioned by
+``part`` and **bucketed by the dimension key**. The next batch reads the
+active set as a bucketed scan, so matching it against the batch keys shuffles
+only the keys, never the dimension; the merge hash-partitions its batch-sized
+outputs into the same buckets, so every task writes one file per bucket. (One
+table per batch: Spark refuses to overwrite a table the same query reads.)
+
 Batch ``n`` reads the state of the newest committed batch below ``n``, runs
 ``scd2_merge`` and writes its four outputs in **one** job (one computation of
-the merge, one file commit) into its own directory with overwrite, then the
-marker. A crash before the marker leaves the previous state untouched; a
-replayed batch recomputes from the same base and replaces its own directory,
-so applying a batch twice is harmless. Readers use the newest committed batch
-N: ``active`` of N plus ``closed`` of all batches up to N.
-
-Cost per batch is the active set plus the batch; closed history is only
-appended.
+the merge) with an ``INSERT OVERWRITE`` of the batch's own table (its folder),
+then the marker. A crash before the marker leaves the previous state
+untouched; a replayed batch recomputes from the same base and replaces its own
+partitions, so applying a batch twice is harmless. Readers use the newest
+committed batch N: ``active`` of N plus ``closed`` of all batches up to N.
+
+Cost per batch is the active set (read, not shuffled) plus the batch; closed
+history is only appended.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from starling.operators.scd2 import (
     DEFAULT_MAX_GROUP_ROWS,
@@ -38,17 +48,39 @@ from starling.operators.scd2 import (
     scd2_merge,
     tombstone_schema,
 )
-from starling.session import path_exists
+from starling.session import make_dirs, path_exists
 
 PARTS = ("active", "tombstones", "closed", "late")
 
 
 class DimensionStore:
-    def __init__(self, spark: SparkSession, root: str, spec: DimensionSpec):
+    def __init__(self, spark: SparkSession, root: str, spec: DimensionSpec, buckets: int | None = None):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
+        self.buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
         self.row_schema = row_schema(spec)
         self.file_schema = StructType(list(self.row_schema.fields) + [
             StructField("batch_id", LongType(), True), StructField("part", StringType(), True)])
+        self.prefix = f"starling_{spec.name}_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}"
+
+    def _table(self, batch_id: int) -> str:
+        return f"`{self.prefix}_b{int(batch_id)}`"
+
+    def _register(self, batch_id: int) -> str:
+        """Declare the bucketed table of one batch (again, in a new
+        application, picking up the parts already on storage)."""
+        table, location = self._table(batch_id), f"{self.root}/batches/batch_id={int(batch_id)}"
+        known = self.spark.catalog.tableExists(table.strip("`"))
+        if not known:
+            had_data = path_exists(self.spark, location)
+            make_dirs(self.spark, location)
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in self.row_schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {table} ({cols}, `part` STRING) USING parquet PARTITIONED BY (`part`) "
+                f"CLUSTERED BY (`{self.spec.key}`) INTO {self.buckets} BUCKETS LOCATION '{location}'"
+            )
+            if had_data:
+                self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        return table
 
     # ------------------------------------------------------------ reading
     def last_committed(self, below: int | None = None) -> int | None:
@@ -64,17 +96,13 @@ class DimensionStore:
         return None if row is None or row["n"] is None else int(row["n"])
 
     def _parts(self) -> DataFrame:
+        """All batches by path (history reads need no bucketing)."""
         return self.spark.read.schema(self.file_schema).option("basePath", f"{self.root}/batches").parquet(
             f"{self.root}/batches")
 
     def _part(self, batch_id: int, part: str, cols: list[str]) -> DataFrame:
-        """One part of one batch, read by its path: no listing of the other
-        batches' directories."""
-        path = f"{self.root}/batches/batch_id={int(batch_id)}/part={part}"
-        if not path_exists(self.spark, path):
-            return empty_frame(self.spark, self.file_schema).select(*cols)
-        return self.spark.read.schema(self.file_schema).option("basePath", f"{self.root}/batches").parquet(
-            path).select(*cols)
+        """One part of one batch: partition pruning, bucketed scan."""
+        return self.spark.table(self._register(batch_id)).where(F.col("part") == part).select(*cols)
 
     def state(self, batch_id: int | None) -> tuple[DataFrame, DataFrame]:
         """(active, tombstones) as of committed batch ``batch_id``."""
@@ -89,17 +117,15 @@ class DimensionStore:
         n = self.last_committed() if as_of is None else as_of
         if n is None:
             return empty_dimension(self.spark, self.spec)
-        p = self._parts()
         keep = ((F.col("part") == "active") & (F.col("batch_id") == n)) | (
             (F.col("part") == "closed") & (F.col("batch_id") <= n))
-        return p.where(keep).select(*self.spec.columns)
+        return self._parts().where(keep).select(*self.spec.columns)
 
     def late(self, as_of: int | None = None) -> DataFrame:
         n = self.last_committed() if as_of is None else as_of
         if n is None:
             return empty_frame(self.spark, late_schema(self.spec))
-        p = self._parts()
-        return p.where((F.col("part") == "late") & (F.col("batch_id") <= n)).select(
+        return self._parts().where((F.col("part") == "late") & (F.col("batch_id") <= n)).select(
             *late_schema(self.spec).fieldNames())
 
     # ------------------------------------------------------------ writing
@@ -107,9 +133,23 @@ class DimensionStore:
         """Merge one batch of silver changes and commit it as ``batch_id``."""
         base = self.last_committed(below=batch_id)
         active, tombs = self.state(base)
-        result = scd2_merge(active, tombs, changes, self.spec, max_group_rows=max_group_rows)
-        (result.rows.write.mode("overwrite").partitionBy("part")
-         .parquet(f"{self.root}/batches/batch_id={int(batch_id)}"))
+        result = scd2_merge(active, tombs, changes, self.spec, max_group_rows=max_group_rows,
+                            out_partitions=self.buckets)
+        self.write(result, batch_id)
         self.spark.range(1).select(F.lit(1).alias("committed")).write.mode("overwrite").parquet(
             f"{self.root}/commits/batch_id={int(batch_id)}")
+        if base is not None:  # external table: the definition goes, the files stay
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(base)}")
         return result
+
+    def write(self, result: MergeResult, batch_id: int) -> None:
+        """All parts of one batch in one job; replaces that batch's partitions."""
+        rows = result.rows
+        session, view = rows.sparkSession, f"_starling_dim_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        cols = ", ".join(f"`{f.name}`" for f in self.row_schema.fields)
+        table = self._register(batch_id)
+        try:
+            session.sql(f"INSERT OVERWRITE {table} PARTITION (part) SELECT {cols}, part FROM {view}")
+        finally:
+            session.catalog.dropTempView(view)

@@ -200,6 +200,6 @@ def test_uncommitted_batch_is_invisible(spark, tmp_root):
     store.apply(changes_df(spark, [("I", "k", "h1", t(1))]), 0)
     # a crash after the data write but before the commit marker
     r = scd2_merge(*store.state(0), changes_df(spark, [("U", "k", "h2", t(2))]), CUSTOMER_DIM)
-    r.rows.write.mode("overwrite").partitionBy("part").parquet(f"{tmp_root}/batches/batch_id=1")
+    store.write(r, 1)
     assert store.last_committed() == 0
     assert [r.hash_value for r in store.dimension().collect()] == ["h1"]
