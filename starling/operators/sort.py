@@ -23,3 +23,13 @@ def layout_for_write(df: DataFrame, partition_col: str, order_col: str | None =
     out = df.hint("rebalance", partition_col)
     keys = [F.col(partition_col)] + ([F.col(order_col).desc_nulls_last()] if order_col else [])
     return out.sortWithinPartitions(*keys)
+
+
+def orders_between(df: DataFrame, start: str, end: str, date_col: str = "order_date",
+                   partition_col: str = "order_year_pk") -> DataFrame:
+    """Date-range filter on silver orders that also bounds the partition
+    column: a predicate on the date alone cannot prune year partitions."""
+    return df.where(
+        F.col(partition_col).between(F.year(F.lit(start).cast("date")), F.year(F.lit(end).cast("date")))
+        & F.col(date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    )

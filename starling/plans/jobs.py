@@ -91,9 +91,11 @@ def stream_silver(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     return spark.readStream.schema(silver_read_schema(table)).parquet(lake.silver(table))
 
 
-def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str | None = None
-                     ) -> StreamingQuery | None:
-    """B1-B4. Returns None when no change file exists yet."""
+def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str | None = None,
+                     max_files_per_trigger: int | None = None) -> StreamingQuery | None:
+    """B1-B4. Returns None when no change file exists yet.
+    ``max_files_per_trigger`` bounds a micro-batch (a backlog is then taken
+    in several batches, each replay-safe)."""
     src = lake.bronze(table)
     if not path_exists(spark, src):
         return None
@@ -104,7 +106,7 @@ def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str |
         if non_empty(batch):
             write_batch(transform(batch, run_ts=run_ts), target, batch_id, pk, order)
 
-    stream = stream_bronze(spark, src, header_schema(spark, src))
+    stream = stream_bronze(spark, src, header_schema(spark, src), max_files_per_trigger)
     return start_available_now(stream, process, lake.checkpoint("silver", table), name=f"silver_{table}")
 
 

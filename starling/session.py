@@ -94,3 +94,11 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursive delete through the Hadoop file system; True if it existed."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath)) and bool(fs.delete(hpath, True))

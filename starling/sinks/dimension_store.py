@@ -48,7 +48,7 @@ from starling.operators.scd2 import (
     scd2_merge,
     tombstone_schema,
 )
-from starling.session import make_dirs, path_exists
+from starling.session import delete_path, make_dirs, path_exists
 
 PARTS = ("active", "tombstones", "closed", "late")
 
@@ -128,6 +128,26 @@ class DimensionStore:
         return self._parts().where((F.col("part") == "late") & (F.col("batch_id") <= n)).select(
             *late_schema(self.spec).fieldNames())
 
+    # ------------------------------------------------------------ housekeeping
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the active and tombstone snapshots of all but the newest
+        ``keep`` committed batches (closed versions and late changes are
+        history and stay). Returns the removed folders."""
+        n = self.last_committed()
+        if n is None:
+            return []
+        commits = self.spark.read.schema("committed INT, batch_id LONG").parquet(f"{self.root}/commits")
+        ids = [r.batch_id for r in commits.select("batch_id").where(F.col("batch_id") <= n)
+               .orderBy(F.col("batch_id").desc()).collect()]
+        removed = []
+        for b in ids[keep:]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(b)}")
+            for part in ("active", "tombstones"):
+                path = f"{self.root}/batches/batch_id={b}/part={part}"
+                if delete_path(self.spark, path):
+                    removed.append(path)
+        return removed
+
     # ------------------------------------------------------------ writing
     def apply(self, changes: DataFrame, batch_id: int, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> MergeResult:
         """Merge one batch of silver changes and commit it as ``batch_id``."""

@@ -203,3 +203,15 @@ def test_uncommitted_batch_is_invisible(spark, tmp_root):
     store.write(r, 1)
     assert store.last_committed() == 0
     assert [r.hash_value for r in store.dimension().collect()] == ["h1"]
+
+
+def test_vacuum_keeps_history_and_newest_state(spark, tmp_root):
+    store = DimensionStore(spark, tmp_root, CUSTOMER_DIM)
+    for i in range(4):
+        store.apply(changes_df(spark, [("U", "k", f"h{i}", t(i + 1))]), i)
+    before = sorted(tuple(r) for r in store.dimension().collect())
+    removed = store.vacuum(keep=2)
+    assert len(removed) == 2 and all("part=active" in p or "part=tombstones" in p for p in removed)
+    assert sorted(tuple(r) for r in store.dimension().collect()) == before
+    store.apply(changes_df(spark, [("U", "k", "h9", t(9))]), 4)
+    assert store.dimension().where("active_flag = 1").first().hash_value == "h9"
