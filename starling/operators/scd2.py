@@ -196,9 +196,11 @@ def scd2_merge(
     ``active`` holds one open version per key, ``tombstones`` the deleted keys.
     Returns the new state plus the versions this batch closed and the late
     changes, as one tagged frame. Pure apart from ``materialize``, which
-    checkpoints two intermediate results into the session's checkpoint dir
-    (the per-key batch statistics; with hot keys, the shuffled row set) so
-    the branches that read them do not recompute the batch.
+    checkpoints intermediate results into the session's checkpoint dir: the
+    per-key batch statistics (read by several branches) and, when hot keys
+    exist, the batch's shuffled row set, which the chunk summaries read
+    again. Without hot keys the branches share the one exchange (AQE reuses
+    it), so nothing else is materialized.
 
     ``out_partitions``: hash-partition the batch-sized outputs (new versions,
     late changes) by key into that many partitions, the bucket layout of a
@@ -267,7 +269,8 @@ def scd2_merge(
         rows = rows.withColumn("_chunk", F.lit(0).cast("long"))
 
     # The one shuffle of the batch: by (key, chunk). Boundary, late split,
-    # tie collapse and the windows below all reuse its partitioning and order.
+    # tie collapse and the windows below all reuse its partitioning and order
+    # (a checkpoint keeps both: it records the plan's output partitioning).
     w = Window.partitionBy(key, "_chunk").orderBy(ts)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumn("_boundary", F.max(F.when(F.col("_kind") == _MARKER, F.col(ts))).over(whole))
