@@ -202,10 +202,11 @@ def scd2_merge(
     again. Without hot keys the branches share the one exchange (AQE reuses
     it), so nothing else is materialized.
 
-    ``out_partitions``: hash-partition the batch-sized outputs (new versions,
-    late changes) by key into that many partitions, the bucket layout of a
-    bucketed store, so each task writes one file per bucket; the untouched
-    active rows keep the partitioning of their (bucketed) scan.
+    ``out_partitions``: rebalance the batch-sized outputs (new versions, late
+    changes) by key into that many partitions, the bucket layout of a
+    bucketed store, so a task writes one file per bucket; AQE splits a bucket
+    made heavy by a hot key over several tasks (more files, no straggler).
+    The untouched active rows keep the partitioning of their bucketed scan.
     """
     key, h, op, ts = spec.key, spec.hash_col, spec.op_col, "_ts"
     payload = spec.payload
@@ -355,7 +356,8 @@ def scd2_merge(
 
     from_kept, late = tag(from_kept, spec), tag(late, spec, "late")
     if out_partitions:
-        from_kept, late = from_kept.repartition(out_partitions, key), late.repartition(out_partitions, key)
+        from_kept = from_kept.hint("rebalance", out_partitions, key)
+        late = late.hint("rebalance", out_partitions, key)
     out = (
         tag(untouched, spec, "active")
         .unionByName(from_kept)

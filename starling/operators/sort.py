@@ -15,8 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sort_for_query(df: DataFrame, order_col: str) -> DataFrame:
-    return df.orderBy(F.col(order_col).desc_nulls_last())
+def sort_for_query(df: DataFrame, order_col: str, tiebreak: str | None = None) -> DataFrame:
+    """Global newest-first order. A range partitioner cannot split equal sort
+    keys, so a ``tiebreak`` column lets the range bounds cut through one hot
+    date instead of sending it to a single task."""
+    keys = [F.col(order_col).desc_nulls_last()] + ([F.col(tiebreak)] if tiebreak else [])
+    return df.orderBy(*keys)
 
 
 def layout_for_write(df: DataFrame, partition_col: str, order_col: str | None = None) -> DataFrame:

@@ -120,7 +120,7 @@ def q_customer_names(spark, sf_dir):
 
 def q_orders_sorted(spark, sf_dir):
     """O1 in query form: silver orders, newest order date first."""
-    return time_as_text(sort_for_query(silver(spark, sf_dir, "orders"), "order_date"))
+    return time_as_text(sort_for_query(silver(spark, sf_dir, "orders"), "order_date", tiebreak="order_id"))
 
 
 # ------------------------------------------------------------------ dimension merge M1, M2

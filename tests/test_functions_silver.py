@@ -83,3 +83,12 @@ def test_silver_is_one_projection_without_shuffle(spark):
     plan = silver_customer(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert F is not None
+
+
+def test_sorted_orders_are_newest_first(spark):
+    from starling.operators.sort import sort_for_query
+    from starling.sources.testtables import order_changes
+    from conftest import SF_SMALL
+    rows = sort_for_query(silver_orders(order_changes(spark, SF_SMALL)), "order_date", "order_id").collect()
+    keys = [(r.order_date, r.order_id) for r in rows]
+    assert all(a[0] > b[0] or (a[0] == b[0] and a[1] <= b[1]) for a, b in zip(keys, keys[1:]))
