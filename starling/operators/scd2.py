@@ -190,6 +190,7 @@ def scd2_merge(
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
     materialize: bool = True,
     out_partitions: int | None = None,
+    has_state: bool | None = None,
 ) -> MergeResult:
     """Apply one batch of ``changes`` (silver rows) to a dimension state.
 
@@ -207,6 +208,10 @@ def scd2_merge(
     bucketed store, so a task writes one file per bucket; AQE splits a bucket
     made heavy by a hot key over several tasks (more files, no straggler).
     The untouched active rows keep the partitioning of their bucketed scan.
+
+    ``has_state``: whether ``active``/``tombstones`` may hold rows (None: look,
+    one row at most). Without state nothing can be late except changes
+    without a time, so the boundary pass is left out.
     """
     key, h, op, ts = spec.key, spec.hash_col, spec.op_col, "_ts"
     payload = spec.payload
@@ -215,6 +220,13 @@ def scd2_merge(
     spark = changes.sparkSession
 
     chg = changes.select(*payload, F.col(spec.ts_col).cast("timestamp").alias(ts))
+    if has_state is None:
+        has_state = not (active.isEmpty() and tombstones.isEmpty())
+    # A change without a usable time cannot be ordered: late, split off
+    # before the shuffle (a filter on the scan).
+    untimed = chg.where(F.col(ts).isNull()).select(
+        *payload, F.col(ts).alias(spec.ts_col), F.lit(None).cast("timestamp").alias("late_boundary_ts"))
+    chg = chg.where(F.col(ts).isNotNull())
 
     stats = batch_stats(changes, spec)
     if materialize:
@@ -245,13 +257,14 @@ def scd2_merge(
 
     # One row set for the batch: its changes, the state of its keys as the
     # first events of their histories, and the boundary markers of rule 8.
-    rows = (
-        as_rows(chg, _CHANGE, F.col(ts))
-        .unionByName(as_rows(touched, _EXISTING, F.col("record_start_ts")))
-        .unionByName(as_rows(tomb_in, _TOMB, F.col("deleted_ts")))
-        .unionByName(as_rows(touched, _MARKER, F.col("record_start_ts")))
-        .unionByName(as_rows(tomb_in, _MARKER, F.col("deleted_ts")))
-    )
+    rows = as_rows(chg, _CHANGE, F.col(ts))
+    if has_state:
+        rows = (
+            rows.unionByName(as_rows(touched, _EXISTING, F.col("record_start_ts")))
+            .unionByName(as_rows(tomb_in, _TOMB, F.col("deleted_ts")))
+            .unionByName(as_rows(touched, _MARKER, F.col("record_start_ts")))
+            .unionByName(as_rows(tomb_in, _MARKER, F.col("deleted_ts")))
+        )
 
     if chunked:
         # Hot keys are cut into m equal time ranges (chunk ids grow with time,
@@ -269,32 +282,38 @@ def scd2_merge(
     else:
         rows = rows.withColumn("_chunk", F.lit(0).cast("long"))
 
-    # The one shuffle of the batch: by (key, chunk). Boundary, late split,
-    # tie collapse and the windows below all reuse its partitioning and order
-    # (a checkpoint keeps both: it records the plan's output partitioning).
-    w = Window.partitionBy(key, "_chunk").orderBy(ts)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumn("_boundary", F.max(F.when(F.col("_kind") == _MARKER, F.col(ts))).over(whole))
+    # The one shuffle of the batch: by (key, chunk). One sort serves every
+    # window below: by time, then by the tie rule of rule 6 (op rank, hash,
+    # type-1 values, remaining columns; all descending). The boundary, the
+    # late split, the tie collapse and the later windows (ordered by time, a
+    # prefix of this order) reuse its partitioning and order (a checkpoint
+    # keeps both: it records the plan's output partitioning).
+    order_fields = [h, *spec.type1_columns, *[c for c in others if c != h and c not in spec.type1_columns]]
+    rank = F.when(F.col("_kind") == _CHANGE, _op_rank(F.col(op))).otherwise(-1)
+    rows = rows.withColumn("_rank", rank)
+    tie_order = Window.partitionBy(key, "_chunk").orderBy(
+        F.col(ts).asc_nulls_first(), F.col("_rank").desc(), *[F.col(c).desc() for c in order_fields])
+    whole = tie_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    boundary = (F.max(F.when(F.col("_kind") == _MARKER, F.col(ts))).over(whole) if has_state
+                else F.lit(None).cast("timestamp"))
+    rows = rows.select("*", boundary.alias("_boundary"), F.lag(ts).over(tie_order).alias("_prev_ts"))
     if chunked and materialize:
         rows = rows.checkpoint(eager=True)
     is_change = F.col("_kind") == _CHANGE
-    is_late = is_change & (F.col(ts).isNull() | (F.col("_boundary").isNotNull() & (F.col(ts) <= F.col("_boundary"))))
-    late = rows.where(is_late).select(
-        *payload, F.col(ts).alias(spec.ts_col), F.col("_boundary").alias("late_boundary_ts"))
-
-    # Rule 6: one event per (key, ts): max of a struct ordered by the rule.
-    # State events never share their time with an applied change (those are
-    # newer than the boundary), so each stays a group of its own.
-    order_fields = [h, *spec.type1_columns, *[c for c in others if c != h and c not in spec.type1_columns]]
-    live = rows.where((is_change & ~is_late) | F.col("_kind").isin(_EXISTING, _TOMB))
-    rank = F.when(is_change, _op_rank(F.col(op))).otherwise(-1)
-    events = (
-        live.groupBy(key, "_chunk", ts)
-        .agg(F.max(F.struct(rank.alias("_rank"), *order_fields, "_kind")).alias("_p"))
-        .select(key, "_chunk", ts, *[F.col(f"_p.{c}").alias(c) for c in [*order_fields, "_kind"]])
-        .select(*payload, ts, "_chunk", "_kind",
-                ((F.col("_kind") == _TOMB) | ((F.col("_kind") == _CHANGE) & (F.col(op) == OP_DELETE))).alias("_del"))
-    )
+    is_late = is_change & F.col("_boundary").isNotNull() & (F.col(ts) <= F.col("_boundary"))
+    late = untimed
+    if has_state:
+        late = late.unionByName(rows.where(is_late).select(
+            *payload, F.col(ts).alias(spec.ts_col), F.col("_boundary").alias("late_boundary_ts")))
+
+    # Rule 6: one event per (key, ts), the first of its time in the tie order.
+    # Applied changes are newer than the boundary, hence than every state and
+    # marker row of their key, so a time's rows are adjacent and all applied.
+    first_of_time = F.col("_prev_ts").isNull() | (F.col("_prev_ts") != F.col(ts))
+    events = rows.where((is_change & ~is_late & first_of_time) | F.col("_kind").isin(_EXISTING, _TOMB)).select(
+        *payload, ts, "_chunk", "_kind",
+        ((F.col("_kind") == _TOMB) | ((F.col("_kind") == _CHANGE) & (F.col(op) == OP_DELETE))).alias("_del"))
+    w = Window.partitionBy(key, "_chunk").orderBy(ts)
     if chunked:
         events = events.join(hot.select(key, F.lit(True).alias("_hot")), key, "left").withColumn(
             "_hot", F.coalesce(F.col("_hot"), F.lit(False)))

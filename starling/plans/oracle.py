@@ -340,3 +340,19 @@ SELECT 'I' AS op, CAST(p_partkey AS VARCHAR) AS productid, p_name AS productname
        p_type AS productcategory, '{RUN_TS}' AS dms_timestamp
 FROM part""",
 })
+
+
+# Product price history: one price observation per line item (cents, as text).
+PRICE_FEED = """
+bronze_product AS (
+  SELECT 'U' AS op, CAST(l_partkey AS VARCHAR) AS productid, p_name AS productname, p_brand AS brandname,
+         concat(p_type, ' desc') AS productdescription,
+         concat(CAST(cents // 100 AS VARCHAR), '.', lpad(CAST(cents % 100 AS VARCHAR), 2, '0')) AS price,
+         p_type AS productcategory, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS dms_timestamp
+  FROM (SELECT l_partkey, l_shipdate, p_name, p_brand, p_type,
+               CAST(round(p_retailprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) // 100
+                 AS cents
+        FROM lineitem JOIN part ON l_partkey = p_partkey))"""
+
+SQL["dim_product_price_history"] = with_(PRICE_FEED, SILVER_PRODUCT, scd2_ctes("silver_product", "product_id")) + \
+    "\n" + scd2_select(PRODUCT_COLS)

@@ -25,6 +25,7 @@ from starling.operators.scd2 import (
     scd2_merge,
 )
 from starling.operators.silver import CUSTOMER_HASHED, SILVER_FUNCTIONS
+from starling.operators.silver import silver_product as silver_product_fn
 from starling.operators.sort import sort_for_query
 from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SOURCE_TABLES, Lake, silver_read_schema, start_silver_job
 from starling.plans.oracle_format import time_as_text
@@ -35,7 +36,7 @@ from starling.sinks.dimension_store import DimensionStore
 from starling.sinks.parquet import write_change_files, write_partitioned
 from starling.sinks.warehouse import Warehouse
 from starling.sources.bronze import read_bronze, read_registered, register_raw_table, snapshot_to_bronze
-from starling.sources.testtables import CHANGE_LOGS, load_table
+from starling.sources.testtables import CHANGE_LOGS, load_table, product_price_feed
 from starling.streaming.incremental import await_all
 
 # Fixed run time of the registered queries, so their audit columns are repeatable.
@@ -132,6 +133,14 @@ def q_dim_product_scd2(spark, sf_dir):
     return time_as_text(merge_once(spark, sf_dir, "product", PRODUCT_DIM).dimension())
 
 
+def q_dim_product_price_history(spark, sf_dir):
+    """M2 on a heavy feed: every line item is a price observation of its
+    product (many changes per key, same-day ties collapse by rule 6)."""
+    changes = silver_product_fn(product_price_feed(spark, sf_dir), run_ts=RUN_TS)
+    r = scd2_merge(empty_dimension(spark, PRODUCT_DIM), empty_tombstones(spark, PRODUCT_DIM), changes, PRODUCT_DIM)
+    return time_as_text(r.dimension())
+
+
 def q_dim_customer_active(spark, sf_dir):
     return time_as_text(merge_once(spark, sf_dir, "customer", CUSTOMER_DIM).active)
 
@@ -319,6 +328,7 @@ QUERIES = {
     "orders_sorted": q_orders_sorted,
     "dim_customer_scd2": q_dim_customer_scd2,
     "dim_product_scd2": q_dim_product_scd2,
+    "dim_product_price_history": q_dim_product_price_history,
     "dim_customer_active": q_dim_customer_active,
     "dim_customer_type1": q_dim_customer_type1,
     "late_changes": q_late_changes,

@@ -154,7 +154,7 @@ class DimensionStore:
         base = self.last_committed(below=batch_id)
         active, tombs = self.state(base)
         result = scd2_merge(active, tombs, changes, self.spec, max_group_rows=max_group_rows,
-                            out_partitions=self.buckets)
+                            out_partitions=self.buckets, has_state=base is not None)
         self.write(result, batch_id)
         self.spark.range(1).select(F.lit(1).alias("committed")).write.mode("overwrite").parquet(
             f"{self.root}/commits/batch_id={int(batch_id)}")

@@ -151,6 +151,27 @@ def order_detail_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product change log with one price observation per line item: the
+    part's retail price less the line's discount, observed at the ship date.
+    Many changes per product and same-day ties; prices are computed in
+    integer cents and written as text, so every engine renders them alike."""
+    li = load_table(spark, sf_dir, "lineitem").select("l_partkey", "l_discount", "l_shipdate")
+    p = load_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    cents = "(CAST(round(p_retailprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) DIV 100)"
+    price = F.expr(f"concat(CAST({cents} DIV 100 AS STRING), '.', lpad(CAST({cents} % 100 AS STRING), 2, '0'))")
+    return li.join(p, li.l_partkey == p.p_partkey).select(
+        F.lit("U").alias("op"),
+        F.col("l_partkey").cast("string").alias("productid"),
+        F.col("p_name").alias("productname"),
+        F.col("p_brand").alias("brandname"),
+        F.concat(F.col("p_type"), F.lit(" desc")).alias("productdescription"),
+        price.alias("price"),
+        F.col("p_type").alias("productcategory"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("dms_timestamp"),
+    )
+
+
 CHANGE_LOGS = {
     "customer": customer_changes,
     "product": product_changes,
