@@ -23,14 +23,18 @@ batch, never the closed history.
 
 Plan. Everything is expressed with joins, aggregations and windows:
 
-* boundary = max(active start, tombstone time) per key of the batch;
-* ties collapse in a ``groupBy(key, ts)`` aggregation of ``max(struct)``
-  (partial aggregation: a hot key is combined map-side);
-* the windows (previous change, next kept change, run value) run per
-  (key, chunk). A key with more than ``max_group_rows`` changes in the batch is
-  cut into equal time ranges, so no task holds one hot key; a small per-chunk
-  summary stitches chunk edges (the last change of the previous chunk, the
-  first kept change of a later chunk). Keys below the limit form one chunk.
+* per-key batch statistics (count, time range; partial aggregation) give the
+  batch keys and its hot keys; they are checkpointed and read by all branches;
+* the active set is matched with the batch keys in one left join (bucketed
+  scan in the dimension store: only the keys are shuffled);
+* the batch's changes, the state of its keys (open version, tombstone) and
+  boundary markers form one row set, shuffled once by (key, chunk); one sort
+  by time and the tie rule feeds every window: boundary (rule 8), tie
+  collapse (first row of its time, rule 6), previous event, next kept event;
+* a key with more than ``max_group_rows`` changes in the batch is cut into
+  equal time ranges (chunks), so no task holds one hot key; small per-chunk
+  summaries (broadcast, at most rows / max_group_rows of them) stitch chunk
+  edges. Keys below the limit form one chunk and the summaries are skipped.
 """
 
 from __future__ import annotations
@@ -159,9 +163,9 @@ class MergeResult:
 def tag(df: DataFrame, spec: DimensionSpec, part: str | None = None) -> DataFrame:
     """Project ``df`` onto ``row_schema`` (missing columns NULL) plus ``part``."""
     have = set(df.columns)
-    cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+    cols = [f"`{f.name}`" if f.name in have else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in row_schema(spec).fields]
-    return df.select(*cols, F.lit(part).alias("part") if part else F.col("part"))
+    return df.selectExpr(*cols, f"'{part}' AS part" if part else "part")
 
 
 # Row kinds of the merge's row set: a change of the batch, an open version of
@@ -250,20 +254,20 @@ def scd2_merge(
     tomb_in = tombstones.join(keys, key, "left_semi")
     tomb_out = tombstones.join(keys, key, "left_anti")
 
-    def as_rows(df: DataFrame, kind: int, at: Column) -> DataFrame:
+    def as_rows(df: DataFrame, kind: int, at: str) -> DataFrame:
         have = set(df.columns)
-        cols = [F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c) for c in payload]
-        return df.select(*cols, at.alias(ts), F.lit(kind).alias("_kind"))
+        cols = [f"`{c}`" if c in have else f"CAST(NULL AS {types[c].simpleString()}) AS `{c}`" for c in payload]
+        return df.selectExpr(*cols, f"`{at}` AS `{ts}`", f"{kind} AS _kind")
 
     # One row set for the batch: its changes, the state of its keys as the
     # first events of their histories, and the boundary markers of rule 8.
-    rows = as_rows(chg, _CHANGE, F.col(ts))
+    rows = as_rows(chg, _CHANGE, ts)
     if has_state:
         rows = (
-            rows.unionByName(as_rows(touched, _EXISTING, F.col("record_start_ts")))
-            .unionByName(as_rows(tomb_in, _TOMB, F.col("deleted_ts")))
-            .unionByName(as_rows(touched, _MARKER, F.col("record_start_ts")))
-            .unionByName(as_rows(tomb_in, _MARKER, F.col("deleted_ts")))
+            rows.unionByName(as_rows(touched, _EXISTING, "record_start_ts"))
+            .unionByName(as_rows(tomb_in, _TOMB, "deleted_ts"))
+            .unionByName(as_rows(touched, _MARKER, "record_start_ts"))
+            .unionByName(as_rows(tomb_in, _MARKER, "deleted_ts"))
         )
 
     if chunked:

@@ -102,3 +102,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath)) and bool(fs.delete(hpath, True))
+
+
+def list_dir_names(spark: SparkSession, path: str, require: str | None = None) -> list[str]:
+    """Names of the sub-folders of ``path`` (metadata only, no job); with
+    ``require``, only those that contain that file (e.g. ``_SUCCESS``)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    names = []
+    for st in fs.listStatus(hpath):
+        if st.isDirectory():
+            sub = st.getPath()
+            if require is None or fs.exists(jvm.org.apache.hadoop.fs.Path(sub, require)):
+                names.append(sub.getName())
+    return names

@@ -48,7 +48,7 @@ from starling.operators.scd2 import (
     scd2_merge,
     tombstone_schema,
 )
-from starling.session import delete_path, make_dirs, path_exists
+from starling.session import delete_path, list_dir_names, make_dirs, path_exists
 
 PARTS = ("active", "tombstones", "closed", "late")
 
@@ -83,17 +83,16 @@ class DimensionStore:
         return table
 
     # ------------------------------------------------------------ reading
+    def committed(self) -> list[int]:
+        """Committed batch ids: marker folders whose write completed
+        (``_SUCCESS``), read from the folder listing, no job."""
+        names = list_dir_names(self.spark, f"{self.root}/commits", require="_SUCCESS")
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+
     def last_committed(self, below: int | None = None) -> int | None:
-        """Newest committed batch id (optionally below ``below``): a one-row
-        aggregate over the marker files."""
-        path = f"{self.root}/commits"
-        if not path_exists(self.spark, path):
-            return None
-        commits = self.spark.read.schema("committed INT, batch_id LONG").parquet(path)
-        if below is not None:
-            commits = commits.where(F.col("batch_id") < below)
-        row = commits.agg(F.max("batch_id").alias("n")).first()
-        return None if row is None or row["n"] is None else int(row["n"])
+        """Newest committed batch id (optionally below ``below``)."""
+        ids = [b for b in self.committed() if below is None or b < below]
+        return ids[-1] if ids else None
 
     def _parts(self) -> DataFrame:
         """All batches by path (history reads need no bucketing)."""
@@ -136,9 +135,7 @@ class DimensionStore:
         n = self.last_committed()
         if n is None:
             return []
-        commits = self.spark.read.schema("committed INT, batch_id LONG").parquet(f"{self.root}/commits")
-        ids = [r.batch_id for r in commits.select("batch_id").where(F.col("batch_id") <= n)
-               .orderBy(F.col("batch_id").desc()).collect()]
+        ids = sorted((b for b in self.committed() if b <= n), reverse=True)
         removed = []
         for b in ids[keep:]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(b)}")
