@@ -246,29 +246,29 @@ def scd2_merge(
     chunked = not hot.isEmpty()
 
     # One left join of the active set with the batch keys splits it into
-    # touched and untouched rows (the active set is shuffled once, or not at
-    # all when the keys of a small batch are broadcast).
-    matched = active.join(keys.withColumn("_touched", F.lit(True)), key, "left")
+    # touched and untouched rows. The keys are the hash-build side (a shuffled
+    # hash join, or a broadcast for a small batch), so the active set, read as
+    # a bucketed scan in the store, streams through without shuffle or sort.
+    keys_build = keys.hint("shuffle_hash")
+    matched = active.join(keys_build.withColumn("_touched", F.lit(True)), key, "left")
     touched = matched.where(F.col("_touched").isNotNull()).drop("_touched")
     untouched = matched.where(F.col("_touched").isNull()).drop("_touched")
-    tomb_in = tombstones.join(keys, key, "left_semi")
-    tomb_out = tombstones.join(keys, key, "left_anti")
+    tomb_in = tombstones.join(keys_build, key, "left_semi")
+    tomb_out = tombstones.join(keys_build, key, "left_anti")
 
-    def as_rows(df: DataFrame, kind: int, at: str) -> DataFrame:
+    def as_rows(df: DataFrame, at: str, *kinds: int) -> DataFrame:
+        """``df`` as rows of the merge's row set, one per kind (one scan)."""
         have = set(df.columns)
         cols = [f"`{c}`" if c in have else f"CAST(NULL AS {types[c].simpleString()}) AS `{c}`" for c in payload]
+        kind = str(kinds[0]) if len(kinds) == 1 else f"explode(array({', '.join(map(str, kinds))}))"
         return df.selectExpr(*cols, f"`{at}` AS `{ts}`", f"{kind} AS _kind")
 
     # One row set for the batch: its changes, the state of its keys as the
     # first events of their histories, and the boundary markers of rule 8.
-    rows = as_rows(chg, _CHANGE, ts)
+    rows = as_rows(chg, ts, _CHANGE)
     if has_state:
-        rows = (
-            rows.unionByName(as_rows(touched, _EXISTING, "record_start_ts"))
-            .unionByName(as_rows(tomb_in, _TOMB, "deleted_ts"))
-            .unionByName(as_rows(touched, _MARKER, "record_start_ts"))
-            .unionByName(as_rows(tomb_in, _MARKER, "deleted_ts"))
-        )
+        rows = (rows.unionByName(as_rows(touched, "record_start_ts", _EXISTING, _MARKER))
+                .unionByName(as_rows(tomb_in, "deleted_ts", _TOMB, _MARKER)))
 
     if chunked:
         # Hot keys are cut into m equal time ranges (chunk ids grow with time,

@@ -160,3 +160,22 @@ def test_incremental_job_bounded_batches(spark, tmp_root):
     back = spark.read.schema(silver_read_schema("customer")).parquet(lake.silver("customer"))
     assert back.select("batch_id").distinct().count() == 3
     assert back.count() == ch.where(F.substring("dms_timestamp", 1, 10) <= "2024-01-03").count()
+
+
+def test_pipeline_stops_at_a_failed_stage(spark, tmp_root):
+    """A silver job fails (a change file whose header moved), so the
+    pipeline raises before any dimension or fact job starts."""
+    from starling.plans.pipeline import run_pipeline
+    from starling.sources.testtables import CHANGE_LOGS
+
+    lake = Lake(tmp_root)
+    wh = Warehouse(spark, "wh_fail_" + tmp_root.rsplit("/", 1)[-1], f"{tmp_root}/wh")
+    for t, fn in CHANGE_LOGS.items():
+        write_change_files(fn(spark, SF_SMALL), lake.bronze(t), mode="overwrite")
+    bad = order_changes(spark, SF_SMALL).limit(5)
+    write_change_files(bad.select(*reversed(bad.columns)), lake.bronze("orders"))  # header order drifted
+    with pytest.raises(Exception):
+        run_pipeline(spark, lake, wh, run_ts="2024-01-05 00:00:00")
+    from starling.operators.scd2 import CUSTOMER_DIM
+    assert lake.dimension(spark, CUSTOMER_DIM).last_committed() is None
+    assert not spark.catalog.tableExists(f"{wh.name}.fact_orders")
