@@ -81,9 +81,6 @@ class DimensionSpec:
 CUSTOMER_DIM = DimensionSpec("dim_customer", "customer_id", DIM_CUSTOMER)
 PRODUCT_DIM = DimensionSpec("dim_product", "product_id", DIM_PRODUCT)
 
-TOMBSTONE_SCHEMA_FIELDS = ("deleted_ts",)
-
-
 def tombstone_schema(spec: DimensionSpec) -> StructType:
     key_field = spec.schema[spec.key]
     return StructType([key_field, StructField("deleted_ts", TimestampType(), True)])

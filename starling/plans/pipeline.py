@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from starling.plans.jobs import (
     DIMENSION_JOBS,
     FACT_JOBS,
+    SILVER_SCHEMAS,
     SOURCE_TABLES,
     Lake,
-    silver_read_schema,
     start_dimension_job,
     start_fact_job,
     start_silver_job,
 )
+from starling.sinks.parquet import read_partitioned
 from starling.sinks.warehouse import Warehouse
 from starling.sources.bronze import read_bronze
 from starling.streaming.incremental import await_all
@@ -45,7 +46,7 @@ def layer_counts(spark: SparkSession, lake: Lake, warehouse: Warehouse) -> DataF
     parts = []
     for t in SOURCE_TABLES:
         parts.append(_count(read_bronze(spark, lake.bronze(t)), "bronze", t))
-        parts.append(_count(spark.read.schema(silver_read_schema(t)).parquet(lake.silver(t)), "silver", t))
+        parts.append(_count(read_partitioned(spark, lake.silver(t), SILVER_SCHEMAS[t]), "silver", t))
     for t, (stage_table, _schema, spec) in DIMENSION_JOBS.items():
         parts.append(_count(warehouse.table(stage_table), "stage", stage_table))
         dim = lake.dimension(spark, spec).dimension()

@@ -30,10 +30,10 @@ from starling.operators.sort import sort_for_query
 from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SOURCE_TABLES, Lake, silver_read_schema, start_silver_job
 from starling.plans.oracle_format import time_as_text
 from starling.plans.pipeline import layer_counts, run_pipeline
-from starling.schemas import SILVER_ORDERS
+from starling.schemas import SILVER_CUSTOMER, SILVER_ORDERS
 from starling.session import shared_path
 from starling.sinks.dimension_store import DimensionStore
-from starling.sinks.parquet import write_change_files, write_partitioned
+from starling.sinks.parquet import read_partitioned, write_change_files, write_partitioned
 from starling.sinks.warehouse import Warehouse
 from starling.sources.bronze import read_bronze, read_registered, register_raw_table, snapshot_to_bronze
 from starling.sources.testtables import CHANGE_LOGS, load_table, product_price_feed
@@ -208,7 +208,7 @@ def q_incremental_customer(spark, sf_dir):
     write_change_files(changes.where(day > F.lit("2024-01-02")), lake.bronze("customer"))
     await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
     await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
-    out = spark.read.schema(silver_read_schema("customer")).parquet(lake.silver("customer"))
+    out = read_partitioned(spark, lake.silver("customer"), SILVER_CUSTOMER)
     return time_as_text(out.drop("batch_id"))
 
 

@@ -8,7 +8,6 @@ we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,19 +73,12 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return shared_root(spark) + "/" + "/".join(s.strip("/") for s in segs)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places that need an OS path."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the session."""
-    if not path.startswith(("file:", "/")) or not os.path.isabs(local_path(path)):
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    return os.path.exists(local_path(path))
+    """Existence check through the Hadoop file system of the session (the
+    shared folder may be HDFS, an object store or a local path)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
 def make_dirs(spark: SparkSession, path: str) -> None:

@@ -50,9 +50,6 @@ from starling.operators.scd2 import (
 )
 from starling.session import delete_path, list_dir_names, make_dirs, path_exists
 
-PARTS = ("active", "tombstones", "closed", "late")
-
-
 class DimensionStore:
     def __init__(self, spark: SparkSession, root: str, spec: DimensionSpec, buckets: int | None = None):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec

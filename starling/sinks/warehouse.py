@@ -68,10 +68,8 @@ class Warehouse:
         """K5: create-if-absent with the fixed DDL."""
         cols = ddl(schema) + (", `load_id` BIGINT" if partitioned_by_load else "")
         part = " PARTITIONED BY (`load_id`)" if partitioned_by_load else ""
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.qualified(table)} ({cols}) USING parquet{part} "
-            f"LOCATION '{self.location}/{table}'"
-        )
+        # a managed table of the database, whose location is the shared folder
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.qualified(table)} ({cols}) USING parquet{part}")
 
     def load(self, df: DataFrame, table: str, schema: StructType, mode: str = "truncate_load",
              analyze: str | None = "table", load_id: int | None = None) -> LoadReport:

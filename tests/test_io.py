@@ -71,6 +71,8 @@ def test_warehouse_truncate_and_replay_safe_append(spark, tmp_root):
     assert plain.rows_written == n
     stats = spark.sql(f"DESCRIBE TABLE EXTENDED {wh.qualified('fact_plain')}").where("col_name = 'Statistics'")
     assert "rows" in stats.first().data_type
+    wh.truncate("fact_plain")                                               # K6 on its own
+    assert wh.count("fact_plain") == 0 and spark.catalog.tableExists(f"{wh.name}.fact_plain")
 
 
 def test_conform_projects_by_name_and_rejects_missing(spark):
