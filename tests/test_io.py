@@ -181,3 +181,22 @@ def test_pipeline_stops_at_a_failed_stage(spark, tmp_root):
     from starling.operators.scd2 import CUSTOMER_DIM
     assert lake.dimension(spark, CUSTOMER_DIM).last_committed() is None
     assert not spark.catalog.tableExists(f"{wh.name}.fact_orders")
+
+
+def test_command_line_jobs(spark, tmp_root, capsys):
+    """B1-B9 from the command line: silver for one table, then the pipeline."""
+    import json
+    from starling.plans.cli import main
+    from starling.sources.testtables import CHANGE_LOGS
+
+    lake = Lake(tmp_root)
+    for t, fn in CHANGE_LOGS.items():
+        write_change_files(fn(spark, SF_SMALL), lake.bronze(t), mode="overwrite")
+    wh = "wh_cli_" + tmp_root.rsplit("/", 1)[-1]
+    assert main(["silver", "--root", tmp_root, "--table", "orders", "--run-ts", "2024-01-05 00:00:00"], spark) == 0
+    assert main(["register", "--root", tmp_root, "--like", "order%"], spark) == 0
+    assert main(["pipeline", "--root", tmp_root, "--warehouse", wh, "--run-ts", "2024-01-05 00:00:00"], spark) == 0
+    out = [json.loads(x) for x in capsys.readouterr().out.strip().split("\n")]
+    counts = {(c["layer"], c["table_name"]): c["rows"] for c in out[-1]["counts"]}
+    assert counts[("silver", "orders")] == counts[("bronze", "orders")] == counts[("fact", "fact_orders")]
+    assert counts[("dimension_active", "dim_customer")] > 0
