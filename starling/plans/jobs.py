@@ -23,6 +23,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from starling.operators.scd2 import CUSTOMER_DIM, PRODUCT_DIM, DimensionSpec
 from starling.operators.silver import SILVER_FUNCTIONS, SILVER_PARTITION
 from starling.schemas import (
+    BRONZE_COLUMNS,
     FACT_ORDER_DETAILS,
     FACT_ORDERS,
     SILVER_CUSTOMER,
@@ -36,7 +37,7 @@ from starling.session import path_exists
 from starling.sinks.dimension_store import DimensionStore
 from starling.sinks.parquet import bronze_path, silver_path, write_batch
 from starling.sinks.warehouse import LoadReport, Warehouse
-from starling.sources.bronze import header_schema, stream_bronze
+from starling.sources.bronze import header_schema, read_bronze_by_name, stream_bronze, stream_file_names
 from starling.streaming.incremental import non_empty, start_available_now
 
 SOURCE_TABLES = ("customer", "product", "orders", "orderdetails")
@@ -92,20 +93,33 @@ def stream_silver(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
 
 
 def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str | None = None,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery | None:
+                     max_files_per_trigger: int | None = None, by_name: bool = False) -> StreamingQuery | None:
     """B1-B4. Returns None when no change file exists yet.
     ``max_files_per_trigger`` bounds a micro-batch (a backlog is then taken
-    in several batches, each replay-safe)."""
+    in several batches, each replay-safe). ``by_name`` reads each batch's
+    files by header name, so files with added or moved columns are accepted
+    (one header read per file); otherwise every file must carry the header
+    of the first one."""
     src = lake.bronze(table)
     if not path_exists(spark, src):
         return None
     transform = SILVER_FUNCTIONS[table]
     target, pk, order = lake.silver(table), SILVER_PARTITION[table], SILVER_ORDER_COL.get(table)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        if non_empty(batch):
-            write_batch(transform(batch, run_ts=run_ts), target, batch_id, pk, order)
+    def write(rows: DataFrame, batch_id: int) -> None:
+        if non_empty(rows):
+            write_batch(transform(rows, run_ts=run_ts), target, batch_id, pk, order)
+
+    if by_name:
+        def process(batch: DataFrame, batch_id: int) -> None:
+            paths = [r.path for r in batch.collect()]  # this batch's file names (bounded by the trigger)
+            if paths:
+                write(read_bronze_by_name(spark, paths, BRONZE_COLUMNS[table]), batch_id)
+
+        stream = stream_file_names(spark, src, max_files_per_trigger)
+        return start_available_now(stream, process, lake.checkpoint("silver", table), name=f"silver_{table}")
 
+    process = write
     stream = stream_bronze(spark, src, header_schema(spark, src), max_files_per_trigger)
     return start_available_now(stream, process, lake.checkpoint("silver", table), name=f"silver_{table}")
 

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from starling.functions.audit import run_timestamp
 from starling.schemas import OP_INSERT, text_schema
+from starling.operators.rename import MissingColumnsError
 from starling.sinks.parquet import write_change_files
 
 
@@ -62,6 +63,45 @@ def stream_bronze(spark: SparkSession, path: str, schema: StructType, max_files_
     return r.csv(path)
 
 
+def read_bronze_by_name(spark: SparkSession, paths: list[str], required: list[str]) -> DataFrame:
+    """Change files whose headers may differ (a source column added, columns
+    moved): the files are grouped by header line, each group is read with its
+    own header and the groups are put together by column **name**. Columns
+    beyond ``required`` are dropped; a file lacking a required column fails
+    the read. One header read per file (the first line only)."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = tuple(c.lower() for c in spark.read.option("header", True).csv(path).columns)
+        groups.setdefault(header, []).append(path)
+    frames = []
+    for header, group in groups.items():
+        missing = [c for c in required if c not in header]
+        if missing:
+            raise MissingColumnsError(f"change files {group[:3]} lack required columns {missing}")
+        df = (spark.read.schema(text_schema(list(header))).option("header", True).option("enforceSchema", False)
+              .option("mode", "FAILFAST").csv(group))
+        frames.append(df.select(*required))
+    if not frames:
+        return spark.range(0).select(*[F.lit(None).cast("string").alias(c) for c in required])
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+# Fixed value: the schema of Spark's binaryFile source.
+BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def stream_file_names(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S10 for files read by name: a stream of the new files' paths only (the
+    content column is pruned, so no file is read here)."""
+    r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(path).select("path")
+
+
 def register_raw_table(spark: SparkSession, table: str, path: str, schema: StructType | None = None,
                        database: str | None = None) -> str:
     """(re)register ``raw_data_<table>`` over the change files.

@@ -200,3 +200,27 @@ def test_command_line_jobs(spark, tmp_root, capsys):
     counts = {(c["layer"], c["table_name"]): c["rows"] for c in out[-1]["counts"]}
     assert counts[("silver", "orders")] == counts[("bronze", "orders")] == counts[("fact", "fact_orders")]
     assert counts[("dimension_active", "dim_customer")] > 0
+
+
+def test_by_name_job_accepts_moved_and_added_columns(spark, tmp_root):
+    """Header drift: a later drop has its columns in another order and one
+    more column; read by name, both land in silver. A drop that lacks a
+    required column fails the batch."""
+    lake = Lake(tmp_root)
+    ch = customer_changes(spark, SF_SMALL)
+    day = F.substring("dms_timestamp", 1, 10)
+    first, second = ch.where(day <= "2024-01-02"), ch.where(day > "2024-01-02")
+    write_change_files(first, lake.bronze("customer"))
+    await_all([start_silver_job(spark, lake, "customer", by_name=True)])
+    drifted = second.select(*reversed(second.columns), F.lit("x").alias("loyaltytier"))
+    write_change_files(drifted, lake.bronze("customer"))
+    await_all([start_silver_job(spark, lake, "customer", by_name=True)])
+    from starling.operators.silver import silver_customer
+    back = spark.read.schema(silver_read_schema("customer")).parquet(lake.silver("customer")).drop("batch_id")
+    want = silver_customer(ch)
+    cols = ["customer_id", "cdc_operation", "hash_value", "cust_email", "dms_timestamp"]
+    assert back.count() == ch.count()
+    assert back.select(cols).exceptAll(want.select(cols)).count() == 0
+    write_change_files(first.drop("phone").limit(3), lake.bronze("customer"))
+    with pytest.raises(Exception):
+        await_all([start_silver_job(spark, lake, "customer", by_name=True)])
