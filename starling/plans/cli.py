@@ -1,7 +1,7 @@
 """Command-line jobs (B1-B10 with named arguments), for spark-submit or
 ``python -m starling.plans.cli``.
 
-    silver    --root R --table customer|product|orders|orderdetails [--run-ts T] [--max-files N]
+    silver    --root R --table customer|product|orders|orderdetails [--run-ts T] [--max-files N] [--by-name]
     dimension --root R --table customer|product --warehouse DB [--max-group-rows N]
     fact      --root R --table orders|orderdetails --warehouse DB [--mode append|truncate_load]
     pipeline  --root R --warehouse DB [--run-ts T]
@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--table", required=True, choices=SOURCE_TABLES)
     s.add_argument("--run-ts")
     s.add_argument("--max-files", type=int)
+    s.add_argument("--by-name", action="store_true", help="read each file by its header names")
     d = add("dimension")
     d.add_argument("--table", required=True, choices=list(DIMENSION_JOBS))
     d.add_argument("--warehouse", default="sales")
@@ -82,7 +83,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         return Warehouse(spark, args.warehouse, f"{args.root.rstrip('/')}/warehouse")
 
     if args.command == "silver":
-        await_all([q for q in [start_silver_job(spark, lake, args.table, args.run_ts, args.max_files)] if q])
+        await_all([q for q in [start_silver_job(spark, lake, args.table, args.run_ts, args.max_files,
+                                                args.by_name)] if q])
         return {"job": "silver", "table": args.table}
     if args.command == "dimension":
         await_all([q for q in [start_dimension_job(spark, lake, warehouse(), args.table, args.max_group_rows)] if q])
