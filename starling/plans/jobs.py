@@ -49,6 +49,9 @@ SILVER_SCHEMAS = {
     "orderdetails": SILVER_ORDER_DETAILS,
 }
 SILVER_ORDER_COL = {"orders": "order_date"}
+# Files per micro-batch when change files are read by name (their paths are
+# listed on the driver, so a backlog is taken in bounded batches).
+BY_NAME_MAX_FILES = 1000
 
 # table -> (stage table, stage schema, dimension)
 DIMENSION_JOBS: dict[str, tuple[str, StructType, DimensionSpec]] = {
@@ -111,6 +114,9 @@ def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str |
             write_batch(transform(rows, run_ts=run_ts), target, batch_id, pk, order)
 
     if by_name:
+        # the batch's file names go to the driver: bound them per batch
+        max_files_per_trigger = max_files_per_trigger or BY_NAME_MAX_FILES
+
         def process(batch: DataFrame, batch_id: int) -> None:
             paths = [r.path for r in batch.collect()]  # this batch's file names (bounded by the trigger)
             if paths:
