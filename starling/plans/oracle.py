@@ -333,7 +333,7 @@ FROM silver_orders GROUP BY order_year_pk""",
     "fact_order_details": silver_sql(BRONZE_ORDER_DETAILS, SILVER_ORDER_DETAILS, "silver_orderdetails",
                                      FACT_DETAIL_COLS),
     "load_report": LOAD_REPORT_SQL,
-    "pipeline_counts": PIPELINE_COUNTS_SQL,
+    "layer_counts": PIPELINE_COUNTS_SQL,
     "snapshot_export_product": f"""
 SELECT 'I' AS op, CAST(p_partkey AS VARCHAR) AS productid, p_name AS productname, p_brand AS brandname,
        concat(p_type, ' desc') AS productdescription, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price,

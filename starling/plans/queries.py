@@ -303,7 +303,7 @@ def q_snapshot_export_product(spark, sf_dir):
     return read_bronze(spark, path)
 
 
-def q_pipeline_counts(spark, sf_dir):
+def q_layer_counts(spark, sf_dir):
     """Change files of all four tables through silver, stage, dimensions
     and facts; rows per layer and table."""
     root = shared_path(spark, "pipeline", unique=True)
@@ -342,5 +342,5 @@ QUERIES = {
     "fact_order_details": q_fact_order_details,
     "load_report": q_load_report,
     "snapshot_export_product": q_snapshot_export_product,
-    "pipeline_counts": q_pipeline_counts,
+    "layer_counts": q_layer_counts,
 }

@@ -28,7 +28,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", ["silver_product", "dim_product_scd2", "pipeline_counts", "customer_names",
+@pytest.mark.parametrize("name", ["silver_product", "dim_product_scd2", "layer_counts", "customer_names",
                                   "dim_product_price_history", "late_changes"])
 def test_query_matches_oracle_small(spark, duck, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
