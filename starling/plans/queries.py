@@ -27,7 +27,7 @@ from starling.operators.scd2 import (
 from starling.operators.silver import CUSTOMER_HASHED, SILVER_FUNCTIONS
 from starling.operators.silver import silver_product as silver_product_fn
 from starling.operators.sort import sort_for_query
-from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SOURCE_TABLES, Lake, silver_read_schema, start_silver_job
+from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SOURCE_TABLES, Lake, start_silver_job
 from starling.plans.oracle_format import time_as_text
 from starling.plans.pipeline import layer_counts, run_pipeline
 from starling.schemas import SILVER_CUSTOMER, SILVER_ORDERS
