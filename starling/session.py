@@ -111,3 +111,18 @@ def list_dir_names(spark: SparkSession, path: str, require: str | None = None) -
             if require is None or fs.exists(jvm.org.apache.hadoop.fs.Path(sub, require)):
                 names.append(sub.getName())
     return names
+
+
+def content_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored below ``path`` (file-system metadata, no job); 0 if absent."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
+def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
+    """A size setting such as ``64MB`` or ``67108864b`` in bytes."""
+    text = str(spark.conf.get(key, default)).strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(text[:-1]) * units[text[-1]]) if text and text[-1] in units else int(float(text))

@@ -48,32 +48,65 @@ from starling.operators.scd2 import (
     scd2_merge,
     tombstone_schema,
 )
-from starling.session import delete_path, list_dir_names, make_dirs, path_exists
+from starling.session import content_bytes, conf_bytes, delete_path, list_dir_names, make_dirs, path_exists
 
 class DimensionStore:
     def __init__(self, spark: SparkSession, root: str, spec: DimensionSpec, buckets: int | None = None):
+        """``buckets`` fixes the bucket count; by default it follows the size
+        of the active set (see ``bucket_count``)."""
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
-        self.buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+        self.fixed_buckets = buckets
+        self.buckets = buckets or self.bucket_count(None)
         self.row_schema = row_schema(spec)
         self.file_schema = StructType(list(self.row_schema.fields) + [
             StructField("batch_id", LongType(), True), StructField("part", StringType(), True)])
         self.prefix = f"starling_{spec.name}_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}"
 
+    def bucket_count(self, base: int | None) -> int:
+        """Buckets for the next batch, from metadata only: the stored size of
+        the base batch's active set over the advisory partition size (AQE's
+        target task size), at least the default parallelism, rounded up to a
+        power of two so the count rarely changes between batches (a batch
+        whose count differs from its base's still works; its writer then
+        emits more files)."""
+        if self.fixed_buckets:
+            return int(self.fixed_buckets)
+        floor = max(1, self.spark.sparkContext.defaultParallelism)
+        need = 1
+        if base is not None:
+            target = conf_bytes(self.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+            stored = content_bytes(self.spark, f"{self.root}/batches/batch_id={int(base)}/part=active")
+            need = -(-stored // max(target, 1))
+        n = max(floor, need)
+        return 1 << (n - 1).bit_length()
+
     def _table(self, batch_id: int) -> str:
         return f"`{self.prefix}_b{int(batch_id)}`"
 
+    def _layout(self, batch_id: int) -> int | None:
+        """Bucket count a batch was (or is being) written with: recorded as a
+        folder name ``layout/batch_id=<n>/buckets=<B>`` before its data."""
+        for name in list_dir_names(self.spark, f"{self.root}/layout/batch_id={int(batch_id)}"):
+            if name.startswith("buckets="):
+                return int(name.split("=", 1)[1])
+        return None
+
     def _register(self, batch_id: int) -> str:
-        """Declare the bucketed table of one batch (again, in a new
-        application, picking up the parts already on storage)."""
+        """Declare the bucketed table of one batch with the bucket count its
+        files were written with (again, in a new application, picking up the
+        parts already on storage)."""
         table, location = self._table(batch_id), f"{self.root}/batches/batch_id={int(batch_id)}"
         known = self.spark.catalog.tableExists(table.strip("`"))
         if not known:
+            buckets = self._layout(batch_id)
+            if buckets is None:
+                raise ValueError(f"batch {batch_id} of {self.root} has no recorded bucket layout")
             had_data = path_exists(self.spark, location)
             make_dirs(self.spark, location)
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in self.row_schema.fields)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {table} ({cols}, `part` STRING) USING parquet PARTITIONED BY (`part`) "
-                f"CLUSTERED BY (`{self.spec.key}`) INTO {self.buckets} BUCKETS LOCATION '{location}'"
+                f"CLUSTERED BY (`{self.spec.key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
             )
             if had_data:
                 self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
@@ -146,6 +179,9 @@ class DimensionStore:
     def apply(self, changes: DataFrame, batch_id: int, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> MergeResult:
         """Merge one batch of silver changes and commit it as ``batch_id``."""
         base = self.last_committed(below=batch_id)
+        # a replay keeps the layout of its first attempt
+        self.buckets = self._layout(batch_id) or self.bucket_count(base)
+        make_dirs(self.spark, f"{self.root}/layout/batch_id={int(batch_id)}/buckets={self.buckets}")
         active, tombs = self.state(base)
         result = scd2_merge(active, tombs, changes, self.spec, max_group_rows=max_group_rows,
                             out_partitions=self.buckets, has_state=base is not None)
@@ -162,6 +198,8 @@ class DimensionStore:
         session, view = rows.sparkSession, f"_starling_dim_{uuid.uuid4().hex}"
         rows.createOrReplaceTempView(view)
         cols = ", ".join(f"`{f.name}`" for f in self.row_schema.fields)
+        if self._layout(batch_id) is None:
+            make_dirs(self.spark, f"{self.root}/layout/batch_id={int(batch_id)}/buckets={self.buckets}")
         table = self._register(batch_id)
         try:
             session.sql(f"INSERT OVERWRITE {table} PARTITION (part) SELECT {cols}, part FROM {view}")

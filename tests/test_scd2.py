@@ -215,3 +215,31 @@ def test_vacuum_keeps_history_and_newest_state(spark, tmp_root):
     assert sorted(tuple(r) for r in store.dimension().collect()) == before
     store.apply(changes_df(spark, [("U", "k", "h9", t(9))]), 4)
     assert store.dimension().where("active_flag = 1").first().hash_value == "h9"
+
+
+def test_bucket_count_follows_active_size_and_survives_restart(spark, tmp_root):
+    """Buckets grow with the stored active set; a new application (catalog
+    definitions gone) re-declares each batch with its recorded layout."""
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        log = sorted(_random_log(11, n_keys=60, n=600), key=lambda r: r[3])
+        parts = [log[:200], log[200:400], log[400:]]
+        store = DimensionStore(spark, tmp_root, CUSTOMER_DIM)
+        store.apply(changes_df(spark, parts[0]), 0)
+        store.apply(changes_df(spark, parts[1]), 1)
+        assert store._layout(1) > store._layout(0)
+        for t in spark.catalog.listTables():
+            if t.name.startswith(store.prefix):
+                spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
+        fresh = DimensionStore(spark, tmp_root, CUSTOMER_DIM)
+        fresh.apply(changes_df(spark, parts[2]), 2)
+        cols = ["customer_id", "hash_value", "record_start_ts", "record_end_ts", "active_flag"]
+        got = sorted(tuple(r) for r in fresh.dimension().select(*cols).collect())
+        st = _fold(parts)
+        want = sorted((w[0], w[1], w[4][11:16], w[5][:4], w[6])
+                      for w in versions(st, ["customer_id", "hash_value", "cust_email", "cdc_operation"]))
+        got = sorted((a, b, str(c)[11:16], str(d)[:4], e) for a, b, c, d, e in got)
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
