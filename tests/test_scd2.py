@@ -243,3 +243,26 @@ def test_bucket_count_follows_active_size_and_survives_restart(spark, tmp_root):
         assert got == want
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+from hypothesis import given, settings, HealthCheck, strategies as st  # noqa: E402
+
+_change = st.tuples(st.sampled_from("IUD"), st.sampled_from(["a", "b", "c"]), st.sampled_from(["h0", "h1", "h2"]),
+                    st.integers(0, 8), st.sampled_from(["e0", "e1"]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(log=st.lists(_change, min_size=1, max_size=24), chunked=st.booleans())
+def test_generated_logs_match_fold(spark, log, chunked):
+    rows = [(op, k, h, t(m), e) for op, k, h, m, e in log]
+    r = merge(spark, rows, max_group_rows=2 if chunked else 1_000_000)
+    got = sorted((x.customer_id, x.hash_value, x.cust_email, x.s, x.e, x.active_flag) for x in r.dimension().select(
+        "customer_id", "hash_value", "cust_email", F.date_format("record_start_ts", "HH:mm").alias("s"),
+        F.date_format("record_end_ts", "yyyy").alias("e"), "active_flag").collect())
+    st_ = _fold([rows])
+    want = sorted((w[0], w[1], w[2], w[3][11:16], w[4][:4], w[5])
+                  for w in versions(st_, ["customer_id", "hash_value", "cust_email"]))
+    assert got == want
+    tombs = sorted((x.customer_id, x.t) for x in r.tombstones.select(
+        "customer_id", F.date_format("deleted_ts", "HH:mm").alias("t")).collect())
+    assert tombs == sorted((k, v[11:16]) for k, v in st_.tombstones.items())
