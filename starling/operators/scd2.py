@@ -199,10 +199,10 @@ def scd2_merge(
     Returns the new state plus the versions this batch closed and the late
     changes, as one tagged frame. Pure apart from ``materialize``, which
     checkpoints intermediate results into the session's checkpoint dir: the
-    per-key batch statistics (read by several branches) and, when hot keys
-    exist, the batch's shuffled row set, which the chunk summaries read
-    again. Without hot keys the branches share the one exchange (AQE reuses
-    it), so nothing else is materialized.
+    per-key batch statistics when there is state (the key match and the hot
+    keys both read them) and, when hot keys exist, the batch's shuffled row
+    set, which the chunk summaries read again. Without hot keys the branches
+    share the one exchange (AQE reuses it), so nothing else is materialized.
 
     ``out_partitions``: rebalance the batch-sized outputs (new versions, late
     changes) by key into that many partitions, the bucket layout of a
@@ -230,7 +230,7 @@ def scd2_merge(
     chg = chg.where(F.col(ts).isNotNull())
 
     stats = batch_stats(changes, spec)
-    if materialize:
+    if materialize and has_state:  # read by several branches (keys, hot keys)
         shared_root(spark)
         stats = stats.checkpoint(eager=True)
     keys = stats.select(key)
