@@ -7,6 +7,7 @@
     pipeline  --root R --warehouse DB [--run-ts T]
     snapshot  --root R --table NAME --jdbc-url URL --source-table T [--partition-column C --lower L --upper U]
     register  --root R [--like PATTERN]
+    vacuum    --root R --table customer|product [--keep N]
 
 ``--root`` is the lake root (a shared folder); the warehouse database is
 created at ``<root>/warehouse`` when absent. Each command ends with a non-zero
@@ -73,6 +74,9 @@ def parser() -> argparse.ArgumentParser:
     sn.add_argument("--run-ts")
     r = add("register")
     r.add_argument("--like", default="%")
+    v = add("vacuum")
+    v.add_argument("--table", required=True, choices=list(DIMENSION_JOBS))
+    v.add_argument("--keep", type=int, default=2)
     return p
 
 
@@ -104,6 +108,9 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
     if args.command == "register":
         names = select_tables(list(SOURCE_TABLES), args.like)
         return {"job": "register", "tables": [register_raw_table(spark, t, lake.bronze(t)) for t in names]}
+    if args.command == "vacuum":
+        store = lake.dimension(spark, DIMENSION_JOBS[args.table][2])
+        return {"job": "vacuum", "table": args.table, "removed": store.vacuum(keep=args.keep)}
     raise ValueError(args.command)
 
 

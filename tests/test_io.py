@@ -200,6 +200,7 @@ def test_command_line_jobs(spark, tmp_root, capsys):
     counts = {(c["layer"], c["table_name"]): c["rows"] for c in out[-1]["counts"]}
     assert counts[("silver", "orders")] == counts[("bronze", "orders")] == counts[("fact", "fact_orders")]
     assert counts[("dimension_active", "dim_customer")] > 0
+    assert main(["vacuum", "--root", tmp_root, "--table", "customer", "--keep", "1"], spark) == 0
 
 
 def test_by_name_job_accepts_moved_and_added_columns(spark, tmp_root):
