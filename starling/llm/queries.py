@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starling.llm import bpe
+from pyspark.sql import functions as F
+
+from starling.llm import bpe, langid
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,4 +18,11 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_round_trip,)}
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.fold("doc_id", 4) == 2
+    model = langid.train(docs.where(~held_out))
+    return langid.identify(docs, model, ["doc_id", held_out.alias("held_out")])
+
+
+QUERIES = {f.__name__: f for f in (op3_language_id, op4_bpe_round_trip,)}
