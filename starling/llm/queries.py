@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from starling.llm import bpe, langid
+from starling.llm import bpe, langid, licenses
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.fold("doc_id", 4) == 2
@@ -25,4 +29,4 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id", held_out.alias("held_out")])
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op4_bpe_round_trip,)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_language_id, op4_bpe_round_trip,)}
