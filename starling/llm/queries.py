@@ -5,9 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import functions as F
-
-from starling.llm import bpe, langid, licenses
+from starling.llm import bpe, ctw, langid, licenses
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,4 +27,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id", held_out.alias("held_out")])
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_language_id, op4_bpe_round_trip,)}
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"), langid.fold("doc_id", 10) == 0)
+
+
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_language_id, op4_bpe_round_trip, op8_lm_score)}
