@@ -1,3 +1,25 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+# Lower case of A-Z only; words are runs without the six white-space bytes.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n, CAST(list_sort(s) AS VARCHAR) AS whole FROM s),
+rep AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY whole) AS rep FROM n WHERE n > 0),
+g AS (SELECT s.doc_id, unnest(s) AS g FROM s JOIN rep ON s.doc_id = rep.doc_id AND rep.doc_id = rep.rep),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id
+           GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(node, low) AS (SELECT DISTINCT a, a FROM edge UNION SELECT edge.b, reach.low FROM reach JOIN edge ON edge.a = reach.node),
+comp AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, coalesce(comp.low, rep.rep, n.doc_id) AS component_id,
+       n.doc_id = coalesce(comp.low, rep.rep, n.doc_id) AS kept
+FROM n LEFT JOIN rep ON rep.doc_id = n.doc_id LEFT JOIN comp ON comp.node = rep.rep""",
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starling.llm import bpe, ctw, langid, licenses
+from starling.llm import bpe, ctw, langid, licenses, minhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -31,4 +35,4 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(table(spark, sf_dir, "documents"), langid.fold("doc_id", 10) == 0)
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_language_id, op4_bpe_round_trip, op8_lm_score)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_license_scan, op3_language_id, op4_bpe_round_trip, op8_lm_score)}
