@@ -9,8 +9,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starling.session import shared_root
+from starling.session import delete_path, shared_path, shared_root
 
 #: Rows of an Arrow batch that a task turns into Python objects at a time.
 SLICE_ROWS = 256
@@ -139,3 +140,34 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for i in range(run):
         h = mix64(h * np.uint64(POLY) + words[i : n - run + 1 + i])
     return np.unique(h)
+
+
+def id_filter(ids: DataFrame, n: int, max_bits: int = 1 << 27) -> np.ndarray:
+    """A bit array (16 bits for each of ``n`` ids, ``max_bits`` = 16 MB at most)
+    with the hash of every value of column ``id`` set. It only thins a scan
+    that an exact join follows, so a full array costs time, not results."""
+    bits = min(max_bits, 1 << max(16, (16 * n).bit_length()))
+    at = F.pmod(F.xxhash64("id"), F.lit(bits))
+    words = (ids.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 AS int))")).alias("bits")).toArrow())
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    return out
+
+
+def in_filter(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the xxhash64 values of ids may be in the filter."""
+    at = hashes % (len(table) * 32)
+    return (table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
+
+
+class Stored:
+    """A frame written as Parquet to the shared folder; ``drop`` deletes it."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark, self.path = df.sparkSession, shared_path(df.sparkSession, "llm", name, unique=True)
+        df.write.parquet(self.path)
+        self.df = self.spark.read.parquet(self.path)
+
+    def drop(self) -> None:
+        delete_path(self.spark, self.path)

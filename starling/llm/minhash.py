@@ -35,7 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import cut, mix64, record_batch, release, shingle_hashes, slices, texts_as_bytes, word_hashes
+from starling.llm.common import (
+    cut,
+    id_filter,
+    in_filter,
+    mix64,
+    record_batch,
+    release,
+    shingle_hashes,
+    slices,
+    texts_as_bytes,
+    word_hashes,
+)
 from starling.llm.components import components
 
 COORDINATES = 96
@@ -43,8 +54,6 @@ MATCHES = 52
 #: Leaders a list has in each round, by the salt of its members; the first
 #: round takes the smallest member, the last one (None) all members.
 ROUNDS = (0, 1, 16, None)
-#: Bits of the filter that thins the scan for full sets, at most (16 MB).
-MAX_FILTER_BITS = 1 << 27
 #: Shingles that are hashed to all coordinates at a time.
 BLOCK = 4096
 
@@ -137,18 +146,6 @@ def colliding(pairs: DataFrame, sketches: DataFrame, matches: int, percent: int)
             .select("a", "b", "la", "lb", "sa", "sb").mapInArrow(run, "a long, b long, la long, lb long"))
 
 
-def id_filter(ids: DataFrame, n: int) -> np.ndarray:
-    """A bit array (16 bits for each of ``n`` ids, MAX_FILTER_BITS at most) with
-    the hash of every id set. It only thins a scan that an exact join follows."""
-    bits = min(MAX_FILTER_BITS, 1 << max(16, (16 * n).bit_length()))
-    at = F.pmod(F.xxhash64("id"), F.lit(bits))
-    words = (ids.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 AS int))")).alias("bits")).toArrow())
-    out = np.zeros(bits // 32, np.uint32)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-    return out
-
-
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """(rep, shingles): the whole shingle sets of the documents in ``ids``."""
     held = docs.sparkSession.sparkContext.broadcast(id_filter(ids, ids.count()))
@@ -156,8 +153,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     def run(batches):
         table = held.value
         for b in slices(batches):
-            at = b.column("at").to_numpy() % (len(table) * 32)
-            b = b.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
+            b = b.filter(pa.array(in_filter(table, b.column("at").to_numpy())))
             sets = [set_of(data, shingle).tobytes() for data in texts_as_bytes(b.column("text"))]
             yield record_batch({"id": b.column("doc_id"), "shingles": (sets, pa.binary())})
 

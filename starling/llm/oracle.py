@@ -22,4 +22,21 @@ comp AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, coalesce(comp.low, rep.rep, n.doc_id) AS component_id,
        n.doc_id = coalesce(comp.low, rep.rep, n.doc_id) AS kept
 FROM n LEFT JOIN rep ON rep.doc_id = n.doc_id LEFT JOIN comp ON comp.node = rep.rep""",
+    # Two hex digits a byte, so that SQL's substr works on bytes.
+    "op6_suffix_array_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, len(h) // 2 AS n FROM d),
+p AS (SELECT doc_id, unnest(range(0, n - 99)) AS p, h FROM n WHERE n >= 100),
+f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY substr(h, 2 * p + 1, 200) ORDER BY doc_id, p) AS k FROM p),
+s AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM f WHERE k > 1),
+r AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 100 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id ORDER BY p) AS run FROM s),
+span AS (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM r GROUP BY doc_id, run),
+gap AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b, sum(b - a) AS removed FROM span GROUP BY doc_id)
+SELECT n.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(len(a), 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN a IS NULL THEN h ELSE substr(h, 1, 2 * a[1]) || array_to_string(list_transform(
+         range(1, len(a) + 1), lambda i: substr(h, 2 * b[i] + 1, 2 * ((CASE WHEN i = len(a) THEN n ELSE a[i + 1] END) - b[i]))),
+         '') END)) AS kept_sha256
+FROM n LEFT JOIN gap ON gap.doc_id = n.doc_id""",
 }

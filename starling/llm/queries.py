@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starling.llm import bpe, ctw, langid, licenses, minhash
+from starling.llm import bpe, ctw, langid, licenses, minhash, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,8 +31,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id", held_out.alias("held_out")])
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(table(spark, sf_dir, "documents"), langid.fold("doc_id", 10) == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_license_scan, op3_language_id, op4_bpe_round_trip, op8_lm_score)}
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_near_dedup, op2_license_scan, op3_language_id, op4_bpe_round_trip, op6_suffix_array_dedup,
+    op8_lm_score)}
