@@ -136,14 +136,15 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
     executors as one broadcast variable.
     """
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
-    source = docs.select(*keep, F.col("text").alias("_text"))
-    kept = [f for f in source.schema.fields if f.name != "_text"]
+    kept = docs.select(*keep).schema.fields
+    text = "text" if any(f.name == "text" for f in kept) else "_text"
+    source = docs.select(*keep, *([F.col("text").alias("_text")] if text == "_text" else []))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches):
         model = Classifier(held.value)
         for b in slices(batches):
-            rows = [model.classify(t) for t in b.column("_text").to_pylist()]
+            rows = [model.classify(t) for t in b.column(text).to_pylist()]
             lang, score, margin, rejected = zip(*rows) if rows else ((), (), (), ())
             yield record_batch({**{f.name: b.column(f.name) for f in kept},
                                 "lang_pred": (lang, pa.string()), "score": (score, pa.float64()),

@@ -278,9 +278,10 @@ def split_kept(text: bytes, mask: np.ndarray | None) -> tuple[bytes, int, int]:
     return kept, len(text) - len(kept), int((np.diff(mask.astype(np.int8), prepend=0) == 1).sum())
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others) with kept (binary:
-    the remaining bytes), n_bytes, n_removed and n_spans."""
+    the remaining bytes; or, ``as_text``, a string without the characters that
+    were cut), n_bytes, n_removed and n_spans."""
     names = docs.columns
     order = F.coalesce(F.col("doc_id").cast("long"),
                        F.expr("-9223372036854775808L + (xxhash64(text) & 2305843009213693951L)"))
@@ -301,12 +302,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                                               b.column("windows").to_pylist()):
                 rows.append((len(text), *split_kept(text, removed_bytes(text, anchors, windows))))
             n, kept, removed, spans = zip(*rows) if rows else ((),) * 4
-            yield record_batch({"row": b.column("row"), "text": b.column("text"), "kept": (kept, pa.binary()),
+            if as_text:
+                kept = [k.decode("utf-8", "ignore") for k in kept]
+            yield record_batch({"row": b.column("row"), "text": b.column("text"),
+                                "kept": (kept, pa.string() if as_text else pa.binary()),
                                 "n_bytes": (n, pa.int64()), "n_removed": (removed, pa.int64()),
                                 "n_spans": (spans, pa.int64())})
 
     out = parts.select("row", "text", "anchors", "windows").mapInArrow(
-        run, f"row {row_type}, text string, kept binary, n_bytes long, n_removed long, n_spans long")
+        run, f"row {row_type}, text string, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long")
     return out.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names),
                       "kept", "n_bytes", "n_removed", "n_spans")
 
