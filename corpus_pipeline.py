@@ -2,37 +2,87 @@
 operator of ``starling.llm``. Every stage's result is written as Parquet to
 the shared folder and reread as the next one's documents.
 
-No stage can be expressed in SQL (compression, minimum hashes, byte-level
-matches, merge lists), so ``ORACLE_SQL`` is None; ``tests/llm`` holds the
-stages against brute-force versions.
+1. Language ID: rejected documents (no letter, or a narrow margin) go; a
+   missing label becomes the predicted one.
+2. MinHash near-dedup: one document of each group of near copies (shingles of
+   five words, similarity of 0.8 or more) stays, the one of smallest id.
+3. Suffix-array dedup: bytes under any 100-byte string that also starts earlier
+   go; a character cut by that goes as a whole.
+4. Mixing: sources get tempered weights; every document is drawn at least
+   once, those of small sources up to twice (a second draw is a second row).
+5. BPE: number of tokens, digest of the ids and of the text decoded from them.
+
+Defined cases: null and empty texts are rejected by stage 1; repeated rows of
+one document count as near copies and one stays; a null doc_id is kept by every
+stage but linked with nothing; an empty table gives no rows. Columns other than
+those of documents are carried to stage 4.
+
+SQL cannot express the stages (compression, minimum hashes, byte strings, merge
+lists), so ``ORACLE_SQL`` is None; ``tests/llm`` holds the stages against
+brute-force versions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starling.llm import bpe, langid, minhash, mixing, suffixes
+from starling.session import delete_path, shared_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3; learns from the labelled rows of its input."""
+    names = docs.columns
+    model = langid.train(docs)
+    out = langid.identify(docs, model, names).where("NOT rejected")
+    return out.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*names)
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1; the document with the smallest id of each group stays."""
+    kept = minhash.near_duplicates(docs, shingle=5, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    named = docs.where("doc_id IS NOT NULL").join(kept.distinct(), "doc_id").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6; the text becomes what is left of it."""
+    left = suffixes.remove_repeats(docs, as_text=True)
+    return left.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
 
-from starling.llm import bpe
-from starling.session import shared_path
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9; a row for each draw."""
+    return mixing.mix(docs, max_repeats=2.0, min_repeats=1.0).drop("draw")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE encoding and decoding: token count and digests of each document."""
+    """Operator 4."""
     return bpe.round_trip(docs)
 
 
 STAGES = [
-    ("bpe", encode),
+    ("language_id", identify_language),
+    ("minhash_near_dedup", remove_near_copies),
+    ("suffix_array_dedup", remove_repeated_passages),
+    ("source_mixing", mix_sources),
+    ("bpe_round_trip", encode),
 ]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. A stage's folder is deleted as soon as
+    the next one is written; the last one's stays for the reader."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    root = shared_path(spark, "pipeline", unique=True)
+    root, before = shared_path(spark, "pipeline", unique=True), None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{root}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs
