@@ -33,9 +33,16 @@ def to_int_safe(text: Column | str) -> Column:
 
 
 def to_price_decimal(text: Column | str) -> Column:
-    """Price text -> DECIMAL(12,4) so its text form is stable for hashing."""
+    """Price text -> DECIMAL(38,18): 20 digits before the point, 18 behind."""
     c = F.col(text) if isinstance(text, str) else text
-    return c.try_cast("decimal(12,4)")
+    return c.try_cast("decimal(38,18)")
+
+
+def price_text(text: Column | str) -> Column:
+    """What the change hash sees of a price: the text as delivered, without
+    outer blanks. No digit is cut, and unparsable prices differ as well."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.trim(c.cast("string"))
 
 
 def round_price(dec: Column) -> Column:

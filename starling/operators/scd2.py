@@ -15,7 +15,8 @@ Rules (the warehouse procedure bodies are not available; these are ours):
    last change of that version's run;
 8. a change not newer than the key's boundary (start of its active version,
    or the time of the delete that closed it) is late: it goes to ``late`` and
-   does not rewrite history. Changes without a usable timestamp go there too.
+   does not rewrite history. Changes without a usable timestamp or without a
+   key go there too.
 
 State between batches is the active set plus ``tombstones`` (key, time of the
 delete that closed its last version), so a batch costs the active set and the
@@ -23,18 +24,20 @@ batch, never the closed history.
 
 Plan. Everything is expressed with joins, aggregations and windows:
 
-* per-key batch statistics (count, time range; partial aggregation) give the
-  batch keys and its hot keys; they are checkpointed and read by all branches;
+* per-key batch statistics (counts; partial aggregation) give the batch keys
+  and whether it has hot keys; they are checkpointed and read by all branches;
 * the active set is matched with the batch keys in one left join (bucketed
   scan in the dimension store: only the keys are shuffled);
 * the batch's changes, the state of its keys (open version, tombstone) and
   boundary markers form one row set, shuffled once by (key, chunk); one sort
   by time and the tie rule feeds every window: boundary (rule 8), tie
   collapse (first row of its time, rule 6), previous event, next kept event;
-* a key with more than ``max_group_rows`` changes in the batch is cut into
-  equal time ranges (chunks), so no task holds one hot key; small per-chunk
-  summaries (broadcast, at most rows / max_group_rows of them) stitch chunk
-  edges. Keys below the limit form one chunk and the summaries are skipped.
+* if a key has more than ``max_group_rows`` changes, changes of one key and
+  time are first collapsed by a partial aggregation (rule 6), so a bulk update
+  under one timestamp is one row; keys that still have more rows are cut at
+  quantiles of their rows' times into chunks of about ``max_group_rows`` rows
+  (MAX_CHUNKS at most), whatever the spread of the times. Per-chunk summaries
+  stitch the chunk edges; AQE chooses how they are joined by their size.
 """
 
 from __future__ import annotations
@@ -51,6 +54,8 @@ from starling.schemas import DIM_CUSTOMER, DIM_PRODUCT, OP_DELETE, OP_UPDATE
 
 VERSION_COLUMNS = ("record_start_ts", "record_end_ts", "active_flag")
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
+#: Most chunks that a hot key is cut into.
+MAX_CHUNKS = 1024
 
 
 @dataclass(frozen=True)
@@ -165,6 +170,20 @@ def tag(df: DataFrame, spec: DimensionSpec, part: str | None = None) -> DataFram
     return df.selectExpr(*cols, f"'{part}' AS part" if part else "part")
 
 
+def quantile_cuts(events: DataFrame, key: str, ts: str, max_group_rows: int) -> DataFrame:
+    """(key, _cuts): for keys with more than ``max_group_rows`` rows, the times
+    at which their rows are cut into chunks, at quantiles of the rows."""
+    fractions = [i / MAX_CHUNKS for i in range(1, MAX_CHUNKS)]
+    n = events.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group_rows)
+    times = (events.join(n, key).groupBy(key).agg(
+        F.max("_n").alias("_n"), F.percentile_approx(F.unix_micros(ts), fractions, 4 * MAX_CHUNKS).alias("_q")))
+    m = F.least(F.lit(MAX_CHUNKS), F.ceil(F.col("_n") / F.lit(max_group_rows))).cast("int")
+    cut = F.transform(F.sequence(F.lit(1), F.col("_m") - 1),
+                      lambda i: F.get("_q", F.floor(i * MAX_CHUNKS / F.col("_m")).cast("int") - 1))
+    return (times.withColumn("_m", m).where("_m > 1")
+            .select(key, F.array_distinct(cut).alias("_cuts")))
+
+
 # Row kinds of the merge's row set: a change of the batch, an open version of
 # a batch key, a tombstone of a batch key (a delete at its original time), and
 # a boundary marker (rule 8).
@@ -176,11 +195,9 @@ def _op_rank(op: Column) -> Column:
 
 
 def batch_stats(changes: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """Per key of a batch: number of changes and their time range (partial
-    aggregation; reads only the key and change-time columns)."""
-    t = F.col(spec.ts_col).cast("timestamp")
-    return changes.groupBy(spec.key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"))
+    """Per key of a batch: number of changes (partial aggregation; reads only
+    the key column)."""
+    return changes.where(F.col(spec.key).isNotNull()).groupBy(spec.key).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def scd2_merge(
@@ -223,35 +240,29 @@ def scd2_merge(
     chg = changes.select(*payload, F.col(spec.ts_col).cast("timestamp").alias(ts))
     if has_state is None:
         has_state = not (active.isEmpty() and tombstones.isEmpty())
-    # A change without a usable time cannot be ordered: late, split off
-    # before the shuffle (a filter on the scan).
-    untimed = chg.where(F.col(ts).isNull()).select(
+    # A change without a usable time cannot be ordered, one without a key
+    # belongs to no version: late, split off before the shuffle (a filter on
+    # the scan).
+    usable = F.col(ts).isNotNull() & F.col(key).isNotNull()
+    untimed = chg.where(~usable).select(
         *payload, F.col(ts).alias(spec.ts_col), F.lit(None).cast("timestamp").alias("late_boundary_ts"))
-    chg = chg.where(F.col(ts).isNotNull())
+    chg = chg.where(usable)
 
     stats = batch_stats(changes, spec)
     if materialize and has_state:  # read by several branches (keys, hot keys)
         shared_root(spark)
         stats = stats.checkpoint(eager=True)
     keys = stats.select(key)
-    # A hot key has more than max_group_rows changes, so there are at most
-    # rows / max_group_rows of them: a proven bound, hence broadcast.
-    hot = F.broadcast(
-        stats.where(F.col("_n") > F.lit(max_group_rows))
-        .select(key, "_lo", "_hi", F.ceil(F.col("_n") / F.lit(max_group_rows)).alias("_m"))
-    )
-    chunked = not hot.isEmpty()
+    chunked = not stats.where(F.col("_n") > F.lit(max_group_rows)).isEmpty()
 
     # One left join of the active set with the batch keys splits it into
-    # touched and untouched rows. The keys are the hash-build side (a shuffled
-    # hash join, or a broadcast for a small batch), so the active set, read as
-    # a bucketed scan in the store, streams through without shuffle or sort.
-    keys_build = keys.hint("shuffle_hash")
-    matched = active.join(keys_build.withColumn("_touched", F.lit(True)), key, "left")
+    # touched and untouched rows. The active set, read as a bucketed scan in
+    # the store, is not shuffled; Spark picks the join by the keys' size.
+    matched = active.join(keys.withColumn("_touched", F.lit(True)), key, "left")
     touched = matched.where(F.col("_touched").isNotNull()).drop("_touched")
     untouched = matched.where(F.col("_touched").isNull()).drop("_touched")
-    tomb_in = tombstones.join(keys_build, key, "left_semi")
-    tomb_out = tombstones.join(keys_build, key, "left_anti")
+    tomb_in = tombstones.join(keys, key, "left_semi")
+    tomb_out = tombstones.join(keys, key, "left_anti")
 
     def as_rows(df: DataFrame, at: str, *kinds: int) -> DataFrame:
         """``df`` as rows of the merge's row set, one per kind (one scan)."""
@@ -260,26 +271,40 @@ def scd2_merge(
         kind = str(kinds[0]) if len(kinds) == 1 else f"explode(array({', '.join(map(str, kinds))}))"
         return df.selectExpr(*cols, f"`{at}` AS `{ts}`", f"{kind} AS _kind")
 
+    order_fields = [h, *spec.type1_columns, *[c for c in others if c != h and c not in spec.type1_columns]]
+    late = untimed
+    if chunked:
+        # Late changes leave first; the others collapse to one row per key and
+        # time, by the tie rule, before any task sees a whole key.
+        if has_state:
+            bounds = (touched.select(key, F.col("record_start_ts").alias("_b"))
+                      .unionByName(tomb_in.select(key, F.col("deleted_ts").alias("_b")))
+                      .groupBy(key).agg(F.max("_b").alias("_b")))
+            chg = chg.join(bounds, key, "left")
+            late = late.unionByName(chg.where(F.col(ts) <= F.col("_b")).select(
+                *payload, F.col(ts).alias(spec.ts_col), F.col("_b").alias("late_boundary_ts")))
+            chg = chg.where(F.col("_b").isNull() | (F.col(ts) > F.col("_b")))
+        tie = F.struct(_op_rank(F.col(op)).alias("_rank"), *order_fields)
+        chg = (chg.groupBy(key, ts).agg(F.max_by(F.struct(*payload), tie).alias("_row"))
+               .select("_row.*", ts))
+
     # One row set for the batch: its changes, the state of its keys as the
-    # first events of their histories, and the boundary markers of rule 8.
+    # first events of their histories, and (unless late changes have left
+    # already) the boundary markers of rule 8.
     rows = as_rows(chg, ts, _CHANGE)
+    marked = has_state and not chunked
     if has_state:
-        rows = (rows.unionByName(as_rows(touched, "record_start_ts", _EXISTING, _MARKER))
-                .unionByName(as_rows(tomb_in, "deleted_ts", _TOMB, _MARKER)))
+        marker = (_MARKER,) if marked else ()
+        rows = (rows.unionByName(as_rows(touched, "record_start_ts", _EXISTING, *marker))
+                .unionByName(as_rows(tomb_in, "deleted_ts", _TOMB, *marker)))
 
     if chunked:
-        # Hot keys are cut into m equal time ranges (chunk ids grow with time,
-        # so order across chunks is order in time); a marker goes to every
-        # chunk of its key. Every other key is one chunk.
-        span = (F.unix_micros(F.col("_hi")) - F.unix_micros(F.col("_lo")) + F.lit(1)).cast("double")
-        pos = (F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_lo"))).cast("double") / span
-        chunk_of = F.least(F.col("_m") - 1, F.greatest(F.lit(0), F.floor(pos * F.col("_m")))).cast("long")
-        chunk_ids = (
-            F.when(F.col("_m").isNull(), F.array(F.lit(0).cast("long")))
-            .when(F.col("_kind") == _MARKER, F.sequence(F.lit(0).cast("long"), (F.col("_m") - 1).cast("long")))
-            .otherwise(F.array(F.coalesce(chunk_of, F.lit(0).cast("long"))))
-        )
-        rows = rows.join(hot, key, "left").select(*payload, ts, "_kind", F.explode(chunk_ids).alias("_chunk"))
+        # Chunk ids grow with time, so order across chunks is order in time.
+        cuts = quantile_cuts(rows, key, ts, max_group_rows)
+        chunk = F.size(F.filter("_cuts", lambda c: c < F.unix_micros(ts)))
+        rows = rows.join(cuts, key, "left").select(
+            *payload, ts, "_kind", F.when(F.col("_cuts").isNull(), 0).otherwise(chunk).cast("long").alias("_chunk"),
+            F.col("_cuts").isNotNull().alias("_hot"))
     else:
         rows = rows.withColumn("_chunk", F.lit(0).cast("long"))
 
@@ -289,21 +314,19 @@ def scd2_merge(
     # late split, the tie collapse and the later windows (ordered by time, a
     # prefix of this order) reuse its partitioning and order (a checkpoint
     # keeps both: it records the plan's output partitioning).
-    order_fields = [h, *spec.type1_columns, *[c for c in others if c != h and c not in spec.type1_columns]]
     rank = F.when(F.col("_kind") == _CHANGE, _op_rank(F.col(op))).otherwise(-1)
     rows = rows.withColumn("_rank", rank)
     tie_order = Window.partitionBy(key, "_chunk").orderBy(
         F.col(ts).asc_nulls_first(), F.col("_rank").desc(), *[F.col(c).desc() for c in order_fields])
     whole = tie_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    boundary = (F.max(F.when(F.col("_kind") == _MARKER, F.col(ts))).over(whole) if has_state
+    boundary = (F.max(F.when(F.col("_kind") == _MARKER, F.col(ts))).over(whole) if marked
                 else F.lit(None).cast("timestamp"))
     rows = rows.select("*", boundary.alias("_boundary"), F.lag(ts).over(tie_order).alias("_prev_ts"))
     if chunked and materialize:
         rows = rows.checkpoint(eager=True)
     is_change = F.col("_kind") == _CHANGE
     is_late = is_change & F.col("_boundary").isNotNull() & (F.col(ts) <= F.col("_boundary"))
-    late = untimed
-    if has_state:
+    if marked:
         late = late.unionByName(rows.where(is_late).select(
             *payload, F.col(ts).alias(spec.ts_col), F.col("_boundary").alias("late_boundary_ts")))
 
@@ -313,11 +336,9 @@ def scd2_merge(
     first_of_time = F.col("_prev_ts").isNull() | (F.col("_prev_ts") != F.col(ts))
     events = rows.where((is_change & ~is_late & first_of_time) | F.col("_kind").isin(_EXISTING, _TOMB)).select(
         *payload, ts, "_chunk", "_kind",
-        ((F.col("_kind") == _TOMB) | ((F.col("_kind") == _CHANGE) & (F.col(op) == OP_DELETE))).alias("_del"))
+        ((F.col("_kind") == _TOMB) | ((F.col("_kind") == _CHANGE) & (F.col(op) == OP_DELETE))).alias("_del"),
+        *(["_hot"] if chunked else []))
     w = Window.partitionBy(key, "_chunk").orderBy(ts)
-    if chunked:
-        events = events.join(hot.select(key, F.lit(True).alias("_hot")), key, "left").withColumn(
-            "_hot", F.coalesce(F.col("_hot"), F.lit(False)))
 
     chunks = Window.partitionBy(key).orderBy("_chunk")
     state = F.struct(F.col("_del").alias("d"), F.col(h).alias("h"))
@@ -330,7 +351,7 @@ def scd2_merge(
             .select(key, "_chunk", F.lag("_last").over(chunks).alias("_chunk_prev"))
             .where(F.col("_chunk_prev").isNotNull())
         )
-        ev = ev.join(F.broadcast(chunk_prev), [key, "_chunk"], "left")
+        ev = ev.join(chunk_prev, [key, "_chunk"], "left")
         prev = F.coalesce(F.col("_prev"), F.col("_chunk_prev"))
     # A tombstone is always kept: if nothing later is kept it is the key's
     # tombstone again; for the events after it, it acts as "no version".
@@ -350,7 +371,7 @@ def scd2_merge(
                     F.min("_first").over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("_chunk_next"))
             .where(F.col("_chunk_next").isNotNull())
         )
-        kept = (kept.join(F.broadcast(chunk_next), [key, "_chunk"], "left")
+        kept = (kept.join(chunk_next, [key, "_chunk"], "left")
                 .withColumn("_next", F.coalesce("_next", "_chunk_next")))
 
     if spec.type1_columns:
@@ -396,12 +417,12 @@ def _apply_type1(ev: DataFrame, kept: DataFrame, spec: DimensionSpec, w: Window,
     runs = ev.withColumn("_vstart", F.max(F.when(F.col("_keep"), F.col(ts))).over(upto))
     if chunks is not None:
         chunk_prior = (
-            ev.where(F.col("_hot") & F.col("_keep")).groupBy(key, "_chunk").agg(F.max(ts).alias("_last_kept"))
+            ev.where("_hot").groupBy(key, "_chunk").agg(F.max(F.when(F.col("_keep"), F.col(ts))).alias("_last_kept"))
             .select(key, "_chunk",
                     F.max("_last_kept").over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_prior"))
             .where(F.col("_prior").isNotNull())
         )
-        runs = (runs.join(F.broadcast(chunk_prior), [key, "_chunk"], "left")
+        runs = (runs.join(chunk_prior, [key, "_chunk"], "left")
                 .withColumn("_vstart", F.coalesce("_vstart", "_prior")))
     runs = (
         runs.where(F.col("_vstart").isNotNull())

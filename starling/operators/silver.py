@@ -17,6 +17,7 @@ from starling.functions.text import (
     round_price,
     to_date_safe,
     to_int_safe,
+    price_text,
     to_price_decimal,
     to_timestamp_safe,
 )
@@ -52,16 +53,16 @@ def silver_customer(bronze: DataFrame, run_ts: str | None = None, hash_sep: str
 
 def silver_product(bronze: DataFrame, run_ts: str | None = None, hash_sep: str = "",
                    hash_null_marker: str | None = None) -> DataFrame:
-    """B2. The hash sees the unrounded price, as DECIMAL(12,4) text so it is
-    stable; the stored price is rounded to 2 digits afterwards."""
-    r = rename_columns(bronze, PRODUCT_RENAMES).withColumn("product_price", to_price_decimal("product_price"))
+    """B2. The hash sees the price as delivered; the stored price is parsed
+    and rounded to 2 digits."""
+    r = rename_columns(bronze, PRODUCT_RENAMES)
     return r.select(
         "cdc_operation", "product_id", "product_name", "brand_name", "product_description",
-        round_price(F.col("product_price")).alias("product_price"),
+        round_price(to_price_decimal("product_price")).alias("product_price"),
         "product_category",
         change_hash(
-            "product_name", "brand_name", "product_description", F.col("product_price").cast("string"),
-            "product_category", sep=hash_sep, null_marker=hash_null_marker,
+            *PRODUCT_HASHED[:3], price_text("product_price"), *PRODUCT_HASHED[4:], sep=hash_sep,
+            null_marker=hash_null_marker,
         ).alias("hash_value"),
         run_timestamp(run_ts).alias("record_start_ts"),
         open_end().alias("record_end_ts"),

@@ -90,9 +90,18 @@ def silver_read_schema(table: str) -> StructType:
     return StructType(list(SILVER_SCHEMAS[table].fields) + [StructField("batch_id", LongType(), True)])
 
 
-def stream_silver(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+def stream_silver(spark: SparkSession, lake: Lake, table: str, max_files: int | None = None) -> DataFrame:
     """S11 as a stream: only silver files no earlier run of the job took."""
-    return spark.readStream.schema(silver_read_schema(table)).parquet(lake.silver(table))
+    reader = spark.readStream.schema(silver_read_schema(table))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", int(max_files))
+    return reader.parquet(lake.silver(table))
+
+
+def stream_id(batch: DataFrame) -> str | None:
+    """Id of the stream that runs this micro-batch: kept by its checkpoint, so
+    a lost or reset checkpoint is a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str | None = None,
@@ -131,8 +140,11 @@ def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str |
 
 
 def start_dimension_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, table: str,
-                        max_group_rows: int | None = None) -> StreamingQuery | None:
-    """B5/B6 then M1/M2: stage truncate-load of the increment, then merge."""
+                        max_group_rows: int | None = None,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery | None:
+    """B5/B6 then M1/M2: stage truncate-load of the increment, then merge.
+    ``max_files_per_trigger`` bounds a micro-batch; the stage table then holds
+    the run's last one."""
     if not path_exists(spark, lake.silver(table)):
         return None
     stage_table, stage_schema, spec = DIMENSION_JOBS[table]
@@ -144,14 +156,15 @@ def start_dimension_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, t
         lake.reports.append(warehouse.load(batch, stage_table, stage_schema, mode="truncate_load",
                                            analyze="columns"))
         kwargs = {"max_group_rows": max_group_rows} if max_group_rows else {}
-        store.apply(batch, batch_id, **kwargs)
+        store.apply(batch, batch_id, source=stream_id(batch), **kwargs)
 
-    return start_available_now(stream_silver(spark, lake, table), process, lake.checkpoint("dimension", table),
+    stream = stream_silver(spark, lake, table, max_files_per_trigger)
+    return start_available_now(stream, process, lake.checkpoint("dimension", table),
                                name=f"dimension_{table}")
 
 
 def start_fact_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, table: str,
-                   mode: str = "append") -> StreamingQuery | None:
+                   mode: str = "append", max_files_per_trigger: int | None = None) -> StreamingQuery | None:
     """``append`` replaces only this batch's partition; ``truncate_load``
     keeps the source jobs' literal behaviour."""
     if not path_exists(spark, lake.silver(table)):
@@ -165,5 +178,6 @@ def start_fact_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, table:
         lake.reports.append(warehouse.load(batch, fact_table, fact_schema, mode=mode, analyze="table",
                                            load_id=load_id))
 
-    return start_available_now(stream_silver(spark, lake, table), process, lake.checkpoint("fact", table),
+    stream = stream_silver(spark, lake, table, max_files_per_trigger)
+    return start_available_now(stream, process, lake.checkpoint("fact", table),
                                name=f"fact_{table}")

@@ -97,10 +97,10 @@ SILVER_PRODUCT = f"""
 silver_product AS (
   SELECT op AS cdc_operation, productid AS product_id, productname AS product_name, brandname AS brand_name,
          productdescription AS product_description,
-         CAST(round(TRY_CAST(price AS DECIMAL(12,4)), 2) AS DOUBLE) AS product_price,
+         CAST(round(TRY_CAST(price AS DECIMAL(38,18)), 2) AS DOUBLE) AS product_price,
          productcategory AS product_category,
          sha256(concat_ws('', productname, brandname, productdescription,
-                          CAST(TRY_CAST(price AS DECIMAL(12,4)) AS VARCHAR), productcategory)) AS hash_value,
+                          trim(price), productcategory)) AS hash_value,
          TIMESTAMP '{RUN_TS}' AS record_start_ts, TIMESTAMP '9999-12-31 00:00:00' AS record_end_ts,
          1 AS active_flag, TRY_CAST(dms_timestamp AS TIMESTAMP) AS dms_timestamp,
          DATE '{RUN_DATE}' AS ingestion_date
@@ -259,7 +259,7 @@ FROM bronze_customer""",
     "product_hash": with_(BRONZE_PRODUCT) + f"""
 SELECT productid AS product_id, {ts('CAST(dms_timestamp AS TIMESTAMP)', 'dms_timestamp')},
        sha256(concat_ws('', productname, brandname, productdescription,
-                        CAST(TRY_CAST(price AS DECIMAL(12,4)) AS VARCHAR), productcategory)) AS hash_value
+                        trim(price), productcategory)) AS hash_value
 FROM bronze_product""",
     "customer_names": """
 SELECT c_custkey AS customer_key, c_name AS full_name,
@@ -356,3 +356,45 @@ bronze_product AS (
 
 SQL["dim_product_price_history"] = with_(PRICE_FEED, SILVER_PRODUCT, scd2_ctes("silver_product", "product_id")) + \
     "\n" + scd2_select(PRODUCT_COLS)
+
+
+# Every third product's price observations on product 3, and one of 1901.
+HOT_FEED = PRICE_FEED.replace("bronze_product AS (", "feed AS (", 1) + """,
+bronze_product AS (
+  SELECT * REPLACE (CASE WHEN CAST(productid AS BIGINT) % 3 = 0 THEN '3' ELSE productid END AS productid) FROM feed
+  UNION ALL SELECT * REPLACE ('1901-01-01 00:00:00' AS dms_timestamp)
+  FROM (SELECT * FROM feed WHERE productid = '3' ORDER BY dms_timestamp, price LIMIT 1))"""
+
+SQL["dim_product_hot_key"] = with_(HOT_FEED, SILVER_PRODUCT, scd2_ctes("silver_product", "product_id")) + \
+    "\n" + scd2_select(PRODUCT_COLS)
+SQL["dim_customer_type1_chunked"] = DIM_CUSTOMER_TYPE1_SQL
+SQL["fact_orders_truncate_load"] = SQL["fact_orders"]
+SQL["table_statistics"] = """
+SELECT 'stage_dim_customer' AS table_name, (SELECT count(*) FROM bronze_customer) AS rows, 'customer_id' AS column_name,
+       true AS has_column_statistics
+UNION ALL SELECT 'stage_dim_product', (SELECT count(*) FROM bronze_product), 'product_id', true
+UNION ALL SELECT 'fact_orders', (SELECT count(*) FROM orders), NULL, false
+UNION ALL SELECT 'fact_order_details', (SELECT count(*) FROM lineitem), NULL, false"""
+SQL["table_statistics"] = with_(BRONZE_CUSTOMER, BRONZE_PRODUCT) + SQL["table_statistics"]
+SQL["silver_product_prices"] = """
+WITH p AS (SELECT *, CAST(round(p_retailprice * 100) AS BIGINT) AS cents FROM part),
+t AS (SELECT *, concat(CAST(cents // 100 + (p_partkey % 3) * 100000000 AS VARCHAR), '.',
+               lpad(CAST(cents % 100 AS VARCHAR), 2, '0'), lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0')) AS price FROM p)
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, CAST(round(CAST(price AS DECIMAL(38,18)), 2) AS DOUBLE) AS product_price,
+       sha256(concat_ws('', p_name, p_brand, p_type, price, p_type)) AS hash_value
+FROM t"""
+_INT, _STR, _TS, _DATE = "int", "string", "timestamp", "date"
+_SCHEMAS = {  # fixed values: input columns of the loads
+    "stage_dim_customer": [(c, _INT if c == "active_flag" else _TS if c.endswith("_ts") or c == "dms_timestamp" else
+                            _DATE if c == "ingestion_date" else _STR) for c in SILVER_CUSTOMER_COLS],
+    "stage_dim_product": [(c, _INT if c == "active_flag" else "double" if c == "product_price" else
+                           _TS if c.endswith("_ts") or c == "dms_timestamp" else
+                           _DATE if c == "ingestion_date" else _STR) for c in SILVER_PRODUCT_COLS],
+    "fact_orders": [(c, _INT if c.startswith(("order_year", "order_month")) else _TS if c == "dms_timestamp" else
+                     _DATE if c.endswith("_date") else _STR) for c in ORDER_COLS],
+    "fact_order_details": [(c, _INT if c == "product_quantity" else _TS if c == "dms_timestamp" else
+                            _DATE if c.startswith("ingestion_date") else _STR) for c in ORDER_DETAIL_COLS],
+}
+SQL["load_schemas"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{d}' AS data_type"
+    for t, cols in _SCHEMAS.items() for i, (c, d) in enumerate(cols))

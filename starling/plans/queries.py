@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.functions.hashing import change_hash
-from starling.functions.text import name_token, to_price_decimal
+from starling.functions.text import name_token, price_text
 from starling.operators.rename import CUSTOMER_RENAMES, PRODUCT_RENAMES, rename_columns
 from starling.operators.scd2 import (
     CUSTOMER_DIM,
@@ -100,7 +100,7 @@ def q_product_hash(spark, sf_dir):
         "product_id",
         F.date_format(F.col("dms_timestamp").try_cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("dms_timestamp"),
         change_hash("product_name", "brand_name", "product_description",
-                    to_price_decimal("product_price").cast("string"), "product_category").alias("hash_value"),
+                    price_text("product_price"), "product_category").alias("hash_value"),
     )
 
 
@@ -153,12 +153,34 @@ def q_dim_customer_type1(spark, sf_dir):
 
 def delayed_inserts(df: DataFrame) -> "F.Column":
     """The 2024-01-01 inserts of keys ending in 2: the out-of-order arrivals
-    of the late-change scenario."""
-    return (
+    of the late-change scenario (false where a part of it is unknown)."""
+    return F.coalesce(
         (F.col("cdc_operation") == "I")
         & (F.col("dms_timestamp") == F.lit("2024-01-01 00:00:00").cast("timestamp"))
-        & (F.col("customer_id").cast("long") % 10 == 2)
-    )
+        & (F.col("customer_id").try_cast("long") % 10 == 2), F.lit(False))
+
+
+def q_dim_customer_type1_chunked(spark, sf_dir):
+    """Rule 7 under chunking: keys of more than one change are cut."""
+    spec = CUSTOMER_DIM.with_type1("cust_email")
+    r = scd2_merge(empty_dimension(spark, spec), empty_tombstones(spark, spec), silver(spark, sf_dir, "customer"), spec,
+                   max_group_rows=1)
+    return time_as_text(r.dimension())
+
+
+def q_dim_product_hot_key(spark, sf_dir):
+    """M2 with a hot key: every line item is a price change, those of a third
+    of the orders on one product; one change lies years before the others, many
+    share a time, and a key is cut after 500 changes."""
+    feed = product_price_feed(spark, sf_dir)
+    bucket = F.pmod(F.col("productId").cast("long"), F.lit(3)) == 0
+    hot = feed.withColumn("productId", F.when(bucket, F.lit("3")).otherwise(F.col("productId")))
+    early = feed.where("productId = '3'").orderBy("dms_timestamp", "price").limit(1).withColumn(
+        "dms_timestamp", F.lit("1901-01-01 00:00:00"))
+    changes = silver_product_fn(hot.unionByName(early), run_ts=RUN_TS)
+    r = scd2_merge(empty_dimension(spark, PRODUCT_DIM), empty_tombstones(spark, PRODUCT_DIM), changes, PRODUCT_DIM,
+                   max_group_rows=500)
+    return time_as_text(r.dimension())
 
 
 def q_late_changes(spark, sf_dir):
@@ -182,8 +204,10 @@ def q_dim_customer_scd2_incremental(spark, sf_dir):
     gives the same dimension as one batch."""
     s = silver(spark, sf_dir, "customer")
     store = DimensionStore(spark, shared_path(spark, "dim_customer_incremental", unique=True), CUSTOMER_DIM)
-    for n, day in enumerate(CHANGE_DAYS):
-        store.apply(s.where(F.to_date("dms_timestamp") == F.lit(day).cast("date")), n)
+    day = F.coalesce(F.to_date("dms_timestamp").cast("string"), F.lit(""))
+    for n, d in enumerate(CHANGE_DAYS):
+        store.apply(s.where(day == d), n)
+    store.apply(s.where(~day.isin(*CHANGE_DAYS)), len(CHANGE_DAYS))  # any other day, and no time at all
     return time_as_text(store.dimension())
 
 
@@ -202,10 +226,10 @@ def q_incremental_customer(spark, sf_dir):
     files, a third run without new files takes nothing."""
     lake = Lake(shared_path(spark, "incremental_customer", unique=True))
     changes = bronze(spark, sf_dir, "customer")
-    day = F.substring("dms_timestamp", 1, 10)
-    write_change_files(changes.where(day <= F.lit("2024-01-02")), lake.bronze("customer"))
+    early = F.coalesce(F.substring("dms_timestamp", 1, 10) <= F.lit("2024-01-02"), F.lit(False))
+    write_change_files(changes.where(early), lake.bronze("customer"))
     await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
-    write_change_files(changes.where(day > F.lit("2024-01-02")), lake.bronze("customer"))
+    write_change_files(changes.where(~early), lake.bronze("customer"))
     await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
     await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
     out = read_partitioned(spark, lake.silver("customer"), SILVER_CUSTOMER)
@@ -264,6 +288,56 @@ def q_fact_orders(spark, sf_dir):
     return _fact(spark, sf_dir, "orders")
 
 
+def q_fact_orders_truncate_load(spark, sf_dir):
+    """K6: a truncate-load of a fact table that loads were appended to before
+    empties all of it: one copy."""
+    wh = _warehouse(spark)
+    fact_table, schema = FACT_JOBS["orders"]
+    rows = silver(spark, sf_dir, "orders")
+    for load_id in (0, 1):
+        wh.load(rows, fact_table, schema, mode="append", load_id=load_id)
+    wh.load(rows, fact_table, schema, mode="truncate_load")
+    return time_as_text(wh.table(fact_table).drop("load_id"))
+
+
+def q_table_statistics(spark, sf_dir):
+    """K8: row count and, for the stage tables, distinct values of the key, as
+    the catalog has them after the loads' ANALYZE."""
+    wh, out = _warehouse(spark), []
+    for table, (stage_table, schema, spec) in DIMENSION_JOBS.items():
+        wh.load(silver(spark, sf_dir, table), stage_table, schema, mode="truncate_load", analyze="columns")
+        out.append((stage_table, wh.statistics(stage_table), spec.key, wh.column_has_statistics(stage_table, spec.key)))
+    for table, (fact_table, schema) in FACT_JOBS.items():
+        wh.load(silver(spark, sf_dir, table), fact_table, schema, mode="truncate_load", analyze="table")
+        out.append((fact_table, wh.statistics(fact_table), None, False))
+    return spark.createDataFrame(out, "table_name string, rows long, column_name string, has_column_statistics boolean")
+
+
+def q_load_schemas(spark, sf_dir):
+    """A3: the input columns of each load, as reported by it."""
+    wh, out = _warehouse(spark), []
+    jobs = [(t, j[0], j[1]) for t, j in DIMENSION_JOBS.items()] + [(t, *j) for t, j in FACT_JOBS.items()]
+    for table, target, schema in jobs:
+        report = wh.load(silver(spark, sf_dir, table), target, schema, mode="truncate_load", analyze=None)
+        out += [(target, i, f.name, f.dataType.simpleString()) for i, f in enumerate(report.input_schema.fields)]
+    return spark.createDataFrame(out, "table_name string, position int, column_name string, data_type string")
+
+
+def q_silver_product_prices(spark, sf_dir):
+    """F8, F2: prices of five decimals and above 10^8 from every part, rounded
+    to two; two prices that differ in the fifth decimal hash differently."""
+    p = load_table(spark, sf_dir, "part")
+    cents = F.round(F.col("p_retailprice") * 100).cast("long")
+    whole = (F.floor(cents / 100) + (F.col("p_partkey") % 3) * 100_000_000).cast("long")
+    text = F.concat(whole.cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"),
+                    F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0"))
+    raw = p.select(
+        F.lit("I").alias("Op"), F.col("p_partkey").cast("string").alias("productId"), F.col("p_name").alias("productName"),
+        F.col("p_brand").alias("brandName"), F.col("p_type").alias("productDescription"), text.alias("price"),
+        F.col("p_type").alias("productCategory"), F.lit(RUN_TS).alias("dms_timestamp"))
+    return silver_product_fn(raw, run_ts=RUN_TS).select("product_id", "product_price", "hash_value")
+
+
 def q_fact_order_details(spark, sf_dir):
     return _fact(spark, sf_dir, "orderdetails")
 
@@ -341,6 +415,12 @@ QUERIES = {
     "fact_orders": q_fact_orders,
     "fact_order_details": q_fact_order_details,
     "load_report": q_load_report,
+    "dim_customer_type1_chunked": q_dim_customer_type1_chunked,
+    "dim_product_hot_key": q_dim_product_hot_key,
+    "fact_orders_truncate_load": q_fact_orders_truncate_load,
+    "table_statistics": q_table_statistics,
+    "load_schemas": q_load_schemas,
+    "silver_product_prices": q_silver_product_prices,
     "snapshot_export_product": q_snapshot_export_product,
     "layer_counts": q_layer_counts,
 }

@@ -2,8 +2,8 @@
 
 On a cluster the folder named by ``spark.checkpoint.dir`` is shared by the
 driver and all executors, so every intermediate table, stream checkpoint and
-dimension version lives below it. Only where it is unset (tests, a laptop) do
-we create one ourselves.
+dimension version lives below it. Only in local mode (tests, a laptop) do we
+create one ourselves where it is unset.
 """
 
 from __future__ import annotations
@@ -53,13 +53,18 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Read from the session; when unset, a folder is created and registered as
-    the checkpoint dir so later ``checkpoint()`` calls land in the same place.
+    Read from the session. Where it is unset, a folder is created (and
+    registered as the checkpoint dir) only if driver and executors are one
+    local process; elsewhere a folder of the driver's machine would be lost
+    with it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         root = tempfile.mkdtemp(prefix="starling-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

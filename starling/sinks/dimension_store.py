@@ -30,7 +30,6 @@ history is only appended.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +49,21 @@ from starling.operators.scd2 import (
 )
 from starling.session import content_bytes, conf_bytes, delete_path, list_dir_names, make_dirs, path_exists
 
+#: Most buckets of a batch's table.
+MAX_BUCKETS = 1 << 14
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's scanned input (0 if it has none)."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 0 if size >= 1 << 62 else size
+
+
+class RestartedBatchError(ValueError):
+    """A batch id that is older than the newest commit, or the newest commit's
+    id with another input: the stream's checkpoint was lost or reset."""
+
+
 class DimensionStore:
     def __init__(self, spark: SparkSession, root: str, spec: DimensionSpec, buckets: int | None = None):
         """``buckets`` fixes the bucket count; by default it follows the size
@@ -62,22 +76,22 @@ class DimensionStore:
             StructField("batch_id", LongType(), True), StructField("part", StringType(), True)])
         self.prefix = f"starling_{spec.name}_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}"
 
-    def bucket_count(self, base: int | None) -> int:
-        """Buckets for the next batch, from metadata only: the stored size of
-        the base batch's active set over the advisory partition size (AQE's
-        target task size), at least the default parallelism, rounded up to a
-        power of two so the count rarely changes between batches (a batch
+    def bucket_count(self, base: int | None, batch_bytes: int = 0) -> int:
+        """Buckets for the next batch, from sizes that are known beforehand: the
+        stored active set of the base batch plus the batch itself (the
+        optimizer's estimate of its input) over the advisory partition size
+        (AQE's target task size), at least the default parallelism, rounded up
+        to a power of two so the count rarely changes between batches (a batch
         whose count differs from its base's still works; its writer then
         emits more files)."""
         if self.fixed_buckets:
             return int(self.fixed_buckets)
         floor = max(1, self.spark.sparkContext.defaultParallelism)
-        need = 1
+        target = conf_bytes(self.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        stored = batch_bytes
         if base is not None:
-            target = conf_bytes(self.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-            stored = content_bytes(self.spark, f"{self.root}/batches/batch_id={int(base)}/part=active")
-            need = -(-stored // max(target, 1))
-        n = max(floor, need)
+            stored += content_bytes(self.spark, f"{self.root}/batches/batch_id={int(base)}/part=active")
+        n = min(max(floor, -(-stored // max(target, 1))), MAX_BUCKETS)
         return 1 << (n - 1).bit_length()
 
     def _table(self, batch_id: int) -> str:
@@ -176,11 +190,36 @@ class DimensionStore:
         return removed
 
     # ------------------------------------------------------------ writing
-    def apply(self, changes: DataFrame, batch_id: int, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> MergeResult:
-        """Merge one batch of silver changes and commit it as ``batch_id``."""
+    def check_order(self, batch_id: int, source: str | None) -> None:
+        """Refuse a batch id that restarted. The newest committed batch may be
+        applied again (a replay after a crash between its commit and the
+        stream's), but only from the same source (stream checkpoint)."""
+        newest = self.last_committed()
+        if newest is None or batch_id > newest:
+            return
+        if batch_id < newest:
+            raise RestartedBatchError(f"batch {batch_id} of {self.root} is older than its newest commit {newest}")
+        known = self.commit_source(batch_id)
+        if known and source and known != source:
+            raise RestartedBatchError(f"batch {batch_id} of {self.root} was committed by {known}, not by {source}")
+
+    def commit_source(self, batch_id: int) -> str | None:
+        """The source recorded with a commit, as a folder name (no job)."""
+        for name in list_dir_names(self.spark, f"{self.root}/layout/batch_id={int(batch_id)}"):
+            if name.startswith("source="):
+                return name.split("=", 1)[1]
+        return None
+
+    def apply(self, changes: DataFrame, batch_id: int, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+              source: str | None = None) -> MergeResult:
+        """Merge one batch of silver changes and commit it as ``batch_id``.
+        ``source`` names where the batch ids come from (a stream's id)."""
+        self.check_order(batch_id, source)
         base = self.last_committed(below=batch_id)
         # a replay keeps the layout of its first attempt
-        self.buckets = self._layout(batch_id) or self.bucket_count(base)
+        self.buckets = self._layout(batch_id) or self.bucket_count(base, estimated_bytes(changes))
+        if source:
+            make_dirs(self.spark, f"{self.root}/layout/batch_id={int(batch_id)}/source={source}")
         make_dirs(self.spark, f"{self.root}/layout/batch_id={int(batch_id)}/buckets={self.buckets}")
         active, tombs = self.state(base)
         result = scd2_merge(active, tombs, changes, self.spec, max_group_rows=max_group_rows,
@@ -195,13 +234,9 @@ class DimensionStore:
     def write(self, result: MergeResult, batch_id: int) -> None:
         """All parts of one batch in one job; replaces that batch's partitions."""
         rows = result.rows
-        session, view = rows.sparkSession, f"_starling_dim_{uuid.uuid4().hex}"
-        rows.createOrReplaceTempView(view)
-        cols = ", ".join(f"`{f.name}`" for f in self.row_schema.fields)
         if self._layout(batch_id) is None:
             make_dirs(self.spark, f"{self.root}/layout/batch_id={int(batch_id)}/buckets={self.buckets}")
         table = self._register(batch_id)
-        try:
-            session.sql(f"INSERT OVERWRITE {table} PARTITION (part) SELECT {cols}, part FROM {view}")
-        finally:
-            session.catalog.dropTempView(view)
+        # static: parts that a failed attempt left behind go, whatever the session's mode
+        (rows.select(*[f.name for f in self.row_schema.fields], "part").write
+         .option("partitionOverwriteMode", "static").insertInto(table, overwrite=True))

@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Partition that a truncate-load writes in a table partitioned by load_id.
+TRUNCATED_LOAD = -1
+
+
 class SchemaMismatchError(ValueError):
     pass
 
@@ -43,15 +47,16 @@ def ddl(schema: StructType) -> str:
 
 @dataclass
 class LoadReport:
-    """A2/A3: rows read from the input (observed during the write), rows in
-    what the load wrote (the table after a truncate-load, the batch's
-    partition after a replay-safe append), and the input schema."""
+    """A2/A3: rows read from the input and rows the load wrote (observed
+    during the write: a projection neither adds nor drops rows), and the input
+    schema."""
 
     table: str
     rows_read: int
     rows_written: int
     mode: str
     schema: str = ""
+    input_schema: StructType | None = None
 
 
 class Warehouse:
@@ -75,13 +80,18 @@ class Warehouse:
              analyze: str | None = "table", load_id: int | None = None) -> LoadReport:
         """K4 + K6/K7 + K8. ``mode``: ``truncate_load`` (empty, then load) or
         ``append``. With ``load_id`` the table is partitioned by it and the
-        load replaces only that partition (replay-safe append)."""
+        load replaces only that partition (replay-safe append). A truncate-load
+        of such a table without a ``load_id`` replaces all its partitions by
+        one, TRUNCATED_LOAD; a plain append to it is an error."""
         if mode not in ("truncate_load", "append"):
             raise ValueError(f"unknown load mode {mode!r}")
         self.create_table(table, schema, partitioned_by_load=load_id is not None)
         obs = Observation(f"load_{table}")
         rows = conform(df, schema).observe(obs, F.count(F.lit(1)).alias("rows"))
         target = self.qualified(table)
+        partitioned = "load_id" in self.table(table).columns
+        if load_id is None and partitioned and mode == "append":
+            raise ValueError(f"{table} is partitioned by load_id: an append needs one")
         if load_id is not None:
             # the frame may belong to a stream's session (foreachBatch), and
             # several loads may run at once: a unique view in that session
@@ -92,12 +102,13 @@ class Warehouse:
             finally:
                 session.catalog.dropTempView(view)
         else:
-            rows.write.insertInto(target, overwrite=(mode == "truncate_load"))
+            if partitioned:
+                rows = rows.withColumn("load_id", F.lit(TRUNCATED_LOAD).cast("long"))
+            (rows.write.option("partitionOverwriteMode", "static")
+             .insertInto(target, overwrite=(mode == "truncate_load")))
         self.analyze(table, analyze, load_id)
-        written = self.table(table)
-        if load_id is not None:
-            written = written.where(F.col("load_id") == int(load_id))
-        return LoadReport(table, int(obs.get.get("rows", 0)), written.count(), mode, df.schema.simpleString())
+        n = int(obs.get.get("rows", 0))
+        return LoadReport(table, n, n, mode, df.schema.simpleString(), df.schema)
 
     def analyze(self, table: str, level: str | None = "table", load_id: int | None = None) -> None:
         """K8: ``table`` = size and row count (Parquet footers only);
@@ -110,6 +121,19 @@ class Warehouse:
         elif level == "columns":
             self.spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS FOR ALL COLUMNS")
 
+    def _described(self, table: str, column: str = "") -> dict[str, str]:
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.qualified(table)} {column}").collect()
+        return {r[0]: r[1] for r in rows}
+
+    def statistics(self, table: str) -> int | None:
+        """K8: the row count in the catalog (None if not analyzed)."""
+        found = [w for w in self._described(table).get("Statistics", "").split(", ") if w.endswith(" rows")]
+        return int(found[0].split()[0]) if found else None
+
+    def column_has_statistics(self, table: str, column: str) -> bool:
+        """K8: whether the catalog has a distinct count for the column."""
+        return self._described(table, f"`{column}`").get("distinct_count", "NULL") != "NULL"
+
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))
 

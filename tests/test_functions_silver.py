@@ -61,7 +61,7 @@ def test_silver_product_hashes_unrounded_price(spark):
     r = silver_product(df, run_ts="2024-01-05 00:00:00").first()
     import hashlib
     assert r.product_price == 10.01
-    assert r.hash_value == hashlib.sha256("nbd10.0050c".encode()).hexdigest()
+    assert r.hash_value == hashlib.sha256("nbd10.005c".encode()).hexdigest()
 
 
 def test_silver_orders_and_details(spark):
