@@ -19,7 +19,9 @@ such texts are kept, with a low score.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
 and rejected; a tie goes to the language with more training rows; repeated rows
 get the same answer; with no labelled row at all everything is ``und``; further
-columns are ignored. Long texts are compressed whole, as one stream.
+columns are ignored. Long texts are compressed whole, in blocks of
+``BLOCK_BYTES`` that each start from the dictionary: in one long stream a text's
+own repetition would hide it.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ PER_LANGUAGE = 256
 DICTIONARY_BYTES = 112 * 1024
 #: Languages that get a dictionary (the most frequent labels).
 MAX_LANGUAGES = 128
+#: Bytes of a text that are compressed at a time.
+BLOCK_BYTES = 4096
 #: Compression level.
 LEVEL = 5
 #: A margin below this share of the smallest size is narrow.
@@ -123,7 +127,8 @@ class Classifier:
         data = normalise(text).encode("utf-8") if text and self.labels else b""
         if not data:
             return "und", 0.0, 0.0, True
-        sizes = sorted((len(c.compress(data)), k) for k, c in enumerate(self.compressors))
+        blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in enumerate(self.compressors))
         best = sizes[0]
         margin = sizes[1][0] / best[0] - 1.0 if len(sizes) > 1 else 1.0
         return self.labels[best[1]], 1.0 - 0.5 * math.exp(-20.0 * margin), margin, margin < NARROW and len(data) >= SHORT
