@@ -225,3 +225,63 @@ def test_by_name_job_accepts_moved_and_added_columns(spark, tmp_root):
     write_change_files(first.drop("phone").limit(3), lake.bronze("customer"))
     with pytest.raises(Exception):
         await_all([start_silver_job(spark, lake, "customer", by_name=True)])
+
+
+def test_restarted_batch_id_is_refused(spark, tmp_root):
+    import pytest
+
+    from starling.operators.scd2 import CUSTOMER_DIM
+    from starling.operators.silver import SILVER_FUNCTIONS
+    from starling.sinks.dimension_store import DimensionStore, RestartedBatchError
+    from starling.sources.testtables import CHANGE_LOGS
+
+    s = SILVER_FUNCTIONS["customer"](CHANGE_LOGS["customer"](spark, "/root/testdata/sf0.001"), run_ts="2024-01-05 00:00:00")
+    store = DimensionStore(spark, tmp_root + "/dim", CUSTOMER_DIM)
+    store.apply(s.where("cdc_operation = 'I'"), 0, source="one")
+    store.apply(s.where("cdc_operation <> 'I'"), 1, source="one")
+    before = store.dimension().count()
+    store.apply(s.where("cdc_operation <> 'I'"), 1, source="one")  # a replay
+    assert store.dimension().count() == before
+    with pytest.raises(RestartedBatchError):
+        store.apply(s, 0, source="two")
+    with pytest.raises(RestartedBatchError):
+        store.apply(s, 1, source="two")
+    assert store.dimension().count() == before
+
+
+def test_no_local_folder_off_local_mode(monkeypatch):
+    import pytest
+
+    from starling import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Fake:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        session.shared_root(Fake())
+
+
+def test_truncate_load_of_a_partitioned_fact(spark, tmp_root):
+    import pytest
+
+    from starling.plans.jobs import FACT_JOBS
+    from starling.sinks.warehouse import Warehouse
+
+    table, schema = FACT_JOBS["orders"]
+    rows = spark.range(10).selectExpr(*[f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
+    wh = Warehouse(spark, "wh_" + tmp_root.rsplit("/", 1)[-1], tmp_root + "/wh")
+    for load_id in (0, 1):
+        assert wh.load(rows, table, schema, mode="append", load_id=load_id).rows_written == 10
+    with pytest.raises(ValueError):
+        wh.load(rows, table, schema, mode="append")
+    assert wh.load(rows, table, schema, mode="truncate_load").rows_written == 10 and wh.count(table) == 10

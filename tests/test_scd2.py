@@ -266,3 +266,80 @@ def test_generated_logs_match_fold(spark, log, chunked):
     tombs = sorted((x.customer_id, x.t) for x in r.tombstones.select(
         "customer_id", F.date_format("deleted_ts", "HH:mm").alias("t")).collect())
     assert tombs == sorted((k, v[11:16]) for k, v in st_.tombstones.items())
+
+
+# ---------------------------------------------------------------- hot keys
+def _updates(spark, rows):
+    """(key, minute, op, hash, email) as silver customer changes."""
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from starling.operators.scd2 import CUSTOMER_DIM
+
+    base = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(k, None if t is None else base + timedelta(minutes=t), op, h, e) for k, t, op, h, e in rows],
+                               "customer_id string, dms_timestamp timestamp, cdc_operation string, hash_value string, cust_email string")
+    have = set(df.columns)
+    return df.select("dms_timestamp", *[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                                        for f in CUSTOMER_DIM.schema.fields])
+
+
+def _merged(spark, rows, limit, spec):
+    from starling.operators.scd2 import empty_dimension, empty_tombstones, scd2_merge
+
+    r = scd2_merge(empty_dimension(spark, spec), empty_tombstones(spark, spec), _updates(spark, rows), spec, max_group_rows=limit)
+    return r, sorted(tuple(map(str, x)) for x in r.dimension().select(
+        "customer_id", "hash_value", "cust_email", "record_start_ts", "record_end_ts").collect())
+
+
+def test_type1_survives_chunks_without_a_kept_event(spark):
+    from starling.operators.scd2 import CUSTOMER_DIM
+
+    spec = CUSTOMER_DIM.with_type1("cust_email")
+    rows = [("k", 0, "I", "h", "e0")] + [("k", i, "U", "h", f"e{i}") for i in range(1, 20)]
+    whole, chunked = _merged(spark, rows, 1_000_000, spec)[1], _merged(spark, rows, 4, spec)[1]
+    assert whole == chunked and whole[0][2] == "e19"
+
+
+def test_chunked_equals_whole_with_long_runs_of_one_hash(spark):
+    import random
+
+    from starling.operators.scd2 import CUSTOMER_DIM
+
+    spec, rnd = CUSTOMER_DIM.with_type1("cust_email"), random.Random(4)
+    rows = []
+    for k in ("a", "b"):
+        for i in range(80):
+            op = rnd.choice(["U"] * 9 + ["D"])
+            rows.append((k, rnd.randrange(60), op, f"h{rnd.randrange(12) // 10}", f"e{i}"))
+    assert _merged(spark, rows, 1_000_000, spec)[1] == _merged(spark, rows, 7, spec)[1]
+
+
+def test_quantile_cuts_bound_every_chunk(spark):
+    from pyspark.sql import functions as F
+
+    from starling.operators.scd2 import quantile_cuts
+
+    rows = [("out", -3_000_000)] + [("out", i) for i in range(1000)] + [("few", i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, m long").select("k", F.timestamp_micros(F.col("m") * 1_000_000).alias("t"))
+    cuts = quantile_cuts(df, "k", "t", 50)
+    assert [r["k"] for r in cuts.collect()] == ["out"]
+    sizes = (df.join(cuts, "k").withColumn("c", F.size(F.filter("_cuts", lambda c: c < F.unix_micros("t"))))
+             .groupBy("c").count().collect())
+    assert max(r["count"] for r in sizes) <= 100 and len(sizes) >= 15
+
+
+def test_one_timestamp_collapses_before_chunking(spark):
+    from starling.operators.scd2 import CUSTOMER_DIM
+
+    rows = [("k", 5, "U", f"h{i:04d}", "e") for i in range(400)] + [("k", 6, "U", "z", "e")]
+    _, got = _merged(spark, rows, 20, CUSTOMER_DIM)
+    assert [g[1] for g in got] == ["h0399", "z"]
+
+
+def test_null_key_is_late(spark):
+    from starling.operators.scd2 import CUSTOMER_DIM
+
+    r, got = _merged(spark, [(None, 1, "I", "h", "e"), ("k", 1, "I", "h", "e"), ("k", None, "U", "x", "e")], 1_000_000, CUSTOMER_DIM)
+    assert len(got) == 1 and r.late.count() == 2
