@@ -31,6 +31,7 @@ unseen contexts give every bit one half; further columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,9 @@ DEPTH = 3
 #: Bytes of text of a scoring group, and the fewest groups.
 GROUP_BYTES, MIN_GROUPS = 16 << 20, 64
 #: Bytes of text whose counts a task gathers before it emits them.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+#: Values that are gathered before they are merged, and keys in a list.
+MERGE_ROWS, LIST_KEYS = 1 << 21, 1 << 14
 #: Stands for the end of a text and for what precedes it; no UTF-8 byte.
 END = 0xFF
 WORD, GRAM = 0, 1
@@ -206,18 +209,28 @@ def top_tree(strings: DataFrame) -> TopTree:
     return TopTree(*dense)
 
 
-def _group_keys(t: pa.Table) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray]]:
-    texts = [x.lower() for x in texts_as_bytes(t["text"])]
-    return texts, [word_hashes(x) for x in texts], [grams(x) for x in texts]
+def _distinct(arrays: Iterator[np.ndarray], kind: type) -> np.ndarray:
+    """Distinct values of many arrays, merged as they come."""
+    merged, held, size = np.empty(0, kind), [], 0
+    for a in arrays:
+        held.append(a)
+        size += len(a)
+        if size > MERGE_ROWS:
+            merged, held, size = np.unique(np.concatenate([merged, *held])), [], 0
+    return np.unique(np.concatenate([merged, *held]))
 
 
 def _wanted(t: pa.Table) -> pa.Table:
-    """The distinct words and 4-byte strings of a group of documents."""
-    _, words, strings = _group_keys(t)
-    both = [np.unique(np.concatenate(x)) for x in (words, strings)]
-    return pa.table({"grp": pa.array(np.full(sum(map(len, both)), t["grp"][0].as_py(), np.int64)),
-                     "kind": pa.array(np.repeat(np.array([WORD, GRAM], np.int32), [len(x) for x in both])),
-                     "key": pa.array(np.concatenate([x.astype(np.uint64).view(np.int64) for x in both]))})
+    """The distinct words and 4-byte strings of a group of documents, in lists."""
+    texts = [x.lower() for x in texts_as_bytes(t["text"])]
+    rows = []
+    for kind, keys in ((WORD, _distinct((word_hashes(x) for x in texts), np.uint64)),
+                       (GRAM, _distinct((grams(x) for x in texts), np.uint32))):
+        keys = keys.astype(np.uint64).view(np.int64)
+        rows += [(kind, keys[at : at + LIST_KEYS]) for at in range(0, len(keys), LIST_KEYS)]
+    return pa.table({"grp": pa.array([t["grp"][0].as_py()] * len(rows), pa.int64()),
+                     "kind": pa.array([k for k, _ in rows], pa.int32()),
+                     "keys": pa.array([k for _, k in rows], pa.list_(pa.int64()))})
 
 
 def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id") -> DataFrame:
@@ -237,8 +250,8 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id") -
     strings = counts.where(F.col("kind") == GRAM).select("key", "n")
     top = spark.sparkContext.broadcast(top_tree(strings))  # 4 x 65,536 numbers
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("grp"), "doc_id", "held_out", "text")
-    wanted = dealt.groupBy("grp").applyInArrow(_wanted, "grp long, kind int, key long")
-    wanted = cut(wanted)
+    wanted = cut(dealt.groupBy("grp").applyInArrow(_wanted, "grp long, kind int, keys array<long>"))
+    wanted = wanted.select("grp", "kind", F.explode("keys").alias("key"))
     release(spark)
 
     def look_up(known: pa.Table, want: pa.Table) -> pa.Table:
