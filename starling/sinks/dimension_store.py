@@ -54,9 +54,11 @@ MAX_BUCKETS = 1 << 14
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of a frame's scanned input (0 if it has none)."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return 0 if size >= 1 << 62 else size
+    """Bytes of the scans below a frame, as the optimizer knows them (0 where
+    it does not)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 62)
 
 
 class RestartedBatchError(ValueError):
@@ -79,7 +81,7 @@ class DimensionStore:
     def bucket_count(self, base: int | None, batch_bytes: int = 0) -> int:
         """Buckets for the next batch, from sizes that are known beforehand: the
         stored active set of the base batch plus the batch itself (the
-        optimizer's estimate of its input) over the advisory partition size
+        optimizer's sizes of its scans) over the advisory partition size
         (AQE's target task size), at least the default parallelism, rounded up
         to a power of two so the count rarely changes between batches (a batch
         whose count differs from its base's still works; its writer then
