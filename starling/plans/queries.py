@@ -24,20 +24,27 @@ from starling.operators.scd2 import (
     empty_tombstones,
     scd2_merge,
 )
-from starling.operators.silver import CUSTOMER_HASHED, SILVER_FUNCTIONS
+from starling.operators.silver import CUSTOMER_HASHED, SILVER_FUNCTIONS, SILVER_PARTITION
 from starling.operators.silver import silver_product as silver_product_fn
 from starling.operators.sort import sort_for_query
-from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SOURCE_TABLES, Lake, start_silver_job
+from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SILVER_SCHEMAS, SOURCE_TABLES, Lake, start_silver_job
 from starling.plans.oracle_format import time_as_text
 from starling.plans.pipeline import layer_counts, run_pipeline
 from starling.schemas import SILVER_CUSTOMER, SILVER_ORDERS
-from starling.session import shared_path
+from starling.session import path_exists, shared_path
 from starling.sinks.dimension_store import DimensionStore
-from starling.sinks.parquet import read_partitioned, write_change_files, write_partitioned
+from starling.sinks.parquet import read_partitioned, write_batch, write_change_files, write_partitioned
 from starling.sinks.warehouse import Warehouse
-from starling.sources.bronze import read_bronze, read_registered, register_raw_table, snapshot_to_bronze
+from starling.sources.bronze import (
+    header_schema,
+    read_bronze,
+    read_registered,
+    register_raw_table,
+    snapshot_to_bronze,
+    stream_bronze,
+)
 from starling.sources.testtables import CHANGE_LOGS, load_table, product_price_feed
-from starling.streaming.incremental import await_all
+from starling.streaming.incremental import await_all, run_available_now
 
 # Fixed run time of the registered queries, so their audit columns are repeatable.
 RUN_TS = "2024-01-05 00:00:00"
@@ -343,21 +350,74 @@ def q_fact_order_details(spark, sf_dir):
 
 
 def q_load_report(spark, sf_dir):
-    """A2: rows read (observed during the write) and rows in the table after
-    each of the four loads."""
+    """Rows read and written (observed during the write) and values
+    that could not be parsed, for each of the four loads; every seventh order
+    has a date that is none."""
     wh = _warehouse(spark)
     reports = []
     for table, (stage_table, schema, _spec) in DIMENSION_JOBS.items():
         reports.append(wh.load(silver(spark, sf_dir, table), stage_table, schema, mode="truncate_load"))
     for table, (fact_table, schema) in FACT_JOBS.items():
-        reports.append(wh.load(silver(spark, sf_dir, table), fact_table, schema, mode="append", load_id=0))
+        raw = bronze(spark, sf_dir, table)
+        if table == "orders":
+            bad = F.col("orderid").cast("long") % 7 == 0
+            raw = raw.withColumn("orderdate", F.when(bad, F.lit("31.02.1995")).otherwise(F.col("orderdate")))
+        reports.append(wh.load(SILVER_FUNCTIONS[table](raw, run_ts=RUN_TS), fact_table, schema, mode="append", load_id=0))
     return spark.createDataFrame(
-        pd.DataFrame([(r.table, r.rows_read, r.rows_written, r.mode) for r in reports],
-                     columns=["table_name", "rows_read", "rows_written", "load_mode"]),
-        "table_name string, rows_read long, rows_written long, load_mode string",
+        pd.DataFrame([(r.table, r.rows_read, r.rows_written, r.mode, r.null_values) for r in reports],
+                     columns=["table_name", "rows_read", "rows_written", "load_mode", "null_values"]),
+        "table_name string, rows_read long, rows_written long, load_mode string, null_values long",
     )
 
 
+def q_retry_after_failure(spark, sf_dir):
+    """T4: a batch fails after its write; the next run takes the same files
+    again and replaces the batch: one copy."""
+    lake = Lake(shared_path(spark, "retry", unique=True))
+    write_change_files(bronze(spark, sf_dir, "customer"), lake.bronze("customer"))
+    failed = []
+
+    def process(rows, batch_id):
+        write_batch(SILVER_FUNCTIONS["customer"](rows, run_ts=RUN_TS), lake.silver("customer"), batch_id,
+                    SILVER_PARTITION["customer"])
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    for _ in range(2):
+        stream = stream_bronze(spark, lake.bronze("customer"), header_schema(spark, lake.bronze("customer")))
+        try:
+            run_available_now(stream, process, lake.checkpoint("silver", "customer"))
+        except Exception:  # noqa: BLE001 - the first run is meant to fail
+            if len(failed) != 1:
+                raise
+    return time_as_text(read_partitioned(spark, lake.silver("customer"), SILVER_CUSTOMER).drop("batch_id"))
+
+
+def q_pipeline_stops(spark, sf_dir):
+    """Change files of orders lack a column, so their silver job fails;
+    the other silver jobs are done, and nothing behind the stage has begun."""
+    root = shared_path(spark, "pipeline_stops", unique=True)
+    lake, out = Lake(root), []
+    wh = Warehouse(spark, "stop_" + root.rsplit("/", 1)[-1], root + "/warehouse")
+    for t in SOURCE_TABLES:
+        rows = bronze(spark, sf_dir, t)
+        write_change_files(rows.drop("orderdate") if t == "orders" else rows, lake.bronze(t), mode="overwrite")
+    stopped = False
+    try:
+        run_pipeline(spark, lake, wh, run_ts=RUN_TS)
+    except Exception:  # noqa: BLE001 - it is meant to fail
+        stopped = True
+    for t in SOURCE_TABLES:
+        done = path_exists(spark, lake.silver(t))
+        rows = read_partitioned(spark, lake.silver(t), SILVER_SCHEMAS[t]).count() if done else 0
+        out.append(("silver", t, rows, stopped))
+    for name in [j[0] for j in (*DIMENSION_JOBS.values(), *FACT_JOBS.values())]:
+        known = spark.catalog.tableExists(f"{wh.name}.{name}")
+        out.append(("warehouse", name, wh.count(name) if known else 0, stopped))
+    return spark.createDataFrame(out, "layer string, table_name string, rows long, stopped boolean")
+
+
 def q_snapshot_export_product(spark, sf_dir):
     """S1 + S4 + K1 + S7: a full-load export of the product source table into
     change files (op I on every row, load time as dms_timestamp, replacing an
@@ -415,6 +475,8 @@ QUERIES = {
     "fact_orders": q_fact_orders,
     "fact_order_details": q_fact_order_details,
     "load_report": q_load_report,
+    "retry_after_failure": q_retry_after_failure,
+    "pipeline_stops": q_pipeline_stops,
     "dim_customer_type1_chunked": q_dim_customer_type1_chunked,
     "dim_product_hot_key": q_dim_product_hot_key,
     "fact_orders_truncate_load": q_fact_orders_truncate_load,

@@ -33,22 +33,39 @@ def writer_options(url: str, table: str, mode: str = "truncate_load", column_typ
     raise ValueError(f"unknown load mode {mode!r}")
 
 
+def text_key_predicates(column: str, n: int) -> list[str]:
+    """``n`` conditions of which every row meets exactly one, for parallel
+    reads of a table whose key is text (UUIDs): ranges between evenly spaced
+    hexadecimal prefixes. Keys of another kind make the ranges uneven, never
+    incomplete; rows without a key are in the first."""
+    cuts = [f"{i * 65536 // n:04x}" for i in range(1, n)]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(cuts, cuts[1:])]
+    return [f"({column} < '{cuts[0]}' OR {column} IS NULL)", *inner, f"{column} >= '{cuts[-1]}'"]
+
+
 def write_table(df: DataFrame, url: str, schema_name: str, table: str, mode: str = "truncate_load",
                 max_connections: int = 8, properties: dict[str, str] | None = None) -> None:
     """Load ``df`` into ``schema_name.table`` over JDBC; at most
-    ``max_connections`` tasks write concurrently."""
+    ``max_connections`` tasks write concurrently (a repartition, so that what
+    comes before keeps its own parallelism)."""
     target = TABLE_SCHEMAS.get(table)
     out = conform(df, target) if target is not None else df
     save_mode, opts = writer_options(url, f"{schema_name}.{table}", mode, JDBC_COLUMN_TYPES.get(table),
                                      properties=properties)
-    out.coalesce(max_connections).write.format("jdbc").mode(save_mode).options(**opts).save()
+    out.repartition(max_connections).write.format("jdbc").mode(save_mode).options(**opts).save()
 
 
 def read_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
                lower_bound: int | None = None, upper_bound: int | None = None, num_partitions: int = 8,
                fetchsize: int = 10_000, properties: dict[str, str] | None = None) -> DataFrame:
     """Snapshot read of a source table, ``num_partitions`` parallel
-    range reads on a numeric ``partition_column`` when one is given."""
+    range reads on a numeric ``partition_column`` when one is given with its
+    bounds, or on a text one without bounds."""
+    if partition_column is not None and lower_bound is None:
+        return spark.read.jdbc(url, table, predicates=text_key_predicates(partition_column, num_partitions),
+                               properties={"fetchsize": str(fetchsize), **(properties or {})})
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", str(fetchsize))
     for k, v in (properties or {}).items():
         r = r.option(k, v)

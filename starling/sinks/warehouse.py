@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Columns that the silver jobs parse from text.
+PARSED_COLUMNS = ("order_date", "product_price", "product_quantity")
 #: Partition that a truncate-load writes in a table partitioned by load_id.
 TRUNCATED_LOAD = -1
 
@@ -49,7 +51,8 @@ def ddl(schema: StructType) -> str:
 class LoadReport:
     """A2/A3: rows read from the input and rows the load wrote (observed
     during the write: a projection neither adds nor drops rows), and the input
-    schema."""
+    schema. ``null_values`` counts NULLs in the table's typed columns (F5):
+    dates, prices and quantities that could not be parsed, or were absent."""
 
     table: str
     rows_read: int
@@ -57,6 +60,7 @@ class LoadReport:
     mode: str
     schema: str = ""
     input_schema: StructType | None = None
+    null_values: int = 0
 
 
 class Warehouse:
@@ -87,7 +91,9 @@ class Warehouse:
             raise ValueError(f"unknown load mode {mode!r}")
         self.create_table(table, schema, partitioned_by_load=load_id is not None)
         obs = Observation(f"load_{table}")
-        rows = conform(df, schema).observe(obs, F.count(F.lit(1)).alias("rows"))
+        rows = conform(df, schema)
+        parsed = [F.count_if(F.col(c).isNull()) for c in PARSED_COLUMNS if c in rows.columns]
+        rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"), sum(parsed, F.lit(0)).cast("long").alias("nulls"))
         target = self.qualified(table)
         partitioned = "load_id" in self.table(table).columns
         if load_id is None and partitioned and mode == "append":
@@ -108,7 +114,7 @@ class Warehouse:
              .insertInto(target, overwrite=(mode == "truncate_load")))
         self.analyze(table, analyze, load_id)
         n = int(obs.get.get("rows", 0))
-        return LoadReport(table, n, n, mode, df.schema.simpleString(), df.schema)
+        return LoadReport(table, n, n, mode, df.schema.simpleString(), df.schema, int(obs.get.get("nulls", 0)))
 
     def analyze(self, table: str, level: str | None = "table", load_id: int | None = None) -> None:
         """K8: ``table`` = size and row count (Parquet footers only);

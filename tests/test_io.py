@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starling.plans.jobs import Lake, silver_read_schema, start_silver_job
 from starling.schemas import FACT_ORDERS, STAGE_DIM_CUSTOMER
-from starling.sinks.jdbc import writer_options
+from starling.sinks.jdbc import text_key_predicates, writer_options
 from starling.sinks.parquet import write_change_files, write_partitioned
 from starling.sinks.warehouse import SchemaMismatchError, Warehouse, conform
 from starling.sources.bronze import header_schema, read_bronze, register_raw_table, select_tables
@@ -285,3 +285,14 @@ def test_truncate_load_of_a_partitioned_fact(spark, tmp_root):
     with pytest.raises(ValueError):
         wh.load(rows, table, schema, mode="append")
     assert wh.load(rows, table, schema, mode="truncate_load").rows_written == 10 and wh.count(table) == 10
+
+
+def test_text_key_predicates_take_each_key_once(spark):
+    import uuid
+
+    keys = [str(uuid.UUID(int=i * 997 ** 12 % 2**128)) for i in range(300)] + [None, "", "ffff", "zz", "0000", "Apple"]
+    df = spark.createDataFrame([(k,) for k in keys], "id string")
+    for n in (1, 2, 7, 16):
+        counts = [df.where(p).count() for p in text_key_predicates("id", n)]
+        assert len(counts) == n and sum(counts) == len(keys)
+    assert max(counts) < 120
