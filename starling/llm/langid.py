@@ -34,6 +34,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from starling.llm.common import record_batch, slices
 
@@ -144,7 +145,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
     kept = docs.select(*keep).schema.fields
     text = "text" if any(f.name == "text" for f in kept) else "_text"
     source = docs.select(*keep, *([F.col("text").alias("_text")] if text == "_text" else []))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    found = [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+             StructField("margin", DoubleType()), StructField("rejected", BooleanType())]
 
     def run(batches):
         model = Classifier(held.value)
@@ -155,7 +157,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
                                 "lang_pred": (lang, pa.string()), "score": (score, pa.float64()),
                                 "margin": (margin, pa.float64()), "rejected": (rejected, pa.bool_())})
 
-    return source.mapInArrow(run, f"{out}, lang_pred string, score double, margin double, rejected boolean")
+    return source.mapInArrow(run, StructType([*kept, *found]))
 
 
 def fold(doc_id: str, folds: int) -> Column:

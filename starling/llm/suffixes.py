@@ -47,6 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from starling.llm.common import (
     Stored,
@@ -170,8 +171,7 @@ def thinned(keyed: DataFrame, ids: DataFrame, inside: bool) -> DataFrame:
             some = in_filter(held.value, b.column("h").to_numpy())
             yield b.filter(pa.array(some if inside else ~some)).drop_columns(["h"])
 
-    return keyed.withColumn("h", F.xxhash64("doc")).mapInArrow(run, ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields))
+    return keyed.withColumn("h", F.xxhash64("doc")).mapInArrow(run, keyed.schema)
 
 
 def half_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +293,9 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     none = F.lit(None).cast("array<long>")
     parts = (thinned(whole, ids, False).select("text", "row", none.alias("anchors"), none.alias("windows"))
              .unionAll(thinned(whole, ids, True).join(found, "doc", "left").select("text", "row", "anchors", "windows")))
-    row_type = next(f.dataType for f in parts.schema.fields if f.name == "row").simpleString()
+    schema = StructType([
+        parts.schema["row"], StructField("text", StringType()), StructField("kept", StringType() if as_text else BinaryType()),
+        *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans"))])
 
     def run(batches):
         for b in slices(batches):
@@ -309,8 +311,7 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
                                 "n_bytes": (n, pa.int64()), "n_removed": (removed, pa.int64()),
                                 "n_spans": (spans, pa.int64())})
 
-    out = parts.select("row", "text", "anchors", "windows").mapInArrow(
-        run, f"row {row_type}, text string, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long")
+    out = parts.select("row", "text", "anchors", "windows").mapInArrow(run, schema)
     return out.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names),
                       "kept", "n_bytes", "n_removed", "n_spans")
 

@@ -26,8 +26,10 @@ def corpus():
 def test_planted_corpus(spark):
     rows, passage = corpus()
     root = shared_path(spark, "tests", unique=True)
-    spark.createDataFrame([(i, t, lang, s, len(t or "")) for i, t, lang, s in rows],
-                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{root}/documents.parquet")
+    extra = "kept string, draw int, others double, rep long, row string, `score a-b` string"  # names of the operators
+    spark.createDataFrame([(i, t, lang, s, len(t or ""), "k", 1, None, 2, "r", "x") for i, t, lang, s in rows],
+                          f"doc_id long, text string, lang string, source string, n_chars long, {extra}").write.parquet(
+        f"{root}/documents.parquet")
     docs, seen = spark.read.parquet(f"{root}/documents.parquet"), {}
     names = docs.columns
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
