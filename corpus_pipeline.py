@@ -15,7 +15,7 @@ the shared folder and reread as the next one's documents.
 Defined cases: null and empty texts are rejected by stage 1; repeated rows of
 one document count as near copies and one stays; a null doc_id is kept by every
 stage but linked with nothing; an empty table gives no rows. Columns other than
-those of documents are carried to stage 4.
+those of documents, whatever their names, are carried to stage 4 in a struct.
 
 SQL cannot express the stages (compression, minimum hashes, byte strings, merge
 lists), so ``ORACLE_SQL`` is None; ``tests/llm`` holds the stages against
@@ -31,12 +31,24 @@ from starling.llm import bpe, langid, minhash, mixing, suffixes
 from starling.session import delete_path, shared_path
 
 
+def packed(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns ``own`` and a struct of all others, so that no name of the
+    others can clash with one of an operator."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, *([F.struct(*others).alias("others")] if others else []))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, *own: str) -> DataFrame:
+    """The columns of ``docs`` again, in their order."""
+    return rows.select(*(F.col(c) if c in own else F.col("others").getField(c).alias(c) for c in docs.columns))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3; learns from the labelled rows of its input."""
-    names = docs.columns
-    model = langid.train(docs)
-    out = langid.identify(docs, model, names).where("NOT rejected")
-    return out.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*names)
+    own, model = ("doc_id", "text", "lang"), langid.train(docs)
+    rows = packed(docs, *own)
+    out = langid.identify(rows, model, rows.columns).where("NOT rejected")
+    return unpacked(out.withColumn("lang", F.coalesce("lang", "lang_pred")), docs, *own)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,13 +60,15 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6; the text becomes what is left of it."""
-    left = suffixes.remove_repeats(docs, as_text=True)
-    return left.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own = ("doc_id", "text", "n_chars")
+    left = suffixes.remove_repeats(packed(docs, *own), as_text=True).withColumn("text", F.col("kept"))
+    return unpacked(left.withColumn("n_chars", F.length("text").cast("long")), docs, *own)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9; a row for each draw."""
-    return mixing.mix(docs, max_repeats=2.0, min_repeats=1.0).drop("draw")
+    own = ("doc_id", "text", "source")
+    return unpacked(mixing.mix(packed(docs, *own), max_repeats=2.0, min_repeats=1.0), docs, *own)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
