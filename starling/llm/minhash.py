@@ -3,23 +3,32 @@
 Documents with the same shingle set form a class; one representative of each
 goes on. Its MinHash signature has ``COORDINATES`` values. Two sets with a
 Jaccard similarity of 0.8 agree on 77 of 96 coordinates on average, on fewer
-than ``MATCHES`` = 52 with a probability below 1e-7.
+than ``MATCHES`` = 56 with a probability below 1e-5.
 
 * Prefix merging. Every (coordinate, value) is a posting list; lists are
   ordered by length, shortest first, over all representatives. Two signatures
   that agree on MATCHES coordinates share a list among the first COORDINATES -
   MATCHES + 1 of each, so only those are posted and merged. A list of one
-  representative takes a place in that prefix but need not be posted.
+  representative takes a place in that prefix but need not be posted. A
+  posting's key also has a byte of a second coordinate, which the list
+  chooses: texts that share little more than one shingle do not meet. Two sets
+  at the threshold share 26 lists on average and agree on the second
+  coordinate of four in five; none is left with a probability below 1e-7.
 * Skip merging. The long lists behind the prefix are not merged; for a pair
   found in the prefix they are probed in a one-byte-per-coordinate sketch,
   which gives the number of collisions. Pairs of MATCHES or more go on.
 * Confirmation compares the full shingle sets of both texts.
 
 A list is not expanded into all of its pairs. Rounds compare its members with
-its leaders (the smallest; a random one; several) if they are not yet in the
-same component; each round's links are contracted. A last round compares all
-members of lists that still hold different components, so no link between
-different texts is lost: only pairs inside one component stay uncompared.
+its leader (the smallest; a random one) if they are not yet in the same
+component; each round's links are contracted. In the second round one pair of
+two components, the one with most collisions, is confirmed. The members of
+lists that still hold different components are joined exactly, on their full
+sets: sets are ordered by the shingles' frequency, the larger one's first fifth
+meets the smaller one's first ninth, and a meeting too late in either order is
+no candidate. Texts that are alike below the threshold hold shingles of their
+own there and are not paired, so a large group of them costs no square. Only
+pairs inside one component stay uncompared.
 
 Defined cases: a null or empty text, or one without words, has an empty set
 and is linked with nothing; rows of the same doc_id and text share a class; a
@@ -50,10 +59,11 @@ from starling.llm.common import (
 from starling.llm.components import components
 
 COORDINATES = 96
-MATCHES = 52
-#: Leaders a list has in each round, by the salt of its members; the first
-#: round takes the smallest member, the last one (None) all members.
-ROUNDS = (0, 1, 16, None)
+MATCHES = 56
+#: The leader that a list has in a round: its smallest member, or one that an
+#: order of the list's own puts first. The last round is exact.
+SMALLEST, MIXED, EXACT = "smallest", "mixed", "exact"
+ROUNDS = (SMALLEST, MIXED, EXACT)
 #: Shingles that are hashed to all coordinates at a time.
 BLOCK = 4096
 
@@ -103,47 +113,58 @@ def signatures(docs: DataFrame, shingle: int, coordinates: int) -> DataFrame:
 
 def prefix_postings(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """(key, rep): the posting lists of the prefixes, without lists of one."""
-    postings = classes.select("rep", F.explode("keys").alias("key"))
+    postings = classes.select("rep", F.posexplode("keys").alias("at", "key"))
     length = postings.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    own = postings.join(length, "key").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("own"))
+    own = (postings.join(length, "key").groupBy("rep")
+           .agg(F.sort_array(F.collect_list(F.struct("df", "key", "at"))).alias("own")))
     room = F.size("own") - F.lit(matches - 1)  # the prefix less its lists of one
-    return own.where(room > 0).select("rep", F.explode(F.slice("own", F.lit(1), room)).alias("x")).select("x.key", "rep")
+    prefix = own.where(room > 0).select("rep", F.slice("own", F.lit(1), room).alias("own"))
+    prefix = prefix.join(classes.select("rep", "sketch"), "rep").select("rep", "sketch", F.explode("own").alias("x"))
+    second = (F.col("x.at") + 1 + F.pmod(F.xxhash64("x.key"), F.lit(coordinates - 1)).cast("int")) % coordinates
+    byte = F.substring("sketch", second + 1, F.lit(1))
+    return prefix.select(F.xxhash64("x.key", byte).alias("key"), "rep")
 
 
-def candidate_pairs(members: DataFrame, salts: int | None) -> DataFrame:
+def open_lists(members: DataFrame) -> DataFrame:
+    """The postings (key, rep, label) of lists that hold several components."""
+    mixed = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    return members.join(mixed.select("key"), "key")
+
+
+def candidate_pairs(members: DataFrame, leader: str) -> DataFrame:
     """Distinct (a, b), a < b: members of one list and of different components,
-    one of them a leader of the list (any member if ``salts`` is None)."""
-    mixed = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    open_ = members.join(mixed, "key")
-    if salts is None:
-        other = open_.select("key", F.col("rep").alias("lead"), F.col("label").alias("lead_label"))
-        pairs = open_.join(other, "key").where("rep < lead AND label <> lead_label")
-    else:
-        # rep XOR key is an order of its own in each list
-        order = F.col("rep") if salts == 0 else F.col("rep").bitwiseXOR(F.col("key"))
-        back = F.col("m") if salts == 0 else F.col("m").bitwiseXOR(F.col("key"))
-        salt = F.pmod(F.xxhash64("rep"), F.lit(max(salts, 1)))
-        leaders = (open_.groupBy("key", salt.alias("salt")).agg(F.min(order).alias("m"))
-                   .select("key", back.alias("lead")))
-        pairs = open_.join(leaders, "key").where("rep <> lead")
+    one of them the list's leader."""
+    still = open_lists(members)
+    mixed = F.col("key") if leader == MIXED else F.lit(0)  # rep XOR key is an order of its own in each list
+    leaders = (still.groupBy("key").agg(F.min(F.col("rep").bitwiseXOR(mixed)).alias("m"))
+               .select("key", F.col("m").bitwiseXOR(mixed).alias("lead")))
+    pairs = still.join(leaders, "key").where("rep <> lead")
     return pairs.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
 
 
 def colliding(pairs: DataFrame, sketches: DataFrame, matches: int, percent: int) -> DataFrame:
     """The pairs (with different labels) that agree on ``matches`` coordinates
-    of the sketch and whose set sizes allow the similarity."""
+    of the sketch and whose set sizes allow the similarity; ``n`` collisions."""
     side = lambda x: sketches.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"),
                                      F.col("label").alias(f"l{x}"), F.col("sketch").alias(f"s{x}"))
 
     def run(batches):
         for t in slices(batches, 8192):
             both = [np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint8).reshape(t.num_rows, -1) for c in ("sa", "sb")]
-            some = (both[0] == both[1]).sum(axis=1) >= matches
-            yield t.select(["a", "b", "la", "lb"]).filter(pa.array(some))
+            n = (both[0] == both[1]).sum(axis=1)
+            t = t.select(["a", "b", "la", "lb"]).append_column("n", pa.array(n, pa.int64()))
+            yield t.filter(pa.array(n >= matches))
 
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     return (pairs.join(side("a"), "a").join(side("b"), "b").where(near & F.expr("la <> lb"))
-            .select("a", "b", "la", "lb", "sa", "sb").mapInArrow(run, "a long, b long, la long, lb long"))
+            .select("a", "b", "la", "lb", "sa", "sb").mapInArrow(run, "a long, b long, la long, lb long, n long"))
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """One pair of each two components: the one with most collisions."""
+    low, high = F.least("la", "lb"), F.greatest("la", "lb")
+    pair = F.struct("n", F.struct("a", "b", "la", "lb", "n").alias("pair"))
+    return pairs.groupBy(low.alias("low"), high.alias("high")).agg(F.max(pair).alias("best")).select("best.pair.*")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -161,6 +182,40 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     return found.join(ids, "id").dropDuplicates(["id"])
 
 
+def exact_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b, la, lb): pairs of ``sets`` (id, shingles) of different labels
+    that may reach the similarity; none that does is missing. Prefixes are
+    taken of the sets ordered by frequency, rarest shingle first; shingles of
+    one set only take a place in it but are not posted."""
+
+    def run(batches):
+        for t in slices(batches):
+            both = [(i, np.frombuffer(s, np.int64)) for i, s in zip(t.column("id").to_pylist(), t.column("shingles").to_pylist())]
+            for i, h in both:
+                yield record_batch({"id": pa.array(np.full(len(h), i)), "n": pa.array(np.full(len(h), len(h))),
+                                    "shingle": pa.array(h)})
+
+    rows = sets.mapInArrow(run, "id long, n long, shingle long")
+    often = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    own = (rows.join(often, "shingle").groupBy("id", "n")
+           .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own")).join(labels, "id"))
+    alone = F.col("n") - F.size("own")
+    # n less the least overlap, rounded up in whole numbers, and one more
+    part = lambda p, q: F.expr(f"CAST(n - (n * {p} + {q - 1}) DIV {q} + 1 AS INT)")
+    probe, index = part(percent, 100), part(2 * percent, 100 + percent)
+    posted = own.where(probe > alone).select("id", "n", "label", alone.alias("alone"), index.alias("index"), F.posexplode(
+        F.slice("own", F.lit(1), (probe - alone).cast("int"))).alias("at", "x"))
+    posted = posted.select("id", "n", "label", "index", "x.shingle", (F.col("alone") + F.col("at") + 1).alias("at"))
+    x = posted.select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "label", "at")))
+    y = posted.where("at <= index").select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("id", "n", "label", "at")))
+    met = x.join(y, "shingle").where(
+        F.expr("(y_n < x_n OR (y_n = x_n AND y_id < x_id)) AND x_label <> y_label")
+        & (F.col("y_n") * 100 >= F.col("x_n") * percent)
+        & ((1 + F.least(F.expr("x_n - x_at"), F.expr("y_n - y_at"))) * (100 + percent) >= F.expr("x_n + y_n") * percent))
+    return met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b"), F.col("x_label").alias("la"),
+                      F.col("y_label").alias("lb")).distinct()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Labels (u, v) of the pairs whose full sets reach the similarity."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}"))
@@ -200,16 +255,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, coordi
     release(spark)
 
     labels = None
-    for salts in ROUNDS:
+    for leader in ROUNDS:
         named = lists if labels is None else lists.join(labels, "rep", "left")
         label = F.col("rep") if labels is None else F.coalesce("label", "rep")
         own = sketches if labels is None else sketches.join(labels, "rep", "left")
-        pairs = candidate_pairs(named.select("key", "rep", label.alias("label")), salts)
-        pairs = cut(colliding(pairs, own.select("rep", "n", label.alias("label"), "sketch"), matches, percent))
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        postings = named.select("key", "rep", label.alias("label"))
+        if leader == EXACT:
+            rest = cut(open_lists(postings).select(F.col("rep").alias("id"), "label").distinct())
+            sets = cut(full_sets(docs, rest.select("id"), shingle))
+            pairs = cut(exact_pairs(sets, rest, percent))
+        else:
+            pairs = candidate_pairs(postings, leader)
+            pairs = colliding(pairs, own.select("rep", "n", label.alias("label"), "sketch"), matches, percent)
+            pairs = cut(best_pairs(pairs) if leader == MIXED else pairs)
         if pairs.isEmpty():
             continue
-        links = components(confirmed(pairs, full_sets(docs, ids, shingle), percent))
+        if leader != EXACT:
+            sets = full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), shingle)
+        links = components(confirmed(pairs, sets, percent))
         if labels is None:
             labels = cut(links.select(F.col("node").alias("rep"), F.col("component").alias("label")))
         else:  # old labels are renamed; a new label names itself as well

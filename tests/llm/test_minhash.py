@@ -67,7 +67,7 @@ def test_equals_all_pairs(spark):
 
 def test_later_rounds_find_links_that_leaders_miss(spark, monkeypatch):
     """A chain in which only neighbours are similar; leaders see few of them."""
-    monkeypatch.setattr(minhash, "ROUNDS", (0, None))
+    monkeypatch.setattr(minhash, "ROUNDS", (minhash.SMALLEST, minhash.EXACT))
     base = [f"w{i}" for i in range(900)]
     rows = [(k, " ".join(base[k * 12 : k * 12 + 240])) for k in range(30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
