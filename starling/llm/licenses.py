@@ -3,9 +3,9 @@
 Templates are word sequences with a label and mandatory key phrases. Document
 frequencies of the licence vocabulary are counted over all documents; the
 index posts, for every template, its ``POSTED`` words of highest IDF with their
-positions. A file's own highest-IDF posted words are looked up; each
-(template, file position - template position) that at least ``MIN_VOTES`` of
-them agree on is an alignment. An alignment is a finding if enough of the
+positions. Every posted word that a file holds is looked up, however many
+licences it bundles; each (template, file position - template position) that at
+least ``MIN_VOTES`` of them agree on is an alignment. An alignment is a finding if enough of the
 template's words stand at their relative positions and every mandatory phrase
 stands within the aligned window.
 
@@ -77,9 +77,7 @@ TEMPLATES = [
 
 #: Words that the index posts for each template.
 POSTED = 6
-#: Highest-IDF posted words of a file that are looked up.
-LOOKED_UP = 24
-#: Looked-up words that must agree on an alignment.
+#: Posted words that must agree on an alignment.
 MIN_VOTES = 2
 #: Share of a template's words that must stand at their relative positions.
 MIN_COVERAGE = 0.6
@@ -159,12 +157,11 @@ class LicenseIndex:
         return out
 
     def alignments(self, places: dict[bytes, list[int]]) -> Counter:
-        """Votes of the file's highest-IDF posted words for (template, start)."""
-        words = sorted((w for w in places if w in self.postings), key=lambda w: (-self.idf[w], w))[:LOOKED_UP]
+        """Votes of the file's posted words for (template, start)."""
         votes: Counter = Counter()
-        for w in words:
-            for k, i in self.postings[w]:
-                for at in places[w]:
+        for w, posts in self.postings.items():
+            for at in places.get(w, ()):
+                for k, i in posts:
                     votes[k, at - i] += 1
         return votes
 

@@ -53,3 +53,16 @@ def test_idf_covers_all_documents_and_empty_table(spark):
     df_counts, n = licenses.document_frequencies(df, licenses.LicenseIndex({}, 0).vocabulary)
     assert (df_counts[b"apache"], n) == (10, 40)
     assert licenses.scan_licenses(df.limit(0)).collect() == []
+
+
+def test_bundle_and_notice_behind_long_text():
+    every = licenses.LicenseIndex({}, 0).vocabulary
+    rnd = random.Random(2)
+    for df in ({}, {w: rnd.randint(0, 900) for w in sorted(every)}):
+        index = licenses.LicenseIndex(df, 1000)
+        bundle = "\n\n".join(text for _, text, _ in licenses.TEMPLATES)
+        assert set(index.scan(bundle.encode())[5].split(",")) == {label for label, _, _ in licenses.TEMPLATES}
+        long = " x ".join(w.decode() for w in sorted(every) * 40)
+        assert index.scan(long.encode())[5] == ""
+        for label, text, _ in licenses.TEMPLATES:
+            assert label in index.scan(f"{long} x {text}".encode())[5].split(","), text
