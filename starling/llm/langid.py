@@ -5,11 +5,11 @@ that language. A text belongs to the language whose dictionary compresses it
 to the fewest bytes. If the runner-up is nearly as small, the margin is narrow
 and the text is rejected. Compressed are the letters only, in lower case, other
 characters as one space, so that capitals, digits and marks do not hide the
-language. Lines that the sample holds twice (notices, copies) are left out of
-the dictionaries, else a long match decides.
+language. A line that the sample holds again and again (notices, near copies)
+stands once in each language's dictionary that has it.
 
-Training takes a bounded sample: at most ``per_language`` texts a language,
-those of smallest text hash, of which ``dictionary_bytes`` fill the dictionary.
+Training takes a bounded sample: at most ``per_language`` distinct texts a
+language, however many copies each has, those of smallest text hash, of which ``dictionary_bytes`` fill the dictionary.
 Only the text and the label of training rows are used. Classification covers
 every row and every whole text, in one pass without a shuffle.
 
@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 
 import pyarrow as pa
 import zstandard
@@ -62,34 +61,40 @@ def normalise(text: str) -> str:
 
 
 def sample_texts(labelled: DataFrame, label: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(label, text) of at most ``per_language`` texts a label, those of the
-    smallest text hash. A first count per label sets a hash limit that keeps a
-    few times as many, so a label with a third of all rows is thinned in the
-    scan; the rank is limited before the shuffle as well."""
+    """(label, text, h, n) of at most ``per_language`` distinct texts a label,
+    those of the smallest text hash; n is the label's number of rows. A first
+    count per label, of distinct texts by their sketch, sets a hash limit that
+    keeps a few times as many, so a label with a third of all rows is thinned in
+    the scan; copies are merged before the rank."""
     rows = labelled.where(F.col(label).isNotNull() & (F.length("text") > 0)).select(F.col(label).alias("label"), "text")
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES).collect()}
+    h = F.xxhash64("text")
+    counts = {r["label"]: r for r in rows.groupBy("label").agg(
+        F.count("*").alias("n"), F.approx_count_distinct(h, 0.02).alias("texts"))
+        .orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES).collect()}
     if not counts:
         return rows.selectExpr("label", "text", "0L AS h", "0L AS n").limit(0)
     grid = 1 << 30
-    h = F.xxhash64("text")
-    limits = F.create_map(*[x for k, n in counts.items()
-                            for x in (F.lit(k), F.lit(min(grid, math.ceil(grid * 4.0 * per_language / n))))])
-    sizes = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(n))])
+    limits = F.create_map(*[x for k, r in counts.items() for x in (
+        F.lit(k), F.lit(min(grid, math.ceil(grid * 4.0 * per_language / max(r["texts"], 1)))))])
+    sizes = F.create_map(*[x for k, r in counts.items() for x in (F.lit(k), F.lit(r["n"]))])
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))
-    return (rows.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(grid)) < limits[F.col("label")])
+    return (rows.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(grid)) < limits[F.col("label")]).distinct()
             .withColumn("rank", rank).where(F.col("rank") <= per_language)
             .select("label", "text", "h", sizes[F.col("label")].alias("n")))
 
 
 def build_dictionaries(sample: list[tuple[str, str]], size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """A dictionary's content per label, in the order of the sample. The texts share ``size`` in turns of 1 KiB, so that one long text
-    does not fill it alone."""
-    turn, by_label = 1024, {}
-    lines = [(label, [normalise(x) for x in text.split("\n")]) for label, text in sample]
-    often = Counter(x for _, own in lines for x in own)
-    for label, own in lines:
-        by_label.setdefault(label, []).append(" ".join(x for x in own if x and often[x] == 1).encode("utf-8"))
+    """A dictionary's content per label, in the order of the sample. A line that
+    a label holds several times stands in it once. The texts share ``size`` in
+    turns of 1 KiB, so that one long text does not fill it alone."""
+    turn, by_label, seen = 1024, {}, {}
+    for label, text in sample:
+        met, own = seen.setdefault(label, set()), []
+        for x in map(normalise, text.split("\n")):
+            if x and x not in met:
+                met.add(x)
+                own.append(x)
+        by_label.setdefault(label, []).append(" ".join(own).encode("utf-8"))
     out = {}
     for label, texts in by_label.items():
         parts, total, at = [], 0, 0
@@ -106,7 +111,7 @@ def build_dictionaries(sample: list[tuple[str, str]], size: int = DICTIONARY_BYT
 def train(labelled: DataFrame, label: str = "lang", per_language: int = PER_LANGUAGE,
           dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Dictionaries from labelled rows. The sample that reaches the driver is
-    bounded by ``per_language`` texts for each of at most MAX_LANGUAGES labels."""
+    bounded by ``per_language`` distinct texts for each of at most MAX_LANGUAGES labels."""
     sample = sample_texts(labelled, label, per_language).orderBy(F.desc("n"), "label", "h", "text").collect()
     return build_dictionaries([(r["label"], r["text"]) for r in sample], dictionary_bytes)
 

@@ -62,3 +62,17 @@ def test_sample_is_bounded_and_takes_the_smallest_hashes(spark):
     for r in df.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 30))).collect():
         want.setdefault(r["lang"], []).append(r["h"])
     assert {k: 10 for k in want} == {k: sum(r["label"] == k for r in got) for k in want}
+
+
+def test_copies_train_as_their_texts_do(spark):
+    rnd = random.Random(4)
+    rows = [(f"{prose(rnd, lang, 30)}\n{prose(rnd, lang, 30)}", lang) for lang in list(SYLLABLES) * 20]
+    hot = [(prose(rnd, "xx", 40), "xx")] * 2000
+    once = spark.createDataFrame([*rows, hot[0]], "text string, lang string")
+    many = spark.createDataFrame([*rows, *rows, *hot], "text string, lang string")
+    assert langid.train(many, per_language=15) == langid.train(once, per_language=15)
+    model = langid.train(many)
+    assert model == langid.train(once) and min(map(len, model.values())) > 5_000
+    ask = spark.createDataFrame([(lang, prose(rnd, lang, 60)) for lang in SYLLABLES], "doc_id string, text string")
+    for r in langid.identify(ask, model).collect():
+        assert r["lang_pred"] == r["doc_id"] and not r["rejected"]
