@@ -10,7 +10,8 @@ stands once in each language's dictionary that has it.
 
 Training takes a bounded sample: at most ``per_language`` distinct texts a
 language, however many copies each has, those of smallest text hash, of which ``dictionary_bytes`` fill the dictionary.
-Only the text and the label of training rows are used. Classification covers
+Every label that
+training rows have is learned. Only the text and the label of training rows are used. Classification covers
 every row and every whole text, in one pass without a shuffle.
 
 Sizes are whole bytes, so below ``SHORT`` bytes a narrow margin says nothing:
@@ -39,10 +40,9 @@ from starling.llm.common import record_batch, slices
 
 #: Texts of a language that may be sampled for its dictionary.
 PER_LANGUAGE = 256
-#: Bytes of text in a dictionary.
-DICTIONARY_BYTES = 112 * 1024
-#: Languages that get a dictionary (the most frequent labels).
-MAX_LANGUAGES = 128
+#: Bytes of text in a dictionary, and in all of them together: with more labels
+#: than fit, every label has an equal, smaller share (1 KiB at least).
+DICTIONARY_BYTES, ALL_BYTES = 112 * 1024, 128 * 112 * 1024
 #: Bytes of a text that are compressed at a time.
 BLOCK_BYTES = 4096
 #: Compression level.
@@ -66,13 +66,17 @@ def sample_texts(labelled: DataFrame, label: str = "lang", per_language: int = P
     count per label, of distinct texts by their sketch, sets a hash limit that
     keeps a few times as many, so a label with a third of all rows is thinned in
     the scan; copies are merged before the rank."""
-    rows = labelled.where(F.col(label).isNotNull() & (F.length("text") > 0)).select(F.col(label).alias("label"), "text")
+    return _sample(labelled, label, per_language)[0]
+
+
+def _sample(labelled: DataFrame, label: str, per_language: int) -> tuple[DataFrame, int]:
+    """``sample_texts`` and the number of labels."""
+    rows = labelled.where(F.col(label).isNotNull() & (F.length("text") > 0)).select(F.col(label).cast("string").alias("label"), "text")
     h = F.xxhash64("text")
     counts = {r["label"]: r for r in rows.groupBy("label").agg(
-        F.count("*").alias("n"), F.approx_count_distinct(h, 0.02).alias("texts"))
-        .orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES).collect()}
+        F.count("*").alias("n"), F.approx_count_distinct(h, 0.02).alias("texts")).collect()}
     if not counts:
-        return rows.selectExpr("label", "text", "0L AS h", "0L AS n").limit(0)
+        return rows.selectExpr("label", "text", "0L AS h", "0L AS n").limit(0), 0
     grid = 1 << 30
     limits = F.create_map(*[x for k, r in counts.items() for x in (
         F.lit(k), F.lit(min(grid, math.ceil(grid * 4.0 * per_language / max(r["texts"], 1)))))])
@@ -80,7 +84,7 @@ def sample_texts(labelled: DataFrame, label: str = "lang", per_language: int = P
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))
     return (rows.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(grid)) < limits[F.col("label")]).distinct()
             .withColumn("rank", rank).where(F.col("rank") <= per_language)
-            .select("label", "text", "h", sizes[F.col("label")].alias("n")))
+            .select("label", "text", "h", sizes[F.col("label")].alias("n"))), len(counts)
 
 
 def build_dictionaries(sample: list[tuple[str, str]], size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
@@ -110,10 +114,21 @@ def build_dictionaries(sample: list[tuple[str, str]], size: int = DICTIONARY_BYT
 
 def train(labelled: DataFrame, label: str = "lang", per_language: int = PER_LANGUAGE,
           dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """Dictionaries from labelled rows. The sample that reaches the driver is
-    bounded by ``per_language`` distinct texts for each of at most MAX_LANGUAGES labels."""
-    sample = sample_texts(labelled, label, per_language).orderBy(F.desc("n"), "label", "h", "text").collect()
-    return build_dictionaries([(r["label"], r["text"]) for r in sample], dictionary_bytes)
+    """Dictionaries of all labels, the one with most rows first. A task fills a
+    label's dictionary from its at most ``per_language`` distinct texts; the
+    driver gets the dictionaries only, cut to their share of ALL_BYTES."""
+
+    def fill(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("h", "ascending"), ("text", "ascending")])
+        label, n = t["label"][0].as_py(), t["n"][0].as_py()
+        content = build_dictionaries([(label, x) for x in t["text"].to_pylist()], size)[label]
+        return pa.table({"label": pa.array([label], pa.string()), "n": pa.array([n], pa.int64()),
+                         "content": pa.array([content], pa.binary())})
+
+    sample, labels = _sample(labelled, label, per_language)
+    size = min(dictionary_bytes, max(1024, ALL_BYTES // max(labels, 1)))
+    rows = sample.groupBy("label").applyInArrow(fill, "label string, n long, content binary").collect()
+    return {r["label"]: bytes(r["content"]) for r in sorted(rows, key=lambda r: (-r["n"], r["label"]))}
 
 
 class Classifier:
@@ -143,8 +158,8 @@ class Classifier:
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | Column] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of each row with lang_pred, score, margin, rejected.
 
-    The dictionaries (at most MAX_LANGUAGES x DICTIONARY_BYTES) go to the
-    executors as one broadcast variable.
+    The dictionaries (ALL_BYTES together, or 1 KiB a label if that is more)
+    go to the executors as one broadcast variable.
     """
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
     kept = docs.select(*keep).schema.fields

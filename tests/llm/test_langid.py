@@ -76,3 +76,13 @@ def test_copies_train_as_their_texts_do(spark):
     ask = spark.createDataFrame([(lang, prose(rnd, lang, 60)) for lang in SYLLABLES], "doc_id string, text string")
     for r in langid.identify(ask, model).collect():
         assert r["lang_pred"] == r["doc_id"] and not r["rejected"]
+
+
+def test_every_label_is_learned(spark):
+    rnd = random.Random(5)
+    words = {f"l{k:03}": ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(20)] for k in range(140)}
+    rows = [(" ".join(own * 2), lang) for lang, own in words.items()] + [(" ".join(words["l000"]), "l000")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert sorted(model) == sorted(words) and next(iter(model)) == "l000" and all(model.values())
+    ask = spark.createDataFrame([(lang, " ".join(own[::-1])) for lang, own in words.items()], "doc_id string, text string")
+    assert all(r["lang_pred"] == r["doc_id"] for r in langid.identify(ask, model).collect())
