@@ -3,7 +3,7 @@
 A text is its bytes (A-Z lower-cased) and an end symbol. Each byte is decomposed
 into eight binary decisions, first bit first; a decision's node is the bits of
 the byte seen so far. For every node there is a tree over the last 0 to
-``DEPTH`` = 3 bytes, whose counts come from all training documents. A context
+``depth`` bytes (the query: 6, about a word), whose counts come from all training documents. A context
 of depth d holds the Krichevsky-Trofimov estimate of its own counts and, by
 context-tree weighting, half of its probability goes to its children's product.
 The log10 probability of a text adds up, bit by bit, the mixture over all
@@ -12,13 +12,13 @@ depths along its context. Code length per byte is -score / log10(2) / bytes.
 The base score is a smoothed unigram model over words and an end token:
 log10((c + 0.1) / (N + 0.1 (V + 1))).
 
-Plan. Tasks count words (as 64-bit hashes) and 4-byte strings in bounded
-chunks; one shuffle adds them up. The tree below a pair of context bytes is
-bounded (256 contexts x 255 nodes), so a task builds it from one group; depths
-1 and 0 are at most 65,536 and 256 nodes whatever the corpus, and are the only
+Plan. Tasks count words (as 64-bit hashes) and strings of depth + 1 bytes in
+bounded chunks; one shuffle adds them up. A task builds the tree below a pair
+of context bytes from one group, bit by bit, as sorted arrays of the nodes that
+occur: memory goes with the distinct strings of a pair; depths 1 and 0 are at most 65,536 and 256 nodes whatever the corpus, and are the only
 parts the driver and a broadcast hold. For scoring, documents are dealt into
 groups of about ``GROUP_BYTES`` of text by a hash; a group asks once for each
-distinct word and 4-byte string it holds, gets their values by a join, and
+distinct word and string it holds, gets their values by a join, and
 scores its documents. A frequent word is thus one row per group, not per
 document.
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from starling.llm.common import cut, record_batch, release, slices, texts_as_bytes, word_hashes
 
-#: Bytes of context.
+#: Bytes of context unless the caller says otherwise.
 DEPTH = 3
 #: Bytes of text of a scoring group, and the fewest groups.
 GROUP_BYTES, MIN_GROUPS = 16 << 20, 64
@@ -54,13 +54,14 @@ WORD, GRAM = 0, 1
 LN_HALF, LN_PI, LN_10 = math.log(0.5), math.log(math.pi), math.log(10.0)
 
 
-def grams(data: bytes) -> np.ndarray:
-    """For each byte of the text and its end, the byte and the three before it
-    as one 32-bit number."""
-    raw = np.frombuffer(bytes([END] * DEPTH) + data + bytes([END]), dtype=np.uint8).astype(np.uint32)
-    out = raw[DEPTH:].copy()
-    for i in range(1, DEPTH + 1):
-        out |= raw[DEPTH - i : len(raw) - i] << np.uint32(8 * i)
+def grams(data: bytes, depth: int = DEPTH) -> np.ndarray:
+    """For each byte of the text and its end, the byte and the ``depth`` before
+    it as one number, the byte lowest."""
+    kind = np.uint32 if depth < 4 else np.uint64
+    raw = np.frombuffer(bytes([END] * depth) + data + bytes([END]), dtype=np.uint8).astype(kind)
+    out = raw[depth:].copy()
+    for i in range(1, depth + 1):
+        out |= raw[depth - i : len(raw) - i] << kind(8 * i)
     return out
 
 
@@ -84,17 +85,6 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return out
 
 
-def bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(zeros, ones) of the 255 nodes (at 1..255) from counts of 256 byte
-    values in the last axis."""
-    lead = counts.shape[:-1]
-    zeros, ones = np.zeros((*lead, 256), np.int64), np.zeros((*lead, 256), np.int64)
-    for j in range(8):
-        level = counts.reshape(*lead, 2 << j, 128 >> j).sum(axis=-1)
-        zeros[..., 1 << j : 2 << j], ones[..., 1 << j : 2 << j] = level[..., 0::2], level[..., 1::2]
-    return zeros, ones
-
-
 def weigh(zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ln of the weighted probability, posterior weight of the node's own
     estimate), given the sum of its children's ln probabilities."""
@@ -108,16 +98,36 @@ def kt_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (ones + 0.5) / (zeros + ones + 1.0)
 
 
+def levels(keys: np.ndarray, n: np.ndarray, j: int, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(ids, zeros, ones, ln of the weighted probability, posterior weight of
+    the own estimate) of the nodes of bit ``j`` at the depths ``depth`` to 2. An
+    id is the context with the node in place of the byte; at full depth the own
+    estimate has all the weight."""
+    byte = keys & 0xFF
+    ids, row = np.unique(keys - byte + ((1 << j) | (byte >> (8 - j))), return_inverse=True)
+    one = (byte >> (7 - j)) & 1
+    ones = np.bincount(row, n * one, len(ids)).astype(np.int64)
+    zeros = np.bincount(row, n * (1 - one), len(ids)).astype(np.int64)
+    log_pw, stop = log_kt(zeros, ones), np.ones(len(ids))
+    yield ids, zeros, ones, log_pw, stop
+    for d in range(depth - 1, 1, -1):
+        ids, row = np.unique(ids & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        zeros, ones = (np.bincount(row, x, len(ids)).astype(np.int64) for x in (zeros, ones))
+        log_pw, stop = weigh(zeros, ones, np.bincount(row, log_pw, len(ids)))
+        yield ids, zeros, ones, log_pw, stop
+
+
 class PairTree:
-    """The tree below one pair of context bytes, from its 4-byte strings."""
+    """Counts and weighted probabilities of the 255 nodes (at 1..255) of one
+    pair of context bytes, from its strings."""
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray):
-        self.first, row = np.unique(keys >> 24, return_inverse=True)
-        counts = np.zeros((len(self.first), 256), np.int64)
-        np.add.at(counts, (row, (keys & 0xFF).astype(np.int64)), n)
-        self.zeros3, self.ones3 = bit_counts(counts)
-        self.zeros, self.ones = self.zeros3.sum(axis=0), self.ones3.sum(axis=0)
-        self.log_pw, self.stop = weigh(self.zeros, self.ones, log_kt(self.zeros3, self.ones3).sum(axis=0))
+    def __init__(self, keys: np.ndarray, n: np.ndarray, depth: int = DEPTH):
+        self.zeros, self.ones, self.log_pw = np.zeros(256, np.int64), np.zeros(256, np.int64), np.zeros(256)
+        for j in range(8):
+            for ids, zeros, ones, log_pw, _ in levels(keys, n, j, depth):
+                pass
+            node = ids & 0xFF
+            self.zeros[node], self.ones[node], self.log_pw[node] = zeros, ones, log_pw
 
 
 class TopTree:
@@ -131,23 +141,21 @@ class TopTree:
         self.kt0 = kt_one(zeros0, ones0)
 
 
-def log10_probabilities(top: TopTree, keys: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """log10 P(byte | three bytes before) of the wanted strings, which share
+def log10_probabilities(top: TopTree, keys: np.ndarray, n: np.ndarray, wanted: np.ndarray,
+                        depth: int = DEPTH) -> np.ndarray:
+    """log10 P(byte | ``depth`` bytes before) of the wanted strings, which share
     their pair of context bytes with the training strings ``keys``."""
-    tree = PairTree(keys, n)
-    row = np.searchsorted(tree.first, wanted >> 24)
-    seen = row < len(tree.first)
-    if len(tree.first):
-        row = np.minimum(row, len(tree.first) - 1)
-        seen &= tree.first[row] == wanted >> 24
-    last, byte = ((wanted >> 8) & 0xFF).astype(np.int64), (wanted & 0xFF).astype(np.int64)
+    last, byte = (wanted >> 8) & 0xFF, wanted & 0xFF
     out = np.zeros(len(wanted))
     for j in range(8):
         node, bit = (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1
-        p = np.full(len(wanted), 0.5)
-        p[seen] = kt_one(tree.zeros3[row[seen], node[seen]], tree.ones3[row[seen], node[seen]])
-        for stop, kt in ((tree.stop[node], kt_one(tree.zeros, tree.ones)[node]),
-                         (top.stop1[last, node], top.kt1[last, node]), (top.stop0[node], top.kt0[node])):
+        own, p = wanted - byte + node, np.full(len(wanted), 0.5)
+        if len(keys):
+            for d, (ids, zeros, ones, _, stop) in zip(range(depth, 1, -1), levels(keys, n, j, depth)):
+                ask = own & ((1 << 8 * (d + 1)) - 1)
+                at = np.minimum(np.searchsorted(ids, ask), len(ids) - 1)
+                p = np.where(ids[at] == ask, stop[at] * kt_one(zeros, ones)[at] + (1.0 - stop[at]) * p, p)
+        for stop, kt in ((top.stop1[last, node], top.kt1[last, node]), (top.stop0[node], top.kt0[node])):
             p = stop * kt + (1.0 - stop) * p
         out += np.log10(np.where(bit == 1, p, 1.0 - p))
     return out
@@ -159,8 +167,8 @@ def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
                          "key": pa.array(keys.astype(np.uint64).view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
 
-def corpus_counts(training: DataFrame) -> DataFrame:
-    """(kind, key, n): counts of words and 4-byte strings of all texts. Tasks
+def corpus_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(kind, key, n): counts of words and strings of all texts. Tasks
     add up chunks of bounded size before the shuffle."""
 
     def count(batches):
@@ -169,7 +177,7 @@ def corpus_counts(training: DataFrame) -> DataFrame:
             for data in texts_as_bytes(b.column("text")):
                 data = data.lower()
                 words.append(word_hashes(data))
-                strings.append(grams(data))
+                strings.append(grams(data, depth))
                 size += len(data)
                 if size >= CHUNK_BYTES:
                     yield _rows(WORD, *np.unique(np.concatenate(words), return_counts=True))
@@ -184,15 +192,15 @@ def corpus_counts(training: DataFrame) -> DataFrame:
 
 
 def _pair(key: str = "key") -> Column:
-    """The last two context bytes of a 4-byte string."""
+    """The last two context bytes of a string."""
     return F.shiftright(F.col(key), 8).bitwiseAND(0xFFFF).cast("int")
 
 
-def top_tree(strings: DataFrame) -> TopTree:
+def top_tree(strings: DataFrame, depth: int = DEPTH) -> TopTree:
     """Depths 1 and 0 of the tree; at most 65,536 rows reach the driver."""
 
     def nodes(t: pa.Table) -> pa.Table:
-        tree = PairTree(t["key"].to_numpy(), t["n"].to_numpy())
+        tree = PairTree(t["key"].to_numpy(), t["n"].to_numpy(), depth)
         some = np.flatnonzero(tree.zeros + tree.ones)
         last = int(t["key"][0].as_py() >> 8) & 0xFF
         return pa.table({"last": pa.array(np.full(len(some), last, np.int32)), "node": pa.array(some.astype(np.int32)),
@@ -220,12 +228,12 @@ def _distinct(arrays: Iterator[np.ndarray], kind: type) -> np.ndarray:
     return np.unique(np.concatenate([merged, *held]))
 
 
-def _wanted(t: pa.Table) -> pa.Table:
-    """The distinct words and 4-byte strings of a group of documents, in lists."""
+def _wanted(t: pa.Table, depth: int) -> pa.Table:
+    """The distinct words and strings of a group of documents, in lists."""
     texts = [x.lower() for x in texts_as_bytes(t["text"])]
     rows = []
     for kind, keys in ((WORD, _distinct((word_hashes(x) for x in texts), np.uint64)),
-                       (GRAM, _distinct((grams(x) for x in texts), np.uint32))):
+                       (GRAM, _distinct((grams(x, depth) for x in texts), np.uint64))):
         keys = keys.astype(np.uint64).view(np.int64)
         rows += [(kind, keys[at : at + LIST_KEYS]) for at in range(0, len(keys), LIST_KEYS)]
     return pa.table({"grp": pa.array([t["grp"][0].as_py()] * len(rows), pa.int64()),
@@ -233,30 +241,34 @@ def _wanted(t: pa.Table) -> pa.Table:
                      "keys": pa.array([k for _, k in rows], pa.list_(pa.int64()))})
 
 
-def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id") -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
+                    depth: int = DEPTH) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score, n_symbols (bytes and end). Learns from the rows whose
-    ``held_out`` is false and scores all."""
+    ``held_out`` is false and scores all, with contexts of up to ``depth`` bytes
+    (2 to 6: a string must fit a key)."""
+    if not 2 <= depth <= 6:
+        raise ValueError("depth must be 2 to 6")
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
     size = docs.agg(F.sum(F.octet_length("text")).alias("size"),
                     F.count_if(~F.col("held_out")).alias("ends")).first()
     ends, groups = size["ends"], max(MIN_GROUPS, -(-(size["size"] or 0) // GROUP_BYTES))
-    counts = cut(corpus_counts(docs.where(~F.col("held_out"))))
+    counts = cut(corpus_counts(docs.where(~F.col("held_out")), depth))
     total = counts.where(F.col("kind") == WORD).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_train, v_train = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     release(spark)
 
     strings = counts.where(F.col("kind") == GRAM).select("key", "n")
-    top = spark.sparkContext.broadcast(top_tree(strings))  # 4 x 65,536 numbers
+    top = spark.sparkContext.broadcast(top_tree(strings, depth))  # 4 x 65,536 numbers
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("grp"), "doc_id", "held_out", "text")
-    wanted = cut(dealt.groupBy("grp").applyInArrow(_wanted, "grp long, kind int, keys array<long>"))
+    wanted = cut(dealt.groupBy("grp").applyInArrow(lambda t: _wanted(t, depth), "grp long, kind int, keys array<long>"))
     wanted = wanted.select("grp", "kind", F.explode("keys").alias("key"))
     release(spark)
 
     def look_up(known: pa.Table, want: pa.Table) -> pa.Table:
         keys, order = known["key"].to_numpy(), want["key"].to_numpy()
-        value = log10_probabilities(top.value, keys, known["n"].to_numpy(), order) if len(order) else np.empty(0)
+        value = log10_probabilities(top.value, keys, known["n"].to_numpy(), order, depth) if len(order) else np.empty(0)
         return pa.table({"key": pa.array(order, pa.int64()), "value": pa.array(value, pa.float64())})
 
     needed = wanted.where(F.col("kind") == GRAM).select("key").distinct()
@@ -284,7 +296,7 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id") -
                 at = np.minimum(np.searchsorted(words, h), len(words) - 1)
                 c[:-1] = np.where(words[at] == h, count[at], 0.0)
             c[-1] = ends
-            g = grams(data)
+            g = grams(data, depth).astype(np.uint64)
             rows.append((len(c), int((c > 0).sum()), float(np.log10((c + 0.1) / scale).sum()) if scale > 0.1 else 0.0,
                          float(chance[np.searchsorted(strings, g)].sum()), len(g)))
         n, known, base, full, size = zip(*rows) if rows else ((),) * 5

@@ -45,7 +45,7 @@ def op7_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ctw.score_documents(table(spark, sf_dir, "documents"), langid.fold("doc_id", 10) == 0)
+    return ctw.score_documents(table(spark, sf_dir, "documents"), langid.fold("doc_id", 10) == 0, depth=6)
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,3 +130,24 @@ def test_unseen_weights_sum_to_one():
         p = ctw.log10_probabilities(top, np.array([k for k, _ in rows], int), np.array([c for _, c in rows], int),
                                     base + np.arange(256))
         assert math.isclose((10.0 ** p).sum(), 1.0, rel_tol=1e-9)
+
+
+def test_query_sees_contexts_beyond_three_bytes(spark, tmp_root):
+    from starling.llm.queries import op8_lm_score
+
+    # the byte after "====" depends on the byte before it
+    rows = [(i, ("a====b", "c====d")[i % 2]) for i in range(400)] + [(1000, "a====b"), (1001, "a====d")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_root}/documents.parquet")
+    got = {r["doc_id"]: r["score"] for r in op8_lm_score(spark, tmp_root).collect()}
+    assert got[1000] > got[1001] + 1
+
+
+def test_deeper_weights_sum_to_one():
+    rng = np.random.default_rng(2)
+    text = bytes(rng.choice(list(b"ab"), 400).astype(np.uint8))
+    keys, n = np.unique(ctw.grams(text, 6).astype(np.int64), return_counts=True)
+    top = ctw.TopTree(np.ones((256, 256), int), np.ones((256, 256), int), np.zeros((256, 256)))
+    same = (keys >> 8) & 0xFFFF == 0x6162
+    for ctx in (int(keys[same][0]) >> 8 << 8, 0x7A7A7A7A616200):
+        p = ctw.log10_probabilities(top, keys[same], n[same], ctx + np.arange(256), 6)
+        assert math.isclose((10.0 ** p).sum(), 1.0, rel_tol=1e-9)
