@@ -3,7 +3,7 @@
 A source with share p of all tokens gets the weight p^a / sum of p^a. The
 exponent a is bisected, in rounds of ``GRID`` points that one aggregation over
 the sources evaluates at once: to a target entropy of the weights (which falls
-as a grows from 0 to 1), or to the smallest a at which no source is repeated
+as a grows; the upper end, 1, is doubled until it is reached), or to the smallest a at which no source is repeated
 more often than a limit (repeats fall as a grows). With a budget of T tokens a
 source of t tokens is drawn weight x T / t times. Without a budget T is the
 least at which every source is drawn ``min_repeats`` times.
@@ -29,13 +29,15 @@ columns stay.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starling.llm.common import cut
 
-#: Points of a bisection round, and rounds.
-GRID, ROUNDS = 257, 4
+#: Points of a bisection round, rounds, and doublings of the upper end.
+GRID, ROUNDS, DOUBLINGS = 257, 4, 40
 #: Blocks of a source.
 BLOCKS = 1 << 12
 #: Seed of the permutations.
@@ -57,27 +59,39 @@ def bisect_exponent(totals: DataFrame, target_entropy: float | None = None, max_
     of GRID values reaches the driver in each round."""
     if (target_entropy is None) == (max_repeats is None):
         raise ValueError("give a target entropy or a limit on repeats")
-    whole = totals.agg(F.sum("t")).first()[0] or 0
+    of = totals.where("t > 0").agg(F.sum("t").alias("whole"), F.max("t").alias("most"), F.count("*").alias("k")).first()
+    whole = of["whole"] or 0
     if not whole:
         return 1.0
-    share = F.log(F.col("t") / F.lit(float(whole)))
+    if target_entropy is not None and target_entropy > math.log(of["k"]) + 1e-9:
+        raise ValueError("the target entropy is above that of equal weights")
+    share = F.log(F.col("t") / F.lit(float(whole if target_entropy is None else of["most"])))  # entropy: any scale
     some = totals.where("t > 0").select(share.alias("p"))
-    low, high = 0.0, 1.0
-    for _ in range(ROUNDS):
-        grid = _grid(low, high)
+
+    def first_fit(grid: list[float]) -> int | None:
         sums = some.select("p", F.posexplode(F.lit(grid)).alias("i", "a")).groupBy("i").agg(
             F.sum(F.exp(F.col("a") * F.col("p"))).alias("z"),
             F.sum(F.exp(F.col("a") * F.col("p")) * F.col("p")).alias("zp"),
             F.max((F.col("a") - 1) * F.col("p")).alias("most"), F.min((F.col("a") - 1) * F.col("p")).alias("least"),
             F.first("a").alias("a"))
         if target_entropy is not None:
-            fits = F.log("z") - F.col("a") * F.col("zp") / F.col("z") <= target_entropy
+            fits = F.log("z") - F.col("a") * F.col("zp") / F.col("z") <= target_entropy + 1e-12
         elif budget is not None:  # most repeats: budget / whole x p^(a - 1) / z
-            fits = F.lit(budget / whole) * F.exp("most") / F.col("z") <= max_repeats
+            fits = F.lit(budget / whole) * F.exp("most") / F.col("z") <= max_repeats * (1 + 1e-12)
         else:
-            fits = F.lit(float(min_repeats)) * F.exp(F.col("most") - F.col("least")) <= max_repeats
-        first = sums.where(fits).agg(F.min("i")).first()[0]
+            fits = F.lit(float(min_repeats)) * F.exp(F.col("most") - F.col("least")) <= max_repeats * (1 + 1e-12)
+        return sums.where(fits).agg(F.min("i")).first()[0]
+
+    low, high = 0.0, 1.0
+    for k in range(ROUNDS):
+        grid = _grid(low, high)
+        first = first_fit(grid)
+        if first is None and k == 0 and target_entropy is not None:  # repeats are fewest at 1
+            grid = [2.0**i for i in range(DOUBLINGS + 1)]
+            first = first_fit(grid)
         if first is None:
+            if k == 0:
+                raise ValueError("no exponent meets the target entropy or the limit on repeats")
             return high
         if first == 0:
             return low
@@ -88,8 +102,9 @@ def bisect_exponent(totals: DataFrame, target_entropy: float | None = None, max_
 def source_plan(totals: DataFrame, exponent: float, budget: int | None = None, min_repeats: float = 1.0) -> DataFrame:
     """(source, t, weight, quota, whole, rest): tokens, weight, tokens to draw,
     whole repeats and tokens of the last, partial one."""
-    power = F.when(F.col("t") > 0, F.pow(F.col("t").cast("double"), F.lit(exponent))).otherwise(0.0)
-    sums = totals.agg(F.sum(power).alias("z"), F.max(F.when(F.col("t") > 0, F.col("t") / power)).alias("m")).first()
+    unit = 1.0 if exponent <= 1 else float(totals.agg(F.max("t")).first()[0] or 1)  # no power overflows
+    power = F.when(F.col("t") > 0, F.pow(F.col("t") / F.lit(unit), F.lit(exponent))).otherwise(0.0)
+    sums = totals.agg(F.sum(power).alias("z"), F.max(F.when(F.col("t") > 0, F.try_divide(F.col("t"), power))).alias("m")).first()
     z, m = sums["z"] or 1.0, sums["m"] or 0.0
     amount = float(budget) if budget is not None else min_repeats * m * z
     plan = totals.withColumn("weight", power / F.lit(z)).withColumn("quota", F.col("weight") * F.lit(amount))

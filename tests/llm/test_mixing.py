@@ -81,3 +81,15 @@ def test_empty_table_repeated_rows_and_arguments(spark):
     assert out.columns == ["doc_id", "text", "source", "draw"] and out.count() == 4
     with pytest.raises(ValueError):
         mixing.bisect_exponent(same.select(F.lit(1).alias("t")))
+
+
+def test_targets_beyond_exponent_one(spark):
+    rows, _, weight = plan(mixing.mix(corpus(spark), target_entropy=0.2, budget=3000))
+    assert rows[0]["exponent"] > 1
+    assert abs(-sum(w * math.log(w) for w in weight.values() if w) - 0.2) < 1e-6
+    with pytest.raises(ValueError):
+        mixing.mix(corpus(spark), max_repeats=1.0, budget=10 * sum(totals(spark).values()))
+    even = spark.createDataFrame([("a", 5), ("b", 5)], "source string, t long")
+    for target in (0.1, 0.8):  # two equal sources have ln 2
+        with pytest.raises(ValueError):
+            mixing.bisect_exponent(even, target_entropy=target)
