@@ -26,7 +26,20 @@ def ids_of(text):
 @given(st.lists(st.sampled_from(BITS), max_size=60).map("".join))
 def test_stretches_give_the_ids_of_the_whole_text(text):
     enc = packing.encoder()
-    assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == ids_of(text)[:-1]
+    want = ids_of(text)[:-1]
+    assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == want
+    latin = packing.NOT_LATIN.sub("", text)
+    assert enc.latin and np.frombuffer(enc.encode([latin])[0], "<u4").tolist() == ids_of(latin)[:-1]
+    by_stretch = packing.StretchEncoder.__new__(packing.StretchEncoder)
+    by_stretch.__dict__ = enc.__dict__ | {"latin": None}
+    assert np.frombuffer(by_stretch.encode([text])[0], "<u4").tolist() == want
+
+
+def test_every_latin_character_by_rank_as_by_vocabulary():
+    enc = packing.encoder()
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f"1{c}2", f" {c} x", f"{c}{c}'s {c}.", f"\n{c} \t{c}", f"word {c}word", f"{c}<|endoftext|>{c}"):
+            assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == ids_of(text)[:-1], repr(text)
 
 
 def test_windows_give_the_ids_of_the_whole_text(monkeypatch):
