@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import bpe, ctw, edits, fingerprints, langid, licenses, minhash, mixing, packing, suffixes, topk
+from starling.llm import bpe, ctw, edits, fingerprints, langid, licenses, minhash, mixing, packing, prefixtrie, suffixes, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,7 +73,11 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_license_scan, op3_language_id, op4_bpe_round_trip, op5_fingerprints,
     op6_suffix_array_dedup, op7_threshold_top_k, op8_lm_score, op9_source_mixing, op10_edit_aware_counts,
-    op12_packing)}
+    op12_packing, op13_prefix_trie)}
