@@ -6,7 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import bpe, ctw, edits, fingerprints, langid, licenses, minhash, mixing, packing, prefixtrie, suffixes, topk
+from starling.llm import (
+    bpe,
+    ctw,
+    edits,
+    fingerprints,
+    langid,
+    licenses,
+    minhash,
+    mixing,
+    packing,
+    prefixtrie,
+    spelling,
+    suffixes,
+    topk,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +83,10 @@ def op10_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.count_edited(docs.withColumn("edits", changes))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -80,4 +98,4 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_license_scan, op3_language_id, op4_bpe_round_trip, op5_fingerprints,
     op6_suffix_array_dedup, op7_threshold_top_k, op8_lm_score, op9_source_mixing, op10_edit_aware_counts,
-    op12_packing, op13_prefix_trie)}
+    op11_spelling_variants, op12_packing, op13_prefix_trie)}
