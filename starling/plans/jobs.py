@@ -1,15 +1,18 @@
 """The eight jobs of the pipeline as incremental Spark queries.
 
 * silver jobs (B1-B4): new change files -> silver transform -> partitioned
-  Parquet, one replay-safe directory per micro-batch;
+  Parquet, one replay-safe directory per commit of the target's ledger;
 * dimension jobs (B5, B6 + M1, M2): new silver files -> stage table
   (truncate-load, column statistics) -> SCD2 merge into the dimension store;
-* fact jobs (B7, B8): new silver files -> fact table, appended per batch into
-  its own ``load_id`` partition (replay-safe; the source jobs truncated facts
+* fact jobs (B7, B8): new silver files -> fact table, appended per commit of
+  its ledger into its own ``load_id`` partition (replay-safe; the source jobs truncated facts
   while reading only new files, which left only the last increment).
 
 Each job is a file-source stream with ``availableNow``: a run takes exactly
-the files no earlier successful run took.
+the files no earlier successful run took. Silver and fact targets keep a fenced
+ledger of the files in them (``sinks.ledger``), so that a lost, reset or
+doubled checkpoint neither overwrites nor doubles what is loaded; a dimension
+store refuses restarted batch ids itself.
 """
 
 from __future__ import annotations
@@ -33,8 +36,9 @@ from starling.schemas import (
     STAGE_DIM_CUSTOMER,
     STAGE_DIM_PRODUCT,
 )
-from starling.session import path_exists
+from starling.session import delete_path, list_dir_names, modified, path_exists
 from starling.sinks.dimension_store import DimensionStore
+from starling.sinks.ledger import FILE_COLUMN, CommitLedger, apply_once, observing_files, with_file_column
 from starling.sinks.parquet import bronze_path, silver_path, write_batch
 from starling.sinks.warehouse import LoadReport, Warehouse
 from starling.sources.bronze import header_schema, read_bronze_by_name, stream_bronze, stream_file_names
@@ -82,6 +86,27 @@ class Lake:
     def checkpoint(self, job: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{job}/{table}"
 
+    def silver_ledger(self, spark: SparkSession, table: str) -> CommitLedger:
+        target = self.silver(table)
+
+        def newest() -> tuple[int, int] | None:
+            batches = [int(n.split("=", 1)[1]) for n in list_dir_names(spark, target) if n.startswith("batch_id=")]
+            return (max(batches), modified(spark, f"{target}/batch_id={max(batches)}")) if batches else None
+
+        return CommitLedger(spark, f"{self.root.rstrip('/')}/_ledger/silver/{table}",
+                            lambda n: delete_path(spark, f"{target}/batch_id={n}"), newest,
+                            lambda: modified(spark, f"{self.checkpoint('silver', table)}/metadata"))
+
+    def fact_ledger(self, spark: SparkSession, warehouse: Warehouse, table: str) -> CommitLedger:
+        def newest() -> tuple[int, int] | None:
+            load = warehouse.newest_load(FACT_JOBS[table][0])
+            path = f"{warehouse.location}/{FACT_JOBS[table][0]}/load_id={load}"
+            return None if load is None else (load, modified(spark, path) or 0)
+
+        return CommitLedger(spark, f"{self.root.rstrip('/')}/_ledger/fact/{table}",
+                            lambda n: warehouse.drop_load(FACT_JOBS[table][0], n), newest,
+                            lambda: modified(spark, f"{self.checkpoint('fact', table)}/metadata"))
+
     def dimension(self, spark: SparkSession, spec: DimensionSpec) -> DimensionStore:
         return DimensionStore(spark, f"{self.root.rstrip('/')}/dimensions/{spec.name}", spec)
 
@@ -117,25 +142,30 @@ def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str |
         return None
     transform = SILVER_FUNCTIONS[table]
     target, pk, order = lake.silver(table), SILVER_PARTITION[table], SILVER_ORDER_COL.get(table)
+    ledger = lake.silver_ledger(spark, table)
+
+    def write(rows: DataFrame, commit_id: int) -> list[str]:
+        rows, files = observing_files(rows)
+        write_batch(transform(rows, run_ts=run_ts), target, commit_id, pk, order)
+        return files()
 
-    def write(rows: DataFrame, batch_id: int) -> None:
+    def write_by_name(names: DataFrame, commit_id: int) -> list[str]:
+        paths = [r[FILE_COLUMN] for r in names.collect()]  # this batch's file names (bounded by the trigger)
+        rows = read_bronze_by_name(spark, paths, BRONZE_COLUMNS[table])
         if non_empty(rows):
-            write_batch(transform(rows, run_ts=run_ts), target, batch_id, pk, order)
+            write_batch(transform(rows, run_ts=run_ts), target, commit_id, pk, order)
+        return paths
 
     if by_name:
         # the batch's file names go to the driver: bound them per batch
-        max_files_per_trigger = max_files_per_trigger or BY_NAME_MAX_FILES
+        stream = stream_file_names(spark, src, max_files_per_trigger or BY_NAME_MAX_FILES).withColumnRenamed(
+            "path", FILE_COLUMN)
+    else:
+        stream = with_file_column(stream_bronze(spark, src, header_schema(spark, src), max_files_per_trigger))
 
-        def process(batch: DataFrame, batch_id: int) -> None:
-            paths = [r.path for r in batch.collect()]  # this batch's file names (bounded by the trigger)
-            if paths:
-                write(read_bronze_by_name(spark, paths, BRONZE_COLUMNS[table]), batch_id)
-
-        stream = stream_file_names(spark, src, max_files_per_trigger)
-        return start_available_now(stream, process, lake.checkpoint("silver", table), name=f"silver_{table}")
+    def process(batch: DataFrame, batch_id: int) -> None:
+        apply_once(ledger, batch, stream_id(batch), batch_id, write_by_name if by_name else write)
 
-    process = write
-    stream = stream_bronze(spark, src, header_schema(spark, src), max_files_per_trigger)
     return start_available_now(stream, process, lake.checkpoint("silver", table), name=f"silver_{table}")
 
 
@@ -165,19 +195,24 @@ def start_dimension_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, t
 
 def start_fact_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, table: str,
                    mode: str = "append", max_files_per_trigger: int | None = None) -> StreamingQuery | None:
-    """``append`` replaces only this batch's partition; ``truncate_load``
-    keeps the source jobs' literal behaviour."""
+    """``append`` loads each silver file once, a commit of the ledger
+    being a load; ``truncate_load`` keeps the source jobs' literal behaviour."""
     if not path_exists(spark, lake.silver(table)):
         return None
     fact_table, fact_schema = FACT_JOBS[table]
+    ledger = lake.fact_ledger(spark, warehouse, table)
+
+    def load(rows: DataFrame, load_id: int | None) -> list[str]:
+        rows, files = observing_files(rows)
+        lake.reports.append(warehouse.load(rows, fact_table, fact_schema, mode=mode, analyze="table", load_id=load_id))
+        return files()
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if not non_empty(batch):
-            return
-        load_id = batch_id if mode == "append" else None
-        lake.reports.append(warehouse.load(batch, fact_table, fact_schema, mode=mode, analyze="table",
-                                           load_id=load_id))
+        if mode == "append":
+            apply_once(ledger, batch, stream_id(batch), batch_id, load)
+        elif non_empty(batch):
+            load(batch, None)
 
-    stream = stream_silver(spark, lake, table, max_files_per_trigger)
+    stream = with_file_column(stream_silver(spark, lake, table, max_files_per_trigger))
     return start_available_now(stream, process, lake.checkpoint("fact", table),
                                name=f"fact_{table}")

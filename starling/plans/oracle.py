@@ -402,6 +402,9 @@ SQL["load_schemas"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{d}' AS data_type"
     for t, cols in _SCHEMAS.items() for i, (c, d) in enumerate(cols))
 SQL["retry_after_failure"] = SQL["silver_customer"]
+SQL["silver_after_lost_checkpoint"] = SQL["silver_customer"]
+SQL["fact_after_lost_checkpoint"] = SQL["fact_orders"]
+SQL["fact_replay_after_read"] = SQL["fact_orders"]
 SQL["pipeline_stops"] = with_(BRONZE_CUSTOMER, BRONZE_PRODUCT, BRONZE_ORDER_DETAILS) + """
 SELECT 'silver' AS layer, 'customer' AS table_name, (SELECT count(*) FROM bronze_customer) AS rows, true AS stopped
 UNION ALL SELECT 'silver', 'product', (SELECT count(*) FROM bronze_product), true

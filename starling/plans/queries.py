@@ -27,11 +27,11 @@ from starling.operators.scd2 import (
 from starling.operators.silver import CUSTOMER_HASHED, SILVER_FUNCTIONS, SILVER_PARTITION
 from starling.operators.silver import silver_product as silver_product_fn
 from starling.operators.sort import sort_for_query
-from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SILVER_SCHEMAS, SOURCE_TABLES, Lake, start_silver_job
+from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SILVER_SCHEMAS, SOURCE_TABLES, Lake, start_fact_job, start_silver_job, stream_silver
 from starling.plans.oracle_format import time_as_text
 from starling.plans.pipeline import layer_counts, run_pipeline
 from starling.schemas import SILVER_CUSTOMER, SILVER_ORDERS
-from starling.session import path_exists, shared_path
+from starling.session import delete_path, path_exists, shared_path
 from starling.sinks.dimension_store import DimensionStore
 from starling.sinks.parquet import read_partitioned, write_batch, write_change_files, write_partitioned
 from starling.sinks.warehouse import Warehouse
@@ -394,6 +394,65 @@ def q_retry_after_failure(spark, sf_dir):
     return time_as_text(read_partitioned(spark, lake.silver("customer"), SILVER_CUSTOMER).drop("batch_id"))
 
 
+def q_silver_after_lost_checkpoint(spark, sf_dir):
+    """The silver job's checkpoint is lost between two runs. Its files are
+    still listed, its batches count from 0 again: nothing is overwritten and
+    nothing loaded twice."""
+    lake = Lake(shared_path(spark, "lost_checkpoint", unique=True))
+    changes = bronze(spark, sf_dir, "customer")
+    day = F.coalesce(F.substring("dms_timestamp", 1, 10), F.lit(""))
+    for n, drop in enumerate((day <= "2024-01-01", day == "2024-01-02", day > "2024-01-02")):
+        write_change_files(changes.where(drop), lake.bronze("customer"))
+        await_all([start_silver_job(spark, lake, "customer", RUN_TS)])
+        if n == 1:
+            delete_path(spark, lake.checkpoint("silver", "customer"))
+    return time_as_text(read_partitioned(spark, lake.silver("customer"), SILVER_CUSTOMER).drop("batch_id"))
+
+
+def q_fact_after_lost_checkpoint(spark, sf_dir):
+    """The checkpoints of the silver and the fact job are lost between
+    loads; the fact table still holds every order once."""
+    root = shared_path(spark, "fact_lost", unique=True)
+    lake = Lake(root)
+    wh = Warehouse(spark, "wh_" + root.rsplit("/", 1)[-1], root + "/warehouse")
+    rows = bronze(spark, sf_dir, "orders")
+    late = F.coalesce(F.col("orderid").try_cast("long") % 3 == 0, F.lit(False))
+    for drop in (~late, late):
+        write_change_files(rows.where(drop), lake.bronze("orders"))
+        await_all([start_silver_job(spark, lake, "orders", RUN_TS)])
+        await_all([start_fact_job(spark, lake, wh, "orders")])
+        for job in ("silver", "fact"):
+            delete_path(spark, lake.checkpoint(job, "orders"))
+    await_all([start_silver_job(spark, lake, "orders", RUN_TS)])
+    await_all([start_fact_job(spark, lake, wh, "orders")])
+    return time_as_text(wh.table(FACT_JOBS["orders"][0]).drop("load_id"))
+
+
+def q_fact_replay_after_read(spark, sf_dir):
+    """T4, K7: a fact batch fails after its load, once the table has been read
+    in the session; the next run takes the batch again and replaces the load."""
+    root = shared_path(spark, "fact_replay", unique=True)
+    lake, failed = Lake(root), []
+    wh = Warehouse(spark, "wh_" + root.rsplit("/", 1)[-1], root + "/warehouse")
+    write_change_files(bronze(spark, sf_dir, "orders"), lake.bronze("orders"))
+    await_all([start_silver_job(spark, lake, "orders", RUN_TS)])
+    fact_table, schema = FACT_JOBS["orders"]
+
+    def process(rows, batch_id):
+        wh.load(rows, fact_table, schema, mode="append", load_id=batch_id)
+        if not failed:
+            failed.append(wh.count(fact_table))
+            raise RuntimeError("lost after the load")
+
+    for _ in range(2):
+        try:
+            run_available_now(stream_silver(spark, lake, "orders"), process, lake.checkpoint("fact", "orders"))
+        except Exception:  # noqa: BLE001 - the first run is meant to fail
+            if len(failed) != 1:
+                raise
+    return time_as_text(wh.table(fact_table).drop("load_id"))
+
+
 def q_pipeline_stops(spark, sf_dir):
     """Change files of orders lack a column, so their silver job fails;
     the other silver jobs are done, and nothing behind the stage has begun."""
@@ -476,6 +535,9 @@ QUERIES = {
     "fact_order_details": q_fact_order_details,
     "load_report": q_load_report,
     "retry_after_failure": q_retry_after_failure,
+    "silver_after_lost_checkpoint": q_silver_after_lost_checkpoint,
+    "fact_after_lost_checkpoint": q_fact_after_lost_checkpoint,
+    "fact_replay_after_read": q_fact_replay_after_read,
     "pipeline_stops": q_pipeline_stops,
     "dim_customer_type1_chunked": q_dim_customer_type1_chunked,
     "dim_product_hot_key": q_dim_product_hot_key,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -93,6 +94,30 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
 
 
+def create_if_absent(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it exists; False if it did. Of several
+    callers at most one gets True, as far as the file system creates files
+    atomically (HDFS, local disks, object stores with conditional writes)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        fs.create(hpath, False).close()
+        return True
+    except Py4JJavaError:
+        if fs.exists(hpath):
+            return False
+        raise
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files and folders in ``path`` (one listing); none if absent."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursive delete through the Hadoop file system; True if it existed."""
     jvm = spark.sparkContext._jvm
@@ -118,6 +143,14 @@ def list_dir_names(spark: SparkSession, path: str, require: str | None = None) -
     return names
 
 
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When a file or folder was last changed (ms); None if absent."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getFileStatus(hpath).getModificationTime()) if fs.exists(hpath) else None
+
+
 def content_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored below ``path`` (file-system metadata, no job); 0 if absent."""
     jvm = spark.sparkContext._jvm

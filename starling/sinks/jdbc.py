@@ -8,9 +8,14 @@ are what ``DataFrameWriter.format("jdbc")`` documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from starling.sinks.warehouse import conform
+from starling.sources.keyranges import balanced_predicates, check_splittable, range_predicates
 from starling.schemas import JDBC_COLUMN_TYPES, TABLE_SCHEMAS
 
 
@@ -57,15 +62,44 @@ def write_table(df: DataFrame, url: str, schema_name: str, table: str, mode: str
     out.repartition(max_connections).write.format("jdbc").mode(save_mode).options(**opts).save()
 
 
+def read_by_ranges(read: Callable[..., DataFrame], table: str, columns: Sequence[str], num_partitions: int = 8) -> DataFrame:
+    """The whole table in ``num_partitions`` parallel range reads of like
+    size. ``read(table, columns=None, predicates=None)`` reads it (or some of
+    its columns), one task for each predicate. The types of the key columns come
+    from the table's own schema; the bounds from a sample of the keys, which is
+    itself read in parallel: a number between its least and largest value, text
+    by evenly spaced prefixes, other keys in one piece."""
+    keys = read(table, columns=list(columns))
+    first = check_splittable(keys.schema, columns)[0]
+    if isinstance(first, StringType):
+        keys = read(table, columns=list(columns), predicates=text_key_predicates(columns[0], num_partitions))
+    elif isinstance(first, IntegralType):
+        low, high = keys.agg(F.min(columns[0]), F.max(columns[0])).first()
+        if low is not None and high > low:
+            step = (high - low) / num_partitions
+            cuts = sorted({int(low + step * k) for k in range(1, num_partitions)} - {low})
+            keys = read(table, columns=list(columns), predicates=range_predicates(columns, [(c,) for c in cuts]))
+    return read(table, predicates=balanced_predicates(keys, columns, num_partitions))
+
+
 def read_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
                lower_bound: int | None = None, upper_bound: int | None = None, num_partitions: int = 8,
                fetchsize: int = 10_000, properties: dict[str, str] | None = None) -> DataFrame:
     """Snapshot read of a source table, ``num_partitions`` parallel
-    range reads on a numeric ``partition_column`` when one is given with its
-    bounds, or on a text one without bounds."""
+    range reads: evenly spaced on a numeric ``partition_column`` that is given
+    with its bounds; without bounds, by quantiles of a sample of the key (a
+    comma-separated list of columns cuts values that many rows share)."""
     if partition_column is not None and lower_bound is None:
-        return spark.read.jdbc(url, table, predicates=text_key_predicates(partition_column, num_partitions),
-                               properties={"fetchsize": str(fetchsize), **(properties or {})})
+        keys = [c.strip() for c in partition_column.split(",")]
+
+        def read(name, columns=None, predicates=None):
+            source = f"(SELECT {', '.join(columns)} FROM {name}) AS keys" if columns else name
+            options = {"fetchsize": str(fetchsize), **(properties or {})}
+            if predicates:
+                return spark.read.jdbc(url, source, predicates=predicates, properties=options)
+            return spark.read.jdbc(url, source, properties=options)
+
+        return read_by_ranges(read, table, keys, num_partitions)
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", str(fetchsize))
     for k, v in (properties or {}).items():
         r = r.option(k, v)

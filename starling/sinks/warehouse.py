@@ -112,6 +112,8 @@ class Warehouse:
                 rows = rows.withColumn("load_id", F.lit(TRUNCATED_LOAD).cast("long"))
             (rows.write.option("partitionOverwriteMode", "static")
              .insertInto(target, overwrite=(mode == "truncate_load")))
+        for session in {rows.sparkSession, self.spark}:  # either may hold the file list of an earlier read
+            session.catalog.refreshTable(target)
         self.analyze(table, analyze, load_id)
         n = int(obs.get.get("rows", 0))
         return LoadReport(table, n, n, mode, df.schema.simpleString(), df.schema, int(obs.get.get("nulls", 0)))
@@ -140,6 +142,19 @@ class Warehouse:
         """K8: whether the catalog has a distinct count for the column."""
         return self._described(table, f"`{column}`").get("distinct_count", "NULL") != "NULL"
 
+    def newest_load(self, table: str) -> int | None:
+        """The largest ``load_id`` of a table partitioned by it (None without)."""
+        if not self.spark.catalog.tableExists(f"{self.name}.{table}") or "load_id" not in self.table(table).columns:
+            return None
+        parts = self.spark.sql(f"SHOW PARTITIONS {self.qualified(table)}").collect()
+        return max((int(r[0].split("=", 1)[1]) for r in parts), default=None)
+
+    def drop_load(self, table: str, load_id: int) -> None:
+        """Remove one load of a table partitioned by ``load_id``, files too."""
+        if self.newest_load(table) is not None:
+            self.spark.sql(f"ALTER TABLE {self.qualified(table)} DROP IF EXISTS PARTITION (load_id = {int(load_id)})")
+            self.spark.catalog.refreshTable(self.qualified(table))
+
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))
 
