@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from starling.llm.common import record_batch, slices
+from starling.llm.common import SLICE_ROWS
 
 #: Texts of a language that may be sampled for its dictionary.
 PER_LANGUAGE = 256
@@ -145,9 +146,10 @@ class Classifier:
     def classify(self, text: str | None) -> tuple[str, float, float, bool]:
         """(language, score, margin, rejected); the margin is the runner-up's
         excess over the smallest size, as a share of it."""
-        data = normalise(text).encode("utf-8") if text and self.labels else b""
-        if not data:
+        letters = normalise(text) if text and self.labels else ""
+        if not any(map(str.isalpha, letters)):  # digits such as a half or a circled one are no letters
             return "und", 0.0, 0.0, True
+        data = letters.encode("utf-8")
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
         sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in enumerate(self.compressors))
         best = sizes[0]
@@ -162,22 +164,22 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
     go to the executors as one broadcast variable.
     """
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
-    kept = docs.select(*keep).schema.fields
-    text = "text" if any(f.name == "text" for f in kept) else "_text"
-    source = docs.select(*keep, *([F.col("text").alias("_text")] if text == "_text" else []))
-    found = [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
-             StructField("margin", DoubleType()), StructField("rejected", BooleanType())]
+    found = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+                        StructField("margin", DoubleType()), StructField("rejected", BooleanType())])
 
-    def run(batches):
+    @F.arrow_udf(found)
+    def classify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = Classifier(held.value)
-        for b in slices(batches):
-            rows = [model.classify(t) for t in b.column(text).to_pylist()]
-            lang, score, margin, rejected = zip(*rows) if rows else ((), (), (), ())
-            yield record_batch({**{f.name: b.column(f.name) for f in kept},
-                                "lang_pred": (lang, pa.string()), "score": (score, pa.float64()),
-                                "margin": (margin, pa.float64()), "rejected": (rejected, pa.bool_())})
-
-    return source.mapInArrow(run, StructType([*kept, *found]))
+        types = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
+        for batch in texts:
+            rows = [model.classify(t) for at in range(0, len(batch), SLICE_ROWS) for t in batch.slice(at, SLICE_ROWS).to_pylist()]
+            columns = [*zip(*rows)] or [()] * 4
+            yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=found.fieldNames())
+
+    # only the texts go through Python and only the results come back
+    kept = docs.select(*keep).columns
+    out = docs.select(*keep, classify("text").alias("_found"))
+    return out.select(*(F.col(f"`{c}`") for c in kept), *(F.col("_found").getField(c).alias(c) for c in found.fieldNames()))
 
 
 def fold(doc_id: str, folds: int) -> Column:
