@@ -5,7 +5,8 @@ the shared folder and reread as the next one's documents.
 1. Language ID: rejected documents (no letter, or a narrow margin) go; a
    missing label becomes the predicted one.
 2. MinHash near-dedup: one document of each group of near copies (shingles of
-   five words, similarity of 0.8 or more) stays, the one of smallest id.
+   five words, similarity of 0.8 or more) stays, the one of smallest id (of
+   several texts under one id, the one whose hash is smallest).
 3. Suffix-array dedup: bytes under any 100-byte string that also starts earlier
    go; a character cut by that goes as a whole.
 4. Mixing: sources get tempered weights; every document is drawn at least
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.llm import bpe, langid, minhash, mixing, suffixes
+from starling.llm.common import row_keys
 from starling.session import delete_path, shared_path
 
 
@@ -53,9 +55,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1; the document with the smallest id of each group stays."""
-    kept = minhash.near_duplicates(docs, shingle=5, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    named = docs.where("doc_id IS NOT NULL").join(kept.distinct(), "doc_id").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+    own = ("doc_id", "text")
+    keyed = row_keys(packed(docs, *own))  # a doc_id with two texts is two documents
+    found = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"), shingle=5, percent=80)
+    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("row_key")).distinct()
+    left = keyed.join(kept, "row_key").dropDuplicates(["row_key"])
+    return unpacked(left.unionByName(keyed.where("row_key IS NULL")), docs, *own)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starling.session import delete_path, shared_path, shared_root
@@ -38,6 +39,33 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row_key``: a long in the order of doc_id that rows share
+    only if both doc_id and text are equal; null without a doc_id. It is the
+    doc_id itself unless some doc_id has several texts. Then the distinct
+    (doc_id, hash of the text) pairs are sorted over all tasks and numbered, each
+    task from the number of pairs before its own."""
+    doc = F.col("doc_id").cast("long")
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    pairs = docs.where("doc_id IS NOT NULL").select(doc.alias("doc_id"), digest.alias("h")).distinct()
+    if pairs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return docs.withColumn("row_key", doc)
+
+    def number(batches):
+        task, n = TaskContext.get().partitionId(), 0
+        for b in batches:
+            yield record_batch({"of_doc": b.column("doc_id"), "h": b.column("h"), "task": ([task] * b.num_rows, pa.int64()),
+                                "nth": (range(n, n + b.num_rows), pa.int64())})
+            n += b.num_rows
+
+    numbered = Stored(pairs.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").mapInArrow(
+        number, "of_doc long, h long, task long, nth long"), "row_keys").df
+    before = F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = numbered.groupBy("task").agg(F.count("*").alias("n")).select("task", before.alias("before"))  # a row a task
+    keys = numbered.join(tasks, "task").select("of_doc", F.col("h").alias("of_text"), (F.col("before") + F.col("nth")).alias("row_key"))
+    return docs.join(keys, (doc == F.col("of_doc")) & (digest == F.col("of_text")), "left").drop("of_doc", "of_text")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a bounded number of rows."""
     for batch in batches:

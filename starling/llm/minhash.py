@@ -51,6 +51,7 @@ from starling.llm.common import (
     mix64,
     record_batch,
     release,
+    row_keys,
     shingle_hashes,
     slices,
     texts_as_bytes,
@@ -236,9 +237,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, coordi
                     matches: int = MATCHES) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id that
     links reach), kept (doc_id = component_id). Links are pairs with 100 x
-    intersection >= ``percent`` x union of their shingle sets."""
+    intersection >= ``percent`` x union of their shingle sets. Where a doc_id
+    has several texts, each text is a document of its own with that id."""
+    docs = row_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = _by_key(docs.select(F.col("row_key").alias("doc_id"), "text"), shingle, percent, coordinates, matches)
+    ids = docs.where("row_key <> doc_id").select("row_key", "doc_id").distinct()
+    if ids.isEmpty():
+        return found
+    ids = docs.where("row_key IS NOT NULL").select("row_key", F.col("doc_id").alias("of_row")).distinct()
+    first = ids.select(F.col("row_key").alias("first_key"), F.col("of_row").alias("of_first"))
+    named = found.join(ids, F.col("doc_id") == F.col("row_key"), "left").join(
+        first, F.col("component_id") == F.col("first_key"), "left")
+    return named.select(F.col("of_row").alias("doc_id"), "n_shingles", F.col("of_first").alias("component_id"),
+                        F.coalesce(F.col("of_row") == F.col("of_first"), F.lit(True)).alias("kept"))
+
+
+def _by_key(docs: DataFrame, shingle: int, percent: int, coordinates: int, matches: int) -> DataFrame:
+    """``near_duplicates`` of documents of which no two differ under one id."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(signatures(docs, shingle, coordinates))
     identity = ["n_shingles", "s1", "s2"]
     some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")

@@ -33,9 +33,10 @@ bit filter, backed by an exact join).
 
 Defined cases: a null text is empty; texts below LENGTH bytes keep everything
 but take part in nothing; rows with a null doc_id come before all others, in
-the order of their text's hash; a doc_id is a document: rows that repeat it are
-no copies of each other; an empty table gives no rows; further columns are
-ignored. A task holds about 40 bytes for each byte of its longest text.
+the order of their text's hash; a doc_id with several texts is several documents,
+in the order of the texts' hashes; rows equal in both are one document and keep
+the same; an empty table gives no rows; further columns stay, but for those
+named like the results. A task holds about 40 bytes for each byte of its longest text.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from starling.llm.common import (
+    SLICE_ROWS,
     Stored,
     byte_codes,
     cut,
@@ -59,6 +61,7 @@ from starling.llm.common import (
     powers,
     record_batch,
     release,
+    row_keys,
     slices,
     texts_as_bytes,
 )
@@ -282,38 +285,35 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others) with kept (binary:
     the remaining bytes; or, ``as_text``, a string without the characters that
     were cut), n_bytes, n_removed and n_spans."""
-    names = docs.columns
-    order = F.coalesce(F.col("doc_id").cast("long"),
-                       F.expr("-9223372036854775808L + (xxhash64(text) & 2305843009213693951L)"))
-    keyed = docs.select(order.alias("doc"), "text")
-    found = repeats(keyed)
-    other = [F.col(c) for c in names if c != "text"]
-    whole = docs.select(order.alias("doc"), "text", F.struct(*other).alias("row"))
+    results = ("kept", "n_bytes", "n_removed", "n_spans")
+    names = [c for c in docs.columns if c not in results]
+    others = [F.col(f"`{c}`") for c in names if c != "text"]
+    packed = row_keys(docs.select("text", "doc_id", F.struct(*others).alias("row")))
+    order = F.coalesce("row_key", F.expr("-9223372036854775808L + (xxhash64(text) & 2305843009213693951L)"))
+    found = repeats(packed.select(order.alias("doc"), "text"))
+    whole = packed.select(order.alias("doc"), "text", "row")
     ids = found.select(F.col("doc").alias("id"))
     none = F.lit(None).cast("array<long>")
     parts = (thinned(whole, ids, False).select("text", "row", none.alias("anchors"), none.alias("windows"))
              .unionAll(thinned(whole, ids, True).join(found, "doc", "left").select("text", "row", "anchors", "windows")))
-    schema = StructType([
-        parts.schema["row"], StructField("text", StringType()), StructField("kept", StringType() if as_text else BinaryType()),
-        *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans"))])
-
-    def run(batches):
-        for b in slices(batches):
-            rows = []
-            for text, anchors, windows in zip(texts_as_bytes(b.column("text")), b.column("anchors").to_pylist(),
-                                              b.column("windows").to_pylist()):
-                rows.append((len(text), *split_kept(text, removed_bytes(text, anchors, windows))))
-            n, kept, removed, spans = zip(*rows) if rows else ((),) * 4
-            if as_text:
-                kept = [k.decode("utf-8", "ignore") for k in kept]
-            yield record_batch({"row": b.column("row"), "text": b.column("text"),
-                                "kept": (kept, pa.string() if as_text else pa.binary()),
-                                "n_bytes": (n, pa.int64()), "n_removed": (removed, pa.int64()),
-                                "n_spans": (spans, pa.int64())})
-
-    out = parts.select("row", "text", "anchors", "windows").mapInArrow(run, schema)
+    left = StructType([StructField("kept", StringType() if as_text else BinaryType()),
+                       *(StructField(c, LongType()) for c in results[1:])])
+
+    @F.arrow_udf(left)
+    def cut_out(text: pa.Array, anchors: pa.Array, windows: pa.Array) -> pa.Array:
+        rows = []
+        for at in range(0, len(text), SLICE_ROWS):
+            part = [texts_as_bytes(text.slice(at, SLICE_ROWS)), *(c.slice(at, SLICE_ROWS).to_pylist() for c in (anchors, windows))]
+            for t, a, w in zip(*part):
+                kept, removed, spans = split_kept(t, removed_bytes(t, a, w))
+                rows.append((kept.decode("utf-8", "ignore") if as_text else kept, len(t), removed, spans))
+        columns = [*zip(*rows)] or [()] * 4
+        types = (pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64())
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=list(results))
+
+    out = parts.select("row", "text", cut_out("text", "anchors", "windows").alias("left"))
     return out.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names),
-                      "kept", "n_bytes", "n_removed", "n_spans")
+                      *(F.col("left").getField(c).alias(c) for c in results))
 
 
 def digest(kept: DataFrame) -> DataFrame:

@@ -14,10 +14,11 @@ Queries are a stated set against all rows, in blocks: a block of vectors is
 read once for each block of ``QUERY_ROWS`` queries.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite
-component, and rows without an id, take no part; a repeated id stands for the
-smallest of its vectors; only vectors of equal length are compared; ties go to
-the smaller id; with fewer candidates than k all are returned; components must
-satisfy |256 x| < 2^31, larger ones are clipped to it, so scores fit a long.
+component, and rows without an id, take no part; rows equal in id and vector
+are one, every other row of a repeated id is a candidate (for queries of another
+id) and, where the id is a query, its rows share one ranking; only vectors of equal length are compared; ties go to the
+smaller id; with fewer candidates than k all are returned; a component so large
+that a score might not fit a long is an error that names the row.
 """
 
 from __future__ import annotations
@@ -33,16 +34,18 @@ MIN_BLOCKS, BLOCK_ROWS = 48, 16384
 QUERY_ROWS = 4096
 #: Entries read from each list between two looks at the bound.
 STEP = 8
-LIMIT = float(2**31 - 1)
 
 
 def integer_vectors(vectors: DataFrame, vec_id: str, vector: str, scale: float) -> DataFrame:
     """(id, v): the vectors that take part, as floor(scale * x)."""
     x = F.col(vector).cast("array<double>")
     whole = (F.size(x) > 0) & F.forall(x, lambda e: F.coalesce(F.abs(e) < F.lit(float("inf")), F.lit(False)))
-    unit = F.transform(x, lambda e: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(e * scale).cast("double"))).cast("long"))
-    return (vectors.where(F.col(vec_id).isNotNull() & whole).select(F.col(vec_id).cast("long").alias("id"), unit.alias("v"))
-            .groupBy("id").agg(F.min("v").alias("v")))
+    # so many squares of this bound fit a long
+    bound = F.floor(F.sqrt(F.lit(2.0**63 - 2.0**20) / F.size(x)))
+    told = F.concat(F.lit("components too large for exact scores, id "), F.col(vec_id).cast("string"))
+    unit = F.transform(x, lambda e: F.when(F.abs(e * scale) < bound, F.floor(e * scale)).otherwise(
+        F.raise_error(told).cast("long")))
+    return vectors.where(F.col(vec_id).isNotNull() & whole).select(F.col(vec_id).cast("long").alias("id"), unit.alias("v")).distinct()
 
 
 class SortedLists:
