@@ -176,9 +176,10 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
             columns = [*zip(*rows)] or [()] * 4
             yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=found.fieldNames())
 
-    # only the texts go through Python and only the results come back
+    # only the texts go through Python and only the results come back; a
+    # condition on them must not make the optimizer classify twice
     kept = docs.select(*keep).columns
-    out = docs.select(*keep, classify("text").alias("_found"))
+    out = docs.select(*keep, classify.asNondeterministic()("text").alias("_found"))
     return out.select(*(F.col(f"`{c}`") for c in kept), *(F.col("_found").getField(c).alias(c) for c in found.fieldNames()))
 
 
