@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.audit import open_end, run_date, run_timestamp
 from starling.functions.hashing import change_hash
+from starling.functions.rescue import RESCUED, merge_rescued, unread
 from starling.functions.text import (
     name_token,
     round_price,
@@ -34,6 +35,11 @@ def _change_ts(df: DataFrame):
     return F.lit(None).cast("timestamp")
 
 
+def _carried(df: DataFrame) -> list[str]:
+    """Rescued data goes through silver as it is."""
+    return [RESCUED] if RESCUED in df.columns else []
+
+
 def silver_customer(bronze: DataFrame, run_ts: str | None = None, hash_sep: str = "",
                     hash_null_marker: str | None = None) -> DataFrame:
     """B1. Email is not hashed: an email-only change is not a new version."""
@@ -47,7 +53,7 @@ def silver_customer(bronze: DataFrame, run_ts: str | None = None, hash_sep: str
         name_token("cust_name", 0).alias("cust_first_name"),
         name_token("cust_name", 1).alias("cust_last_name"),
         _change_ts(r).alias("dms_timestamp"),
-        run_date(run_ts).alias("ingestion_date"),
+        run_date(run_ts).alias("ingestion_date"), *_carried(r),
     )
 
 
@@ -68,7 +74,7 @@ def silver_product(bronze: DataFrame, run_ts: str | None = None, hash_sep: str =
         open_end().alias("record_end_ts"),
         F.lit(1).alias("active_flag"),
         _change_ts(r).alias("dms_timestamp"),
-        run_date(run_ts).alias("ingestion_date"),
+        run_date(run_ts).alias("ingestion_date"), *_carried(r),
     )
 
 
@@ -82,7 +88,7 @@ def silver_orders(bronze: DataFrame, run_ts: str | None = None) -> DataFrame:
         F.year(d).alias("order_year"), F.month(d).alias("order_month"),
         run_date(run_ts).alias("ingestion_date"),
         _change_ts(r).alias("dms_timestamp"),
-        F.year(d).alias("order_year_pk"),
+        F.year(d).alias("order_year_pk"), *_carried(r),
     )
 
 
@@ -93,7 +99,7 @@ def silver_order_details(bronze: DataFrame, run_ts: str | None = None) -> DataFr
         "order_details_id", "order_id", "product_id", to_int_safe("product_quantity").alias("product_quantity"),
         run_date(run_ts).alias("ingestion_date"),
         _change_ts(r).alias("dms_timestamp"),
-        run_date(run_ts).alias("ingestion_date_pk"),
+        run_date(run_ts).alias("ingestion_date_pk"), *_carried(r),
     )
 
 
@@ -104,6 +110,24 @@ SILVER_FUNCTIONS = {
     "orderdetails": silver_order_details,
 }
 
+# Source columns that a silver function parses, and how.
+PARSED = {
+    "customer": {"dms_timestamp": to_timestamp_safe},
+    "product": {"price": to_price_decimal, "dms_timestamp": to_timestamp_safe},
+    "orders": {"orderdate": to_date_safe, "dms_timestamp": to_timestamp_safe},
+    "orderdetails": {"quantity": to_int_safe, "dms_timestamp": to_timestamp_safe},
+}
+
+
+def silver_rescued(table: str, bronze: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """The silver rows of ``table`` with a VARIANT column of what silver itself
+    does not hold: texts that a typed column could not read, and whatever the
+    scan has rescued already (``functions.rescue``)."""
+    before = F.col(RESCUED) if RESCUED in bronze.columns else F.lit(None).cast("variant")
+    values = {c: unread(F.col(c), parse(c)) for c, parse in PARSED[table].items()}
+    return SILVER_FUNCTIONS[table](bronze.withColumn(RESCUED, merge_rescued(before, values)), run_ts=run_ts)
+
+
 # Partition column of each silver dataset.
 SILVER_PARTITION = {
     "customer": "ingestion_date",

@@ -17,6 +17,7 @@ store refuses restarted batch ids itself.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starling.operators.scd2 import CUSTOMER_DIM, PRODUCT_DIM, DimensionSpec
-from starling.operators.silver import SILVER_FUNCTIONS, SILVER_PARTITION
+from starling.operators.silver import SILVER_FUNCTIONS, SILVER_PARTITION, silver_rescued
 from starling.schemas import (
     BRONZE_COLUMNS,
     FACT_ORDER_DETAILS,
@@ -130,17 +131,19 @@ def stream_id(batch: DataFrame) -> str | None:
 
 
 def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str | None = None,
-                     max_files_per_trigger: int | None = None, by_name: bool = False) -> StreamingQuery | None:
+                     max_files_per_trigger: int | None = None, by_name: bool = False,
+                     rescue: bool = False) -> StreamingQuery | None:
     """B1-B4. Returns None when no change file exists yet.
     ``max_files_per_trigger`` bounds a micro-batch (a backlog is then taken
     in several batches, each replay-safe). ``by_name`` reads each batch's
     files by header name, so files with added or moved columns are accepted
-    (one header read per file); otherwise every file must carry the header
-    of the first one."""
+    (one job reads all headers); otherwise every file must carry the header
+    of the first one. With ``rescue``, silver has a VARIANT column of added
+    columns and of texts that its types cannot hold."""
     src = lake.bronze(table)
     if not path_exists(spark, src):
         return None
-    transform = SILVER_FUNCTIONS[table]
+    transform = functools.partial(silver_rescued, table) if rescue else SILVER_FUNCTIONS[table]
     target, pk, order = lake.silver(table), SILVER_PARTITION[table], SILVER_ORDER_COL.get(table)
     ledger = lake.silver_ledger(spark, table)
 
@@ -151,7 +154,7 @@ def start_silver_job(spark: SparkSession, lake: Lake, table: str, run_ts: str |
 
     def write_by_name(names: DataFrame, commit_id: int) -> list[str]:
         paths = [r[FILE_COLUMN] for r in names.collect()]  # this batch's file names (bounded by the trigger)
-        rows = read_bronze_by_name(spark, paths, BRONZE_COLUMNS[table])
+        rows = read_bronze_by_name(spark, paths, BRONZE_COLUMNS[table], rescue=rescue)
         if non_empty(rows):
             write_batch(transform(rows, run_ts=run_ts), target, commit_id, pk, order)
         return paths

@@ -8,11 +8,14 @@ fresh directory per call and read their result back.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.functions.hashing import change_hash
+from starling.functions.rescue import RESCUED, with_rescued
 from starling.functions.text import name_token, price_text
 from starling.operators.rename import CUSTOMER_RENAMES, PRODUCT_RENAMES, rename_columns
 from starling.operators.scd2 import (
@@ -43,6 +46,7 @@ from starling.sources.bronze import (
     snapshot_to_bronze,
     stream_bronze,
 )
+from starling.sources.crawl import crawl
 from starling.sources.testtables import CHANGE_LOGS, load_table, product_price_feed
 from starling.streaming.incremental import await_all, run_available_now
 
@@ -453,6 +457,35 @@ def q_fact_replay_after_read(spark, sf_dir):
     return time_as_text(wh.table(fact_table).drop("load_id"))
 
 
+def q_silver_three_headers(spark, sf_dir):
+    """Product change files of three headers (as agreed, columns moved,
+    a column added) with prices that are none, taken by name in one batch. What
+    silver has no place for is in its VARIANT column, as JSON here."""
+    lake = Lake(shared_path(spark, "three_headers", unique=True))
+    rows = bronze(spark, sf_dir, "product")
+    key = F.coalesce(F.col("productid").try_cast("long"), F.lit(0))
+    rows = rows.withColumn("price", F.when(key % 7 == 0, F.concat(F.lit("about "), "price")).otherwise(F.col("price")))
+    names = rows.columns
+    write_change_files(rows.where(key % 3 == 0), lake.bronze("product"))
+    write_change_files(rows.where(key % 3 == 1).select(*reversed(names)), lake.bronze("product"))
+    write_change_files(rows.where(key % 3 == 2).select(
+        *names[:3], F.concat(F.lit("c"), (key % 5).cast("string")).alias("colour"), *names[3:]), lake.bronze("product"))
+    await_all([start_silver_job(spark, lake, "product", RUN_TS, by_name=True, rescue=True)])
+    silver_rows = read_partitioned(spark, lake.silver("product"), with_rescued(SILVER_SCHEMAS["product"]))
+    return time_as_text(silver_rows.withColumn("rescued", F.to_json(RESCUED)).drop(RESCUED, "batch_id"))
+
+
+def q_schema_crawl(spark, sf_dir):
+    """The four folders of change files crawled: type, nullability and
+    rows of each column."""
+    lake, out = Lake(shared_path(spark, "crawl", unique=True)), []
+    for t in SOURCE_TABLES:
+        write_change_files(bronze(spark, sf_dir, t), lake.bronze(t))
+        found = crawl(spark, lake.bronze(t))
+        out.append(found.select(F.lit(t).alias("table_name"), "position", "column_name", "data_type", "nullable", "rows", "missing"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_pipeline_stops(spark, sf_dir):
     """Change files of orders lack a column, so their silver job fails;
     the other silver jobs are done, and nothing behind the stage has begun."""
@@ -538,6 +571,8 @@ QUERIES = {
     "silver_after_lost_checkpoint": q_silver_after_lost_checkpoint,
     "fact_after_lost_checkpoint": q_fact_after_lost_checkpoint,
     "fact_replay_after_read": q_fact_replay_after_read,
+    "silver_three_headers": q_silver_three_headers,
+    "schema_crawl": q_schema_crawl,
     "pipeline_stops": q_pipeline_stops,
     "dim_customer_type1_chunked": q_dim_customer_type1_chunked,
     "dim_product_hot_key": q_dim_product_hot_key,

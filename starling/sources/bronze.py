@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starling.functions.audit import run_timestamp
+from starling.functions.rescue import rescue_columns
 from starling.schemas import OP_INSERT, text_schema
 from starling.operators.rename import MissingColumnsError
 from starling.sinks.parquet import write_change_files
+from starling.sources.headers import header_groups
 
 
 def snapshot_to_bronze(df: DataFrame, path: str, change_ts: str | None = None, mode: str = "overwrite") -> None:
@@ -63,26 +65,24 @@ def stream_bronze(spark: SparkSession, path: str, schema: StructType, max_files_
     return r.csv(path)
 
 
-def read_bronze_by_name(spark: SparkSession, paths: list[str], required: list[str]) -> DataFrame:
+def read_bronze_by_name(spark: SparkSession, paths: list[str], required: list[str], rescue: bool = False) -> DataFrame:
     """Change files whose headers may differ (a source column added, columns
-    moved): the files are grouped by header line, each group is read with its
-    own header and the groups are put together by column **name**. Columns
-    beyond ``required`` are dropped; a file lacking a required column fails
-    the read. One header read per file (the first line only)."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(c.lower() for c in spark.read.option("header", True).csv(path).columns)
-        groups.setdefault(header, []).append(path)
+    moved): one job reads the first lines of all files and groups them by
+    header (``sources.headers``), each group is read with its own header and
+    the groups are put together by column **name**. Columns beyond
+    ``required`` are dropped, or kept in a VARIANT column with ``rescue``
+    (``functions.rescue``); a file lacking a required column fails the read."""
     frames = []
-    for header, group in groups.items():
+    for header, group in header_groups(spark, paths).items() if paths else ():
         missing = [c for c in required if c not in header]
         if missing:
             raise MissingColumnsError(f"change files {group[:3]} lack required columns {missing}")
         df = (spark.read.schema(text_schema(list(header))).option("header", True).option("enforceSchema", False)
               .option("mode", "FAILFAST").csv(group))
-        frames.append(df.select(*required))
+        frames.append(rescue_columns(df, required) if rescue else df.select(*required))
     if not frames:
-        return spark.range(0).select(*[F.lit(None).cast("string").alias(c) for c in required])
+        empty = spark.range(0).select(*[F.lit(None).cast("string").alias(c) for c in required])
+        return rescue_columns(empty, required) if rescue else empty
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
