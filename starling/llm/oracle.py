@@ -4,6 +4,20 @@
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
+
+def _crc32(codes: str) -> str:
+    """The unsigned crc32 of a list of byte values, bit by bit."""
+    return f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda x, y: list_reduce(
+      list_prepend(xor(x, y), range(8)::UBIGINT[]),
+      lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::UBIGINT) ELSE a // 2 END)), 4294967295::UBIGINT)"""
+
+
+# Characters up to U+00FF as one or two bytes of UTF-8.
+def _utf8(text: str) -> str:
+    return f"""flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128
+      THEN [unicode(c)::UBIGINT] ELSE [(192 + unicode(c) // 64)::UBIGINT, (128 + unicode(c) % 64)::UBIGINT] END))"""
+
+
 SQL: dict[str, str] = {
     "op1_minhash_near_dedup": rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -48,4 +62,52 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id,
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5""",
+    "op11_spelling_variants": f"""
+WITH RECURSIVE r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
+g AS (SELECT doc_id, r, count(*) AS k FROM r WHERE length(r) >= 5 GROUP BY ALL),
+h AS (SELECT r, k, coalesce({_crc32(_utf8("concat(doc_id, ':', r)"))}, 1) AS h FROM g WHERE doc_id IS NOT NULL
+      UNION ALL SELECT r, k, 1 FROM g WHERE doc_id IS NULL),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN concat(substr(r, 1, CAST(h % length(r) AS BIGINT)),
+        substr(r, CAST(h % length(r) AS BIGINT) + 2)) ELSE r END AS word, k FROM h),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+d AS (SELECT word, i, concat(substr(word, 1, i), substr(word, i + 2)) AS rest
+      FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+shorter AS (SELECT DISTINCT d.word AS a, w.word AS b FROM d JOIN w ON d.rest = w.word),
+near AS (SELECT x.word AS a, y.word AS b FROM d x JOIN d y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+         UNION ALL SELECT a, b FROM shorter UNION ALL SELECT b, a FROM shorter),
+best AS (SELECT a, count(*) AS n_near, min(ROW(-w.n, b)) AS best FROM near JOIN w ON w.word = b GROUP BY a),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * n THEN best[2] END AS form,
+        CASE WHEN -best[1] >= 2 * n THEN -best[1] END AS form_n FROM w LEFT JOIN best ON a = word),
+walk(word, place, form) AS (SELECT word, word, form FROM f
+      UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.form)
+SELECT f.word, n, n_near, f.form, CAST(form_n AS BIGINT) AS form_n, place AS root FROM f JOIN walk ON walk.word = f.word
+WHERE walk.form IS NULL""",
+    "op13_prefix_trie": f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, role, sha256(concat(strlen(role), ':', role, text)) AS k, strlen(text) AS nb FROM t),
+o AS (SELECT conv_id, k, nb, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, k) - 1 AS pos FROM k),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, CAST({_crc32(_utf8("CAST(conv_id AS VARCHAR)"))} % 9 AS BIGINT) AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+m AS (SELECT c.conv_id, h, base, least(h, coalesce(n, 0)) AS n FROM c
+      LEFT JOIN (SELECT conv_id, count(*) AS n FROM o GROUP BY conv_id) s ON s.conv_id = base),
+r AS (SELECT m.conv_id, pos, k, nb FROM m JOIN o ON o.conv_id = base AND pos < h
+      UNION ALL SELECT m.conv_id, pos - h + n, k, nb FROM m JOIN o ON o.conv_id = m.conv_id AND pos >= h),
+p AS (SELECT conv_id, pos + 1 AS depth, nb, sha256(string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY pos)) AS path FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+l AS (SELECT conv_id, max(depth) AS len FROM p GROUP BY conv_id),
+node AS (SELECT path, depth, min(conv_id) AS low, count(*) AS n, any_value(nb) AS nb,
+           coalesce(string_agg(CASE WHEN len = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+         FROM p JOIN l USING (conv_id) GROUP BY path, depth),
+up AS (SELECT DISTINCT path, depth, up FROM (
+         SELECT path, depth, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS up FROM p)),
+child AS (SELECT up AS path, count(*) AS n FROM up WHERE depth > 0 GROUP BY up),
+sub AS (SELECT a.path, sum(CASE WHEN child.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((node.n - 1) * node.nb) AS saved
+        FROM node LEFT JOIN child USING (path) JOIN p a ON a.conv_id = node.low AND a.depth <= node.depth GROUP BY a.path)
+SELECT node.low AS conv_id, CAST(node.depth AS BIGINT) AS depth, above.low AS parent_conv_id, node.n AS n_convs,
+       coalesce(child.n, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(node.ends) AS ends_sha256
+FROM node JOIN up USING (path, depth) JOIN sub USING (path) LEFT JOIN child USING (path)
+LEFT JOIN node above ON above.path = up.up AND node.depth > 0""",
 }
