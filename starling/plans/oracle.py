@@ -412,3 +412,29 @@ UNION ALL SELECT 'silver', 'orders', 0, true
 UNION ALL SELECT 'silver', 'orderdetails', (SELECT count(*) FROM bronze_orderdetails), true
 UNION ALL SELECT 'warehouse', 'stage_dim_customer', 0, true UNION ALL SELECT 'warehouse', 'stage_dim_product', 0, true
 UNION ALL SELECT 'warehouse', 'fact_orders', 0, true UNION ALL SELECT 'warehouse', 'fact_order_details', 0, true"""
+
+# Three headers: what silver has no place for, as JSON with its names in order.
+_RESCUED_SILVER = SILVER_PRODUCT.replace("AS ingestion_date\n  FROM bronze_product", "AS ingestion_date, rescued FROM changed")
+SQL["silver_three_headers"] = with_(BRONZE_PRODUCT, """
+keyed AS (SELECT *, CAST(productid AS BIGINT) AS k FROM bronze_product),
+parts AS (SELECT *, CASE WHEN k % 3 = 2 THEN concat('"colour":"c', k % 5, '"') END AS colour,
+         CASE WHEN k % 7 = 0 THEN concat('"price":"about ', price, '"') END AS about FROM keyed),
+changed AS (SELECT * REPLACE (CASE WHEN k % 7 = 0 THEN concat('about ', price) ELSE price END AS price),
+         CASE WHEN colour IS NOT NULL OR about IS NOT NULL THEN concat('{', concat_ws(',', colour, about), '}') END AS rescued
+         FROM parts)""", _RESCUED_SILVER) + f"\nSELECT {render(SILVER_PRODUCT_COLS)}, rescued FROM silver_product"
+_PRICE = "concat('decimal(', max(length(split_part(price, '.', 1))) + 2, ',2)')"
+_CRAWLED = {
+    "customer": ["op", "customerid bigint", "name", "email", "phone", "address", "country", "city", "dms_timestamp timestamp"],
+    "product": ["op", "productid bigint", "productname", "brandname", "productdescription", "price", "productcategory",
+                "dms_timestamp timestamp"],
+    "orders": ["op", "orderid bigint", "ordercustomerid bigint", "orderdate timestamp", "paymentmethod", "orderplatform",
+               "dms_timestamp timestamp"],
+    "orderdetails": ["op", "orderdetailsid", "orderid bigint", "productid bigint", "quantity bigint", "dms_timestamp timestamp"],
+}
+SQL["schema_crawl"] = with_(BRONZE_CUSTOMER, BRONZE_PRODUCT, BRONZE_ORDERS, BRONZE_ORDER_DETAILS) + "\nUNION ALL ".join(
+    f"""
+SELECT '{t}' AS table_name, CAST({k} AS INTEGER) AS position, '{c}' AS column_name,
+       {_PRICE if c == "price" else f"'{kind or 'string'}'"} AS data_type,
+       count(*) FILTER ({c} IS NULL OR trim({c}) = '') > 0 AS nullable, count(*) AS rows,
+       count(*) FILTER ({c} IS NULL OR trim({c}) = '') AS missing FROM bronze_{t}"""
+    for t, cols in _CRAWLED.items() for k, (c, _, kind) in enumerate(x.partition(" ") for x in cols))
