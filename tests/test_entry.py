@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from starling.plans.queries import QUERIES
 from conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "documents", "embeddings"]
+TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "documents", "embeddings", "conversations"]
 
 
 def test_contract_shapes():
@@ -34,7 +34,8 @@ def duck():
 @pytest.mark.parametrize("name", ["silver_product", "dim_product_scd2", "layer_counts", "customer_names",
                                   "dim_product_price_history", "late_changes", "dim_product_hot_key",
                                   "dim_customer_type1_chunked", "fact_orders_truncate_load", "table_statistics",
-                                  "load_schemas", "silver_product_prices"])
+                                  "load_schemas", "silver_product_prices", "silver_three_headers", "schema_crawl",
+                                  "fact_replay_after_read"])
 def test_query_matches_oracle_small(spark, duck, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.execute(entry.oracle_sql()[name]).df()
