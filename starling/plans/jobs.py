@@ -197,9 +197,11 @@ def start_dimension_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, t
 
 
 def start_fact_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, table: str,
-                   mode: str = "append", max_files_per_trigger: int | None = None) -> StreamingQuery | None:
+                   mode: str = "append", max_files_per_trigger: int | None = None,
+                   analyze: str = "table") -> StreamingQuery | None:
     """``append`` loads each silver file once, a commit of the ledger
-    being a load; ``truncate_load`` keeps the source jobs' literal behaviour."""
+    being a load; ``truncate_load`` keeps the source jobs' literal behaviour.
+    ``analyze="sketches"`` keeps mergeable column statistics as well."""
     if not path_exists(spark, lake.silver(table)):
         return None
     fact_table, fact_schema = FACT_JOBS[table]
@@ -207,7 +209,7 @@ def start_fact_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, table:
 
     def load(rows: DataFrame, load_id: int | None) -> list[str]:
         rows, files = observing_files(rows)
-        lake.reports.append(warehouse.load(rows, fact_table, fact_schema, mode=mode, analyze="table", load_id=load_id))
+        lake.reports.append(warehouse.load(rows, fact_table, fact_schema, mode=mode, analyze=analyze, load_id=load_id))
         return files()
 
     def process(batch: DataFrame, batch_id: int) -> None:

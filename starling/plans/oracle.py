@@ -438,3 +438,12 @@ SELECT '{t}' AS table_name, CAST({k} AS INTEGER) AS position, '{c}' AS column_na
        count(*) FILTER ({c} IS NULL OR trim({c}) = '') > 0 AS nullable, count(*) AS rows,
        count(*) FILTER ({c} IS NULL OR trim({c}) = '') AS missing FROM bronze_{t}"""
     for t, cols in _CRAWLED.items() for k, (c, _, kind) in enumerate(x.partition(" ") for x in cols))
+
+_FACTS = {"fact_orders": ("silver_orders", FACT_ORDER_COLS), "fact_order_details": ("silver_orderdetails", FACT_DETAIL_COLS)}
+_NUMBERED = {"order_date", "order_year", "order_month", "ingestion_date", "product_quantity"}  # columns with quantiles
+SQL["fact_column_statistics"] = with_(BRONZE_ORDERS, BRONZE_ORDER_DETAILS, SILVER_ORDERS, SILVER_ORDER_DETAILS) + "\nUNION ALL ".join(
+    f"""
+SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls,
+       CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS distinct_values,
+       true AS distinct_within, CAST({"true" if c in _NUMBERED else "NULL"} AS BOOLEAN) AS quantiles_within FROM {src}"""
+    for t, (src, cols) in _FACTS.items() for c in cols)

@@ -37,6 +37,7 @@ from starling.schemas import SILVER_CUSTOMER, SILVER_ORDERS
 from starling.session import delete_path, path_exists, shared_path
 from starling.sinks.dimension_store import DimensionStore
 from starling.sinks.parquet import read_partitioned, write_batch, write_change_files, write_partitioned
+from starling.sinks.statistics import DISTINCT_ERROR, RANK_ERROR
 from starling.sinks.warehouse import Warehouse
 from starling.sources.bronze import (
     header_schema,
@@ -324,6 +325,35 @@ def q_table_statistics(spark, sf_dir):
     return spark.createDataFrame(out, "table_name string, rows long, column_name string, has_column_statistics boolean")
 
 
+def q_fact_column_statistics(spark, sf_dir):
+    """K8: each fact loaded in two appends; its column statistics merged from
+    the two loads' sketches. ``distinct_within`` and ``quantiles_within`` hold
+    them against the table itself: the distinct count within four standard
+    errors, the quartiles' ranks within twice the 99 % error (the sketch is
+    random); NULL where a column has no quantiles."""
+    wh, out, quartiles = _warehouse(spark), [], (0.25, 0.5, 0.75)
+    for table, (fact_table, schema) in FACT_JOBS.items():
+        rows = silver(spark, sf_dir, table)
+        third = F.coalesce(F.col("order_id").try_cast("long") % 3 == 0, F.lit(False))
+        for load_id, part in enumerate((rows.where(third), rows.where(~third))):
+            wh.load(part, fact_table, schema, mode="append", load_id=load_id, analyze="sketches")
+        stats = wh.column_statistics(fact_table, quartiles)
+        found = {r.column_name: r.quantiles for r in stats.collect()}  # a row per column
+        exact = wh.table(fact_table)
+        ranks = exact.agg(*[F.struct(F.count_distinct(c).alias("distinct_values"), (
+            F.lit(None).cast("boolean") if found[c] is None else reduce(lambda a, b: a & b, [
+                (F.count_if(F.col(c) < F.lit(q).cast(schema[c].dataType)) <= (p + 2 * RANK_ERROR) * F.count(c))
+                & (F.count_if(F.col(c) <= F.lit(q).cast(schema[c].dataType)) >= (p - 2 * RANK_ERROR) * F.count(c))
+                for p, q in zip(quartiles, found[c], strict=True)])).alias("quantiles_within")).alias(c) for c in schema.names])
+        checks = ranks.select(F.explode(F.create_map(*[x for c in schema.names for x in (F.lit(c), F.col(c))])).alias(
+            "column_name", "check")).select("column_name", "check.*")
+        within = F.abs(F.col("distinct_count") - F.col("distinct_values")) <= 4 * DISTINCT_ERROR * F.col("distinct_values")
+        out.append(stats.join(checks, "column_name").select(
+            F.lit(fact_table).alias("table_name"), "column_name", "rows", "nulls", "min_value", "max_value",
+            "distinct_values", within.alias("distinct_within"), "quantiles_within"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_load_schemas(spark, sf_dir):
     """A3: the input columns of each load, as reported by it."""
     wh, out = _warehouse(spark), []
@@ -578,6 +608,7 @@ QUERIES = {
     "dim_product_hot_key": q_dim_product_hot_key,
     "fact_orders_truncate_load": q_fact_orders_truncate_load,
     "table_statistics": q_table_statistics,
+    "fact_column_statistics": q_fact_column_statistics,
     "load_schemas": q_load_schemas,
     "silver_product_prices": q_silver_product_prices,
     "snapshot_export_product": q_snapshot_export_product,

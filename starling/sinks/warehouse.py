@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starling.sinks.statistics import SketchStore, describe
 
 #: Columns that the silver jobs parse from text.
 PARSED_COLUMNS = ("order_date", "product_price", "product_quantity")
@@ -98,6 +99,11 @@ class Warehouse:
         partitioned = "load_id" in self.table(table).columns
         if load_id is None and partitioned and mode == "append":
             raise ValueError(f"{table} is partitioned by load_id: an append needs one")
+        if load_id is None and mode == "append" and analyze == "sketches":
+            raise ValueError(f"{table}: sketches of an append need a load_id")
+        # what the load makes stale goes first, so that a load that fails half
+        # way leaves no sketch that is wrong (an append by itself makes all stale)
+        self.sketches(table).drop(load_id)
         if load_id is not None:
             # the frame may belong to a stream's session (foreachBatch), and
             # several loads may run at once: a unique view in that session
@@ -114,6 +120,9 @@ class Warehouse:
              .insertInto(target, overwrite=(mode == "truncate_load")))
         for session in {rows.sparkSession, self.spark}:  # either may hold the file list of an earlier read
             session.catalog.refreshTable(target)
+        if analyze == "sketches":
+            loaded = self.table(table) if load_id is None else self.table(table).where(F.col("load_id") == int(load_id))
+            self.sketches(table).write(TRUNCATED_LOAD if load_id is None else load_id, loaded.select(*schema.names))
         self.analyze(table, analyze, load_id)
         n = int(obs.get.get("rows", 0))
         return LoadReport(table, n, n, mode, df.schema.simpleString(), df.schema, int(obs.get.get("nulls", 0)))
@@ -122,13 +131,35 @@ class Warehouse:
         """K8: ``table`` = size and row count (Parquet footers only);
         ``columns`` = column statistics too (a full scan: for stage tables,
         whose size is one increment). With ``load_id`` only that partition is
-        analyzed, so an append costs its own rows, not the table's history."""
+        analyzed, so an append costs its own rows, not the table's history.
+        ``sketches`` = size and row count, and mergeable column statistics of
+        the load (``column_statistics``)."""
         target = self.qualified(table) + (f" PARTITION (load_id = {int(load_id)})" if load_id is not None else "")
-        if level == "table":
+        if level in ("table", "sketches"):
             self.spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
         elif level == "columns":
             self.spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS FOR ALL COLUMNS")
 
+    def sketches(self, table: str) -> SketchStore:
+        """K8: the column sketches of the table's loads, each made from the
+        load's own partition."""
+        return SketchStore(self.spark, f"{self.location}/_statistics/{table}")
+
+    def column_statistics(self, table: str, probabilities: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+        """K8: rows, nulls, bounds, distinct count and quantiles of each column,
+        merged from the loads' sketches: no row of the table is read. A load
+        without sketches would be missing silently, so that is an error."""
+        store = self.sketches(table)
+        known = set(store.loads())
+        if "load_id" in self.table(table).columns:
+            parts = self.spark.sql(f"SHOW PARTITIONS {self.qualified(table)}").collect()
+            missing = sorted({int(r[0].split("=", 1)[1]) for r in parts} - known)
+        else:
+            missing = [] if known else [TRUNCATED_LOAD]
+        if missing:
+            raise ValueError(f"{table}: loads {missing} have no sketches")
+        return describe(store.read(), probabilities)
+
     def _described(self, table: str, column: str = "") -> dict[str, str]:
         rows = self.spark.sql(f"DESCRIBE EXTENDED {self.qualified(table)} {column}").collect()
         return {r[0]: r[1] for r in rows}
@@ -151,6 +182,7 @@ class Warehouse:
 
     def drop_load(self, table: str, load_id: int) -> None:
         """Remove one load of a table partitioned by ``load_id``, files too."""
+        self.sketches(table).drop(load_id)
         if self.newest_load(table) is not None:
             self.spark.sql(f"ALTER TABLE {self.qualified(table)} DROP IF EXISTS PARTITION (load_id = {int(load_id)})")
             self.spark.catalog.refreshTable(self.qualified(table))
@@ -162,4 +194,5 @@ class Warehouse:
         return self.table(table).count()
 
     def truncate(self, table: str) -> None:
+        self.sketches(table).drop()
         self.spark.sql(f"TRUNCATE TABLE {self.qualified(table)}")
