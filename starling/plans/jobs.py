@@ -18,7 +18,10 @@ store refuses restarted batch ids itself.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -42,8 +45,16 @@ from starling.sinks.dimension_store import DimensionStore
 from starling.sinks.ledger import FILE_COLUMN, CommitLedger, apply_once, observing_files, with_file_column
 from starling.sinks.parquet import bronze_path, silver_path, write_batch
 from starling.sinks.warehouse import LoadReport, Warehouse
-from starling.sources.bronze import header_schema, read_bronze_by_name, stream_bronze, stream_file_names
+from starling.sources.bronze import (
+    header_schema,
+    read_bronze_by_name,
+    select_tables,
+    snapshot_to_bronze,
+    stream_bronze,
+    stream_file_names,
+)
 from starling.streaming.incremental import non_empty, start_available_now
+from starling.streaming.journal import Journal
 
 SOURCE_TABLES = ("customer", "product", "orders", "orderdetails")
 
@@ -77,6 +88,13 @@ class Lake:
     root: str
     db_name: str = "salesdb"
     reports: list[LoadReport] = field(default_factory=list)
+    journal: Journal | None = None
+
+    def report(self, load: LoadReport, batch: DataFrame, batch_id: int) -> None:
+        """Keep a load's report, and write it to the journal where one is open."""
+        self.reports.append(load)
+        if self.journal is not None:
+            self.journal.load(load, batch, batch_id)
 
     def bronze(self, table: str) -> str:
         return bronze_path(self.root, self.db_name, table)
@@ -112,6 +130,24 @@ class Lake:
         return DimensionStore(spark, f"{self.root.rstrip('/')}/dimensions/{spec.name}", spec)
 
 
+def snapshot_tables(lake: Lake, read: Callable[[str], DataFrame], names: Sequence[str], like: str = "%",
+                    change_ts: str | None = None, parallel: int = 8) -> list[str]:
+    """Full-load export of every source table whose name matches
+    the ``LIKE`` pattern, ``parallel`` tables at a time, each replacing its
+    earlier snapshot; returns their names. ``read(name)`` gives a table's rows.
+    All carry one load time. A table that fails leaves the others to finish;
+    the first error is raised then. No matching table is an error."""
+    chosen = select_tables(list(names), like)
+    if not chosen:
+        raise ValueError(f"no source table matches {like!r}")
+    change_ts = change_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    with ThreadPoolExecutor(parallel) as pool:
+        exports = [pool.submit(lambda n: snapshot_to_bronze(read(n), lake.bronze(n), change_ts), n) for n in chosen]
+    for export in exports:  # all have ended
+        export.result()
+    return chosen
+
+
 def silver_read_schema(table: str) -> StructType:
     return StructType(list(SILVER_SCHEMAS[table].fields) + [StructField("batch_id", LongType(), True)])
 
@@ -186,8 +222,8 @@ def start_dimension_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, t
     def process(batch: DataFrame, batch_id: int) -> None:
         if not non_empty(batch):
             return
-        lake.reports.append(warehouse.load(batch, stage_table, stage_schema, mode="truncate_load",
-                                           analyze="columns"))
+        lake.report(warehouse.load(batch, stage_table, stage_schema, mode="truncate_load", analyze="columns"),
+                    batch, batch_id)
         kwargs = {"max_group_rows": max_group_rows} if max_group_rows else {}
         store.apply(batch, batch_id, source=stream_id(batch), **kwargs)
 
@@ -207,12 +243,13 @@ def start_fact_job(spark: SparkSession, lake: Lake, warehouse: Warehouse, table:
     fact_table, fact_schema = FACT_JOBS[table]
     ledger = lake.fact_ledger(spark, warehouse, table)
 
-    def load(rows: DataFrame, load_id: int | None) -> list[str]:
-        rows, files = observing_files(rows)
-        lake.reports.append(warehouse.load(rows, fact_table, fact_schema, mode=mode, analyze=analyze, load_id=load_id))
-        return files()
-
     def process(batch: DataFrame, batch_id: int) -> None:
+        def load(rows: DataFrame, load_id: int | None) -> list[str]:
+            rows, files = observing_files(rows)
+            lake.report(warehouse.load(rows, fact_table, fact_schema, mode=mode, analyze=analyze, load_id=load_id),
+                        batch, batch_id)
+            return files()
+
         if mode == "append":
             apply_once(ledger, batch, stream_id(batch), batch_id, load)
         elif non_empty(batch):

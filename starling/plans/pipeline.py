@@ -28,11 +28,15 @@ from starling.streaming.incremental import await_all
 
 
 def run_pipeline(spark: SparkSession, lake: Lake, warehouse: Warehouse, run_ts: str | None = None,
-                 max_group_rows: int | None = None) -> Lake:
-    await_all([q for t in SOURCE_TABLES if (q := start_silver_job(spark, lake, t, run_ts)) is not None])
+                 max_group_rows: int | None = None, max_files_per_trigger: int | None = None) -> Lake:
+    await_all([q for t in SOURCE_TABLES
+               if (q := start_silver_job(spark, lake, t, run_ts, max_files_per_trigger)) is not None])
     await_all([q for t in DIMENSION_JOBS
-               if (q := start_dimension_job(spark, lake, warehouse, t, max_group_rows)) is not None])
-    await_all([q for t in FACT_JOBS if (q := start_fact_job(spark, lake, warehouse, t)) is not None])
+               if (q := start_dimension_job(spark, lake, warehouse, t, max_group_rows,
+                                            max_files_per_trigger)) is not None])
+    await_all([q for t in FACT_JOBS
+               if (q := start_fact_job(spark, lake, warehouse, t,
+                                       max_files_per_trigger=max_files_per_trigger)) is not None])
     return lake
 
 

@@ -30,7 +30,7 @@ from starling.operators.scd2 import (
 from starling.operators.silver import CUSTOMER_HASHED, SILVER_FUNCTIONS, SILVER_PARTITION
 from starling.operators.silver import silver_product as silver_product_fn
 from starling.operators.sort import sort_for_query
-from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SILVER_SCHEMAS, SOURCE_TABLES, Lake, start_fact_job, start_silver_job, stream_silver
+from starling.plans.jobs import DIMENSION_JOBS, FACT_JOBS, SILVER_SCHEMAS, SOURCE_TABLES, Lake, snapshot_tables, start_fact_job, start_silver_job, stream_silver
 from starling.plans.oracle_format import time_as_text
 from starling.plans.pipeline import layer_counts, run_pipeline
 from starling.schemas import SILVER_CUSTOMER, SILVER_ORDERS
@@ -50,6 +50,7 @@ from starling.sources.bronze import (
 from starling.sources.crawl import crawl
 from starling.sources.testtables import CHANGE_LOGS, load_table, product_price_feed
 from starling.streaming.incremental import await_all, run_available_now
+from starling.streaming.journal import Journal
 
 # Fixed run time of the registered queries, so their audit columns are repeatable.
 RUN_TS = "2024-01-05 00:00:00"
@@ -354,6 +355,53 @@ def q_fact_column_statistics(spark, sf_dir):
     return reduce(DataFrame.unionByName, out)
 
 
+class _LostAfterLoad(Warehouse):
+    """A warehouse whose connection is lost once, after the load was written."""
+
+    lost = False
+
+    def load(self, *args, **kwargs):
+        report = super().load(*args, **kwargs)
+        if self.lost:
+            self.lost = False
+            raise RuntimeError("lost after the load")
+        return report
+
+
+def q_load_journal(spark, sf_dir):
+    """A2, A3: orders through the silver and the fact job in two drops; the
+    second fact run fails after its load and is run again. The journal's runs
+    (status, durable batches) and its loads (rows, NULLs of parsed columns)."""
+    root = shared_path(spark, "journal", unique=True)
+    wh = _LostAfterLoad(spark, "wh_" + root.rsplit("/", 1)[-1], root + "/warehouse")
+    rows = bronze(spark, sf_dir, "orders")
+    late = F.coalesce(F.col("orderid").try_cast("long") % 3 == 0, F.lit(False))
+    rows = rows.withColumn("orderdate", F.when(F.col("orderid").try_cast("long") % 7 == 0, "31.02.1995").otherwise(F.col("orderdate")))
+    with Journal(spark, root + "/journal") as journal:
+        lake, runs = Lake(root, journal=journal), []
+        for n, drop in enumerate((~late, late)):
+            write_change_files(rows.where(drop), lake.bronze("orders"))
+            runs.append(start_silver_job(spark, lake, "orders", RUN_TS))
+            await_all(runs[-1:])
+            wh.lost = n == 1
+            for _ in range(n + 1):
+                runs.append(start_fact_job(spark, lake, wh, "orders"))
+                try:
+                    await_all(runs[-1:])
+                except Exception:  # noqa: BLE001 - the second fact run is meant to fail
+                    if wh.lost or n == 0:
+                        raise
+        journal.settle(runs)
+    out = journal.runs().select(
+        F.lit("run").alias("kind"), F.col("job").alias("name"), F.col("run_number").cast("long").alias("number"), "status",
+        "batches", F.lit(None).cast("long").alias("rows_written"), F.lit(None).cast("long").alias("null_values"))
+    loads = journal.loads().select(
+        F.lit("load").alias("kind"), F.col("table_name").alias("name"), F.col("batch_id").alias("number"),
+        F.when(F.col("durable"), "durable").otherwise("open").alias("status"), F.lit(None).cast("long").alias("batches"),
+        "rows_written", "null_values")
+    return out.unionByName(loads)
+
+
 def q_load_schemas(spark, sf_dir):
     """A3: the input columns of each load, as reported by it."""
     wh, out = _warehouse(spark), []
@@ -559,6 +607,22 @@ def q_snapshot_export_product(spark, sf_dir):
     return read_bronze(spark, path)
 
 
+def q_snapshot_tables_like(spark, sf_dir):
+    """S3: the source tables whose names match a LIKE pattern, exported as
+    change files; rows and least key of each, read back by header."""
+    lake = Lake(shared_path(spark, "snapshot_like", unique=True))
+    names = ["customer", "lineitem", "nation", "orders", "part", "region", "supplier"]
+    done = snapshot_tables(lake, lambda t: load_table(spark, sf_dir, t), names, "%er%", change_ts=RUN_TS)
+    out = []
+    for t in done:
+        rows = read_bronze(spark, lake.bronze(t))
+        key = next(c for c in rows.columns if c.endswith("key"))
+        out.append(rows.groupBy("op", "dms_timestamp").agg(
+            F.count(F.lit(1)).alias("rows"), F.min(F.col(key).cast("long")).alias("least_key")).select(
+            F.lit(t).alias("table_name"), "op", "dms_timestamp", "rows", "least_key"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_layer_counts(spark, sf_dir):
     """Change files of all four tables through silver, stage, dimensions
     and facts; rows per layer and table."""
@@ -609,8 +673,10 @@ QUERIES = {
     "fact_orders_truncate_load": q_fact_orders_truncate_load,
     "table_statistics": q_table_statistics,
     "fact_column_statistics": q_fact_column_statistics,
+    "load_journal": q_load_journal,
     "load_schemas": q_load_schemas,
     "silver_product_prices": q_silver_product_prices,
     "snapshot_export_product": q_snapshot_export_product,
+    "snapshot_tables_like": q_snapshot_tables_like,
     "layer_counts": q_layer_counts,
 }

@@ -110,6 +110,22 @@ def create_if_absent(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file: under a hidden name first, then renamed, so that
+    a reader of the folder sees all of it or nothing."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hidden = jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f"_{uuid.uuid4().hex}")
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hidden, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(hidden, hpath):
+        raise OSError(f"{path}: could not be written")
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of all files and folders in ``path`` (one listing); none if absent."""
     jvm = spark.sparkContext._jvm

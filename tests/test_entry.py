@@ -35,7 +35,7 @@ def duck():
                                   "dim_product_price_history", "late_changes", "dim_product_hot_key",
                                   "dim_customer_type1_chunked", "fact_orders_truncate_load", "table_statistics",
                                   "load_schemas", "silver_product_prices", "silver_three_headers", "schema_crawl",
-                                  "fact_replay_after_read", "fact_column_statistics"])
+                                  "fact_replay_after_read", "fact_column_statistics", "load_journal", "snapshot_tables_like"])
 def test_query_matches_oracle_small(spark, duck, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.execute(entry.oracle_sql()[name]).df()
