@@ -56,6 +56,8 @@ VERSION_COLUMNS = ("record_start_ts", "record_end_ts", "active_flag")
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 #: Most chunks that a hot key is cut into.
 MAX_CHUNKS = 1024
+#: Most hot keys whose boundary is broadcast (a key and a time each).
+MAP_SIDE_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -184,6 +186,23 @@ def quantile_cuts(events: DataFrame, key: str, ts: str, max_group_rows: int) ->
             .select(key, F.array_distinct(cut).alias("_cuts")))
 
 
+def with_bounds(chg: DataFrame, bounds: DataFrame, stats: DataFrame, key: str, max_group_rows: int) -> DataFrame:
+    """``chg`` with ``_b``, its key's boundary (NULL without one); ``bounds``
+    has one row per key, ``stats`` the changes per key (``_n``).
+
+    A join on the key would bring all changes of a hot key to one task, and its
+    other side is an aggregate on that key, so AQE would not split it. So
+    the changes of the MAP_SIDE_KEYS hottest keys beyond ``max_group_rows``
+    meet their boundaries where they are read (a broadcast of at most
+    that many rows). Each other key holds at most one in MAP_SIDE_KEYS of the
+    batch, or ``max_group_rows`` changes, and goes through the plain join."""
+    hot = F.broadcast(stats.where(F.col("_n") > F.lit(max_group_rows)).orderBy(F.col("_n").desc(), key)
+                      .limit(MAP_SIDE_KEYS).select(key))
+    found = F.broadcast(bounds.join(hot, key, "left_semi"))
+    map_side = chg.join(hot, key, "left_semi").join(found, key, "left")
+    return map_side.unionByName(chg.join(hot, key, "left_anti").join(bounds, key, "left"))
+
+
 # Row kinds of the merge's row set: a change of the batch, an open version of
 # a batch key, a tombstone of a batch key (a delete at its original time), and
 # a boundary marker (rule 8).
@@ -280,7 +299,7 @@ def scd2_merge(
             bounds = (touched.select(key, F.col("record_start_ts").alias("_b"))
                       .unionByName(tomb_in.select(key, F.col("deleted_ts").alias("_b")))
                       .groupBy(key).agg(F.max("_b").alias("_b")))
-            chg = chg.join(bounds, key, "left")
+            chg = with_bounds(chg, bounds, stats, key, max_group_rows)
             late = late.unionByName(chg.where(F.col(ts) <= F.col("_b")).select(
                 *payload, F.col(ts).alias(spec.ts_col), F.col("_b").alias("late_boundary_ts")))
             chg = chg.where(F.col("_b").isNull() | (F.col(ts) > F.col("_b")))

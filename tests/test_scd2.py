@@ -343,3 +343,51 @@ def test_null_key_is_late(spark):
 
     r, got = _merged(spark, [(None, 1, "I", "h", "e"), ("k", 1, "I", "h", "e"), ("k", None, "U", "x", "e")], 1_000_000, CUSTOMER_DIM)
     assert len(got) == 1 and r.late.count() == 2
+
+
+def test_hot_key_meets_its_boundary_without_a_heavy_task(spark):
+    """A key that holds a third of the changes (all but equal rows of it
+    included), every key with state: no task above twice the median."""
+    from starling.operators.scd2 import with_bounds
+
+    n, keep = 60_000, {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
+                                                      "spark.sql.autoBroadcastJoinThreshold")}
+    chg = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 4000)).alias("key"),
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("_ts"))
+    stats = chg.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+    bounds = chg.groupBy("key").agg(F.min("_ts").alias("_b")).where("key != 'k1'")
+    try:
+        for k, v in zip(keep, ("8", "false", "-1")):  # no help from AQE or from small tables
+            spark.conf.set(k, v)
+
+        def tasks(df):  # the boundary is used, or the join would be left out
+            per = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max("_b"))
+            return sorted(r.n for r in per.collect())
+
+        got = tasks(with_bounds(chg, bounds, stats, "key", 1000))
+        assert sum(got) == n and got[-1] <= 2 * got[len(got) // 2]
+        assert tasks(chg.join(bounds, "key", "left"))[-1] > n / 3
+        # many hot keys too, and none at all
+        want = chg.join(bounds, "key", "left").select("key", "_ts", "_b")
+        for limit in (15, n):
+            r = with_bounds(chg, bounds, stats, "key", limit)
+            assert r.exceptAll(want).isEmpty() and want.exceptAll(r).isEmpty()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_key_with_state_equals_whole(spark):
+    """Late, tied and new changes of a hot key upon stored versions and tombstones."""
+    first = [("I", "a", "h0", t(1)), ("I", "b", "h0", t(1)), ("D", "b", "h0", t(3)), ("I", "x", "h0", t(1))]
+    later = [("U", k, f"h{i % 5}", t(i // 2), f"e{i}") for i in range(80) for k in ("a", "b")]
+    later += [("U", k, "h9", t(9)) for k in ("c", "d")]
+    state = merge(spark, first)
+
+    def parts(limit):
+        r = scd2_merge(state.active, state.tombstones, changes_df(spark, later), CUSTOMER_DIM, max_group_rows=limit)
+        return {p: sorted(map(str, getattr(r, p).collect())) for p in ("active", "closed", "late", "tombstones")}
+
+    whole = parts(1_000_000)
+    assert len(whole["late"]) > 4 and whole["closed"] and parts(10) == whole
