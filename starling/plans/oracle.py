@@ -445,16 +445,16 @@ SQL["fact_column_statistics"] = with_(BRONZE_ORDERS, BRONZE_ORDER_DETAILS, SILVE
     f"""
 SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls,
        CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS distinct_values,
-       true AS distinct_within, CAST({"true" if c in _NUMBERED else "NULL"} AS BOOLEAN) AS quantiles_within FROM {src}"""
+       true AS distinct_within, {"'true'" if c in _NUMBERED else "'none'"} AS quantiles_within FROM {src}"""
     for t, (src, cols) in _FACTS.items() for c in cols)
 
 _BAD_DATE = "CAST(orderid AS BIGINT) % 7 = 0 OR TRY_CAST(orderdate AS DATE) IS NULL"
 SQL["load_journal"] = with_(BRONZE_ORDERS) + f"""
 SELECT 'run' AS kind, name, CAST(number AS BIGINT) AS number, status, CAST(batches AS BIGINT) AS batches,
-       CAST(NULL AS BIGINT) AS rows_written, CAST(NULL AS BIGINT) AS null_values
+       CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS null_values
 FROM (VALUES ('silver_orders', 1, 'ended', 1), ('silver_orders', 2, 'ended', 1), ('fact_orders', 1, 'ended', 1),
              ('fact_orders', 2, 'failed', 0), ('fact_orders', 3, 'ended', 1)) AS r(name, number, status, batches)
-UNION ALL SELECT 'load', 'fact_orders', CAST(CAST(orderid AS BIGINT) % 3 = 0 AS BIGINT), 'durable', NULL, count(*),
+UNION ALL SELECT 'load', 'fact_orders', CAST(CAST(orderid AS BIGINT) % 3 = 0 AS BIGINT), 'durable', 0, count(*),
        count(*) FILTER ({_BAD_DATE}) FROM bronze_orders GROUP BY CAST(orderid AS BIGINT) % 3 = 0"""
 SQL["snapshot_tables_like"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, 'I' AS op, '{RUN_TS}' AS dms_timestamp, count(*) AS rows, CAST(min({k}) AS BIGINT) AS least_key FROM {t}"

@@ -331,7 +331,7 @@ def q_fact_column_statistics(spark, sf_dir):
     the two loads' sketches. ``distinct_within`` and ``quantiles_within`` hold
     them against the table itself: the distinct count within four standard
     errors, the quartiles' ranks within twice the 99 % error (the sketch is
-    random); NULL where a column has no quantiles."""
+    random); ``none`` where a column has no quantiles."""
     wh, out, quartiles = _warehouse(spark), [], (0.25, 0.5, 0.75)
     for table, (fact_table, schema) in FACT_JOBS.items():
         rows = silver(spark, sf_dir, table)
@@ -351,7 +351,8 @@ def q_fact_column_statistics(spark, sf_dir):
         within = F.abs(F.col("distinct_count") - F.col("distinct_values")) <= 4 * DISTINCT_ERROR * F.col("distinct_values")
         out.append(stats.join(checks, "column_name").select(
             F.lit(fact_table).alias("table_name"), "column_name", "rows", "nulls", "min_value", "max_value",
-            "distinct_values", within.alias("distinct_within"), "quantiles_within"))
+            "distinct_values", within.alias("distinct_within"),
+            F.coalesce(F.col("quantiles_within").cast("string"), F.lit("none")).alias("quantiles_within")))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -371,7 +372,8 @@ class _LostAfterLoad(Warehouse):
 def q_load_journal(spark, sf_dir):
     """A2, A3: orders through the silver and the fact job in two drops; the
     second fact run fails after its load and is run again. The journal's runs
-    (status, durable batches) and its loads (rows, NULLs of parsed columns)."""
+    (status, durable batches) and its loads (rows, NULLs of parsed columns);
+    0 where a column does not apply."""
     root = shared_path(spark, "journal", unique=True)
     wh = _LostAfterLoad(spark, "wh_" + root.rsplit("/", 1)[-1], root + "/warehouse")
     rows = bronze(spark, sf_dir, "orders")
@@ -394,10 +396,10 @@ def q_load_journal(spark, sf_dir):
         journal.settle(runs)
     out = journal.runs().select(
         F.lit("run").alias("kind"), F.col("job").alias("name"), F.col("run_number").cast("long").alias("number"), "status",
-        "batches", F.lit(None).cast("long").alias("rows_written"), F.lit(None).cast("long").alias("null_values"))
+        "batches", F.lit(0).cast("long").alias("rows_written"), F.lit(0).cast("long").alias("null_values"))
     loads = journal.loads().select(
         F.lit("load").alias("kind"), F.col("table_name").alias("name"), F.col("batch_id").alias("number"),
-        F.when(F.col("durable"), "durable").otherwise("open").alias("status"), F.lit(None).cast("long").alias("batches"),
+        F.when(F.col("durable"), "durable").otherwise("open").alias("status"), F.lit(0).cast("long").alias("batches"),
         "rows_written", "null_values")
     return out.unionByName(loads)
 

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from starling.plans.queries import QUERIES
 from conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "documents", "embeddings", "conversations"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "conversations"]
 
 
 def test_contract_shapes():
