@@ -228,6 +228,7 @@ def scd2_merge(
     materialize: bool = True,
     out_partitions: int | None = None,
     has_state: bool | None = None,
+    stats: DataFrame | None = None,
 ) -> MergeResult:
     """Apply one batch of ``changes`` (silver rows) to a dimension state.
 
@@ -249,6 +250,9 @@ def scd2_merge(
     ``has_state``: whether ``active``/``tombstones`` may hold rows (None: look,
     one row at most). Without state nothing can be late except changes
     without a time, so the boundary pass is left out.
+
+    ``stats``: ``batch_stats(changes, spec)``, where the caller has it already
+    (written down: several branches read it).
     """
     key, h, op, ts = spec.key, spec.hash_col, spec.op_col, "_ts"
     payload = spec.payload
@@ -267,8 +271,8 @@ def scd2_merge(
         *payload, F.col(ts).alias(spec.ts_col), F.lit(None).cast("timestamp").alias("late_boundary_ts"))
     chg = chg.where(usable)
 
-    stats = batch_stats(changes, spec)
-    if materialize and has_state:  # read by several branches (keys, hot keys)
+    given, stats = stats is not None, batch_stats(changes, spec) if stats is None else stats
+    if materialize and has_state and not given:  # read by several branches (keys, hot keys)
         shared_root(spark)
         stats = stats.checkpoint(eager=True)
     keys = stats.select(key)

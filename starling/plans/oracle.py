@@ -324,6 +324,7 @@ UNION ALL SELECT 'fact_order_details', count(*), count(*), 'append',
 
 SQL.update({
     "dim_customer_scd2_incremental": DIM_CUSTOMER_SQL,
+    "dim_customer_compacted": DIM_CUSTOMER_SQL,
     "bronze_csv_roundtrip": SQL["bronze_customer_changes"],
     "incremental_customer": SQL["silver_customer"],
     "silver_orders_partitions": with_(BRONZE_ORDERS, SILVER_ORDERS) + """

@@ -224,6 +224,20 @@ def q_dim_customer_scd2_incremental(spark, sf_dir):
     return time_as_text(store.dimension())
 
 
+def q_dim_customer_compacted(spark, sf_dir):
+    """The customer log merged day by day, the closed versions of two
+    batches of like size merged into one run each time, and everything that
+    the newest batch does not consist of removed: the same dimension."""
+    s = silver(spark, sf_dir, "customer")
+    store = DimensionStore(spark, shared_path(spark, "dim_customer_compacted", unique=True), CUSTOMER_DIM, compact_at=2)
+    day = F.coalesce(F.to_date("dms_timestamp").cast("string"), F.lit(""))
+    for n, d in enumerate(CHANGE_DAYS):
+        store.apply(s.where(day == d), n)
+    store.apply(s.where(~day.isin(*CHANGE_DAYS)), len(CHANGE_DAYS))
+    store.vacuum(keep=1)
+    return time_as_text(store.dimension())
+
+
 # ------------------------------------------------------------------ sources and sinks
 def q_bronze_csv_roundtrip(spark, sf_dir):
     """K1 + S5/S6 + S8: the customer log written as gzip CSV change files,
@@ -655,6 +669,7 @@ QUERIES = {
     "dim_customer_type1": q_dim_customer_type1,
     "late_changes": q_late_changes,
     "dim_customer_scd2_incremental": q_dim_customer_scd2_incremental,
+    "dim_customer_compacted": q_dim_customer_compacted,
     "bronze_csv_roundtrip": q_bronze_csv_roundtrip,
     "incremental_customer": q_incremental_customer,
     "silver_orders_partitions": q_silver_orders_partitions,

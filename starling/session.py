@@ -126,6 +126,17 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path}: could not be written")
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text, through the Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of all files and folders in ``path`` (one listing); none if absent."""
     jvm = spark.sparkContext._jvm
