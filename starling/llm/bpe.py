@@ -25,6 +25,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -86,6 +87,48 @@ def sufficient_lookahead(merges: list[tuple[str, str]], length: dict[str, int] |
     return longest
 
 
+def _members(pattern: str, characters: str) -> set[str]:
+    """The characters that the public library's pattern takes."""
+    from tokenizers import Regex, pre_tokenizers
+
+    split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+    return {c for run, _ in split.pre_tokenize_str(characters) for c in run}
+
+
+@functools.lru_cache(maxsize=1)
+def newer_characters() -> tuple[dict[str, tuple[set[str], set[str]]], dict[int, str], set[str]]:
+    """Where the public library's Unicode versions differ from those of Python
+    and ``regex``: for each class the characters that it takes in addition and
+    those that it does not take, its lower case of others, and the marks that
+    its NFC orders or composes in another way. Classes and lower case can
+    differ for characters alone that Python's data or ``regex`` does not know."""
+    from tokenizers import normalizers
+
+    every = "".join(chr(c) for c in range(0x40000) if not 0xD800 <= c < 0xE000)
+    unsure = "".join(regex.findall(r"\P{Cn}", "".join(c for c in every if unicodedata.category(c) == "Cn")))
+    unsure += "".join(c for c in regex.findall(r"\p{Cn}", every) if unicodedata.category(c) != "Cn")
+    classes = {}
+    for name in (r"\p{L}", r"\p{N}"):
+        own, theirs = set(regex.findall(name, unsure)), _members(name, unsure)
+        classes[name] = (theirs - own, own - theirs)
+    lower = normalizers.Lowercase()
+    nfc = normalizers.NFC()
+    same = lambda x: nfc.normalize_str(x) == unicodedata.normalize("NFC", x)
+    marks = {c for c in every if unicodedata.combining(c)
+             and not all(same(c + m) and same(m + c) for m in "\u0334\u0327\u0301\u0345")}
+    marks |= {unicodedata.normalize("NFD", c)[-1] for c in every
+              if unicodedata.decomposition(c)[:1] not in ("", "<") and not same(unicodedata.normalize("NFD", c))}
+    return classes, {ord(c): low for c in unsure if (low := lower.normalize_str(c)) != c.lower()}, marks
+
+
+def as_library(pattern: str, classes: dict[str, tuple[set[str], set[str]]]) -> str:
+    """The pattern with its classes as the public library has them."""
+    for name, (more, less) in classes.items():
+        one = f"[{name}--[{''.join(sorted(less))}]]" if less else name
+        pattern = pattern.replace(name, f"[{one}{''.join(sorted(more))}]")
+    return pattern
+
+
 class StreamingBpe:
     """Transducer over the symbol ids of one pre-token.
 
@@ -181,7 +224,12 @@ class WordBpeTokenizer:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
         splits = spec["pre_tokenizer"]["pretokenizers"]
-        self.pattern = regex.compile(next(p["pattern"]["Regex"] for p in splits if p["type"] == "Split"))
+        pattern = next(p["pattern"]["Regex"] for p in splits if p["type"] == "Split")
+        classes, self.lower, marks = newer_characters()
+        self.pattern, self.newer_pattern = regex.compile(pattern), regex.compile(as_library(pattern, classes), regex.V1)
+        newer = set(map(chr, self.lower)).union(*self.lower.values(), *(x for pair in classes.values() for x in pair))
+        self.newer = re.compile(f"[{''.join(sorted(newer))}]" if newer else "(?!)")
+        self.marks = re.compile(f"[{''.join(sorted(marks))}]" if marks else "(?!)")
         self.special_pattern = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         alphabet, ids = byte_alphabet(), self.ids
@@ -198,13 +246,18 @@ class WordBpeTokenizer:
         self._old: dict[str, tuple[int, ...]] = {}
 
     # ------------------------------------------------------------ encode
-    @staticmethod
-    def normalise(text: str) -> str:
+    def normalise(self, text: str) -> str:
         """NFC, then lower case of each character by itself."""
         if text.isascii():
             return text.lower()
-        text = unicodedata.normalize("NFC", text)
-        return text.replace("Σ", "σ").lower()  # no final-sigma rule
+        if self.marks.search(text):
+            from tokenizers import normalizers
+
+            text = normalizers.NFC().normalize_str(text)
+        else:
+            text = unicodedata.normalize("NFC", text)
+        text = text.replace("Σ", "σ").lower()  # no final-sigma rule
+        return text.translate(self.lower) if self.newer.search(text) else text
 
     def blocks(self, text: str) -> Iterator[str | int]:
         """Runs of text of bounded length, and the ids of special strings.
@@ -249,7 +302,7 @@ class WordBpeTokenizer:
 
     def pre_tokens(self, chunk: str) -> list[str]:
         """Pre-tokens of a normalised text."""
-        return self.pattern.findall(chunk)
+        return (self.newer_pattern if self.newer.search(chunk) else self.pattern).findall(chunk)
 
     def chunk_ids(self, chunk: str) -> tuple[int, ...]:
         """Ids of a normalised run without white space. Short runs are kept in

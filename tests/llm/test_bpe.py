@@ -30,6 +30,13 @@ def test_equals_the_library(text):
     check(text)
 
 
+def test_characters_of_other_unicode_versions():
+    """Letters, numbers, cases and marks that the library's Unicode data has not, or has alone."""
+    for text in (":\U00012550", "a\u0558b", "x\U000323b0y", "1\u1c891", "a\ua7dab", ":\U00012475:", "a\u0327\u0334\U00010efd",
+                 "a\u0301\u1ac5\u0334", "\u1ac5\u0327", "a\u0301\u0c3c"):
+        check(text)
+
+
 def test_long_runs_and_texts():
     rnd = random.Random(1)
     check("".join(rnd.choice("aeinthrs") for _ in range(60_000)))  # one pre-token over several windows
