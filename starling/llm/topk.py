@@ -7,7 +7,7 @@ their best ends in steps: every vector met for the first time is scored in
 full; the bound is the score that a vector not met yet could have at most, the
 product of the query with the last component read in each list. A query is
 finished when the bound is below its k-th score (an equal score with a smaller
-id could still come before). The k best of every block meet in one ranking per
+id could still come before), or when every vector of the block has been met. The k best of every block meet in one ranking per
 query, limited to k rows a task before the shuffle.
 
 Queries are a stated set against all rows, in blocks: a block of vectors is
@@ -55,32 +55,43 @@ class SortedLists:
         order = np.argsort(ids, kind="stable")
         self.ids, self.rows = ids[order], rows[order]
         self.lists = np.argsort(-self.rows, axis=0, kind="stable")  # (rows, dimensions), largest first
+        self.floats = self.rows.astype(float)
+        self.largest = float(np.abs(self.floats).max(initial=0.0))
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(ids, scores) of the k best but ``own``, and how many were scored."""
         n = len(self.ids)
         used = np.flatnonzero(query)
         q = query[used]
-        down = q > 0
-        met = np.zeros(n, bool)
-        met[self.ids == own] = True
+        if not len(used):  # every score is 0
+            best = np.flatnonzero(self.ids != own)[:k]
+            return self.ids[best], np.zeros(len(best), np.int64), 0
+        # floats where every sum is a whole number that they hold exactly
+        exact = self.largest * float(np.abs(query.astype(float)).sum()) < 2.0**53
+        rows, factors = (self.floats, query.astype(float)) if exact else (self.rows, query)
+        down, up = used[q > 0], used[q < 0]
+        met = self.ids == own
+        scored, left = 0, n - int(met.sum())
         best, scores = np.empty(0, np.int64), np.empty(0, np.int64)
-        depth, step, scored = 0, STEP, 0
-        while depth < n and len(used):
+        depth, step = 0, STEP
+        while depth < n and scored < left:
             end = min(n, depth + step)
-            seen = np.concatenate([self.lists[depth:end, used[down]].ravel(),
-                                   self.lists[n - end : n - depth, used[~down]].ravel()])
-            new = np.unique(seen[~met[seen]])
+            seen = np.zeros(n, bool)
+            seen[self.lists[depth:end, down]] = True
+            seen[self.lists[n - end : n - depth, up]] = True
+            new = np.flatnonzero(seen & ~met)
             met[new] = True
             scored += len(new)
-            best, scores = self._keep(np.concatenate([best, new]), np.concatenate([scores, self.rows[new] @ query]), k)
+            # most of a block at once is cheaper without picking its rows
+            found = (rows @ factors)[new] if 16 * len(new) > n else rows[new] @ factors
+            if len(found) > k:  # ties of the k-th stay for the smaller id
+                good = found >= np.partition(found, len(found) - k)[len(found) - k]
+                new, found = new[good], found[good]
+            best, scores = self._keep(np.concatenate([best, new]), np.concatenate([scores, found.astype(np.int64)]), k)
             depth, step = end, step * 2
-            last = np.where(down, self.lists[end - 1, used], self.lists[n - end, used])
+            last = np.where(q > 0, self.lists[end - 1, used], self.lists[n - end, used])
             if len(best) >= min(k, n) and scores[-1] > self.rows[last, used] @ q:
                 break
-        if not len(used):  # every score is 0
-            best = np.flatnonzero(~met)[:k]
-            scores = np.zeros(len(best), np.int64)
         return self.ids[best], scores, scored
 
     @staticmethod

@@ -49,6 +49,36 @@ def test_stops_before_reading_all():
     assert ids.tolist() == order.tolist() and scored < 400
 
 
+def test_stops_when_all_are_met():
+    """Nothing is read of the lists behind the place where the last vector is met."""
+    rng = np.random.default_rng(2)
+    rows = np.floor(rng.normal(size=(2000, 64)) * 256).astype(np.int64)
+    lists = topk.SortedLists(np.arange(2000), rows)
+    places = np.zeros((2000, 64), bool)
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            places[at] = True
+            return np.asarray(self)[at]
+
+    lists.lists = lists.lists.view(Watched)
+    ids, scores, scored = lists.top(rows[50], 50, 5)
+    all_scores = rows @ rows[50]
+    all_scores[50] = -(2**62)  # the query's own row takes no part
+    order = np.lexsort((np.arange(2000), -all_scores))[:5]
+    assert ids.tolist() == order.tolist() and scores.tolist() == all_scores[order].tolist()
+    assert scored <= 1999 and places.mean() < 0.4
+
+
+def test_scores_beyond_exact_floats():
+    rows = np.array([[2**40 + 1, 1], [2**40, 2**20], [3, -(2**30)], [2**40 + 1, 2]], np.int64)
+    lists = topk.SortedLists(np.arange(4), rows)
+    ids, scores, _ = lists.top(np.array([2**20 + 1, 1]), -1, 4)
+    want = rows @ np.array([2**20 + 1, 1])
+    order = np.lexsort((np.arange(4), -want))
+    assert ids.tolist() == order.tolist() and scores.tolist() == want[order].tolist()
+
+
 def test_empty_few_and_repeated_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert topk.top_k(spark.createDataFrame([], schema), F.col("id") % 50 == 0).collect() == []
