@@ -12,15 +12,20 @@ depths along its context. Code length per byte is -score / log10(2) / bytes.
 The base score is a smoothed unigram model over words and an end token:
 log10((c + 0.1) / (N + 0.1 (V + 1))).
 
-Plan. Tasks count words (as 64-bit hashes) and strings of depth + 1 bytes in
-bounded chunks; one shuffle adds them up. A task builds the tree below a pair
-of context bytes from one group, bit by bit, as sorted arrays of the nodes that
-occur: memory goes with the distinct strings of a pair; depths 1 and 0 are at most 65,536 and 256 nodes whatever the corpus, and are the only
-parts the driver and a broadcast hold. For scoring, documents are dealt into
-groups of about ``GROUP_BYTES`` of text by a hash; a group asks once for each
-distinct word and string it holds, gets their values by a join, and
-scores its documents. A frequent word is thus one row per group, not per
-document.
+Plan. Words (as 64-bit hashes) and strings of depth + 1 bytes are dealt into
+parts, strings by their pair of last context bytes. Tasks count them in bounded
+chunks; a shuffle adds up each part. Lists of numbers travel and are stored
+packed: differences of sorted numbers, byte by byte, so that the codec of the
+shuffle or the file leaves little of them. A task builds the trees below the
+pairs of a part, bit by bit, as sorted arrays of the nodes that occur: memory
+goes with the distinct strings of a part; depths 1 and 0 are at most 65,536 and
+256 nodes whatever the corpus, and are the only parts the driver and a
+broadcast hold. For scoring, documents are dealt into groups of about
+``GROUP_BYTES`` of text by a hash; a group asks each part once for the distinct
+words and strings it holds, a part answers ``MERGE_ROWS`` questions at a time,
+and the group's documents are scored with the answers, which are in the order
+of the questions and so need no keys. A frequent word is thus one entry per
+group, not per document.
 
 Defined cases: a null or empty text is the end symbol alone; repeated rows are
 counted and scored each; a null doc_id counts as the empty id; without any
@@ -30,6 +35,7 @@ unseen contexts give every bit one half; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -38,16 +44,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import cut, record_batch, release, slices, texts_as_bytes, word_hashes
+from starling.llm.common import Stored, mix64, record_batch, release, slices, texts_as_bytes, word_hashes
 
 #: Bytes of context unless the caller says otherwise.
 DEPTH = 3
-#: Bytes of text of a scoring group, and the fewest groups.
-GROUP_BYTES, MIN_GROUPS = 16 << 20, 64
+#: Bytes of text of a scoring group; the fewest groups of a table of ``SMALL_BYTES`` each or more.
+GROUP_BYTES, MIN_GROUPS, SMALL_BYTES = 16 << 20, 24, 1 << 16
 #: Bytes of text whose counts a task gathers before it emits them.
 CHUNK_BYTES = 8 << 20
-#: Values that are gathered before they are merged, and keys in a list.
-MERGE_ROWS, LIST_KEYS = 1 << 21, 1 << 14
+#: Values that are gathered before they are merged or answered, and symbols that are scored at a time.
+MERGE_ROWS, SCORE_ROWS = 1 << 20, 1 << 18
+#: Counts whose logarithms are kept.
+TABLE = 1 << 16
 #: Stands for the end of a text and for what precedes it; no UTF-8 byte.
 END = 0xFF
 WORD, GRAM = 0, 1
@@ -76,12 +84,24 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(product)
 
 
+@functools.lru_cache(maxsize=1)
+def _log_gammas() -> tuple[np.ndarray, np.ndarray]:
+    """ln Gamma(n + 1/2) and ln Gamma(n + 1) of small n."""
+    n = np.arange(TABLE, dtype=float)
+    return log_gamma(n + 0.5), log_gamma(n + 1.0)
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the Krichevsky-Trofimov probability of the counts."""
-    out = np.zeros(zeros.shape)
-    some = (zeros + ones) > 0
-    a, b = zeros[some].astype(float), ones[some].astype(float)
-    out[some] = log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - LN_PI
+    half, whole = _log_gammas()
+    total = zeros + ones
+    large = total >= TABLE
+    if not large.any():
+        return np.where(total > 0, half[zeros] + half[ones] - whole[total] - LN_PI, 0.0)
+    out = np.empty(total.shape)
+    out[~large] = log_kt(zeros[~large], ones[~large])
+    a, b = zeros[large].astype(float), ones[large].astype(float)
+    out[large] = log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - LN_PI
     return out
 
 
@@ -98,22 +118,40 @@ def kt_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (ones + 0.5) / (zeros + ones + 1.0)
 
 
-def levels(keys: np.ndarray, n: np.ndarray, j: int, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(ids, zeros, ones, ln of the weighted probability, posterior weight of
-    the own estimate) of the nodes of bit ``j`` at the depths ``depth`` to 2. An
-    id is the context with the node in place of the byte; at full depth the own
-    estimate has all the weight."""
-    byte = keys & 0xFF
-    ids, row = np.unique(keys - byte + ((1 << j) | (byte >> (8 - j))), return_inverse=True)
-    one = (byte >> (7 - j)) & 1
-    ones = np.bincount(row, n * one, len(ids)).astype(np.int64)
-    zeros = np.bincount(row, n * (1 - one), len(ids)).astype(np.int64)
-    log_pw, stop = log_kt(zeros, ones), np.ones(len(ids))
-    yield ids, zeros, ones, log_pw, stop
+def shortened(keys: np.ndarray, n: np.ndarray, depth: int) -> list[tuple[np.ndarray, ...]]:
+    """For the depths ``depth`` to 2: the distinct strings with so many bytes
+    of context, sorted, their counts, and the place in them of each string of
+    the depth before."""
+    order = np.argsort(keys)
+    out = [(keys[order], n[order].astype(np.int64), np.empty(0, np.int64))]
     for d in range(depth - 1, 1, -1):
-        ids, row = np.unique(ids & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
-        zeros, ones = (np.bincount(row, x, len(ids)).astype(np.int64) for x in (zeros, ones))
-        log_pw, stop = weigh(zeros, ones, np.bincount(row, log_pw, len(ids)))
+        short, place = np.unique(out[-1][0] & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        out.append((short, np.bincount(place, out[-1][1], len(short)).astype(np.int64), place))
+    return out
+
+
+def levels(strings: list[tuple[np.ndarray, ...]], j: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(ids, zeros, ones, ln of the weighted probability, posterior weight of
+    the own estimate) of the nodes of bit ``j`` at the depths of ``strings``. An
+    id is the context with the node in place of the byte, so that sorted
+    strings have their nodes in runs; at full depth the own estimate has all
+    the weight."""
+    start = log_pw = None
+    for keys, n, place in strings:
+        byte = keys & 0xFF
+        node = keys - byte + ((1 << j) | (byte >> (8 - j)))
+        edge = np.ones(len(keys), bool)
+        edge[1:] = node[1:] != node[:-1]
+        first = np.flatnonzero(edge)
+        ids, total = node[first], np.add.reduceat(n, first)
+        ones = np.add.reduceat(n * ((byte >> (7 - j)) & 1).astype(np.int64), first)
+        zeros = total - ones
+        if start is None:
+            log_pw, stop = log_kt(zeros, ones), np.ones(len(ids))
+        else:
+            run = np.cumsum(edge) - 1
+            log_pw, stop = weigh(zeros, ones, np.bincount(run[place[start]], log_pw, len(ids)))
+        start = first
         yield ids, zeros, ones, log_pw, stop
 
 
@@ -123,8 +161,9 @@ class PairTree:
 
     def __init__(self, keys: np.ndarray, n: np.ndarray, depth: int = DEPTH):
         self.zeros, self.ones, self.log_pw = np.zeros(256, np.int64), np.zeros(256, np.int64), np.zeros(256)
+        strings = shortened(keys, n, depth)
         for j in range(8):
-            for ids, zeros, ones, log_pw, _ in levels(keys, n, j, depth):
+            for ids, zeros, ones, log_pw, _ in levels(strings, j):
                 pass
             node = ids & 0xFF
             self.zeros[node], self.ones[node], self.log_pw[node] = zeros, ones, log_pw
@@ -143,18 +182,25 @@ class TopTree:
 
 def log10_probabilities(top: TopTree, keys: np.ndarray, n: np.ndarray, wanted: np.ndarray,
                         depth: int = DEPTH) -> np.ndarray:
-    """log10 P(byte | ``depth`` bytes before) of the wanted strings, which share
-    their pair of context bytes with the training strings ``keys``."""
+    """log10 P(byte | ``depth`` bytes before) of the wanted strings, whose pairs
+    of context bytes have all of their training strings in ``keys``."""
     last, byte = (wanted >> 8) & 0xFF, wanted & 0xFF
     out = np.zeros(len(wanted))
+    strings = shortened(keys, n, depth) if len(keys) else []
+    asked = []  # the distinct wanted strings of each depth, and the place in them of each wanted one
+    for d in range(depth, 1, -1) if len(keys) else ():
+        short, place = np.unique((asked[-1][0] if asked else wanted) & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        asked.append((short, place if not asked else place[asked[-1][1]]))
     for j in range(8):
         node, bit = (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1
-        own, p = wanted - byte + node, np.full(len(wanted), 0.5)
-        if len(keys):
-            for d, (ids, zeros, ones, _, stop) in zip(range(depth, 1, -1), levels(keys, n, j, depth)):
-                ask = own & ((1 << 8 * (d + 1)) - 1)
-                at = np.minimum(np.searchsorted(ids, ask), len(ids) - 1)
-                p = np.where(ids[at] == ask, stop[at] * kt_one(zeros, ones)[at] + (1.0 - stop[at]) * p, p)
+        p = np.full(len(wanted), 0.5)
+        for (short, place), (ids, zeros, ones, _, stop) in zip(asked, levels(strings, j) if strings else ()):
+            ask = short - (short & 0xFF) + ((1 << j) | ((short & 0xFF) >> (8 - j)))
+            at = np.minimum(np.searchsorted(ids, ask), len(ids) - 1)
+            found = ids[at] == ask
+            weight = np.where(found, stop[at], 0.0)  # an unseen node leaves the estimate as it is
+            part = weight * kt_one(zeros, ones)[at]
+            p = part[place] + (1.0 - weight)[place] * p
         for stop, kt in ((top.stop1[last, node], top.kt1[last, node]), (top.stop0[node], top.kt0[node])):
             p = stop * kt + (1.0 - stop) * p
         out += np.log10(np.where(bit == 1, p, 1.0 - p))
@@ -162,15 +208,51 @@ def log10_probabilities(top: TopTree, keys: np.ndarray, n: np.ndarray, wanted: n
 
 
 # ------------------------------------------------------------------- Spark
-def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return record_batch({"kind": pa.array(np.full(len(keys), kind, np.int32)),
-                         "key": pa.array(keys.astype(np.uint64).view(np.int64)), "n": pa.array(n.astype(np.int64))})
+def pack(numbers: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte: all first bytes, all second ones and so on."""
+    return numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
+
 
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys.astype(np.uint64), prepend=np.uint64(0)))
 
-def corpus_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, key, n): counts of words and strings of all texts. Tasks
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
+
+
+def by_part(kind: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, parts, ends): sorted keys in the order of their parts, sorted
+    within, which parts occur and where each ends. Strings of one pair of last
+    context bytes share a part."""
+    keys = keys.astype(np.uint64)
+    hashed = mix64((keys >> np.uint64(8)) & np.uint64(0xFFFF)) if kind == GRAM else keys
+    part = (hashed % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    if not len(order):
+        return order, order, order
+    part = part[order]
+    ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part))
+    return order, part[ends - 1], ends
+
+
+def corpus_counts(training: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
+    """(kind, part, keys, n, total, size): sorted words or strings of each part
+    with their counts, packed, the sum of these and how many there are. Tasks
     add up chunks of bounded size before the shuffle."""
 
+    def rows(kind, arrays):
+        keys, n = np.unique(np.concatenate(arrays), return_counts=True)
+        order, part, ends = by_part(kind, keys, parts)
+        keys, n = np.split(keys[order], ends[:-1]), np.split(n[order].astype(np.int64), ends[:-1])
+        if len(part):
+            yield record_batch({"kind": ([kind] * len(part), pa.int32()), "part": pa.array(part),
+                                "keys": ([pack_sorted(k) for k in keys], pa.binary()), "n": ([pack(x) for x in n], pa.binary())})
+
     def count(batches):
         words, strings, size = [], [], 0
         for b in slices(batches):
@@ -180,41 +262,53 @@ def corpus_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
                 strings.append(grams(data, depth))
                 size += len(data)
                 if size >= CHUNK_BYTES:
-                    yield _rows(WORD, *np.unique(np.concatenate(words), return_counts=True))
-                    yield _rows(GRAM, *np.unique(np.concatenate(strings), return_counts=True))
+                    yield from rows(WORD, words)
+                    yield from rows(GRAM, strings)
                     words, strings, size = [], [], 0
         if strings:
-            yield _rows(WORD, *np.unique(np.concatenate(words), return_counts=True))
-            yield _rows(GRAM, *np.unique(np.concatenate(strings), return_counts=True))
-
-    return (training.select("text").mapInArrow(count, "kind int, key long, n long")
-            .groupBy("kind", "key").agg(F.sum("n").alias("n")))
+            yield from rows(WORD, words)
+            yield from rows(GRAM, strings)
 
+    def add_up(t: pa.Table) -> pa.Table:
+        keys = np.concatenate([unpack_sorted(x) for x in t["keys"].to_pylist()])
+        n = np.concatenate([unpack(x, np.int64) for x in t["n"].to_pylist()])
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.add.reduceat(n, first)
+        return pa.table({"kind": t["kind"][:1], "part": t["part"][:1], "keys": pa.array([pack_sorted(keys[first])]),
+                         "n": pa.array([pack(n)]), "total": pa.array([int(n.sum())]), "size": pa.array([len(n)])})
 
-def _pair(key: str = "key") -> Column:
-    """The last two context bytes of a string."""
-    return F.shiftright(F.col(key), 8).bitwiseAND(0xFFFF).cast("int")
+    found = training.select("text").mapInArrow(count, "kind int, part long, keys binary, n binary")
+    return found.repartition(parts, "kind", "part").groupBy("kind", "part").applyInArrow(
+        add_up, "kind int, part long, keys binary, n binary, total long, size long")
 
 
 def top_tree(strings: DataFrame, depth: int = DEPTH) -> TopTree:
-    """Depths 1 and 0 of the tree; at most 65,536 rows reach the driver."""
-
-    def nodes(t: pa.Table) -> pa.Table:
-        tree = PairTree(t["key"].to_numpy(), t["n"].to_numpy(), depth)
-        some = np.flatnonzero(tree.zeros + tree.ones)
-        last = int(t["key"][0].as_py() >> 8) & 0xFF
-        return pa.table({"last": pa.array(np.full(len(some), last, np.int32)), "node": pa.array(some.astype(np.int32)),
-                         "zeros": tree.zeros[some], "ones": tree.ones[some], "log_pw": tree.log_pw[some]})
-
-    found = (strings.groupBy(_pair().alias("pair")).applyInArrow(
-        nodes, "last int, node int, zeros long, ones long, log_pw double")
-        .groupBy("last", "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"),
-                                     F.sum("log_pw").alias("log_pw")).toArrow())
-    dense = [np.zeros((256, 256), np.int64), np.zeros((256, 256), np.int64), np.zeros((256, 256))]
-    at = (found["last"].to_numpy(), found["node"].to_numpy())
+    """Depths 1 and 0 of the tree, from the rows of strings of
+    ``corpus_counts``; at most 65,536 rows reach the driver."""
+
+    def nodes(batches):
+        for b in slices(batches, 1):
+            dense = [np.zeros(1 << 16) for _ in range(3)]
+            own = shortened(unpack_sorted(b.column("keys")[0].as_py()).view(np.int64),
+                            unpack(b.column("n")[0].as_py(), np.int64), depth)
+            for j in range(8):
+                for ids, zeros, ones, log_pw, _ in levels(own, j):
+                    pass
+                for total, x in zip(dense, (zeros, ones, log_pw)):  # last context byte and node
+                    total += np.bincount(ids & 0xFFFF, x, 1 << 16)
+            some = np.flatnonzero(dense[0] + dense[1])
+            yield record_batch({"at": pa.array(some), "zeros": pa.array(dense[0][some].astype(np.int64)),
+                                "ones": pa.array(dense[1][some].astype(np.int64)), "log_pw": pa.array(dense[2][some])})
+
+    found = (strings.select("keys", "n").mapInArrow(nodes, "at long, zeros long, ones long, log_pw double")
+             .groupBy("at").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"),
+                                F.sum("log_pw").alias("log_pw")).toArrow())
+    dense = [np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 16)]
     for a, name in zip(dense, ("zeros", "ones", "log_pw")):
-        a[at] = found[name].to_numpy()
-    return TopTree(*dense)
+        a[found["at"].to_numpy()] = found[name].to_numpy()
+    return TopTree(*(a.reshape(256, 256) for a in dense))
 
 
 def _distinct(arrays: Iterator[np.ndarray], kind: type) -> np.ndarray:
@@ -228,17 +322,65 @@ def _distinct(arrays: Iterator[np.ndarray], kind: type) -> np.ndarray:
     return np.unique(np.concatenate([merged, *held]))
 
 
-def _wanted(t: pa.Table, depth: int) -> pa.Table:
-    """The distinct words and strings of a group of documents, in lists."""
-    texts = [x.lower() for x in texts_as_bytes(t["text"])]
+def group_keys(texts: list[bytes], depth: int) -> list[tuple[int, np.ndarray]]:
+    """The sorted distinct words and strings of a group of documents."""
+    return [(WORD, _distinct((word_hashes(x) for x in texts), np.uint64)),
+            (GRAM, _distinct((grams(x, depth).astype(np.uint64) for x in texts), np.uint64))]
+
+
+def _wanted(t: pa.Table, parts: int, depth: int) -> pa.Table:
+    """What a group of documents asks each part."""
     rows = []
-    for kind, keys in ((WORD, _distinct((word_hashes(x) for x in texts), np.uint64)),
-                       (GRAM, _distinct((grams(x, depth) for x in texts), np.uint64))):
-        keys = keys.astype(np.uint64).view(np.int64)
-        rows += [(kind, keys[at : at + LIST_KEYS]) for at in range(0, len(keys), LIST_KEYS)]
-    return pa.table({"grp": pa.array([t["grp"][0].as_py()] * len(rows), pa.int64()),
-                     "kind": pa.array([k for k, _ in rows], pa.int32()),
-                     "keys": pa.array([k for _, k in rows], pa.list_(pa.int64()))})
+    for kind, keys in group_keys([x.lower() for x in texts_as_bytes(t["text"])], depth):
+        order, part, ends = by_part(kind, keys, parts)
+        if len(part):
+            rows += [(kind, p, pack_sorted(k)) for p, k in zip(part.tolist(), np.split(keys[order], ends[:-1]))]
+    kinds, part, keys = zip(*rows)
+    return pa.table({"grp": pa.array([t["grp"][0].as_py()] * len(rows), pa.int64()), "kind": pa.array(kinds, pa.int32()),
+                     "part": pa.array(part, pa.int64()), "keys": pa.array(keys, pa.binary())})
+
+
+def answers(counts: DataFrame, wanted: DataFrame, top, parts: int, depth: int) -> DataFrame:
+    """(grp, kind, part, value): for each row of ``wanted``, the packed counts
+    of its words or log10 probabilities of its strings, in their order. ``top``
+    is the broadcast ``TopTree``."""
+
+    def answer(kind, part, known, asked):
+        lists = [unpack_sorted(x) for _, x in asked]
+        order = np.unique(np.concatenate(lists))
+        keys, n = known
+        if kind == GRAM:
+            value = log10_probabilities(top.value, keys.view(np.int64), n, order.view(np.int64), depth)
+        else:
+            value = np.zeros(len(order))
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, order), len(keys) - 1)
+                value = np.where(keys[at] == order, n[at], 0).astype(float)
+        values = [pack(value[np.searchsorted(order, x)]) for x in lists]
+        return record_batch({"grp": ([g for g, _ in asked], pa.int64()), "kind": ([kind] * len(asked), pa.int32()),
+                             "part": ([part] * len(asked), pa.int64()), "value": (values, pa.binary())})
+
+    def run(batches):
+        now, known, asked, size = None, None, [], 0
+        for b in slices(batches, 1):
+            grp, kind, part, keys, n = (b.column(c)[0].as_py() for c in ("grp", "kind", "part", "keys", "n"))
+            if asked and ((kind, part) != now or size >= MERGE_ROWS):
+                yield answer(*now, known, asked)
+                asked, size = [], 0
+            if (kind, part) != now:
+                now, known = (kind, part), (np.empty(0, np.uint64), np.empty(0, np.int64))
+            if grp is None:  # sorted before the questions
+                known = unpack_sorted(keys), unpack(n, np.int64)
+            else:
+                asked.append((grp, keys))
+                size += len(keys) // 8
+        if asked:
+            yield answer(*now, known, asked)
+
+    both = counts.select(F.lit(None).cast("long").alias("grp"), "kind", "part", "keys", "n").unionByName(
+        wanted.withColumn("n", F.lit(None).cast("binary")))
+    return both.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part", F.asc_nulls_first("grp")).mapInArrow(
+        run, "grp long, kind int, part long, value binary")
 
 
 def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
@@ -253,60 +395,64 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
     size = docs.agg(F.sum(F.octet_length("text")).alias("size"),
                     F.count_if(~F.col("held_out")).alias("ends")).first()
-    ends, groups = size["ends"], max(MIN_GROUPS, -(-(size["size"] or 0) // GROUP_BYTES))
-    counts = cut(corpus_counts(docs.where(~F.col("held_out")), depth))
-    total = counts.where(F.col("kind") == WORD).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n_train, v_train = (total["n"] or 0) + ends, total["v"] + (ends > 0)
+    size, ends = size["size"] or 0, size["ends"]
+    groups = max(min(MIN_GROUPS, 1 + size // SMALL_BYTES), -(-size // GROUP_BYTES))
+    counts = Stored(corpus_counts(docs.where(~F.col("held_out")), groups, depth), "lm_counts")
+    total = counts.df.where(F.col("kind") == WORD).agg(F.sum("total").alias("n"), F.sum("size").alias("v")).first()
+    n_train, v_train = (total["n"] or 0) + ends, (total["v"] or 0) + (ends > 0)
     release(spark)
 
-    strings = counts.where(F.col("kind") == GRAM).select("key", "n")
-    top = spark.sparkContext.broadcast(top_tree(strings, depth))  # 4 x 65,536 numbers
+    top = spark.sparkContext.broadcast(top_tree(counts.df.where(F.col("kind") == GRAM), depth))  # 4 x 65,536 numbers
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("grp"), "doc_id", "held_out", "text")
-    wanted = cut(dealt.groupBy("grp").applyInArrow(lambda t: _wanted(t, depth), "grp long, kind int, keys array<long>"))
-    wanted = wanted.select("grp", "kind", F.explode("keys").alias("key"))
+    dealt = dealt.repartition(groups, "grp")
+    wanted = dealt.select("grp", "text").groupBy("grp").applyInArrow(
+        lambda t: _wanted(t, groups, depth), "grp long, kind int, part long, keys binary")
+    values = Stored(answers(counts.df, wanted, top, groups, depth), "lm_values")
+    del wanted
+    counts.drop()
     release(spark)
-
-    def look_up(known: pa.Table, want: pa.Table) -> pa.Table:
-        keys, order = known["key"].to_numpy(), want["key"].to_numpy()
-        value = log10_probabilities(top.value, keys, known["n"].to_numpy(), order, depth) if len(order) else np.empty(0)
-        return pa.table({"key": pa.array(order, pa.int64()), "value": pa.array(value, pa.float64())})
-
-    needed = wanted.where(F.col("kind") == GRAM).select("key").distinct()
-    chances = (strings.groupBy(_pair().alias("pair")).cogroup(needed.groupBy(_pair().alias("pair")))
-               .applyInArrow(look_up, "key long, value double"))
-    values = (counts.where(F.col("kind") == WORD).select("kind", "key", F.col("n").cast("double").alias("value"))
-              .unionByName(chances.select(F.lit(GRAM).alias("kind"), "key", "value")))
-    delivered = wanted.join(values, ["kind", "key"]).select("grp", "kind", "key", "value")
     scale = n_train + 0.1 * (v_train + 1)
 
     def score(own: pa.Table, table: pa.Table) -> pa.Table:
-        kind, key, value = (table[c].to_numpy() for c in ("kind", "key", "value"))
-        parts = []
-        for k in (WORD, GRAM):
-            keys, vals = key[kind == k].view(np.uint64), value[kind == k]
-            order = np.argsort(keys)
-            parts.append((keys[order], vals[order]))
-        (words, count), (strings, chance) = parts
-        rows = []
-        for data in texts_as_bytes(own["text"]) if own.num_rows else ():
-            data = data.lower()
-            h = word_hashes(data)
-            c = np.zeros(len(h) + 1)
-            if len(words):
-                at = np.minimum(np.searchsorted(words, h), len(words) - 1)
-                c[:-1] = np.where(words[at] == h, count[at], 0.0)
-            c[-1] = ends
+        texts = [x.lower() for x in texts_as_bytes(own["text"])] if own.num_rows else []
+        told = dict(zip(zip(table["kind"].to_pylist(), table["part"].to_pylist()), table["value"].to_pylist()))
+        known = []
+        for kind, keys in group_keys(texts, depth) if texts else ():
+            order, part, _ = by_part(kind, keys, groups)
+            value = np.empty(len(keys))
+            if len(part):
+                value[order] = np.concatenate([unpack(told[kind, p], np.float64) for p in part.tolist()])
+            known.append((keys, value))
+        rows, held, symbols = [], [], 0
+
+        def flush():
+            g = np.concatenate([x for _, _, x in held])
+            order = np.argsort(g)
+            chance = np.empty(len(g))
+            chance[order] = known[GRAM][1][np.searchsorted(known[GRAM][0], g[order])]
+            for (h, n_symbols, _), own_chance in zip(held, np.split(chance, np.cumsum([n for _, n, _ in held])[:-1])):
+                c = np.append(known[WORD][1][np.searchsorted(known[WORD][0], h)] if len(h) else np.empty(0), ends)
+                rows.append((len(c), int((c > 0).sum()), float(np.log10((c + 0.1) / scale).sum()) if scale > 0.1 else 0.0,
+                             float(own_chance.sum()), n_symbols))
+
+        for data in texts:
             g = grams(data, depth).astype(np.uint64)
-            rows.append((len(c), int((c > 0).sum()), float(np.log10((c + 0.1) / scale).sum()) if scale > 0.1 else 0.0,
-                         float(chance[np.searchsorted(strings, g)].sum()), len(g)))
-        n, known, base, full, size = zip(*rows) if rows else ((),) * 5
+            held.append((word_hashes(data), len(g), g))
+            symbols += len(g)
+            if symbols >= SCORE_ROWS:
+                flush()
+                held, symbols = [], 0
+        if held:
+            flush()
+        n, n_known, base, full, n_symbols = zip(*rows) if rows else ((),) * 5
         return pa.table({
             "doc_id": own["doc_id"] if rows else pa.array([], pa.int64()),
             "held_out": own["held_out"] if rows else pa.array([], pa.bool_()),
-            "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known, pa.int64()),
+            "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
             "train_tokens": pa.array([n_train] * len(rows), pa.int64()), "base_score": pa.array(base, pa.float64()),
-            "score": pa.array(full, pa.float64()), "n_symbols": pa.array(size, pa.int64())})
+            "score": pa.array(full, pa.float64()), "n_symbols": pa.array(n_symbols, pa.int64())})
 
-    return dealt.groupBy("grp").cogroup(delivered.groupBy("grp")).applyInArrow(
+    told = values.df.repartition(groups, "grp")
+    return dealt.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                "base_score double, score double, n_symbols long")
