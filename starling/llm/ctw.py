@@ -184,26 +184,34 @@ def log10_probabilities(top: TopTree, keys: np.ndarray, n: np.ndarray, wanted: n
                         depth: int = DEPTH) -> np.ndarray:
     """log10 P(byte | ``depth`` bytes before) of the wanted strings, whose pairs
     of context bytes have all of their training strings in ``keys``."""
-    last, byte = (wanted >> 8) & 0xFF, wanted & 0xFF
-    out = np.zeros(len(wanted))
+    if not len(wanted):
+        return np.zeros(0)
     strings = shortened(keys, n, depth) if len(keys) else []
-    asked = []  # the distinct wanted strings of each depth, and the place in them of each wanted one
-    for d in range(depth, 1, -1) if len(keys) else ():
-        short, place = np.unique((asked[-1][0] if asked else wanted) & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
-        asked.append((short, place if not asked else place[asked[-1][1]]))
+    asked = [(wanted, np.arange(len(wanted)))]  # the distinct wanted strings of each depth, and the place of each in the next
+    for d in range(depth - 1, 1, -1):
+        short, place = np.unique(asked[-1][0] & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        asked[-1] = asked[-1][0], place
+        asked.append((short, np.arange(len(short))))
+    out = np.zeros(len(wanted))
     for j in range(8):
-        node, bit = (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1
-        p = np.full(len(wanted), 0.5)
-        for (short, place), (ids, zeros, ones, _, stop) in zip(asked, levels(strings, j) if strings else ()):
+        short = asked[-1][0]
+        last, node = (short >> 8) & 0xFF, (1 << j) | ((short & 0xFF) >> (8 - j))
+        known, left = top.stop0[node] * top.kt0[node], 1.0 - top.stop0[node]
+        known, left = known + left * top.stop1[last, node] * top.kt1[last, node], left * (1.0 - top.stop1[last, node])
+        # the estimate is ``known`` and ``left`` of that of the deeper contexts
+        trees = list(levels(strings, j)) if strings else [None] * len(asked)
+        for (short, place), tree in zip(reversed(asked), reversed(trees)):
+            if short is not asked[-1][0]:
+                known, left = known[place], left[place]
+            if tree is None:
+                continue
+            ids, zeros, ones, _, stop = tree
             ask = short - (short & 0xFF) + ((1 << j) | ((short & 0xFF) >> (8 - j)))
             at = np.minimum(np.searchsorted(ids, ask), len(ids) - 1)
-            found = ids[at] == ask
-            weight = np.where(found, stop[at], 0.0)  # an unseen node leaves the estimate as it is
-            part = weight * kt_one(zeros, ones)[at]
-            p = part[place] + (1.0 - weight)[place] * p
-        for stop, kt in ((top.stop1[last, node], top.kt1[last, node]), (top.stop0[node], top.kt0[node])):
-            p = stop * kt + (1.0 - stop) * p
-        out += np.log10(np.where(bit == 1, p, 1.0 - p))
+            weight = np.where(ids[at] == ask, stop[at], 0.0)  # an unseen node leaves the estimate to the others
+            known, left = known + left * weight * kt_one(zeros, ones)[at], left * (1.0 - weight)
+        p = known + 0.5 * left
+        out += np.log10(np.where((wanted >> (7 - j)) & 1 == 1, p, 1.0 - p))
     return out
 
 
@@ -311,6 +319,12 @@ def top_tree(strings: DataFrame, depth: int = DEPTH) -> TopTree:
     return TopTree(*(a.reshape(256, 256) for a in dense))
 
 
+def sorted_distinct(numbers: np.ndarray) -> np.ndarray:
+    """By sorting, which is faster here than the hash table of np.unique."""
+    numbers = np.sort(numbers)
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])] if len(numbers) else numbers
+
+
 def _distinct(arrays: Iterator[np.ndarray], kind: type) -> np.ndarray:
     """Distinct values of many arrays, merged as they come."""
     merged, held, size = np.empty(0, kind), [], 0
@@ -318,8 +332,8 @@ def _distinct(arrays: Iterator[np.ndarray], kind: type) -> np.ndarray:
         held.append(a)
         size += len(a)
         if size > MERGE_ROWS:
-            merged, held, size = np.unique(np.concatenate([merged, *held])), [], 0
-    return np.unique(np.concatenate([merged, *held]))
+            merged, held, size = sorted_distinct(np.concatenate([merged, *held])), [], 0
+    return sorted_distinct(np.concatenate([merged, *held]))
 
 
 def group_keys(texts: list[bytes], depth: int) -> list[tuple[int, np.ndarray]]:
@@ -347,7 +361,7 @@ def answers(counts: DataFrame, wanted: DataFrame, top, parts: int, depth: int) -
 
     def answer(kind, part, known, asked):
         lists = [unpack_sorted(x) for _, x in asked]
-        order = np.unique(np.concatenate(lists))
+        order = sorted_distinct(np.concatenate(lists))
         keys, n = known
         if kind == GRAM:
             value = log10_probabilities(top.value, keys.view(np.int64), n, order.view(np.int64), depth)
