@@ -336,16 +336,16 @@ def _distinct(arrays: Iterator[np.ndarray], kind: type) -> np.ndarray:
     return sorted_distinct(np.concatenate([merged, *held]))
 
 
-def group_keys(texts: list[bytes], depth: int) -> list[tuple[int, np.ndarray]]:
-    """The sorted distinct words and strings of a group of documents."""
-    return [(WORD, _distinct((word_hashes(x) for x in texts), np.uint64)),
+def group_keys(texts: list[bytes], hashes: list[np.ndarray], depth: int) -> list[tuple[int, np.ndarray]]:
+    """The sorted distinct words (of ``hashes``) and strings of a group of documents."""
+    return [(WORD, _distinct(hashes, np.uint64)),
             (GRAM, _distinct((grams(x, depth).astype(np.uint64) for x in texts), np.uint64))]
 
 
 def _wanted(t: pa.Table, parts: int, depth: int) -> pa.Table:
     """What a group of documents asks each part."""
-    rows = []
-    for kind, keys in group_keys([x.lower() for x in texts_as_bytes(t["text"])], depth):
+    rows, texts = [], [x.lower() for x in texts_as_bytes(t["text"])]
+    for kind, keys in group_keys(texts, [word_hashes(x) for x in texts], depth):
         order, part, ends = by_part(kind, keys, parts)
         if len(part):
             rows += [(kind, p, pack_sorted(k)) for p, k in zip(part.tolist(), np.split(keys[order], ends[:-1]))]
@@ -430,8 +430,8 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
     def score(own: pa.Table, table: pa.Table) -> pa.Table:
         texts = [x.lower() for x in texts_as_bytes(own["text"])] if own.num_rows else []
         told = dict(zip(zip(table["kind"].to_pylist(), table["part"].to_pylist()), table["value"].to_pylist()))
-        known = []
-        for kind, keys in group_keys(texts, depth) if texts else ():
+        hashes, known = [word_hashes(x) for x in texts], []
+        for kind, keys in group_keys(texts, hashes, depth) if texts else ():
             order, part, _ = by_part(kind, keys, groups)
             value = np.empty(len(keys))
             if len(part):
@@ -449,9 +449,9 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
                 rows.append((len(c), int((c > 0).sum()), float(np.log10((c + 0.1) / scale).sum()) if scale > 0.1 else 0.0,
                              float(own_chance.sum()), n_symbols))
 
-        for data in texts:
+        for data, h in zip(texts, hashes):
             g = grams(data, depth).astype(np.uint64)
-            held.append((word_hashes(data), len(g), g))
+            held.append((h, len(g), g))
             symbols += len(g)
             if symbols >= SCORE_ROWS:
                 flush()

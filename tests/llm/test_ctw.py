@@ -151,3 +151,28 @@ def test_deeper_weights_sum_to_one():
     for ctx in (int(keys[same][0]) >> 8 << 8, 0x7A7A7A7A616200):
         p = ctw.log10_probabilities(top, keys[same], n[same], ctx + np.arange(256), 6)
         assert math.isclose((10.0 ** p).sum(), 1.0, rel_tol=1e-9)
+
+
+def test_few_bytes_are_kept_for_each_string(spark):
+    """What a run leaves in the shared folder, against the distinct strings of its texts."""
+    from pathlib import Path
+
+    from starling.session import shared_root
+
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.choice(list(b"abcdefghijklmnop"), 6).astype(np.uint8)).decode() for _ in range(2000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, 2000, 200)) for _ in range(200)]
+    root = Path(shared_root(spark).removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+    docs, before = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size()
+    assert ctw.score_documents(docs, F.lit(False), depth=6).count() == 200
+    strings = len(np.unique(np.concatenate([ctw.grams(t.encode(), 6) for t in texts])))
+    assert 0 < size() - before < 32 * strings
+
+
+def test_packed_numbers():
+    keys = np.array([0, 3, 2**40, 2**64 - 1], np.uint64)
+    assert ctw.unpack_sorted(ctw.pack_sorted(keys)).tolist() == keys.tolist()
+    assert ctw.unpack(ctw.pack(np.array([1.5, -2.0])), np.float64).tolist() == [1.5, -2.0]
+    order, part, ends = ctw.by_part(ctw.GRAM, np.arange(0, 1 << 24, 1 << 7, dtype=np.uint64), 7)
+    assert sorted(order.tolist()) == list(range(1 << 17)) and part.tolist() == list(range(7)) and ends[-1] == 1 << 17
