@@ -121,11 +121,32 @@ def newer_characters() -> tuple[dict[str, tuple[set[str], set[str]]], dict[int,
     return classes, {ord(c): low for c in unsure if (low := lower.normalize_str(c)) != c.lower()}, marks
 
 
+def ranges(characters: Iterable[str]) -> str:
+    """The characters as ranges of a pattern's class: thousands of single
+    characters beyond U+FFFF would be compared one by one at each place."""
+    found: list[list[int]] = []
+    for c in sorted(map(ord, characters)):
+        if found and found[-1][1] == c - 1:
+            found[-1][1] = c
+        else:
+            found.append([c, c])
+    return "".join(f"\\U{first:08x}-\\U{last:08x}" for first, last in found)
+
+
+def one_of(characters: set[str]) -> re.Pattern[str]:
+    """Pattern of one of the characters. Those up to U+FFFF are a bit map to
+    ``re``, so that a place with any other of that plane costs a single look."""
+    if not characters:
+        return re.compile("(?!)")
+    low = ranges(c for c in characters if c < "\U00010000")
+    return re.compile(f"(?=[{low}\U00010000-\U0010ffff])[{ranges(characters)}]")
+
+
 def as_library(pattern: str, classes: dict[str, tuple[set[str], set[str]]]) -> str:
     """The pattern with its classes as the public library has them."""
     for name, (more, less) in classes.items():
-        one = f"[{name}--[{''.join(sorted(less))}]]" if less else name
-        pattern = pattern.replace(name, f"[{one}{''.join(sorted(more))}]")
+        one = f"[{name}--[{ranges(less)}]]" if less else name
+        pattern = pattern.replace(name, f"[{one}{ranges(more)}]")
     return pattern
 
 
@@ -228,8 +249,7 @@ class WordBpeTokenizer:
         classes, self.lower, marks = newer_characters()
         self.pattern, self.newer_pattern = regex.compile(pattern), regex.compile(as_library(pattern, classes), regex.V1)
         newer = set(map(chr, self.lower)).union(*self.lower.values(), *(x for pair in classes.values() for x in pair))
-        self.newer = re.compile(f"[{''.join(sorted(newer))}]" if newer else "(?!)")
-        self.marks = re.compile(f"[{''.join(sorted(marks))}]" if marks else "(?!)")
+        self.newer, self.marks, self.unlike = one_of(newer), one_of(marks), one_of(newer | marks)
         self.special_pattern = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         alphabet, ids = byte_alphabet(), self.ids
@@ -250,13 +270,15 @@ class WordBpeTokenizer:
         """NFC, then lower case of each character by itself."""
         if text.isascii():
             return text.lower()
+        if not self.unlike.search(text):
+            return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # no final-sigma rule
         if self.marks.search(text):
             from tokenizers import normalizers
 
             text = normalizers.NFC().normalize_str(text)
         else:
             text = unicodedata.normalize("NFC", text)
-        text = text.replace("Σ", "σ").lower()  # no final-sigma rule
+        text = text.replace("Σ", "σ").lower()
         return text.translate(self.lower) if self.newer.search(text) else text
 
     def blocks(self, text: str) -> Iterator[str | int]:
@@ -302,7 +324,8 @@ class WordBpeTokenizer:
 
     def pre_tokens(self, chunk: str) -> list[str]:
         """Pre-tokens of a normalised text."""
-        return (self.newer_pattern if self.newer.search(chunk) else self.pattern).findall(chunk)
+        unlike = not chunk.isascii() and self.newer.search(chunk)
+        return (self.newer_pattern if unlike else self.pattern).findall(chunk)
 
     def chunk_ids(self, chunk: str) -> tuple[int, ...]:
         """Ids of a normalised run without white space. Short runs are kept in

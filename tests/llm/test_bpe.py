@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -37,6 +38,24 @@ def test_characters_of_other_unicode_versions():
         check(text)
 
 
+def test_text_beyond_ascii_is_not_slow():
+    """Thousands of characters of other Unicode data cost ordinary text no look at each."""
+    tok = bpe.tokenizer()
+    text = " ".join(f"größe{i}é日本" for i in range(4_000))
+    began = time.process_time()
+    assert tok.normalise(text) == text
+    tok.pre_tokens(text[:20_000])
+    assert time.process_time() - began < 0.2  # 2 s and more with single characters in the classes
+
+
+def test_ranges():
+    characters = {chr(c) for c in (93, 94, 45, 0x3042, 0x3043, 0x3044, 0x20000, 0x20001)}
+    assert bpe.ranges(characters).count("-") == 4
+    pattern = bpe.one_of(characters)
+    assert all(bool(pattern.search("a" + chr(c))) == (chr(c) in characters) for c in (*range(256), *range(0x3000, 0x3100), *range(0x1FF00, 0x20100)))
+    assert not bpe.one_of(set()).search("a")
+
+
 def test_long_runs_and_texts():
     rnd = random.Random(1)
     check("".join(rnd.choice("aeinthrs") for _ in range(60_000)))  # one pre-token over several windows
