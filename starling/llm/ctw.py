@@ -199,17 +199,17 @@ def log10_probabilities(top: TopTree, keys: np.ndarray, n: np.ndarray, wanted: n
         known, left = top.stop0[node] * top.kt0[node], 1.0 - top.stop0[node]
         known, left = known + left * top.stop1[last, node] * top.kt1[last, node], left * (1.0 - top.stop1[last, node])
         # the estimate is ``known`` and ``left`` of that of the deeper contexts
-        trees = list(levels(strings, j)) if strings else [None] * len(asked)
+        trees = [(ids, kt_one(zeros, ones), stop) for ids, zeros, ones, _, stop in levels(strings, j)] or [None] * len(asked)
         for (short, place), tree in zip(reversed(asked), reversed(trees)):
             if short is not asked[-1][0]:
                 known, left = known[place], left[place]
             if tree is None:
                 continue
-            ids, zeros, ones, _, stop = tree
+            ids, own, stop = tree
             ask = short - (short & 0xFF) + ((1 << j) | ((short & 0xFF) >> (8 - j)))
             at = np.minimum(np.searchsorted(ids, ask), len(ids) - 1)
             weight = np.where(ids[at] == ask, stop[at], 0.0)  # an unseen node leaves the estimate to the others
-            known, left = known + left * weight * kt_one(zeros, ones)[at], left * (1.0 - weight)
+            known, left = known + left * weight * own[at], left * (1.0 - weight)
         p = known + 0.5 * left
         out += np.log10(np.where((wanted >> (7 - j)) & 1 == 1, p, 1.0 - p))
     return out
@@ -221,7 +221,7 @@ def pack(numbers: np.ndarray) -> bytes:
     return numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def unpack(data: bytes, kind: type) -> np.ndarray:
+def unpack(data: bytes | pa.Buffer, kind: type) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
 
 
@@ -237,15 +237,23 @@ def by_part(kind: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.nda
     """(order, parts, ends): sorted keys in the order of their parts, sorted
     within, which parts occur and where each ends. Strings of one pair of last
     context bytes share a part."""
-    keys = keys.astype(np.uint64)
-    hashed = mix64((keys >> np.uint64(8)) & np.uint64(0xFFFF)) if kind == GRAM else keys
-    part = (hashed % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    if not len(order):
-        return order, order, order
-    part = part[order]
-    ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part))
-    return order, part[ends - 1], ends
+    part = np.empty(len(keys), np.uint16 if parts <= 1 << 16 else np.int64)
+    size = np.zeros(parts, np.int64)
+    for at in range(0, len(keys), SCORE_ROWS):  # hashes take several times the room of their keys
+        some = keys[at : at + SCORE_ROWS].astype(np.uint64)
+        hashed = mix64((some >> np.uint64(8)) & np.uint64(0xFFFF)) if kind == GRAM else some
+        some = (hashed % np.uint64(parts)).astype(np.int64)
+        part[at : at + SCORE_ROWS] = some
+        size += np.bincount(some, minlength=parts)
+    found = np.flatnonzero(size)
+    return np.argsort(part, kind="stable"), found, np.cumsum(size)[found]
+
+
+def sorted_counts(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, sorted, and how often each occurs; sorts in place."""
+    numbers.sort()
+    first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])) if len(numbers) else np.empty(0, np.int64)
+    return numbers[first], np.diff(first, append=len(numbers))
 
 
 def corpus_counts(training: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
@@ -254,9 +262,11 @@ def corpus_counts(training: DataFrame, parts: int, depth: int = DEPTH) -> DataFr
     add up chunks of bounded size before the shuffle."""
 
     def rows(kind, arrays):
-        keys, n = np.unique(np.concatenate(arrays), return_counts=True)
+        keys = np.concatenate(arrays)
+        arrays.clear()
+        keys, n = sorted_counts(keys)
         order, part, ends = by_part(kind, keys, parts)
-        keys, n = np.split(keys[order], ends[:-1]), np.split(n[order].astype(np.int64), ends[:-1])
+        keys, n = np.split(keys[order], ends[:-1]), np.split(n[order], ends[:-1])
         if len(part):
             yield record_batch({"kind": ([kind] * len(part), pa.int32()), "part": pa.array(part),
                                 "keys": ([pack_sorted(k) for k in keys], pa.binary()), "n": ([pack(x) for x in n], pa.binary())})
@@ -320,8 +330,8 @@ def top_tree(strings: DataFrame, depth: int = DEPTH) -> TopTree:
 
 
 def sorted_distinct(numbers: np.ndarray) -> np.ndarray:
-    """By sorting, which is faster here than the hash table of np.unique."""
-    numbers = np.sort(numbers)
+    """By sorting in place, which is faster here than the hash table of np.unique."""
+    numbers.sort()
     return numbers[np.append(True, numbers[1:] != numbers[:-1])] if len(numbers) else numbers
 
 
@@ -429,14 +439,16 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
 
     def score(own: pa.Table, table: pa.Table) -> pa.Table:
         texts = [x.lower() for x in texts_as_bytes(own["text"])] if own.num_rows else []
-        told = dict(zip(zip(table["kind"].to_pylist(), table["part"].to_pylist()), table["value"].to_pylist()))
+        told = {at: i for i, at in enumerate(zip(table["kind"].to_pylist(), table["part"].to_pylist()))}
         hashes, known = [word_hashes(x) for x in texts], []
         for kind, keys in group_keys(texts, hashes, depth) if texts else ():
-            order, part, _ = by_part(kind, keys, groups)
-            value = np.empty(len(keys))
-            if len(part):
-                value[order] = np.concatenate([unpack(told[kind, p], np.float64) for p in part.tolist()])
+            order, part, stops = by_part(kind, keys, groups)
+            value, begin = np.empty(len(keys)), 0
+            for p, stop in zip(part.tolist(), stops.tolist()):
+                value[order[begin:stop]] = unpack(table["value"][told[kind, p]].as_buffer(), np.float64)
+                begin = stop
             known.append((keys, value))
+            del order
         rows, held, symbols = [], [], 0
 
         def flush():

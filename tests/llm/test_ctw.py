@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -176,3 +177,21 @@ def test_packed_numbers():
     assert ctw.unpack(ctw.pack(np.array([1.5, -2.0])), np.float64).tolist() == [1.5, -2.0]
     order, part, ends = ctw.by_part(ctw.GRAM, np.arange(0, 1 << 24, 1 << 7, dtype=np.uint64), 7)
     assert sorted(order.tolist()) == list(range(1 << 17)) and part.tolist() == list(range(7)) and ends[-1] == 1 << 17
+
+
+def test_dealing_and_counting_take_little_room():
+    """Neither holds several copies of a chunk's or a group's numbers at once."""
+    n = 1 << 20
+    keys = np.arange(n, dtype=np.uint64) * np.uint64(977)
+    tracemalloc.start()
+    order, part, ends = ctw.by_part(ctw.GRAM, keys, 32)
+    dealt = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    distinct, times = ctw.sorted_counts(np.append(keys, keys))
+    counted = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert dealt < 28 * n  # 8 for the order; 40 and more with the hashes of all keys at once
+    assert counted < 52 * n  # 16 for the two copies, 16 for the two of a sort of its own copy
+    assert (distinct == keys).all() and (times == 2).all() and len(order) == ends[-1] == n and (part == np.arange(32)).all()
+    assert [len(x) for x in ctw.sorted_counts(np.empty(0, np.uint64))] == [0, 0]
