@@ -36,7 +36,7 @@ from starling.plans.pipeline import layer_counts, run_pipeline
 from starling.schemas import SILVER_CUSTOMER, SILVER_ORDERS
 from starling.session import delete_path, path_exists, shared_path
 from starling.sinks.dimension_store import DimensionStore
-from starling.sinks.parquet import read_partitioned, write_batch, write_change_files, write_partitioned
+from starling.sinks.parquet import read_partitioned, write_all_change_files, write_batch, write_change_files, write_partitioned
 from starling.sinks.statistics import DISTINCT_ERROR, RANK_ERROR
 from starling.sinks.warehouse import Warehouse
 from starling.sources.bronze import (
@@ -573,8 +573,8 @@ def q_schema_crawl(spark, sf_dir):
     """The four folders of change files crawled: type, nullability and
     rows of each column."""
     lake, out = Lake(shared_path(spark, "crawl", unique=True)), []
+    write_all_change_files({lake.bronze(t): bronze(spark, sf_dir, t) for t in SOURCE_TABLES})
     for t in SOURCE_TABLES:
-        write_change_files(bronze(spark, sf_dir, t), lake.bronze(t))
         found = crawl(spark, lake.bronze(t))
         out.append(found.select(F.lit(t).alias("table_name"), "position", "column_name", "data_type", "nullable", "rows", "missing"))
     return reduce(DataFrame.unionByName, out)
@@ -586,9 +586,9 @@ def q_pipeline_stops(spark, sf_dir):
     root = shared_path(spark, "pipeline_stops", unique=True)
     lake, out = Lake(root), []
     wh = Warehouse(spark, "stop_" + root.rsplit("/", 1)[-1], root + "/warehouse")
-    for t in SOURCE_TABLES:
-        rows = bronze(spark, sf_dir, t)
-        write_change_files(rows.drop("orderdate") if t == "orders" else rows, lake.bronze(t), mode="overwrite")
+    rows = {t: bronze(spark, sf_dir, t) for t in SOURCE_TABLES}
+    rows["orders"] = rows["orders"].drop("orderdate")
+    write_all_change_files({lake.bronze(t): rows[t] for t in SOURCE_TABLES}, mode="overwrite")
     stopped = False
     try:
         run_pipeline(spark, lake, wh, run_ts=RUN_TS)
@@ -645,8 +645,7 @@ def q_layer_counts(spark, sf_dir):
     root = shared_path(spark, "pipeline", unique=True)
     lake = Lake(root)
     wh = Warehouse(spark, "sales_" + root.rsplit("/", 1)[-1], root + "/warehouse")
-    for t in SOURCE_TABLES:
-        write_change_files(bronze(spark, sf_dir, t), lake.bronze(t), mode="overwrite")
+    write_all_change_files({lake.bronze(t): bronze(spark, sf_dir, t) for t in SOURCE_TABLES}, mode="overwrite")
     run_pipeline(spark, lake, wh, run_ts=RUN_TS)
     return layer_counts(spark, lake, wh)
 

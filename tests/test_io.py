@@ -296,3 +296,19 @@ def test_text_key_predicates_take_each_key_once(spark):
         counts = [df.where(p).count() for p in text_key_predicates("id", n)]
         assert len(counts) == n and sum(counts) == len(keys)
     assert max(counts) < 120
+
+
+def test_change_files_of_several_tables_are_written_at_once(spark, tmp_root, monkeypatch):
+    """A table of one task must not hold up the others; all end before an error is raised."""
+    import threading
+
+    from starling.sinks import parquet
+
+    frames = {f"{tmp_root}/{t}": spark.createDataFrame(pd.DataFrame({"op": ["I"] * n, "a": [t] * n}))
+              for n, t in enumerate(("one", "two", "three"), 1)}
+    together, write = threading.Barrier(len(frames), timeout=60), parquet.write_change_files
+    monkeypatch.setattr(parquet, "write_change_files", lambda *a: (together.wait(), write(*a)))
+    parquet.write_all_change_files(frames, mode="overwrite")
+    assert [read_bronze(spark, p).count() for p in frames] == [1, 2, 3]
+    with pytest.raises(Exception):
+        parquet.write_all_change_files(frames, mode="errorifexists")
