@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import gc
 from collections.abc import Iterator
@@ -66,11 +68,28 @@ def row_keys(docs: DataFrame) -> DataFrame:
     return docs.join(keys, (doc == F.col("of_doc")) & (digest == F.col("of_text")), "left").drop("of_doc", "of_text")
 
 
+@functools.lru_cache(maxsize=1)
+def _trim():
+    """The C library's malloc_trim, where it has one."""
+    with contextlib.suppress(OSError, AttributeError, TypeError):
+        return ctypes.CDLL(None).malloc_trim
+    return lambda keep: 0
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker outlives its task and
+    would keep the most that any task took, beside those that work."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of a bounded number of rows."""
+    """The batches in slices of a bounded number of rows; what a batch took is
+    given back before the next one."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        give_back()
 
 
 def texts_as_bytes(column: pa.Array) -> list[bytes]:

@@ -46,15 +46,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from starling.llm.common import (
     SLICE_ROWS,
     Stored,
     byte_codes,
     cut,
+    give_back,
     id_filter,
     in_filter,
     mix64,
@@ -161,18 +163,23 @@ def with_texts(keyed: DataFrame, rows: DataFrame, fn: Callable, schema: str) ->
     text meets the array of its ``at``. Other documents' texts are left out of
     the shuffle by a bit filter."""
     lists = rows.groupBy("doc").agg(F.collect_list("at").alias("at"))
-    texts = thinned(keyed, rows.select(F.col("doc").alias("id")).distinct(), True)
-    return texts.join(lists, "doc").select("doc", "text", "at").mapInArrow(fn, schema)
+    texts = thinned(keyed, filter_of(rows.select(F.col("doc").alias("id")).distinct()))
+    # a shuffle even for few lists, so that a task has one Python worker, not one on each side of a broadcast join
+    return texts.join(lists.hint("merge"), "doc").select("doc", "text", "at").mapInArrow(fn, schema)
 
 
-def thinned(keyed: DataFrame, ids: DataFrame, inside: bool) -> DataFrame:
-    """The documents that may be in ``ids``, or those that are surely not."""
-    held = keyed.sparkSession.sparkContext.broadcast(id_filter(ids, ids.count()))
+def filter_of(ids: DataFrame) -> Broadcast:
+    """The bit filter of ``ids`` on all executors."""
+    return ids.sparkSession.sparkContext.broadcast(id_filter(ids, ids.count()))
+
+
+def thinned(keyed: DataFrame, held: Broadcast) -> DataFrame:
+    """The documents that may be in the filter ``held``."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             some = in_filter(held.value, b.column("h").to_numpy())
-            yield b.filter(pa.array(some if inside else ~some)).drop_columns(["h"])
+            yield b.filter(pa.array(some)).drop_columns(["h"])
 
     return keyed.withColumn("h", F.xxhash64("doc")).mapInArrow(run, keyed.schema)
 
@@ -292,26 +299,43 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     order = F.coalesce("row_key", F.expr("-9223372036854775808L + (xxhash64(text) & 2305843009213693951L)"))
     found = repeats(packed.select(order.alias("doc"), "text"))
     whole = packed.select(order.alias("doc"), "text", "row")
-    ids = found.select(F.col("doc").alias("id"))
-    none = F.lit(None).cast("array<long>")
-    parts = (thinned(whole, ids, False).select("text", "row", none.alias("anchors"), none.alias("windows"))
-             .unionAll(thinned(whole, ids, True).join(found, "doc", "left").select("text", "row", "anchors", "windows")))
+    held = filter_of(found.select(F.col("doc").alias("id")))
     left = StructType([StructField("kept", StringType() if as_text else BinaryType()),
                        *(StructField(c, LongType()) for c in results[1:])])
 
-    @F.arrow_udf(left)
-    def cut_out(text: pa.Array, anchors: pa.Array, windows: pa.Array) -> pa.Array:
+    def rows_of(texts: list[bytes], anchors: list, windows: list) -> pa.StructArray:
         rows = []
-        for at in range(0, len(text), SLICE_ROWS):
-            part = [texts_as_bytes(text.slice(at, SLICE_ROWS)), *(c.slice(at, SLICE_ROWS).to_pylist() for c in (anchors, windows))]
-            for t, a, w in zip(*part):
-                kept, removed, spans = split_kept(t, removed_bytes(t, a, w))
-                rows.append((kept.decode("utf-8", "ignore") if as_text else kept, len(t), removed, spans))
+        for t, a, w in zip(texts, anchors, windows):
+            kept, removed, spans = split_kept(t, removed_bytes(t, a, w))
+            rows.append((kept.decode("utf-8", "ignore") if as_text else kept, len(t), removed, spans))
         columns = [*zip(*rows)] or [()] * 4
         types = (pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64())
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=list(results))
 
-    out = parts.select("row", "text", cut_out("text", "anchors", "windows").alias("left"))
+    # one Python worker a task: what no other document repeats is told apart and cut in one function
+    @F.arrow_udf(StructType([StructField("own", BooleanType()), *left.fields]))
+    def cut_own(text: pa.Array, h: pa.Array) -> pa.Array:
+        parts = []
+        for at in range(0, max(len(text), 1), SLICE_ROWS):
+            own = ~in_filter(held.value, h.slice(at, SLICE_ROWS).to_numpy())
+            some = pa.array(own)
+            done = rows_of([t if mine else b"" for t, mine in zip(texts_as_bytes(text.slice(at, SLICE_ROWS)), own)],
+                           [None] * len(own), [None] * len(own))
+            parts.append(pa.StructArray.from_arrays([some, *done.flatten()], names=["own", *results]))
+        give_back()
+        return pa.concat_arrays(parts)
+
+    @F.arrow_udf(left)
+    def cut_out(text: pa.Array, anchors: pa.Array, windows: pa.Array) -> pa.Array:
+        parts = [rows_of(texts_as_bytes(text.slice(at, SLICE_ROWS)), *(c.slice(at, SLICE_ROWS).to_pylist() for c in (anchors, windows)))
+                 for at in range(0, max(len(text), 1), SLICE_ROWS)]
+        give_back()
+        return pa.concat_arrays(parts)
+
+    alone = (whole.select("row", "text", cut_own.asNondeterministic()("text", F.xxhash64("doc")).alias("left")).where("left.own")
+             .select("row", "text", F.struct(*(F.col("left").getField(c).alias(c) for c in results)).alias("left")))
+    shared = thinned(whole, held).join(found.hint("merge"), "doc", "left").select("row", "text", cut_out("text", "anchors", "windows").alias("left"))
+    out = alone.unionAll(shared)
     return out.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names),
                       *(F.col("left").getField(c).alias(c) for c in results))
 

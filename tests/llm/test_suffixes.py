@@ -94,3 +94,34 @@ def test_other_columns_stay(spark):
     out = suffixes.remove_repeats(docs)
     assert out.columns == ["doc_id", "row", "text", "lang", "kept", "n_bytes", "n_removed", "n_spans"]
     assert out.select("doc_id", "row", "text", "lang", F.decode("kept", "utf-8")).first()[:] == (1, "a", "text", "en", "text")
+
+
+def test_one_python_worker_a_task(spark):
+    """No two Python operators follow each other without a shuffle: an executor
+    would hold twice as many workers, and keep them."""
+    docs = spark.createDataFrame([(1, "a" * 150 + "b" * 120), (2, "a" * 150), (3, "c" * 20)], "doc_id long, text string")
+    plan = suffixes.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    depth_of = lambda line: len(line) - len(line.lstrip(" :|+-*"))
+    above: list[tuple[int, str]] = []
+    for line in plan.splitlines():
+        while above and above[-1][0] >= depth_of(line):
+            above.pop()
+        node = line.lstrip(" :|+-*").split(" ")[0]
+        if node in ("MapInArrow", "ArrowEvalPython"):
+            between = [n for _, n in above]
+            last = max((i for i, n in enumerate(between) if n in ("MapInArrow", "ArrowEvalPython")), default=None)
+            assert last is None or "Exchange" in between[last:], plan
+        above.append((depth_of(line), node))
+
+
+def test_freed_memory_goes_back_after_each_batch(monkeypatch):
+    import pyarrow as pa
+
+    from starling.llm import common
+
+    calls, batch = [], pa.RecordBatch.from_arrays([pa.array(range(10))], names=["x"])
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert [b.num_rows for b in common.slices(iter([batch, batch]), 4)] == [4, 4, 2] * 2
+    assert len(calls) == 2
+    monkeypatch.undo()
+    common.give_back()
