@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import Stored, mix64, record_batch, release, slices, texts_as_bytes, word_hashes
+from starling.llm.common import Stored, give_back, mix64, record_batch, release, slices, texts_as_bytes, word_hashes
 
 #: Bytes of context unless the caller says otherwise.
 DEPTH = 3
@@ -283,9 +283,12 @@ def corpus_counts(training: DataFrame, parts: int, depth: int = DEPTH) -> DataFr
                     yield from rows(WORD, words)
                     yield from rows(GRAM, strings)
                     words, strings, size = [], [], 0
+                    give_back()
         if strings:
             yield from rows(WORD, words)
             yield from rows(GRAM, strings)
+        del words, strings
+        give_back()
 
     def add_up(t: pa.Table) -> pa.Table:
         keys = np.concatenate([unpack_sorted(x) for x in t["keys"].to_pylist()])
@@ -294,8 +297,11 @@ def corpus_counts(training: DataFrame, parts: int, depth: int = DEPTH) -> DataFr
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         n = np.add.reduceat(n, first)
-        return pa.table({"kind": t["kind"][:1], "part": t["part"][:1], "keys": pa.array([pack_sorted(keys[first])]),
-                         "n": pa.array([pack(n)]), "total": pa.array([int(n.sum())]), "size": pa.array([len(n)])})
+        out = pa.table({"kind": t["kind"][:1], "part": t["part"][:1], "keys": pa.array([pack_sorted(keys[first])]),
+                        "n": pa.array([pack(n)]), "total": pa.array([int(n.sum())]), "size": pa.array([len(n)])})
+        del keys, order, first, n
+        give_back()
+        return out
 
     found = training.select("text").mapInArrow(count, "kind int, part long, keys binary, n binary")
     return found.repartition(parts, "kind", "part").groupBy("kind", "part").applyInArrow(
@@ -359,6 +365,9 @@ def _wanted(t: pa.Table, parts: int, depth: int) -> pa.Table:
         order, part, ends = by_part(kind, keys, parts)
         if len(part):
             rows += [(kind, p, pack_sorted(k)) for p, k in zip(part.tolist(), np.split(keys[order], ends[:-1]))]
+        del order
+    del texts
+    give_back()
     kinds, part, keys = zip(*rows)
     return pa.table({"grp": pa.array([t["grp"][0].as_py()] * len(rows), pa.int64()), "kind": pa.array(kinds, pa.int32()),
                      "part": pa.array(part, pa.int64()), "keys": pa.array(keys, pa.binary())})
@@ -392,6 +401,7 @@ def answers(counts: DataFrame, wanted: DataFrame, top, parts: int, depth: int) -
                 yield answer(*now, known, asked)
                 asked, size = [], 0
             if (kind, part) != now:
+                give_back()
                 now, known = (kind, part), (np.empty(0, np.uint64), np.empty(0, np.int64))
             if grp is None:  # sorted before the questions
                 known = unpack_sorted(keys), unpack(n, np.int64)
@@ -449,6 +459,7 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
                 begin = stop
             known.append((keys, value))
             del order
+        give_back()
         rows, held, symbols = [], [], 0
 
         def flush():
@@ -470,6 +481,9 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id",
                 held, symbols = [], 0
         if held:
             flush()
+        del texts, hashes, held
+        known.clear()
+        give_back()
         n, n_known, base, full, n_symbols = zip(*rows) if rows else ((),) * 5
         return pa.table({
             "doc_id": own["doc_id"] if rows else pa.array([], pa.int64()),
