@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from starling.llm.common import SLICE_ROWS
+from starling.llm.common import SLICE_ROWS, give_back
 
 #: Texts of a language that may be sampled for its dictionary.
 PER_LANGUAGE = 256
@@ -123,6 +123,7 @@ def train(labelled: DataFrame, label: str = "lang", per_language: int = PER_LANG
         t = t.sort_by([("h", "ascending"), ("text", "ascending")])
         label, n = t["label"][0].as_py(), t["n"][0].as_py()
         content = build_dictionaries([(label, x) for x in t["text"].to_pylist()], size)[label]
+        give_back()
         return pa.table({"label": pa.array([label], pa.string()), "n": pa.array([n], pa.int64()),
                          "content": pa.array([content], pa.binary())})
 
@@ -175,6 +176,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
             rows = [model.classify(t) for at in range(0, len(batch), SLICE_ROWS) for t in batch.slice(at, SLICE_ROWS).to_pylist()]
             columns = [*zip(*rows)] or [()] * 4
             yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=found.fieldNames())
+            del rows, columns
+            give_back()
 
     # only the texts go through Python and only the results come back; a
     # condition on them must not make the optimizer classify twice
