@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import record_batch, slices
+from starling.llm.common import hold_for_stage, record_batch, slices
 
 #: Entries of each of the two generations of a worker's cache.
 CACHE_ENTRIES = 300_000
@@ -244,6 +244,9 @@ class WordBpeTokenizer:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
+        self.same = [0] * (max(self.strings) + 1)  # one number object for each id, not one for each place it is cached at
+        for i in self.strings:
+            self.same[i] = i
         splits = spec["pre_tokenizer"]["pretokenizers"]
         pattern = next(p["pattern"]["Regex"] for p in splits if p["type"] == "Split")
         classes, self.lower, marks = newer_characters()
@@ -334,7 +337,7 @@ class WordBpeTokenizer:
         if got is None:
             words = self.pre_tokens(chunk)
             if words == [chunk]:
-                got = tuple(self.word_ids(chunk))
+                got = tuple(map(self.same.__getitem__, self.word_ids(chunk)))
             else:
                 got = tuple(i for word in words for i in self._young.get(word) or self.chunk_ids(word))
         if len(chunk) <= 64:
@@ -365,11 +368,22 @@ class WordBpeTokenizer:
 
 
 @functools.lru_cache(maxsize=2)
-def tokenizer(path: str | None = None) -> WordBpeTokenizer:
-    """One tokenizer per worker process and file."""
+def _loaded(path: str | None) -> WordBpeTokenizer:
     return WordBpeTokenizer(path or default_vocabulary())
 
 
+def let_go() -> None:
+    """Forget the tokenizers with their caches."""
+    _loaded.cache_clear()
+    WordBpeTokenizer.joined_ids.clear()
+
+
+def tokenizer(path: str | None = None) -> WordBpeTokenizer:
+    """One tokenizer per worker process and file, shared by a stage's tasks."""
+    hold_for_stage(let_go)
+    return _loaded(path)
+
+
 def _digest(tok: WordBpeTokenizer, text: str) -> tuple[int, str, str]:
     """Number of ids, digest of the ids, digest of the decoded text."""
     n, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()

@@ -6,7 +6,7 @@ import contextlib
 import ctypes
 import functools
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,16 +76,39 @@ def _trim():
     return lambda keep: 0
 
 
+#: What this worker holds for the tasks of one stage: a function that lets go of it, and the stage.
+_held: dict[Callable[[], None], int | None] = {}
+
+
+def _stage() -> int | None:
+    """The stage of this worker's task; none on the driver."""
+    context = TaskContext.get()
+    return None if context is None else context.stageId()
+
+
+def hold_for_stage(let_go: Callable[[], None]) -> None:
+    """Have ``let_go`` called as soon as this worker works for another stage
+    than now. What takes long to make (a tokenizer, its cache) is shared by the
+    tasks of a stage, but does not lie beside what later stages need."""
+    _held[let_go] = _stage()
+
+
 def give_back() -> None:
-    """Return freed memory to the system. A Python worker outlives its task and
-    would keep the most that any task took, beside those that work."""
+    """Return freed memory to the system, and what is held for another stage. A
+    Python worker outlives its task and would keep the most that any task took,
+    beside those that work."""
+    now = _stage()
+    for let_go in [f for f, stage in _held.items() if stage != now]:
+        del _held[let_go]
+        let_go()
     pa.default_memory_pool().release_unused()
     _trim()(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a bounded number of rows; what a batch took is
-    given back before the next one."""
+    given back before the next one, what other stages left before the first."""
+    give_back()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -170,6 +170,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
 
     @F.arrow_udf(found)
     def classify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
         model = Classifier(held.value)
         types = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
         for batch in texts:

@@ -1,14 +1,17 @@
 """The transducer against the public library, and its lookahead."""
 
+import gc
 import hashlib
 import random
 import time
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from starling.llm import bpe
+from starling.llm.common import record_batch, slices
 
 LIBRARY = Tokenizer.from_file(bpe.default_vocabulary())
 PIECES = ["the", "ing", "er", "tion", " ", "\n", "'s", "'LL", "1", "٣", "é", "é", "Σ", "İ", "ﬁ", "🙂", "日", "\x00", "\x1c",
@@ -88,3 +91,26 @@ def test_documents(spark):
     assert [r["ids"] for r in encoded.collect()][2] == LIBRARY.encode("Hello World!", add_special_tokens=False).ids
     assert [r["text"] for r in bpe.decode_documents(encoded).collect()][2] == "hello</w> world</w> !</w>"
     assert bpe.round_trip(df.limit(0)).collect() == []
+
+
+def test_a_stage_shares_a_tokenizer_and_later_stages_do_not_keep_it(spark):
+    docs = spark.range(64).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(32)
+
+    def used(batches):
+        for b in slices(batches):
+            tok = bpe.tokenizer()
+            tok.tasks = getattr(tok, "tasks", 0) + 1
+            yield record_batch({"n": ([tok.tasks], pa.int64())})
+
+    def left(batches):
+        for _ in slices(batches):
+            yield record_batch({"n": ([sum(isinstance(x, bpe.WordBpeTokenizer) for x in gc.get_objects())], pa.int64())})
+
+    assert max(r["n"] for r in docs.mapInArrow(used, "n long").collect()) > 1
+    assert {r["n"] for r in docs.mapInArrow(left, "n long").collect()} == {0}
+
+
+def test_cached_ids_are_one_object_each():
+    tok = bpe.tokenizer()
+    known = {id(i) for i in tok.strings}
+    assert all(id(i) in known for word in tok.encode("unbelievable thermodynamics, un-thermodynamic 12345") for i in word)
