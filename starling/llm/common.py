@@ -93,14 +93,19 @@ def hold_for_stage(let_go: Callable[[], None]) -> None:
     _held[let_go] = _stage()
 
 
-def give_back() -> None:
-    """Return freed memory to the system, and what is held for another stage. A
-    Python worker outlives its task and would keep the most that any task took,
-    beside those that work."""
+def let_go_of_other_stages() -> None:
+    """Let go of what this worker holds for another stage than its task's."""
     now = _stage()
-    for let_go in [f for f, stage in _held.items() if stage != now]:
+    for let_go in (others := [f for f, stage in _held.items() if stage != now]):
         del _held[let_go]
         let_go()
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker outlives its task and
+    would keep the most that any task took, beside those that work."""
     pa.default_memory_pool().release_unused()
     _trim()(0)
 
@@ -108,7 +113,7 @@ def give_back() -> None:
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a bounded number of rows; what a batch took is
     given back before the next one, what other stages left before the first."""
-    give_back()
+    let_go_of_other_stages()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

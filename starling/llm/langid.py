@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from starling.llm.common import SLICE_ROWS, give_back
+from starling.llm.common import SLICE_ROWS, give_back, let_go_of_other_stages
 
 #: Texts of a language that may be sampled for its dictionary.
 PER_LANGUAGE = 256
@@ -170,7 +170,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str | C
 
     @F.arrow_udf(found)
     def classify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        give_back()
+        let_go_of_other_stages()
         model = Classifier(held.value)
         types = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
         for batch in texts:
