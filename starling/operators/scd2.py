@@ -32,31 +32,36 @@ Plan. Everything is expressed with joins, aggregations and windows:
   boundary markers form one row set, shuffled once by (key, chunk); one sort
   by time and the tie rule feeds every window: boundary (rule 8), tie
   collapse (first row of its time, rule 6), previous event, next kept event;
-* if a key has more than ``max_group_rows`` changes, changes of one key and
-  time are first collapsed by a partial aggregation (rule 6), so a bulk update
-  under one timestamp is one row; keys that still have more rows are cut at
-  quantiles of their rows' times into chunks of about ``max_group_rows`` rows
-  (MAX_CHUNKS at most), whatever the spread of the times. Per-chunk summaries
-  stitch the chunk edges; AQE chooses how they are joined by their size.
+* hot keys, those with more than ``max_group_rows`` changes, are split off where
+  the changes are read (their list is broadcast) and merged apart; all other
+  keys take the plain path above, with its one shuffle. The hot keys' changes
+  of one key and time are first collapsed by a partial aggregation (rule 6), so
+  a bulk update under one timestamp is one row; keys that still have more rows
+  are cut at quantiles of their rows' times into chunks of about
+  ``max_group_rows`` rows (MAX_CHUNKS at most), whatever the spread of the
+  times. Per-chunk summaries stitch the chunk edges; AQE chooses how they are
+  joined by their size. Only the hot keys' rows are checkpointed. With more than
+  MAP_SIDE_KEYS hot keys all keys go through the chunks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from starling.functions.audit import open_end
-from starling.session import shared_root
+from starling.session import free_shuffle_files, shared_root
 from starling.schemas import DIM_CUSTOMER, DIM_PRODUCT, OP_DELETE, OP_UPDATE
 
 VERSION_COLUMNS = ("record_start_ts", "record_end_ts", "active_flag")
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 #: Most chunks that a hot key is cut into.
 MAX_CHUNKS = 1024
-#: Most hot keys whose boundary is broadcast (a key and a time each).
+#: Most hot keys that are broadcast (each with a boundary or its cuts).
 MAP_SIDE_KEYS = 10_000
 
 
@@ -203,6 +208,19 @@ def with_bounds(chg: DataFrame, bounds: DataFrame, stats: DataFrame, key: str, m
     return map_side.unionByName(chg.join(hot, key, "left_anti").join(bounds, key, "left"))
 
 
+def shuffled(rows: DataFrame, h: str, *by: str) -> DataFrame:
+    """``rows`` dealt by ``by``. A hash ``h`` in lower-case hex digits hardly
+    compresses and makes up most of a row: it travels as the bytes they spell,
+    any other text as it is."""
+    if rows.schema[h].dataType != StringType():
+        return rows.repartition(*by)
+    raw = F.unhex(h)
+    return (rows.withColumn("_raw", F.when(F.lower(F.hex(raw)) == F.col(h), raw))
+            .withColumn(h, F.when(F.col("_raw").isNull(), F.col(h)))
+            .repartition(*by)
+            .withColumn(h, F.coalesce(h, F.lower(F.hex("_raw")))).drop("_raw"))
+
+
 # Row kinds of the merge's row set: a change of the batch, an open version of
 # a batch key, a tombstone of a batch key (a delete at its original time), and
 # a boundary marker (rule 8).
@@ -237,9 +255,9 @@ def scd2_merge(
     changes, as one tagged frame. Pure apart from ``materialize``, which
     checkpoints intermediate results into the session's checkpoint dir: the
     per-key batch statistics when there is state (the key match and the hot
-    keys both read them) and, when hot keys exist, the batch's shuffled row
-    set, which the chunk summaries read again. Without hot keys the branches
-    share the one exchange (AQE reuses it), so nothing else is materialized.
+    keys both read them) and, when hot keys exist, their shuffled row set,
+    which the chunk summaries read again. The other keys' branches share one
+    exchange (AQE reuses it), so nothing else is materialized.
 
     ``out_partitions``: rebalance the batch-sized outputs (new versions, late
     changes) by key into that many partitions, the bucket layout of a
@@ -276,7 +294,8 @@ def scd2_merge(
         shared_root(spark)
         stats = stats.checkpoint(eager=True)
     keys = stats.select(key)
-    chunked = not stats.where(F.col("_n") > F.lit(max_group_rows)).isEmpty()
+    over = stats.where(F.col("_n") > F.lit(max_group_rows)).select(key)
+    found = over.limit(MAP_SIDE_KEYS + 1).collect()
 
     # One left join of the active set with the batch keys splits it into
     # touched and untouched rows. The active set, read as a bucketed scan in
@@ -287,6 +306,60 @@ def scd2_merge(
     tomb_in = tombstones.join(keys, key, "left_semi")
     tomb_out = tombstones.join(keys, key, "left_anti")
 
+    # Keys are merged independently of each other, so hot keys may go their own
+    # way: only their rows are collapsed, cut, checkpointed and stitched.
+    state = (touched, tomb_in)
+    if not found:
+        merged = [_merge_keys(chg, *state, spec, has_state)]
+    elif len(found) > MAP_SIDE_KEYS:
+        merged = [_merge_keys(chg, *state, spec, has_state, max_group_rows, materialize, stats)]
+    else:
+        hot = F.broadcast(spark.createDataFrame(found, over.schema))
+        merged = [
+            _merge_keys(*[df.join(hot, key, "left_semi") for df in (chg, *state)], spec, has_state, max_group_rows,
+                        materialize),
+            _merge_keys(*[df.join(hot, key, "left_anti") for df in (chg, *state)], spec, has_state)]
+    from_kept = reduce(DataFrame.unionByName, [versions for versions, _ in merged])
+    late = reduce(DataFrame.unionByName, [late for _, late in merged if late is not None], untimed)
+    if found and materialize:
+        free_shuffle_files(spark)
+
+    from_kept, late = tag(from_kept, spec), tag(late, spec, "late")
+    if out_partitions:
+        from_kept = from_kept.hint("rebalance", out_partitions, key)
+        late = late.hint("rebalance", out_partitions, key)
+    out = (
+        tag(untouched, spec, "active")
+        .unionByName(from_kept)
+        .unionByName(tag(tomb_out, spec, "tombstones"))
+        .unionByName(late)
+    )
+    return MergeResult(out, spec)
+
+
+def _merge_keys(
+    chg: DataFrame,
+    touched: DataFrame,
+    tomb_in: DataFrame,
+    spec: DimensionSpec,
+    has_state: bool,
+    max_group_rows: int | None = None,
+    materialize: bool = True,
+    stats: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The new versions and tombstones (tagged by ``part``) and the late changes
+    (None: there can be none) of some keys: ``chg`` holds their changes,
+    ``touched`` their open versions, ``tomb_in`` their tombstones.
+
+    With ``max_group_rows``, keys of more rows are cut into chunks. ``stats``
+    has the changes per key where there are more than MAP_SIDE_KEYS hot keys;
+    without it, all keys are hot ones and few enough to be broadcast."""
+    key, h, op, ts = spec.key, spec.hash_col, spec.op_col, "_ts"
+    payload = spec.payload
+    others = [c for c in payload if c != key]
+    types = {f.name: f.dataType for f in spec.schema.fields}
+    chunked, few = max_group_rows is not None, stats is None
+
     def as_rows(df: DataFrame, at: str, *kinds: int) -> DataFrame:
         """``df`` as rows of the merge's row set, one per kind (one scan)."""
         have = set(df.columns)
@@ -295,7 +368,7 @@ def scd2_merge(
         return df.selectExpr(*cols, f"`{at}` AS `{ts}`", f"{kind} AS _kind")
 
     order_fields = [h, *spec.type1_columns, *[c for c in others if c != h and c not in spec.type1_columns]]
-    late = untimed
+    late = None
     if chunked:
         # Late changes leave first; the others collapse to one row per key and
         # time, by the tie rule, before any task sees a whole key.
@@ -303,13 +376,15 @@ def scd2_merge(
             bounds = (touched.select(key, F.col("record_start_ts").alias("_b"))
                       .unionByName(tomb_in.select(key, F.col("deleted_ts").alias("_b")))
                       .groupBy(key).agg(F.max("_b").alias("_b")))
-            chg = with_bounds(chg, bounds, stats, key, max_group_rows)
-            late = late.unionByName(chg.where(F.col(ts) <= F.col("_b")).select(
-                *payload, F.col(ts).alias(spec.ts_col), F.col("_b").alias("late_boundary_ts")))
+            chg = (chg.join(F.broadcast(bounds), key, "left") if few
+                   else with_bounds(chg, bounds, stats, key, max_group_rows))
+            late = chg.where(F.col(ts) <= F.col("_b")).select(
+                *payload, F.col(ts).alias(spec.ts_col), F.col("_b").alias("late_boundary_ts"))
             chg = chg.where(F.col("_b").isNull() | (F.col(ts) > F.col("_b")))
-        tie = F.struct(_op_rank(F.col(op)).alias("_rank"), *order_fields)
-        chg = (chg.groupBy(key, ts).agg(F.max_by(F.struct(*payload), tie).alias("_row"))
-               .select("_row.*", ts))
+        # The tie rule names every column but the key; with the key from there
+        # too, every reader of these rows needs the same exchange (reused).
+        tie = F.struct(_op_rank(F.col(op)).alias("_rank"), *order_fields, key)
+        chg = chg.groupBy(key, ts).agg(F.max(tie).alias("_row")).select(*[f"_row.{c}" for c in payload], ts)
 
     # One row set for the batch: its changes, the state of its keys as the
     # first events of their histories, and (unless late changes have left
@@ -324,6 +399,7 @@ def scd2_merge(
     if chunked:
         # Chunk ids grow with time, so order across chunks is order in time.
         cuts = quantile_cuts(rows, key, ts, max_group_rows)
+        cuts = F.broadcast(cuts) if few else cuts
         chunk = F.size(F.filter("_cuts", lambda c: c < F.unix_micros(ts)))
         rows = rows.join(cuts, key, "left").select(
             *payload, ts, "_kind", F.when(F.col("_cuts").isNull(), 0).otherwise(chunk).cast("long").alias("_chunk"),
@@ -331,14 +407,14 @@ def scd2_merge(
     else:
         rows = rows.withColumn("_chunk", F.lit(0).cast("long"))
 
-    # The one shuffle of the batch: by (key, chunk). One sort serves every
+    # The one shuffle of these rows: by (key, chunk). One sort serves every
     # window below: by time, then by the tie rule of rule 6 (op rank, hash,
     # type-1 values, remaining columns; all descending). The boundary, the
     # late split, the tie collapse and the later windows (ordered by time, a
     # prefix of this order) reuse its partitioning and order (a checkpoint
     # keeps both: it records the plan's output partitioning).
     rank = F.when(F.col("_kind") == _CHANGE, _op_rank(F.col(op))).otherwise(-1)
-    rows = rows.withColumn("_rank", rank)
+    rows = shuffled(rows, h, key, *(["_chunk"] if chunked else [])).withColumn("_rank", rank)
     tie_order = Window.partitionBy(key, "_chunk").orderBy(
         F.col(ts).asc_nulls_first(), F.col("_rank").desc(), *[F.col(c).desc() for c in order_fields])
     whole = tie_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -350,8 +426,8 @@ def scd2_merge(
     is_change = F.col("_kind") == _CHANGE
     is_late = is_change & F.col("_boundary").isNotNull() & (F.col(ts) <= F.col("_boundary"))
     if marked:
-        late = late.unionByName(rows.where(is_late).select(
-            *payload, F.col(ts).alias(spec.ts_col), F.col("_boundary").alias("late_boundary_ts")))
+        late = rows.where(is_late).select(
+            *payload, F.col(ts).alias(spec.ts_col), F.col("_boundary").alias("late_boundary_ts"))
 
     # Rule 6: one event per (key, ts), the first of its time in the tie order.
     # Applied changes are newer than the boundary, hence than every state and
@@ -417,18 +493,7 @@ def scd2_merge(
         F.when(F.col("_del"), F.col(ts)).alias("deleted_ts"),
         part.alias("part"),
     ).where(F.col("part").isNotNull())
-
-    from_kept, late = tag(from_kept, spec), tag(late, spec, "late")
-    if out_partitions:
-        from_kept = from_kept.hint("rebalance", out_partitions, key)
-        late = late.hint("rebalance", out_partitions, key)
-    out = (
-        tag(untouched, spec, "active")
-        .unionByName(from_kept)
-        .unionByName(tag(tomb_out, spec, "tombstones"))
-        .unionByName(late)
-    )
-    return MergeResult(out, spec)
+    return from_kept, late
 
 
 def _apply_type1(ev: DataFrame, kept: DataFrame, spec: DimensionSpec, w: Window, chunks: Window | None) -> DataFrame:

@@ -8,6 +8,7 @@ create one ourselves where it is unset.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -71,6 +72,13 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def free_shuffle_files(spark: SparkSession) -> None:
+    """Let go of the shuffle files of frames that nothing refers to any more:
+    Spark deletes them once the driver's JVM has collected the frames."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the shared folder; ``unique`` appends a fresh run id."""
     segs = ["starling", *parts]

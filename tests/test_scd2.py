@@ -391,3 +391,92 @@ def test_hot_key_with_state_equals_whole(spark):
 
     whole = parts(1_000_000)
     assert len(whole["late"]) > 4 and whole["closed"] and parts(10) == whole
+
+
+@pytest.fixture()
+def checkpointed(spark, monkeypatch):
+    """Keys of the rows of each frame that was checkpointed (None without rows)."""
+    seen, own = [], type(spark.range(1)).checkpoint
+
+    def checkpoint(df, eager=True):
+        out = own(df, eager)
+        seen.append(out.select("customer_id").collect())
+        return out
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", checkpoint)
+    return seen
+
+
+def _hot_and_others():
+    """A hot key of 200 changes at 40 times, and 100 keys of two changes."""
+    rows = [("U", "hot", f"h{i % 7}", t(i % 40), f"e{i}") for i in range(200)]
+    return rows + [("U", f"k{i % 100}", f"h{i // 100}", t(i // 100)) for i in range(200)]
+
+
+def test_only_hot_keys_are_written_down(spark, checkpointed):
+    r = merge(spark, _hot_and_others(), max_group_rows=10)
+    kept = [x["customer_id"] for rows in checkpointed for x in rows]
+    assert set(kept) == {"hot"} and len(kept) <= 40  # one row a time
+    whole = merge(spark, _hot_and_others())
+    assert dim_rows(r) == dim_rows(whole) and len(dim_rows(r)) > 200
+
+
+def test_other_keys_are_shuffled_once_beside_a_hot_one(spark):
+    r = merge(spark, _hot_and_others(), max_group_rows=10)
+    r.rows.collect()
+
+    def nodes(n):  # adaptive stages hold their plan aside
+        yield n
+        c = n.children()
+        for k in [n.plan()] if n.nodeName().endswith("QueryStage") else [c.apply(i) for i in range(c.size())]:
+            yield from nodes(k)
+
+    final = r.rows._jdf.queryExecution().executedPlan().executedPlan()
+    wide = [n.toString() for n in nodes(final) if n.nodeName() == "Exchange"]
+    assert sum("REPARTITION_BY_COL" in n.split("\n")[0] for n in wide) == 1
+    # every other exchange starts from the hot key's checkpoint
+    assert all("REPARTITION_BY_COL" in n.split("\n")[0] or "ExistingRDD" in n for n in wide)
+
+
+@pytest.mark.parametrize("most", [0, 1, 2])
+def test_many_hot_keys_equal_whole(spark, monkeypatch, most):
+    """More hot keys than may be broadcast: all keys go through the chunks."""
+    import starling.operators.scd2 as scd2
+
+    monkeypatch.setattr(scd2, "MAP_SIDE_KEYS", most)
+    test_hot_key_with_state_equals_whole(spark)
+
+
+def test_hash_of_any_kind_survives_the_shuffle(spark):
+    from hashlib import sha256
+
+    from starling.operators.scd2 import shuffled
+
+    hashes = [sha256(b"x").hexdigest(), sha256(b"x").hexdigest().upper(), "abc", "", "zz", "0g", "ab", "AB", "é", " ab", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(hashes)], "k int, h string")
+    got = shuffled(df, "h", "k")
+    assert got.schema == df.schema and sorted(map(tuple, got.collect())) == list(enumerate(hashes))
+    numbers = spark.createDataFrame([(1, 5), (2, None)], "k int, h long")
+    assert sorted(map(tuple, shuffled(numbers, "h", "k").collect())) == [(1, 5), (2, None)]
+
+
+def test_hashes_are_shuffled_as_bytes(spark):
+    """Distinct sha-256 hashes: little more than 32 bytes a row are written."""
+    from starling.operators.scd2 import shuffled
+
+    n = 20_000
+    df = spark.range(n).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+
+    sizes = {}
+    for name, out in (("packed", shuffled(df, "h", "id")), ("plain", df.repartition("id"))):
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().executedPlan()
+        stack, size = [final], None
+        while stack:
+            node = stack.pop()
+            if node.nodeName() == "Exchange":
+                size = node.metrics().apply("shuffleBytesWritten").value()
+            c = node.children()
+            stack += [node.plan()] if node.nodeName().endswith("QueryStage") else [c.apply(i) for i in range(c.size())]
+        sizes[name] = size
+    assert sizes["packed"] < 0.75 * sizes["plain"], sizes
